@@ -44,7 +44,8 @@ def rolling_sum(
         return F.floor(row / F.lit(bucket_rows))
 
     rn = F.col("rn")
-    reached = F.sequence(bucket(rn - last), bucket(rn - first))
+    # Buckets whose rows reach this one, its own among them also when the frame leaves the row out.
+    reached = F.sequence(bucket(rn - max(last, 0)), bucket(rn - min(first, 0)))
     frame = Window.partitionBy("_bucket").orderBy("rn").rowsBetween(first, last)
     kept = [c for c in ordered.columns if c not in PLACE]
     return (

@@ -1,0 +1,81 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from ridemetrics.schema import HOURLY, RAW_TYPES
+from ridemetrics.sources.hourly_csv import read_hourly_csv, standardize
+
+HEADER = "Date,Time (Local),Eyeballs ,Zeroes ,Completed Trips ,Requests ,Unique Drivers"
+ROWS = """,6,1,0,0,0,1
+10-Sep-12,7,5,0,2,2,9
+,8,6,0,2,2,14
+,9,8,3,0,0,14
+11-Sep-12,0,0,3,0,0,0
+9-Sep-12,1,4,1,1,1,2
+,2,4,1,1,1,2
+12-Sep-12,24,4,1,1,1,2"""
+
+
+def write(path, header, rows):
+    path.write_text(f"{header}\n{rows}\n")
+    return str(path)
+
+
+def by_place(df):
+    return df.orderBy("src_file", "src_start", "src_seq").collect()
+
+
+def test_hand_made_rows(spark, tmp_path):
+    table = standardize(read_hourly_csv(spark, write(tmp_path / "a.csv", HEADER, ROWS)))
+    assert table.columns[: len(HOURLY)] == HOURLY
+    assert [(r.date, r.ts) for r in by_place(table)] == [
+        (None, None),
+        (date(2012, 9, 10), datetime(2012, 9, 10, 7)),
+        (date(2012, 9, 10), datetime(2012, 9, 10, 8)),
+        (date(2012, 9, 10), datetime(2012, 9, 10, 9)),
+        (date(2012, 9, 11), datetime(2012, 9, 11, 0)),
+        (None, None),
+        (None, None),
+        (date(2012, 9, 12), None),
+    ]
+    assert tuple(by_place(table)[1])[2:8] == (7, 5, 0, 2, 2, 9)
+
+
+def test_raw_names_and_types(spark, tmp_path):
+    raw = read_hourly_csv(spark, write(tmp_path / "a.csv", HEADER, ROWS))
+    assert {f.name: f.dataType for f in raw.schema if not f.name.startswith("src_")} == RAW_TYPES
+
+
+def test_columns_match_by_name(spark, tmp_path):
+    header = "Unique Drivers,Note,Requests ,Completed Trips ,Zeroes ,Eyeballs ,Time (Local),Date"
+    table = standardize(read_hourly_csv(spark, write(tmp_path / "a.csv", header, "9,x,2,3,4,5,7,10-Sep-12")))
+    assert tuple(table.first())[:8] == (datetime(2012, 9, 10, 7), date(2012, 9, 10), 7, 5, 4, 3, 2, 9)
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    path = write(tmp_path / "a.csv", HEADER.replace("Zeroes ", "Zeroes"), ROWS)
+    with pytest.raises(ValueError, match="Zeroes "):
+        read_hourly_csv(spark, path)
+    with pytest.raises(ValueError, match="Eyeballs "):
+        standardize(spark.range(1))
+
+
+@pytest.mark.parametrize("split_bytes", ["200", "1000", "128m"])
+def test_fill_runs_over_splits_and_files(spark, tmp_path, split_bytes):
+    """Labels carry over split and file borders; a day's label may lie several splits back."""
+    start, expected = datetime(2012, 9, 10), []
+    for part in range(3):
+        lines = []
+        for i in range(400 * part, 400 * part + 400):
+            ts = start + timedelta(hours=i)
+            lines.append(f"{ts.strftime('%d-%b-%y') if i % 72 == 0 else ''},{ts.hour},{i},0,0,0,0")
+            expected.append((i, (start + timedelta(hours=i - i % 72)).date()))
+        write(tmp_path / f"part-{part}.csv", HEADER, "\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        table = standardize(read_hourly_csv(spark, str(tmp_path)))
+        if split_bytes == "200":
+            assert table.select("src_file", "src_start").distinct().count() > 50
+        assert [(r.eyeballs, r.date) for r in by_place(table)] == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

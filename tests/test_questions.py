@@ -1,0 +1,140 @@
+from datetime import date, datetime
+
+import pytest
+
+from helpers import hourly, series
+from ridemetrics.plans import questions as q
+
+
+def only(df):
+    rows = df.collect()
+    assert len(rows) == 1
+    return tuple(rows[0])
+
+
+def empty(spark):
+    return hourly(spark, [("2024-01-01 00:00", {})]).limit(0)
+
+
+def test_q1_tie_goes_to_the_earliest_date(spark):
+    h = hourly(spark, [(f"2024-01-0{d} 01:00", {"completed_trips": n}) for d, n in [(3, 9), (2, 9), (1, 2)]])
+    assert only(q.q1(h)) == (date(2024, 1, 2), 9)
+
+
+def test_q2_counts_from_the_first_hour(spark):
+    values = [0] * 23 + [5] + [1] * 24
+    h = series(spark, "2012-09-10 07:00", values, "completed_trips")
+    assert only(q.q2(h)) == (datetime(2012, 9, 11, 7), datetime(2012, 9, 12, 7), 24)
+
+
+def test_q3(spark):
+    h = hourly(spark, [("2024-01-01 05:00", {"requests": 2}), ("2024-01-02 05:00", {"requests": 2})])
+    assert only(q.q3(h.union(series(spark, "2024-01-01 09:00", [4], "requests")))) == (5, 4)
+
+
+def test_q4(spark):
+    rows = ["2024-01-05 16:00", "2024-01-05 17:00", "2024-01-06 12:00", "2024-01-07 03:00", "2024-01-07 04:00"]
+    h = hourly(spark, [(ts, {"zeroes": 10**i}) for i, ts in enumerate(rows)])
+    weekend, total, percentage = only(q.q4(h))
+    assert (weekend, total) == (1110, 11111)
+    assert percentage == pytest.approx(100 * 1110 / 11111)
+
+
+def test_q4_without_zeroes(spark):
+    assert only(q.q4(hourly(spark, [("2024-01-06 12:00", {})]))) == (0, 0, None)
+    assert only(q.q4(hourly(spark, [("2024-01-03 12:00", {"zeroes": 4}), (None, {"zeroes": 1})])))[:2] == (None, 5)
+
+
+def test_q5_hour_without_drivers_stays_below_the_line(spark):
+    h = hourly(
+        spark,
+        [
+            ("2024-01-01 01:00", {"completed_trips": 4, "drivers": 0}),
+            ("2024-01-01 02:00", {"completed_trips": 6, "drivers": 3}),
+            (None, {"completed_trips": 99, "drivers": 1}),
+        ],
+    )
+    assert only(q.q5(h)) == (6 * 6 / 3 / 10,)
+
+
+def test_q6_rows_not_hours(spark):
+    """A gap of a day lies inside the frame; the last frames are cut short."""
+    h = series(spark, "2024-01-01 00:00", [1, 2, 3], "requests").union(
+        series(spark, "2024-01-02 00:00", [10, 20], "requests")
+    )
+    sums = {r.ts: r.requests_in_8h for r in q.requests_in_8h(h).collect()}
+    assert [sums[ts] for ts in sorted(sums)] == [36, 35, 33, 30, 20]
+    assert only(q.q6(h)) == (datetime(2024, 1, 1), datetime(2024, 1, 1, 8), 36)
+
+
+def test_q6_tie_and_rows_without_time(spark):
+    h = series(spark, "2024-01-01 00:00", [0, 5] + [0] * 20 + [5], "requests")
+    h = h.union(hourly(spark, [(None, {"requests": 1000})]))
+    assert only(q.q6(h)) == (datetime(2024, 1, 1), datetime(2024, 1, 1, 8), 5)
+
+
+@pytest.mark.parametrize(
+    "pairs, expected",
+    [
+        ([(1, 2), (2, 4), (3, 7)], True),
+        ([(1, 9), (2, 4), (3, 1)], False),
+        ([(1, 5), (2, 5), (3, 5)], False),
+        ([(1, 1), (2, 2), (3, 3), (9, None)], False),
+    ],
+)
+def test_q7(spark, pairs, expected):
+    """A null is read as 0, a constant column gives no correlation."""
+    rows = [(f"2024-01-01 0{i}:00", {"requests": r, "drivers": d}) for i, (r, d) in enumerate(pairs)]
+    correlation, answer = only(q.q7(hourly(spark, rows)))
+    assert answer is expected
+    assert (correlation is None) == (len({d for _, d in pairs}) == 1)
+
+
+def test_q8_sum_of_ratios(spark):
+    rows = [("2024-01-01 00:00", 1, 2), ("2024-01-01 01:00", 9, 0), ("2024-01-01 02:00", 3, 4)]
+    h = hourly(spark, [(ts, {"zeroes": z, "eyeballs": e}) for ts, z, e in rows])
+    assert only(q.q8(h)) == (datetime(2023, 12, 29, 2), datetime(2024, 1, 1, 2), 1.25)
+
+
+def test_q8_without_eyeballs(spark):
+    h = series(spark, "2024-01-01 00:00", [1] * 80, "zeroes")
+    assert [r.ratio_72h for r in q.ratio_72h(h).collect()] == [None] * 80
+    h = h.union(hourly(spark, [("2024-02-01 00:00", {"zeroes": 0, "eyeballs": 5})]))
+    assert only(q.q8(h))[1:] == (datetime(2024, 2, 1), 0.0)
+
+
+def test_q9_null_requests_add_nothing(spark):
+    h = hourly(
+        spark,
+        [
+            ("2024-01-01 01:00", {"requests": None, "drivers": 0}),
+            ("2024-01-01 02:00", {"requests": 1, "drivers": 50}),
+            ("2024-01-02 02:00", {"requests": 5, "drivers": 3}),
+        ],
+    )
+    assert {r.hour: r.unmet_demand_per_hour for r in q.unmet_demand_by_hour(h).collect()} == {1: 0, 2: 2}
+    assert only(q.q9(h)) == (2, 2)
+
+
+def test_q10_null_score_is_not_chosen(spark):
+    h = hourly(
+        spark,
+        [
+            ("2024-01-01 01:00", {"eyeballs": None, "drivers": 1, "requests": 1}),
+            ("2024-01-01 02:00", {"eyeballs": 3, "drivers": 1, "requests": 2}),
+            ("2024-01-02 02:00", {"eyeballs": 4, "drivers": 2, "requests": 2}),
+            ("2024-01-01 03:00", {"eyeballs": 30}),
+        ],
+    )
+    assert only(q.q10(h)) == (2, 3.5, 1.5, 2.0, 7.0)
+
+
+@pytest.mark.parametrize("i", [1, 2, 3, 6, 8, 9, 10])
+def test_no_input_no_answer(spark, i):
+    assert q.QUESTIONS[i](empty(spark)).collect() == []
+
+
+def test_no_input_global_answers(spark):
+    assert only(q.q4(empty(spark))) == (None, None, None)
+    assert only(q.q5(empty(spark))) == (None,)
+    assert only(q.q7(empty(spark))) == (None, False)
