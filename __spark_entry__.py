@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ridemetrics.functions.clock import hour_timestamp, label_date
 from ridemetrics.operators.fill import forward_fill
-from ridemetrics.operators.frames import order_rows, rolling_sum
+from ridemetrics.operators.frames import dense_index, order_rows, rolling_sum
 from ridemetrics.operators.storage import new_folder, store, write_result
 from ridemetrics.plans import questions as q
 from ridemetrics.schema import HOURLY, LABEL_FORMAT, RENAMES
@@ -81,7 +81,7 @@ def _events_rolling(first, last, name):
     def query(spark, sf_dir):
         cents = F.round(F.col("value") * 100).cast("long").alias("cents")
         ordered = order_rows(_events(spark, sf_dir).select("ts", "event_id", cents), ["ts", "event_id"], drop=["ts"])
-        return rolling_sum(ordered, "cents", first, last, name).select("event_id", name)
+        return rolling_sum(dense_index(ordered), "cents", first, last, name).select("event_id", name)
 
     return query
 

@@ -12,11 +12,6 @@ def midnight(day) -> Column:
     return F.to_date(day).cast("timestamp_ntz")
 
 
-def hour_start(ts) -> Column:
-    """Start of the hour. ``date_trunc`` would go through a zoned timestamp."""
-    return midnight(ts) + hours(F.hour(ts))
-
-
 def label_date(label, fmt: str) -> Column:
     """Date of a text label; null when it does not parse, in ANSI mode too."""
     return F.try_to_date(F.col(label) if isinstance(label, str) else label, fmt)

@@ -21,22 +21,30 @@ def order_rows(df: DataFrame, order_by: list[str], drop: list[str] = ()) -> Data
 
 
 def dense_index(ordered: DataFrame) -> DataFrame:
-    """Adds ``rn``, the number of rows before this one, to a table from ``order_rows``."""
+    """Replaces the place of a table from ``order_rows`` by ``rn``, the number of rows before.
+
+    Filter rows only afterwards: the places count all of them.
+    """
+    kept = [c for c in ordered.columns if c not in PLACE]
+    if len(ordered.inputFiles()) == 1:
+        return ordered.select(*kept, F.col("_pos").alias("rn"))
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     # One small row per sort partition, so at most spark.sql.shuffle.partitions rows.
-    return ordered.join(F.broadcast(starts), "_part").withColumn("rn", F.col("_start") + F.col("_pos"))
+    numbered = ordered.join(F.broadcast(starts), "_part")
+    return numbered.select(*kept, (F.col("_start") + F.col("_pos")).alias("rn"))
 
 
 def rolling_sum(
-    ordered: DataFrame, value: str | Column, first: int, last: int, name: str, bucket_rows: int = 65536
+    indexed: DataFrame, value: str | Column, first: int, last: int, name: str, bucket_rows: int = 65536
 ) -> DataFrame:
     """Sum of ``value`` over the rows ``first``..``last`` around each row, cut short at both ends.
 
-    Rows are dealt by their dense index into buckets of ``bucket_rows`` consecutive rows, each of
-    which also gets copies of the few neighbours its frames reach. Every bucket is a bounded sort,
-    whatever the values; the copies add about ``(last - first) / bucket_rows`` of the rows.
+    ``indexed`` has consecutive ``rn``. Rows are dealt by it into buckets of ``bucket_rows``
+    consecutive rows, each of which also gets copies of the few neighbours its frames reach. Every
+    bucket is a bounded sort, whatever the values; the copies add about
+    ``(last - first) / bucket_rows`` of the rows.
     """
     value = F.col(value) if isinstance(value, str) else value
 
@@ -47,14 +55,11 @@ def rolling_sum(
     # Buckets whose rows reach this one, its own among them also when the frame leaves the row out.
     reached = F.sequence(bucket(rn - max(last, 0)), bucket(rn - min(first, 0)))
     frame = Window.partitionBy("_bucket").orderBy("rn").rowsBetween(first, last)
-    kept = [c for c in ordered.columns if c not in PLACE]
     return (
-        dense_index(ordered)
-        .select(*kept, "rn", value.alias("_value"))
-        .withColumn("_bucket", F.explode(reached))
+        indexed.withColumns({"_value": value, "_bucket": F.explode(reached)})
         .withColumn(name, F.sum("_value").over(frame))
         .filter(bucket(rn) == F.col("_bucket"))
-        .select(*kept, name)
+        .drop("_value", "_bucket", "rn")
     )
 
 

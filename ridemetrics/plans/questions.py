@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ridemetrics.functions.clock import hours, is_weekend
 from ridemetrics.functions.measures import correlation, unmet_demand, zero_ratio
-from ridemetrics.operators.frames import PLACE, order_rows, rolling_sum, tumbling_day
+from ridemetrics.operators.frames import PLACE, dense_index, order_rows, rolling_sum, tumbling_day
 from ridemetrics.operators.storage import store
 from ridemetrics.operators.topk import bottom_rows, top_rows
 from ridemetrics.schema import HOURLY, ORDINAL
@@ -86,12 +86,14 @@ def q5(h: DataFrame) -> DataFrame:
 
 
 def _in_time_order(h: DataFrame, *columns: str) -> DataFrame:
-    """The named columns of the rows that have a ``ts``, stored in time order unless ``h`` already is."""
-    if set(PLACE) <= set(h.columns):
-        return h.select("ts", *columns, *PLACE).filter(F.col("ts").isNotNull())
-    places = [c for c in ORDINAL if c in h.columns]
-    rows = h.select("ts", *columns, *places).filter(F.col("ts").isNotNull())
-    return order_rows(rows, ["ts", *places], drop=places)
+    """The named columns of the rows that have a ``ts``, numbered in time order.
+
+    Rows without ``ts`` come first in the order, so leaving them out keeps the numbers consecutive.
+    """
+    if not set(PLACE) <= set(h.columns):
+        places = [c for c in ORDINAL if c in h.columns]
+        h = order_rows(h.select("ts", *columns, *places), ["ts", *places], drop=places)
+    return dense_index(h.select("ts", *columns, *PLACE)).filter(F.col("ts").isNotNull())
 
 
 def requests_in_8h(h: DataFrame) -> DataFrame:

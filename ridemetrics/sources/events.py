@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.functions.clock import hour_start
+from ridemetrics.functions.clock import hour_timestamp
 from ridemetrics.schema import HOURLY
 
 # Which event type feeds which counter; drivers are counted once per hour.
@@ -16,8 +16,9 @@ EVENT_KINDS = {
 
 
 def hourly_facts(events: DataFrame, ts="ts", kind="event_type", user="user_id", kinds=EVENT_KINDS) -> DataFrame:
-    """One row per hour that has events.
+    """One row per hour that has events; events without a time form a row of their own.
 
+    Grouped by date and hour of day, two cheap keys, and the timestamp is put together afterwards.
     The distinct users are written as ``count_distinct`` over one nullable column and not as a
     filtered aggregate, so Spark plans it without Expand: rows collapse on (hour, user) before
     the first shuffle, and neither a hot hour nor a hot user lands in one task.
@@ -26,8 +27,8 @@ def hourly_facts(events: DataFrame, ts="ts", kind="event_type", user="user_id",
     counts = [F.count_if(is_kind[name]).alias(name) for name in kinds if name != "drivers"]
     drivers = F.count_distinct(F.when(is_kind["drivers"], F.col(user))).alias("drivers")
     return (
-        events.groupBy(hour_start(ts).alias("ts"))
+        events.groupBy(F.to_date(ts).alias("date"), F.hour(ts).alias("hour"))
         .agg(*counts, drivers)
-        .withColumns({"date": F.to_date("ts"), "hour": F.hour("ts")})
+        .withColumn("ts", hour_timestamp("date", "hour"))
         .select(*HOURLY)
     )

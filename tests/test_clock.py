@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from ridemetrics.functions.clock import hour_start, hour_timestamp, is_weekend, label_date
+from ridemetrics.functions.clock import hour_timestamp, is_weekend, label_date
 
 DAY = date(2012, 9, 10)
 
@@ -38,17 +38,6 @@ def test_label_date(spark, label, expected, ansi):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
-@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
-def test_hour_start_ignores_the_zone(spark, zone):
-    """02:30 does not exist on that day in New York."""
-    spark.conf.set("spark.sql.session.timeZone", zone)
-    try:
-        df = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 02:30:15.5' AS ts")
-        assert df.select(hour_start("ts")).first()[0] == datetime(2024, 3, 10, 2)
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 @pytest.mark.parametrize(
     "ts, expected",
     [

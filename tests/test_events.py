@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import plain, plan
@@ -21,6 +22,21 @@ def test_counts_of_an_hour(spark):
     ]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_hours_are_those_of_the_wall_clock(spark, zone):
+    """02:30 does not exist on that day in New York."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = [(datetime(2024, 3, 10, 2, 30, 15, 5), 1, "view"), (None, 1, "view")]
+        facts = hourly_facts(spark.createDataFrame(rows, SCHEMA))
+        assert {(r.ts, r.hour, r.eyeballs) for r in facts.collect()} == {
+            (datetime(2024, 3, 10, 2), 2, 1),
+            (None, None, 1),
+        }
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_hot_hour_and_user(spark):
     """A third of the rows in one hour and of one user."""
     hot = F.col("id") % 3 == 0

@@ -6,6 +6,7 @@ from pyspark.sql import Window, functions as F
 from conftest import SF, SF_SMALL
 from helpers import hourly, plain, shuffled
 from ridemetrics.operators.frames import dense_index, order_rows, rolling_sum, tumbling_day
+from ridemetrics.plans.questions import requests_in_8h
 from ridemetrics.sources.events import hourly_facts
 
 FRAMES = [(0, 7), (-71, 0), (-3, 3), (2, 5), (-9, -4)]
@@ -25,21 +26,11 @@ def gappy(spark):
 @pytest.mark.parametrize("first, last", FRAMES)
 @pytest.mark.parametrize("bucket_rows", [1, 7, 72, 1000])
 def test_equals_the_plain_window(spark, gappy, first, last, bucket_rows):
-    rolled = rolling_sum(order_rows(gappy, ["ts"]), "v", first, last, "rolled", bucket_rows)
+    rolled = rolling_sum(dense_index(order_rows(gappy, ["ts"])), "v", first, last, "rolled", bucket_rows)
     assert rolled.columns == ["ts", "v", "rolled"]
     assert plain(rolled) == plain(naive(gappy, ["ts"], first, last))
 
 
-@pytest.fixture
-def many_parts(spark):
-    """Sorted parts small enough that AQE would otherwise merge them into one."""
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.files.maxRecordsPerFile", "100")
-    yield
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.unset("spark.sql.files.maxRecordsPerFile")
-
-
 def test_dense_index_over_parts(spark, many_parts):
     ids = shuffled(spark.range(5000).repartition(5))
     ordered = order_rows(ids, ["id"])
@@ -55,14 +46,26 @@ def test_a_value_that_most_rows_share_is_cut(spark, many_parts):
     ordered = order_rows(df, ["ts", "id"])
     sizes = [r["count"] for r in ordered.groupBy("_part").count().collect()]
     assert max(sizes) < 2 * 20000 / len(sizes)
-    rolled = rolling_sum(ordered, "v", -71, 0, "rolled", 300)
+    rolled = rolling_sum(dense_index(ordered), "v", -71, 0, "rolled", 300)
     assert plain(rolled.select("id", "rolled")) == plain(naive(df, ["ts", "id"], -71, 0).select("id", "rolled"))
 
 
+def test_questions_leave_out_rows_without_time(spark, many_parts, gappy):
+    """They fill several parts ahead of the others and must not shift the numbers."""
+    h = gappy.withColumnRenamed("v", "requests")
+    untimed = spark.range(700).select(F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(9).cast("long").alias("requests"))
+    both = h.union(untimed)
+    expected = plain(naive(gappy, ["ts"], 0, 7).select("ts", "rolled"))
+    assert plain(requests_in_8h(both)) == expected
+    ordered = order_rows(both.withColumn("id", F.monotonically_increasing_id()), ["ts", "id"], drop=["id"])
+    assert ordered.filter("ts IS NULL").select("_part").distinct().count() > 1
+    assert plain(requests_in_8h(ordered)) == expected
+
+
 def test_ratio_over_doubles(spark):
     facts = hourly_facts(spark.read.parquet(f"{SF}/events.parquet"))
     df = facts.select("ts", F.try_divide("zeroes", "eyeballs").alias("v"))
-    rolled = rolling_sum(order_rows(df, ["ts"]), "v", -71, 0, "rolled", 200)
+    rolled = rolling_sum(dense_index(order_rows(df, ["ts"])), "v", -71, 0, "rolled", 200)
     assert plain(rolled) == plain(naive(df, ["ts"], -71, 0))
 
 
@@ -74,7 +77,7 @@ def test_dropped_order_column(spark):
 
 
 def test_no_rows(spark, gappy):
-    rolled = rolling_sum(order_rows(gappy.limit(0), ["ts"]), "v", 0, 7, "rolled")
+    rolled = rolling_sum(dense_index(order_rows(gappy.limit(0), ["ts"])), "v", 0, 7, "rolled")
     assert rolled.collect() == []
     assert tumbling_day(gappy.limit(0)).collect() == []
 

@@ -26,7 +26,7 @@ def test_events_are_read_once(spark, key):
 
 
 @pytest.mark.parametrize("key", [k for k in QUERIES if "rolling" in k or "forward" in k or "csv" in k])
-def test_windows_over_rows_are_partitioned(spark, key):
+def test_windows_over_rows_are_partitioned(spark, many_parts, key):
     """The only window without a partition runs over the table of parts or blocks."""
     lines = initial(key, spark).splitlines()
     windows = [line for line in lines if "+- Window [" in line]
