@@ -2,7 +2,9 @@
 
 import argparse
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from ridemetrics.operators.storage import clear, write_result
@@ -11,6 +13,9 @@ from ridemetrics.sources.hourly_csv import read_hourly_csv, standardize
 
 log = logging.getLogger(__name__)
 
+# Questions whose Spark jobs run side by side.
+_AT_ONCE = 4
+
 
 def session(app_name: str = "ridemetrics") -> SparkSession:
     """Object-store and resource settings come from spark-submit, not from here."""
@@ -33,11 +38,14 @@ def run(spark: SparkSession, path: str, out: str, question_id: str | None = None
     ids = parse_ids(question_id)
     try:
         table = prepare(standardize(read_hourly_csv(spark, path)), ids)
-        written = []
-        for i in ids:
+
+        def answer(i):
             log.info("question %d", i)
-            written.append(write_result(QUESTIONS[i](table), out, f"question{i}"))
-        return written
+            return write_result(QUESTIONS[i](table), out, f"question{i}")
+
+        # The answers do not depend on each other; small last stages of one leave room for the next.
+        with ThreadPoolExecutor(_AT_ONCE) as pool:
+            return list(pool.map(inheritable_thread_target(spark)(answer), ids))
     finally:
         clear(spark)
 
