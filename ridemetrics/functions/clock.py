@@ -1,11 +1,13 @@
 """Wall-clock time. All values are TIMESTAMP_NTZ, so no session time zone takes part."""
 
+from datetime import timedelta
+
 from pyspark.sql import Column, functions as F
 
 
 def hours(count) -> Column:
     """Day-time interval of ``count`` hours (a number or a Column)."""
-    return F.make_dt_interval(F.lit(0), count if isinstance(count, Column) else F.lit(count))
+    return F.lit(timedelta(hours=1)) * count
 
 
 def midnight(day) -> Column:

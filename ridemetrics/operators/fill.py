@@ -3,26 +3,51 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 
-def forward_fill(df: DataFrame, column: str, block: list[str], order: list[str]) -> DataFrame:
+def last_before(column: str, block: list[str]):
+    """Last non-null ``column`` of the blocks before; over a table of one row per block."""
+    return F.last(column, ignorenulls=True).over(_earlier(block))
+
+
+def rows_before(count: str, block: list[str]):
+    """Number of rows in the blocks before; over a table of one row per block."""
+    return F.coalesce(F.sum(count).over(_earlier(block)), F.lit(0))
+
+
+def _earlier(block):
+    return Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def last_value(column: str, order: str):
+    """Aggregate: non-null ``column`` of the row with the largest ``order``."""
+    return F.max_by(column, F.when(F.col(column).isNotNull(), F.col(order)))
+
+
+def spread(df: DataFrame, seeds: DataFrame, columns: list[str], gather: list[str], order: str) -> DataFrame:
+    """Fills nulls in ``columns`` by the last value before them, starting anew at each seed.
+
+    A seed has the columns ``gather``, ``order`` and ``columns`` and takes effect ahead of the row
+    with the same ``order``; a null in it clears the value. Seeds travel as rows, so there is one
+    shuffle and no join. ``gather`` groups must be of bounded size.
+    """
+    rows = df.withColumn("_seed", F.lit(False))
+    rows = rows.unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
+    so_far = Window.partitionBy(*gather).orderBy(order, F.desc("_seed")).rowsBetween(Window.unboundedPreceding, 0)
+
+    def latest(name):
+        known = F.when(F.col("_seed") | F.col(name).isNotNull(), F.struct(name))
+        return F.last(known, ignorenulls=True).over(so_far)[name]
+
+    return rows.withColumns({name: latest(name) for name in columns}).filter(~F.col("_seed")).select(*df.columns)
+
+
+def forward_fill(df: DataFrame, column: str, block: list[str], order: str) -> DataFrame:
     """Replaces nulls in ``column`` by the last value before them; leading nulls stay.
 
-    ``block`` columns ascend with the row order and cut it into pieces of bounded size (a file
-    split, a range of a unique key); ``order`` is unique inside a block. Each block is filled on
-    its own, then takes what the blocks before it left. Only the table of blocks, one row per
-    block, is ordered as a whole. The join is left to the optimizer: rows are already partitioned
-    by block, and the blocks grow with the data, slowly, so they are not forced into a broadcast.
+    ``order`` is unique. ``block`` columns ascend with it and cut the rows into pieces of bounded
+    size, such as ranges of a unique key. Each block is filled on its own, from a seed that holds
+    what the blocks before it left; only the table of blocks, one row per block, is ordered as a
+    whole. ``df`` is read twice. Fixed-width values are cheapest: strings sort where they could hash.
     """
-    last_order = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    tails = df.groupBy(*block).agg(
-        F.max_by(column, F.when(F.col(column).isNotNull(), last_order)).alias("_tail")
-    )
-    earlier = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.select(*block, F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"))
-
-    so_far = Window.partitionBy(*block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = df.withColumn(column, F.last(column, ignorenulls=True).over(so_far))
-    return (
-        filled.join(carried, block, "left")
-        .withColumn(column, F.coalesce(column, "_carried"))
-        .select(*df.columns)
-    )
+    blocks = df.groupBy(*block).agg(last_value(column, order).alias("_tail"), F.min(order).alias(order))
+    seeds = blocks.select(*block, order, last_before("_tail", block).alias(column))
+    return spread(df, seeds, [column], block, order)

@@ -12,7 +12,7 @@ from ridemetrics.functions.measures import correlation, unmet_demand, zero_ratio
 from ridemetrics.operators.frames import PLACE, dense_index, order_rows, rolling_sum, tumbling_day
 from ridemetrics.operators.storage import store
 from ridemetrics.operators.topk import bottom_rows, top_rows
-from ridemetrics.schema import HOURLY, ORDINAL
+from ridemetrics.schema import HOURLY, ROW_NO
 
 _SUPPLY_FOLLOWS_DEMAND = 0.3
 
@@ -91,8 +91,8 @@ def _in_time_order(h: DataFrame, *columns: str) -> DataFrame:
     Rows without ``ts`` come first in the order, so leaving them out keeps the numbers consecutive.
     """
     if not set(PLACE) <= set(h.columns):
-        places = [c for c in ORDINAL if c in h.columns]
-        h = order_rows(h.select("ts", *columns, *places), ["ts", *places], drop=places)
+        ties = [c for c in [ROW_NO] if c in h.columns]
+        h = order_rows(h.select("ts", *columns, *ties), ["ts", *ties], drop=ties)
     return dense_index(h.select("ts", *columns, *PLACE)).filter(F.col("ts").isNotNull())
 
 
@@ -159,9 +159,9 @@ def prepare(h: DataFrame, ids: list[int]) -> DataFrame:
     Stored in time order if a rolling question is asked, so that all of them share one sort;
     stored as it is for several questions or one that reads it twice; otherwise left lazy.
     """
-    places = [c for c in ORDINAL if c in h.columns]
+    ties = [c for c in [ROW_NO] if c in h.columns]
     if _NEEDS_ORDER & set(ids):
-        return order_rows(h, ["ts", *places], drop=places)
+        return order_rows(h, ["ts", *ties], drop=ties)
     if len(ids) > 1 or _READS_TWICE & set(ids):
         return store(h.select(*HOURLY), "hourly")
     return h

@@ -21,5 +21,7 @@ HOURLY = ["ts", "date", "hour", *COUNTERS]
 
 RAW_TYPES = {name: T.StringType() if name == "Date" else T.IntegerType() for name in RENAMES}
 
-# Position of a CSV row in its input: file, start of the split, number within the scan.
-ORDINAL = ["src_file", "src_start", "src_seq"]
+# Where a CSV row stands: file, start of the split, number within the scan.
+PLACE_IN_SOURCE = ["src_file", "src_start", "src_seq"]
+# Number of a row in its source; breaks ties between equal timestamps.
+ROW_NO = "row_no"

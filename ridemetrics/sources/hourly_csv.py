@@ -3,15 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ridemetrics.functions.clock import hour_timestamp, label_date
-from ridemetrics.operators.fill import forward_fill
-from ridemetrics.schema import COUNTERS, HOURLY, LABEL_FORMAT, ORDINAL, RAW_TYPES, RENAMES
+from ridemetrics.operators.fill import last_before, last_value, rows_before, spread
+from ridemetrics.operators.storage import store
+from ridemetrics.schema import COUNTERS, HOURLY, LABEL_FORMAT, PLACE_IN_SOURCE, RAW_TYPES, RENAMES, ROW_NO
 
 # Stands for a label that is present but does not parse; two-digit years start at 2000.
 _UNREADABLE = "0001-01-01"
 
 
 def read_hourly_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw rows with their place in the input, taken at the scan before any shuffle.
+    """Raw rows with their place in the source: file, start of the split, number within the scan.
 
     Columns are matched by header name, read from the first line only; types are given, so the
     data is not scanned to infer them.
@@ -38,20 +39,41 @@ def read_hourly_csv(spark: SparkSession, path: str) -> DataFrame:
 def standardize(raw: DataFrame) -> DataFrame:
     """Rename, fill the sparse dates down and add the wall-clock timestamp.
 
-    The fill carries dates, not label strings: fixed-width values keep the per-split aggregate a
-    hash aggregate. A label that does not parse covers its rows with null, up to the next label.
-    The place columns stay, for orders that must break ties between equal timestamps.
+    The raw rows are stored first: the fill reads them twice, and both times must see the same
+    splits and numbers, which a second scan of the CSV does not promise. The rows of one scan task
+    are filled together; the seed of each split also says how many rows come before it, which
+    gives ``row_no``, the row's number in the whole source. So file names are not shuffled.
+
+    A label that does not parse covers its rows with null, up to the next label. The fill carries
+    dates rather than labels, so that the table of splits comes from a hash aggregate.
     """
-    missing = [name for name in [*RENAMES, *ORDINAL] if name not in raw.columns]
+    missing = [name for name in [*RENAMES, *PLACE_IN_SOURCE] if name not in raw.columns]
     if missing:
         raise ValueError(f"columns missing: {missing}")
     unreadable = F.lit(_UNREADABLE).cast("date")
     day = F.when(F.col("date").isNotNull(), F.coalesce(label_date("date", LABEL_FORMAT), unreadable))
-    dated = raw.withColumnsRenamed(RENAMES).withColumn("date", day)
-    filled = forward_fill(dated, "date", block=["src_file", "src_start"], order=["src_seq"])
+    renamed = raw.withColumnsRenamed(RENAMES).withColumn("date", day)
+    rows = store(
+        renamed.select("date", "hour", *COUNTERS, *PLACE_IN_SOURCE, F.spark_partition_id().alias("src_task")), "raw"
+    )
+
+    split = ["src_file", "src_start"]
+    splits = rows.groupBy("src_task", *split).agg(
+        last_value("date", "src_seq").alias("_tail"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.min("src_seq").alias("src_seq"),
+    )
+    seeds = splits.select(
+        "src_task",
+        "src_seq",
+        last_before("_tail", split).alias("date"),
+        (rows_before("_rows", split) - F.col("src_seq")).alias("_shift"),
+    )
+    unfilled = rows.drop(*split).withColumn("_shift", F.lit(None).cast("long"))
+    filled = spread(unfilled, seeds, ["date", "_shift"], gather=["src_task"], order="src_seq")
     return (
         filled.withColumn("date", F.nullif(F.col("date"), unreadable))
         .withColumn("ts", hour_timestamp("date", "hour"))
         .withColumns({name: F.col(name).cast("long") for name in COUNTERS})
-        .select(*HOURLY, *ORDINAL)
+        .select(*HOURLY, (F.col("src_seq") + F.col("_shift")).alias(ROW_NO))
     )

@@ -6,6 +6,8 @@ from ridemetrics.schema import HOURLY, RAW_TYPES
 from ridemetrics.sources.hourly_csv import read_hourly_csv, standardize
 
 HEADER = "Date,Time (Local),Eyeballs ,Zeroes ,Completed Trips ,Requests ,Unique Drivers"
+# Row numbers at which files start; their sizes do not ascend with their names.
+FILES = [0, 50, 900, 1200]
 ROWS = """,6,1,0,0,0,1
 10-Sep-12,7,5,0,2,2,9
 ,8,6,0,2,2,14
@@ -22,7 +24,7 @@ def write(path, header, rows):
 
 
 def by_place(df):
-    return df.orderBy("src_file", "src_start", "src_seq").collect()
+    return df.orderBy("row_no").collect()
 
 
 def test_hand_made_rows(spark, tmp_path):
@@ -60,22 +62,24 @@ def test_missing_column_is_named(spark, tmp_path):
         standardize(spark.range(1))
 
 
+# From many splits per file to all files in few tasks, where the scan reads the largest first.
 @pytest.mark.parametrize("split_bytes", ["200", "1000", "128m"])
 def test_fill_runs_over_splits_and_files(spark, tmp_path, split_bytes):
     """Labels carry over split and file borders; a day's label may lie several splits back."""
     start, expected = datetime(2012, 9, 10), []
     for part in range(3):
         lines = []
-        for i in range(400 * part, 400 * part + 400):
+        for i in range(FILES[part], FILES[part + 1]):
             ts = start + timedelta(hours=i)
             lines.append(f"{ts.strftime('%d-%b-%y') if i % 72 == 0 else ''},{ts.hour},{i},0,0,0,0")
-            expected.append((i, (start + timedelta(hours=i - i % 72)).date()))
+            expected.append((i, i, (start + timedelta(hours=i - i % 72)).date()))
         write(tmp_path / f"part-{part}.csv", HEADER, "\n".join(lines))
     spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
     try:
-        table = standardize(read_hourly_csv(spark, str(tmp_path)))
+        raw = read_hourly_csv(spark, str(tmp_path))
+        table = standardize(raw)
         if split_bytes == "200":
-            assert table.select("src_file", "src_start").distinct().count() > 50
-        assert [(r.eyeballs, r.date) for r in by_place(table)] == expected
+            assert raw.select("src_file", "src_start").distinct().count() > 50
+        assert [(r.row_no, r.eyeballs, r.date) for r in by_place(table)] == expected
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")

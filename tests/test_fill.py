@@ -22,19 +22,12 @@ def test_equals_a_sequential_fill(spark, block_rows, share):
     values = [f"v{i}" if rng.random() < share else None for i in range(500)]
     df = spark.createDataFrame(list(enumerate(values)), "id long, v string")
     df = shuffled(df.withColumn("block", F.floor(F.col("id") / block_rows)))
-    filled = forward_fill(df, "v", block=["block"], order=["id"])
+    filled = forward_fill(df, "v", block=["block"], order="id")
     assert filled.columns == ["id", "v", "block"]
     assert [r.v for r in filled.orderBy("id").collect()] == sequential(values)
 
 
 def test_value_crosses_empty_blocks(spark):
     df = spark.createDataFrame([(0, None), (1, "a"), (2, None), (3, None), (4, None), (5, "b")], "id long, v string")
-    filled = forward_fill(df.withColumn("block", F.col("id")), "v", block=["block"], order=["id"])
+    filled = forward_fill(df.withColumn("block", F.col("id")), "v", block=["block"], order="id")
     assert [r.v for r in filled.orderBy("id").collect()] == [None, "a", "a", "a", "a", "b"]
-
-
-def test_order_of_several_columns(spark):
-    rows = [(0, 0, "a"), (0, 1, None), (1, 0, None), (1, 1, "b"), (2, 0, None)]
-    df = shuffled(spark.createDataFrame(rows, "x int, y int, v string").withColumn("block", F.floor(F.col("x") / 2)))
-    filled = forward_fill(df, "v", block=["block"], order=["x", "y"])
-    assert [r.v for r in filled.orderBy("x", "y").collect()] == ["a", "a", "a", "b", "b"]
