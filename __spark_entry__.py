@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ridemetrics import job
 from ridemetrics.functions.clock import hour_timestamp, label_date
 from ridemetrics.operators.fill import forward_fill
 from ridemetrics.operators.frames import dense_index, order_rows, rolling_sum
@@ -56,17 +57,29 @@ def _hour_timestamp(spark, sf_dir):
     return facts.select("date", "hour", hour_timestamp(label_date(label, LABEL_FORMAT), "hour").alias("ts"))
 
 
-def _csv_ingest(spark, sf_dir):
-    """Facts written in the raw form, with a label on the first row of a date only, and read again."""
+def _raw_csv(spark, sf_dir):
+    """Facts written in the raw form, with a label on the first row of a date only."""
     first = F.row_number().over(Window.partitionBy("date").orderBy("ts")) == 1
     label = F.when(first, F.date_format("date", LABEL_FORMAT))
+    facts = hourly_facts(_events(spark, sf_dir)).withColumn("label", label).orderBy("ts")
+    raw = facts.select(*[F.col("label" if name == "Date" else column).alias(name) for name, column in RENAMES.items()])
     path = new_folder(spark, "raw-csv")
-    raw = hourly_facts(_events(spark, sf_dir)).withColumn("label", label).orderBy("ts")
-    names = {name: "label" if name == "Date" else column for name, column in RENAMES.items()}
-    raw.select(*[F.col(column).alias(name) for name, column in names.items()]).write.options(
-        header=True, ignoreTrailingWhiteSpace=False
-    ).csv(path)
-    return standardize(read_hourly_csv(spark, path)).select(*HOURLY)
+    raw.write.options(header=True, ignoreTrailingWhiteSpace=False).csv(path)
+    return path
+
+
+def _csv_ingest(spark, sf_dir):
+    return standardize(read_hourly_csv(spark, _raw_csv(spark, sf_dir))).select(*HOURLY)
+
+
+def _job_answer(question_id):
+    """The whole batch job for one question, from the raw CSV to the answer read back."""
+
+    def query(spark, sf_dir):
+        (path,) = job.run(spark, _raw_csv(spark, sf_dir), new_folder(spark, "answers"), question_id)
+        return spark.read.parquet(path)
+
+    return query
 
 
 def _sink_round_trip(spark, sf_dir):
@@ -117,6 +130,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hour_timestamp": _hour_timestamp,
         "csv_ingest": _csv_ingest,
         "sink_round_trip": _sink_round_trip,
+        "job_q3": _job_answer("3"),
+        "job_q6": _job_answer("6"),
         "events_rolling_8": _events_rolling(0, 7, "cents_in_8_rows"),
         "events_rolling_72": _events_rolling(-71, 0, "cents_in_72_rows"),
     }
@@ -208,6 +223,8 @@ _FACT_SQL = {
     "csv_ingest": "SELECT * FROM h",
     "sink_round_trip": "SELECT * FROM h",
 }
+_FACT_SQL["job_q3"] = _FACT_SQL["q3_peak_hour"]
+_FACT_SQL["job_q6"] = _FACT_SQL["q6_busiest_8h"]
 
 
 def oracle_sql() -> dict[str, str]:

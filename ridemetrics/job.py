@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
-from ridemetrics.operators.storage import clear, write_result
+from ridemetrics.operators.storage import scratch, write_result
 from ridemetrics.plans.questions import QUESTIONS, prepare
 from ridemetrics.sources.hourly_csv import read_hourly_csv, standardize
 
@@ -36,7 +36,7 @@ def parse_ids(text: str | None) -> list[int]:
 def run(spark: SparkSession, path: str, out: str, question_id: str | None = None) -> list[str]:
     """Answers the questions and returns the folders written."""
     ids = parse_ids(question_id)
-    try:
+    with scratch(spark):
         table = prepare(standardize(read_hourly_csv(spark, path)), ids)
 
         def answer(i):
@@ -46,8 +46,6 @@ def run(spark: SparkSession, path: str, out: str, question_id: str | None = None
         # The answers do not depend on each other; small last stages of one leave room for the next.
         with ThreadPoolExecutor(_AT_ONCE) as pool:
             return list(pool.map(inheritable_thread_target(spark)(answer), ids))
-    finally:
-        clear(spark)
 
 
 def main(argv: list[str] | None = None) -> None:

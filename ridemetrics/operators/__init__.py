@@ -1,15 +1,15 @@
 from ridemetrics.operators.fill import forward_fill
 from ridemetrics.operators.frames import dense_index, order_rows, rolling_sum, tumbling_day
-from ridemetrics.operators.storage import clear, store, write_result
+from ridemetrics.operators.storage import scratch, store, write_result
 from ridemetrics.operators.topk import bottom_rows, top_rows
 
 __all__ = [
     "bottom_rows",
-    "clear",
     "dense_index",
     "forward_fill",
     "order_rows",
     "rolling_sum",
+    "scratch",
     "store",
     "top_rows",
     "tumbling_day",

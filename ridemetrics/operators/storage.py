@@ -2,6 +2,8 @@
 
 import logging
 import tempfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 from pathlib import Path
 from uuid import uuid4
@@ -10,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
+_scope = ContextVar("scope", default="tables")
+
 
 @cache
 def _local_root() -> str:
@@ -17,13 +21,13 @@ def _local_root() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """This application's folder below ``spark.checkpoint.dir``; a temporary one on a local master only."""
+    """Folder of stored tables below ``spark.checkpoint.dir``; a temporary one on a local master only."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/ridemetrics/{spark.sparkContext.applicationId}"
+    return f"{root.rstrip('/')}/ridemetrics/{spark.sparkContext.applicationId}/{_scope.get()}"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -42,10 +46,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clear(spark: SparkSession) -> None:
-    """Deletes the tables stored by this application."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables stored by this thread inside the block are deleted at its end."""
+    token = _scope.set(f"scratch-{uuid4().hex}")
+    try:
+        yield
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _scope.reset(token)
 
 
 def write_result(df: DataFrame, base: str, folder: str, partition_by: list[str] | None = None) -> str:

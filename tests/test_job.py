@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from helpers import plain
 from ridemetrics import job
-from ridemetrics.operators.storage import shared_folder, write_result
+from ridemetrics.operators.storage import shared_folder, store, write_result
 from ridemetrics.plans.questions import QUESTIONS
 from ridemetrics.schema import RENAMES
 from ridemetrics.sources.events import hourly_facts
@@ -55,8 +55,12 @@ def test_answers_are_those_of_the_table(spark, raw_csv, tmp_path, ids):
 
 
 def test_stored_tables_are_removed(spark, raw_csv, tmp_path):
+    kept = store(spark.range(3), "kept")
+    folder = Path(shared_folder(spark).removeprefix("file:")).parent
+    before = set(folder.iterdir())
     job.run(spark, raw_csv, str(tmp_path), "6")
-    assert not Path(shared_folder(spark).removeprefix("file:")).exists()
+    assert set(folder.iterdir()) == before
+    assert kept.count() == 3
 
 
 def test_sink_overwrites_and_partitions(spark, tmp_path):
