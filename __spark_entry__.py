@@ -45,8 +45,8 @@ def _on_hours_from_five(answer):
 
 def _forward_fill(spark, sf_dir):
     label = F.when(F.col("event_id") % 24 == 0, F.to_date("ts")).alias("label")
-    # event_id is unique, so a block holds at most 2^20 rows.
-    rows = _events(spark, sf_dir).select("event_id", F.shiftright("event_id", 20).alias("block"), label)
+    # event_id is unique, so a block holds at most 2^18 rows.
+    rows = _events(spark, sf_dir).select("event_id", F.shiftright("event_id", 18).alias("block"), label)
     filled = forward_fill(rows, "label", block=["block"], order="event_id")
     return filled.select("event_id", F.date_format("label", LABEL_FORMAT).alias("label"))
 
