@@ -1,6 +1,7 @@
 import subprocess
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,12 @@ def test_stored_tables_are_removed(spark, raw_csv, tmp_path):
     assert kept.count() == 3
 
 
+def test_a_cluster_needs_a_shared_folder():
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(conf={}, sparkContext=context))
+
+
 def test_sink_overwrites_and_partitions(spark, tmp_path):
     df = spark.range(6).withColumn("k", F.col("id") % 2)
     write_result(df, str(tmp_path), "t")
