@@ -20,6 +20,13 @@ from ridemetrics.schema import HOURLY, LABEL_FORMAT, RENAMES
 from ridemetrics.sources.events import hourly_facts
 from ridemetrics.sources.hourly_csv import read_hourly_csv, standardize
 
+try:
+    from ridemetrics.llm.queries import ORACLE_SQL as _LLM_SQL, QUERIES as _LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if (missing.name or "") not in ("ridemetrics.llm", "ridemetrics.llm.queries", "corpus_pipeline"):
+        raise
+    _LLM_SQL, _LLM_QUERIES = {}, {}
+
 # The data begins at midnight; moved by these hours, the windows begin at another hour.
 _MOVED = 5
 
@@ -139,6 +146,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "job_q6": _job_answer("6"),
         "events_rolling_8": _events_rolling(0, 7, "cents_in_8_rows"),
         "events_rolling_72": _events_rolling(-71, 0, "cents_in_72_rows"),
+        **_LLM_QUERIES,
     }
 
 
@@ -240,6 +248,7 @@ _FACT_SQL["job_q6"] = _FACT_SQL["q6_busiest_8h"]
 def oracle_sql() -> dict[str, str]:
     cents = "CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) OVER (ORDER BY ts, event_id ROWS BETWEEN {}) AS BIGINT)"
     return {
+        **_LLM_SQL,
         **{key: _FACTS + sql for key, sql in _FACT_SQL.items()},
         "forward_fill": """
             SELECT event_id, last_value(CASE WHEN event_id % 24 = 0 THEN strftime(ts, '%d-%b-%y') END IGNORE NULLS)
