@@ -1,8 +1,9 @@
 """Shared helpers: stored tables, Arrow batches of texts, words."""
 
+from pathlib import Path
 from uuid import uuid4
 
-import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Text handled at a time inside a task.
@@ -31,8 +32,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package where it was not shipped with ``--py-files``."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns, ``doc_id`` long and ``text`` as UTF-8 bytes, null as empty; other columns go."""
+    make_importable(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
 
@@ -42,7 +49,7 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > limit:

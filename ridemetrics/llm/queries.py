@@ -2,19 +2,45 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ridemetrics.llm.decontaminate import contamination, find_test_passages
 from ridemetrics.llm.exact_dedup import exact_groups
+from ridemetrics.llm.secrets import scan_secrets
+from ridemetrics.llm.token_records import encode_to_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_secret_scan(spark, sf_dir):
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark, sf_dir):
+    found = find_test_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contamination(found)
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_token_records(spark, sf_dir):
+    _, index = encode_to_records(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return index.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
+    "op3_secret_scan": op3_secret_scan,
+    "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_token_records": op10_token_records,
 }
 
 ORACLE_SQL = {
