@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ridemetrics.llm.decontaminate import contamination, find_test_passages
 from ridemetrics.llm.exact_dedup import exact_groups
+from ridemetrics.llm.ngram_join import similarity_classes
 from ridemetrics.llm.secrets import scan_secrets
 from ridemetrics.llm.token_records import encode_to_records
 
@@ -18,6 +19,10 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_ngram_join(spark, sf_dir):
+    return similarity_classes(_table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark, sf_dir):
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ def op10_token_records(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_ngram_join": op2_ngram_join,
     "op3_secret_scan": op3_secret_scan,
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
