@@ -148,13 +148,16 @@ _ENTRY = "gram long, entry long, id long"
 
 
 def _entries(docs: DataFrame, shared, n: int, t) -> DataFrame:
-    """List entries: n-gram, set, and ``entry`` = part of the list, set size and words after it."""
+    """List entries: n-gram, set, and ``entry`` = part of the list, set size and n-grams after this one.
+
+    The list of a frequent n-gram is dealt into numbered parts; a list in one piece has part 0.
+    """
 
     def enter(batches):
         frequent, counts = shared.value
         rank = np.empty(len(frequent), np.int64)
         rank[np.lexsort((frequent, counts))] = np.arange(len(frequent))
-        parts = -(-counts // LIST_PART)
+        parts = np.minimum(-(-counts // LIST_PART), 0x7FFE)
         for batch in slices(batches):
             seen, columns = set(), ([], [], [])
             for text in batch.column("text").to_pylist():
@@ -175,7 +178,8 @@ def _entries(docs: DataFrame, shared, n: int, t) -> DataFrame:
                     late = at[is_frequent]
                     late = late[np.argsort(rank[late])]
                     if len(rare) < prefix:
-                        part[len(rare) :] = (number & 0xFFFFFFFF) % np.minimum(parts[late[: prefix - len(rare)]], 1 << 15)
+                        of = parts[late[: prefix - len(rare)]]
+                        part[len(rare) :] = np.where(of > 1, 1 + (number & 0xFFFFFFFF) % of, 0)
                     grams = np.concatenate((rare, frequent[late]))
                 columns[0].append(grams[:prefix].view(np.int64))
                 after = np.arange(size - 1, size - 1 - prefix, -1)
@@ -236,11 +240,11 @@ def _lists(entries: DataFrame, t) -> DataFrame:
             length = np.diff(np.r_[first, len(gram)])
             left, right = [], []
             for k in range(2, SHORT_LIST + 1):
-                starts = first[length == k]
+                starts = first[(length == k) & (entry[first] >> 48 == 0)]
                 i, j = np.triu_indices(k, 1)
                 left.append((starts[:, None] + i).ravel())
                 right.append((starts[:, None] + j).ravel())
-            long = length > SHORT_LIST
+            long = (length > SHORT_LIST) | (entry[first] >> 48 > 0)  # a part says nothing about the other parts
             is_long = np.repeat(long, length)
             for start, k in zip(first[long].tolist(), length[long].tolist()):
                 pivot = start + int(np.argmin(number[start : start + k]))
