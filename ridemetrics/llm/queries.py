@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ridemetrics.llm.decontaminate import contamination, find_test_passages
 from ridemetrics.llm.exact_dedup import exact_groups
 from ridemetrics.llm.ngram_join import similarity_classes
+from ridemetrics.llm.ppm import lm_scores
 from ridemetrics.llm.secrets import scan_secrets
 from ridemetrics.llm.token_records import encode_to_records
 
@@ -36,6 +37,10 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scores(spark, sf_dir):
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_records(spark, sf_dir):
     _, index = encode_to_records(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
     return index.select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -46,6 +51,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_lm_scores": op9_lm_scores,
     "op10_token_records": op10_token_records,
 }
 

@@ -1,0 +1,116 @@
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from ridemetrics.llm import ppm
+from ridemetrics.llm.ppm import lm_scores
+
+SCHEMA = "doc_id long, text string"
+
+
+def _held_out(doc_id):
+    return zlib.crc32(str("" if doc_id is None else doc_id).encode()) % 7 == 2
+
+
+def _base(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        if not _held_out(doc_id):
+            counts.update(brute.WORD.findall(brute.lower(text)))
+            counts["\n"] += 1
+    n, v = sum(counts.values()), len(counts)
+    out = []
+    for doc_id, text in rows:
+        tokens = brute.WORD.findall(brute.lower(text)) + ["\n"]
+        score = sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens)
+        out.append((doc_id, _held_out(doc_id), len(tokens), sum(counts[t] > 0 for t in tokens), n, score))
+    return out
+
+
+class _Trie:
+    """Byte by byte, with dictionaries and an explicit set of excluded bytes."""
+
+    def __init__(self, texts):
+        self.counts = defaultdict(Counter)
+        for text in texts:
+            data = [ppm.MARK] * ppm.ORDER + list(text) + [ppm.MARK]
+            for i in range(ppm.ORDER, len(data)):
+                for k in range(ppm.ORDER + 1):
+                    self.counts[tuple(data[i - k : i])][data[i]] += 1
+
+    def score(self, text):
+        data, total = [ppm.MARK] * ppm.ORDER + list(text) + [ppm.MARK], 0.0
+        for i in range(ppm.ORDER, len(data)):
+            excluded = set()
+            for k in range(ppm.ORDER, -1, -1):
+                seen = {b: c for b, c in self.counts.get(tuple(data[i - k : i]), {}).items() if b not in excluded}
+                if not seen:
+                    continue
+                n, d = sum(seen.values()), len(seen)
+                if data[i] in seen:
+                    total += math.log10(seen[data[i]] / (n + d))
+                    break
+                total += math.log10(d / (n + d))
+                excluded |= seen.keys()
+            else:
+                total -= math.log10(256 - len(excluded))
+        return total
+
+
+def _rows(seed):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(1, 6))) for _ in range(60)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(0, 40))) for _ in range(80)]
+    texts += ["", None, "\x00\x01 Z", "ABC abc", "日本", "x" * 5000]
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("common", [4, 1 << 17])
+def test_equals_plain_versions(spark, monkeypatch, common):
+    monkeypatch.setattr(ppm, "COMMON_WORDS", common)
+    rows = _rows(common)
+    got = {r.doc_id: r for r in lm_scores(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    trie = _Trie([(t or "").encode() for d, t in rows if not _held_out(d)])
+    assert len(got) == len(rows)
+    for (doc_id, held_out, n_tokens, n_known, n, base), (_, text) in zip(_base(rows), rows):
+        r = got[doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held_out, n_tokens, n_known, n)
+        assert r.base_score == pytest.approx(base)
+        assert r.score == pytest.approx(trie.score((text or "").encode()), rel=1e-5)
+
+
+@pytest.mark.parametrize("contexts", [2, 1 << 16])
+def test_probabilities_add_up(monkeypatch, contexts):
+    """Also when rarer contexts are coded from shorter ones."""
+    monkeypatch.setattr(ppm, "TRIE_CONTEXTS", contexts)
+    table = ppm.CodeTable(*np.unique(np.random.default_rng(1).integers(0, 1 << 32, 500), return_counts=True))
+    p = 10.0 ** -table.cost.astype(float)
+    unseen = 256 - (table.size - 1)
+    assert np.allclose(p[:, :-1].sum(1) + unseen * p[:, -1], 1, atol=1e-4)
+    assert table.row.max() == len(table.cost) - 1
+
+
+def test_better_than_uniform_on_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sizes = docs.select("doc_id", F.octet_length("text").alias("bytes"))
+    held = lm_scores(docs).filter("held_out").join(sizes, "doc_id")
+    bits = held.agg(-F.sum("score") / F.sum("bytes") / math.log10(2)).first()[0]
+    assert 1 < bits < 3.2
+
+
+def test_edges(spark):
+    assert lm_scores(spark.createDataFrame([], SCHEMA)).count() == 0
+    held = next(i for i in range(100) if _held_out(i))
+    row = lm_scores(spark.createDataFrame([(held, "a b")], SCHEMA)).first()
+    assert (row.n_known, row.train_tokens, row.base_score) == (0, 0, 0.0)
+    assert row.score == pytest.approx(-4 * math.log10(256))
+    rows = [(None, "a"), (1, "a"), (1, "a"), (2, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({"score": F.lit("x"), "word": F.lit(1), "key": F.lit(2)})
+    got = lm_scores(docs).collect()
+    assert sorted(r.n_tokens for r in got) == [1, 2, 2, 2]
