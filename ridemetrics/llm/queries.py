@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ridemetrics.llm.decontaminate import contamination, find_test_passages
 from ridemetrics.llm.exact_dedup import exact_groups
+from ridemetrics.llm.language_id import identify
 from ridemetrics.llm.ngram_join import similarity_classes
 from ridemetrics.llm.ppm import lm_scores
 from ridemetrics.llm.secrets import scan_secrets
@@ -28,6 +29,11 @@ def op3_secret_scan(spark, sf_dir):
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark, sf_dir):
+    found = identify(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "language_id.*")
+
+
 def op7_decontamination(spark, sf_dir):
     found = find_test_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return contamination(found)
@@ -49,6 +55,7 @@ def op10_token_records(spark, sf_dir):
 QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_secret_scan": op3_secret_scan,
+    "op5_language_id": op5_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm_scores": op9_lm_scores,

@@ -23,8 +23,10 @@ MASK_DELTA = 0xA282EAD8
 END_ID = 1
 # Bounds a file, which a reading task holds whole.
 RECORDS_PER_FILE = 8192
-# Distinct words whose token ids a task remembers.
-MEMO_WORDS = 500_000
+# Distinct words whose token ids a process remembers.
+MEMO_WORDS = 1_000_000
+# Words that are encoded as one text.
+ENCODED_TOGETHER = 256
 
 _HEAD = struct.Struct("<QI")
 _ID = struct.Struct("<?q")
@@ -56,34 +58,66 @@ def read_frame(content: bytes, offset: int) -> tuple[int | None, bytes, int]:
     return (doc_id if known else None), data[_ID.size :], end + 5
 
 
-@cache
-def _tokenizer(path: str):
-    """A process loads each vocabulary once."""
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 class _Encoder(dict):
     """Token bytes of a text, word by word.
 
-    The vocabulary's own splitting drops white space and never joins across it, so a text's ids
-    are those of its words in turn; a word met before is looked up. The memory is bounded.
+    The vocabulary's own splitting drops white space and never joins across it, ignores case, and
+    cuts between letters and punctuation, so a text's ids are those of its words in turn. A word
+    met before is looked up; the memory is bounded and kept between tasks.
     """
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
-        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
+        # Names of special tokens are the only words whose case matters.
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
         if len(self) > MEMO_WORDS:
             self.clear()
-        new = list(set().union(*split).difference(self))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self[word] = np.array(found.ids, self.dtype).tobytes()
+        found = [list(map(self.get, ws)) for ws in split]
+        new = [[i for i, ids in enumerate(parts) if ids is None] if None in parts else [] for parts in found]
+        self._learn({ws[i] for ws, places in zip(split, new) for i in places})
+        for ws, parts, places in zip(split, found, new):
+            for i in places:
+                parts[i] = self[ws[i]]
         end = np.array([END_ID], self.dtype).tobytes()
-        return [b"".join([*map(self.__getitem__, ws), end]) for ws in split]
+        return [b"".join([*parts, end]) for parts in found]
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Words of letters are encoded many at a time and cut at the tokens that end a word."""
+        stems = {w: w[:-1] for w in words if w[-1:] in (b".", b",") and w[:-1].decode().isalpha()}
+        words = (words - stems.keys()).union(stems.values(), (w[-1:] for w in stems)).difference(self)
+        plain = [w for w in words if w.decode().isalpha()]
+        odd = list(words.difference(plain))
+        groups = [plain[i : i + ENCODED_TOGETHER] for i in range(0, len(plain), ENCODED_TOGETHER)]
+        for group, found in zip(groups, self._ids([b" ".join(group) for group in groups])):
+            past = np.flatnonzero(self.ends_word[found]) + 1
+            if len(past) != len(group):  # a letter that the vocabulary rewrites
+                odd += group
+                continue
+            raw, size = found.tobytes(), found.itemsize
+            for word, a, b in zip(group, [0, *past.tolist()], past.tolist()):
+                self[word] = raw[a * size : b * size]
+        for word, found in zip(odd, self._ids(odd)):
+            self[word] = found.tobytes()
+        for word, stem in stems.items():
+            self[word] = self[stem] + self[word[-1:]]
+
+    def _ids(self, texts: list[bytes]):
+        encoded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return (np.array(e.ids, self.dtype) for e in encoded)
+
+
+@cache
+def _encoder(path: str) -> _Encoder:
+    """A process loads each vocabulary once."""
+    return _Encoder(path)
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -99,7 +133,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
-        encoder = _Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in slices(batches):
             encoded = encoder.encode(batch.column("text").to_pylist())
             frames = [frame(d, ids) for d, ids in zip(batch.column("doc_id").to_pylist(), encoded)]
@@ -179,7 +213,7 @@ def read_shuffled(spark: SparkSession, path: str, index: DataFrame, seed: int, t
 
 
 def token_bytes(tokenizer: str) -> int:
-    return np.dtype(_Encoder(tokenizer).dtype).itemsize
+    return np.dtype(_encoder(tokenizer).dtype).itemsize
 
 
 def encode_to_records(docs: DataFrame, tokenizer: str, path: str | None = None, **columns) -> tuple[str, DataFrame]:
