@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ridemetrics.llm.common import shared_folder
 from ridemetrics.llm.decontaminate import contamination, find_test_passages
 from ridemetrics.llm.exact_dedup import exact_groups
 from ridemetrics.llm.language_id import identify
@@ -9,6 +10,7 @@ from ridemetrics.llm.ngram_join import similarity_classes
 from ridemetrics.llm.ppm import lm_scores
 from ridemetrics.llm.secrets import scan_secrets
 from ridemetrics.llm.token_records import encode_to_records
+from ridemetrics.llm.warc import arc_to_warc, page_records, write_arc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,13 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark, sf_dir):
+    arc, warc = shared_folder(spark, "arc"), shared_folder(spark, "warc")
+    write_arc(_table(spark, sf_dir, "pages"), arc)
+    arc_to_warc(spark, arc, warc)
+    return page_records(spark, warc)
+
+
 def op2_ngram_join(spark, sf_dir):
     return similarity_classes(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +62,7 @@ def op10_token_records(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_ngram_join": op2_ngram_join,
     "op3_secret_scan": op3_secret_scan,
     "op5_language_id": op5_language_id,
@@ -63,6 +73,14 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, encode(COALESCE(html, '')) AS payload FROM pages),
+        f AS (SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest,
+                     MIN(page_id) OVER (PARTITION BY payload) AS first FROM p)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+        FROM f""",
     "op8_exact_dedup": """
         SELECT doc_id, MAX(doc_id) OVER t AS keep_id, COUNT(*) OVER t AS group_size,
                doc_id = MAX(doc_id) OVER t AS kept, sha256(COALESCE(text, '')) AS text_sha256
