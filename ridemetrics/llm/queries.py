@@ -1,6 +1,6 @@
 """Registered queries of the operators, each over its whole table."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ridemetrics.llm.common import shared_folder
 from ridemetrics.llm.decontaminate import contamination, find_test_passages
@@ -9,6 +9,7 @@ from ridemetrics.llm.language_id import identify
 from ridemetrics.llm.ngram_join import similarity_classes
 from ridemetrics.llm.ppm import lm_scores
 from ridemetrics.llm.secrets import scan_secrets
+from ridemetrics.llm.sentencepiece import encode_pieces
 from ridemetrics.llm.token_records import encode_to_records
 from ridemetrics.llm.warc import arc_to_warc, page_records, write_arc
 
@@ -38,6 +39,13 @@ def op3_secret_scan(spark, sf_dir):
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark, sf_dir):
+    found = encode_pieces(_table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id", F.size("pieces.ids").cast("long").alias("n_pieces"), "pieces.n_bytes", "pieces.ids_crc32", "pieces.round_trip"
+    )
+
+
 def op5_language_id(spark, sf_dir):
     found = identify(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "language_id.*")
@@ -65,6 +73,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_ngram_join": op2_ngram_join,
     "op3_secret_scan": op3_secret_scan,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_language_id": op5_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
