@@ -12,9 +12,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))  # also when loaded fro
 
 from ridemetrics import job
 from ridemetrics.functions.clock import hour_timestamp, hours, label_date
-from ridemetrics.operators.fill import forward_fill
+from ridemetrics.operators.fill import fill_ordered, forward_fill
 from ridemetrics.operators.frames import dense_index, order_rows, rolling_sum
-from ridemetrics.operators.storage import new_folder, store, write_result
+from ridemetrics.operators.storage import delete_folder, store, write_result
 from ridemetrics.plans import questions as q
 from ridemetrics.schema import HOURLY, LABEL_FORMAT, RENAMES
 from ridemetrics.sources.events import hourly_facts
@@ -30,11 +30,30 @@ except ModuleNotFoundError as missing:
 # The data begins at midnight; moved by these hours, the windows begin at another hour.
 _MOVED = 5
 
+# Small enough that the distributed branches do their work at the driver's scale factors.
+_PARTS = 8
+_BUCKET_ROWS = 1000
+_BLOCK_ROWS = 1 << 10
+_FILES = 4
+
+# Spreads ids over 61 bits, one to one, as the modulus is a prime.
+_SPREAD = 1_152_921_504_606_846_883
+_MODULUS = 2**61 - 1
+
 
 def _events(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def _folder(spark, key):
+    """Folder of the tables that query ``key`` stores. Its next call deletes them first, so read an
+    answer before asking again."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{root.rstrip('/')}/ridemetrics/{spark.sparkContext.applicationId}/{key}"
+    delete_folder(spark, folder)
+    return folder
+
+
 def _rounded(df, *names):
     return df.withColumns({name: F.round(name, 6) for name in names})
 
@@ -44,68 +63,125 @@ def _on_hours(answer, *doubles):
     return lambda spark, sf_dir: _rounded(answer(hourly_facts(_events(spark, sf_dir))), *doubles)
 
 
-def _on_stored_hours(answer, moved=0):
+def _on_prepared_hours(question_id, answer, key, *doubles, parts=None):
+    """As above, from the facts in time order."""
+
+    def query(spark, sf_dir):
+        table = q.prepare(hourly_facts(_events(spark, sf_dir)), [question_id], _folder(spark, key), parts=parts)
+        return _rounded(answer(table), *doubles)
+
+    return query
+
+
+def _on_stored_hours(answer, key, moved=0):
     """As above, stored, because the windows read their input twice; ``moved`` shifts all events in time."""
 
     def query(spark, sf_dir):
         events = _events(spark, sf_dir).withColumn("ts", F.col("ts") + hours(moved))
-        return answer(store(hourly_facts(events).select("ts", "completed_trips"), "hourly"))
+        return answer(store(hourly_facts(events).select("ts", "completed_trips"), _folder(spark, key), "hourly"))
 
     return query
 
 
-def _forward_fill(spark, sf_dir):
-    label = F.when(F.col("event_id") % 24 == 0, F.to_date("ts")).alias("label")
-    # event_id is unique, so a block holds at most 2^18 rows.
-    rows = _events(spark, sf_dir).select("event_id", F.shiftright("event_id", 18).alias("block"), label)
-    filled = forward_fill(rows, "label", block=["block"], order="event_id")
+_ACTIVITY = ["avg_eyeballs", "avg_drivers", "avg_requests", "activity_score"]
+
+
+def _labels(events):
+    return events.select("event_id", F.when(F.col("event_id") % 24 == 0, F.to_date("ts")).alias("label"))
+
+
+def _with_text_labels(filled):
     return filled.select("event_id", F.date_format("label", LABEL_FORMAT).alias("label"))
 
 
+def _forward_fill(bits):
+    def query(spark, sf_dir):
+        # event_id is unique and dense, so a block holds at most 2^bits rows.
+        rows = _labels(_events(spark, sf_dir)).withColumn("block", F.shiftright("event_id", bits))
+        return _with_text_labels(forward_fill(rows, "label", block=["block"], order="event_id"))
+
+    return query
+
+
+def _forward_fill_sparse_ids(spark, sf_dir):
+    """Filled in the order of a key that is spread over 61 bits, in blocks by position."""
+    spread = F.expr(f"CAST(CAST(event_id AS DECIMAL(38,0)) * {_SPREAD} % {_MODULUS} AS BIGINT)")
+    rows = _labels(_events(spark, sf_dir)).withColumn("place", spread)
+    ordered = order_rows(rows, ["place"], _folder(spark, "forward_fill_sparse_ids"), parts=_PARTS)
+    return _with_text_labels(fill_ordered(ordered, "label", _BLOCK_ROWS))
+
+
 def _hour_timestamp(spark, sf_dir):
     facts = hourly_facts(_events(spark, sf_dir))
     label = F.date_format("date", LABEL_FORMAT)
     return facts.select("date", "hour", hour_timestamp(label_date(label, LABEL_FORMAT), "hour").alias("ts"))
 
 
-def _raw_csv(spark, sf_dir):
-    """Facts written in the raw form, with a label on the first row of a date only."""
+def _raw_csv(spark, sf_dir, folder, forms=False):
+    """Facts written in the raw form in several files, with a label on the first row of a date only.
+
+    With ``forms`` the counters are large and numbers are spelled in ways that still mean a whole number.
+    """
     first = F.row_number().over(Window.partitionBy("date").orderBy("ts")) == 1
     label = F.when(first, F.date_format("date", LABEL_FORMAT))
-    facts = hourly_facts(_events(spark, sf_dir)).withColumn("label", label).orderBy("ts")
+    facts = hourly_facts(_events(spark, sf_dir)).withColumn("label", label)
+    facts = facts.repartitionByRange(_FILES, "ts").sortWithinPartitions("ts")
+    if forms:
+        facts = facts.withColumns(
+            {
+                "eyeballs": F.col("eyeballs") + F.lit(_LARGE),
+                "zeroes": F.format_string("%d.0", "zeroes"),
+                "requests": F.format_string("  %d ", "requests"),
+                "hour": F.when(F.col("hour") % 2 == 0, F.format_string("%02d", "hour")).otherwise(F.format_string("%d.0", "hour")),
+            }
+        )
     raw = facts.select(*[F.col("label" if name == "Date" else column).alias(name) for name, column in RENAMES.items()])
-    path = new_folder(spark, "raw-csv")
-    raw.write.options(header=True, ignoreTrailingWhiteSpace=False).csv(path)
+    path = f"{folder}/raw-csv"
+    raw.write.options(header=True, ignoreTrailingWhiteSpace=False, ignoreLeadingWhiteSpace=False).csv(path)
     return path
 
 
-def _csv_ingest(spark, sf_dir):
-    return standardize(read_hourly_csv(spark, _raw_csv(spark, sf_dir))).select(*HOURLY)
+# Above the range of 32-bit numbers.
+_LARGE = 3_000_000_000
+
+
+def _csv_ingest(key, forms=False, **options):
+    def query(spark, sf_dir):
+        folder = _folder(spark, key)
+        raw = read_hourly_csv(spark, _raw_csv(spark, sf_dir, folder, forms))
+        return standardize(raw, folder, **options).select(*HOURLY)
+
+    return query
 
 
 def _job_answer(question_id):
     """The whole batch job for one question, from the raw CSV to the answer read back."""
+    doubles = {4: ["percentage"], 5: ["weighted_average"], 7: ["correlation"], 8: ["ratio_72h"], 10: _ACTIVITY}
 
     def query(spark, sf_dir):
-        (path,) = job.run(spark, _raw_csv(spark, sf_dir), new_folder(spark, "answers"), question_id)
-        return spark.read.parquet(path)
+        folder = _folder(spark, f"job_q{question_id}")
+        raw = _raw_csv(spark, sf_dir, folder)
+        (path,) = job.run(spark, raw, f"{folder}/answers", str(question_id), scratch_root=folder)
+        return _rounded(spark.read.parquet(path), *doubles.get(question_id, []))
 
     return query
 
 
 def _sink_round_trip(spark, sf_dir):
+    """Partitioned by a few dates a file each; a date is a few rows of facts."""
     facts = hourly_facts(_events(spark, sf_dir))
-    path = write_result(facts.repartition("date"), new_folder(spark, "sink"), "facts", ["date"])
+    path = write_result(facts.repartition("date"), _folder(spark, "sink_round_trip"), "facts", ["date"])
     return spark.read.schema(facts.schema).parquet(path).select(*HOURLY)
 
 
-def _events_rolling(first, last, name):
+def _events_rolling(first, last, name, key, parts=None, bucket_rows=None):
     """Row-level frames over all events, in cents so that sums are exact."""
 
     def query(spark, sf_dir):
         cents = F.round(F.col("value") * 100).cast("long").alias("cents")
-        ordered = order_rows(_events(spark, sf_dir).select("ts", "event_id", cents), ["ts", "event_id"], drop=["ts"])
-        return rolling_sum(dense_index(ordered), "cents", first, last, name).select("event_id", name)
+        rows = _events(spark, sf_dir).select("ts", "event_id", cents)
+        ordered = order_rows(rows, ["ts", "event_id"], _folder(spark, key), drop=["ts"], parts=parts)
+        return rolling_sum(dense_index(ordered), "cents", first, last, name, bucket_rows).select("event_id", name)
 
     return query
 
@@ -116,36 +192,42 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    activity = ["avg_eyeballs", "avg_drivers", "avg_requests", "activity_score"]
     return {
         "hourly_facts": _on_hours(lambda h: h),
         "q1_totals": _on_hours(q.trips_by_date),
         "q1_peak_date": _on_hours(q.q1),
-        "q2_totals_24h": _on_stored_hours(q.trips_by_24h),
-        "q2_peak_24h": _on_stored_hours(q.q2),
-        "q2_totals_24h_moved": _on_stored_hours(q.trips_by_24h, _MOVED),
+        "q2_totals_24h": _on_stored_hours(q.trips_by_24h, "q2_totals_24h"),
+        "q2_peak_24h": _on_stored_hours(q.q2, "q2_peak_24h"),
+        "q2_totals_24h_moved": _on_stored_hours(q.trips_by_24h, "q2_totals_24h_moved", _MOVED),
         "q3_totals": _on_hours(q.requests_by_hour),
         "q3_peak_hour": _on_hours(q.q3),
         "q4_weekend_share": _on_hours(q.q4, "percentage"),
         "q5_hourly": _on_hours(q.trips_per_driver_by_hour, "weight"),
         "q5_weighted_ratio": _on_hours(q.q5, "weighted_average"),
-        "q6_rolling_8": _on_hours(q.requests_in_8h),
-        "q6_busiest_8h": _on_hours(q.q6),
+        "q6_rolling_8": _on_prepared_hours(6, q.requests_in_8h, "q6_rolling_8"),
+        "q6_busiest_8h": _on_prepared_hours(6, q.q6, "q6_busiest_8h"),
         "q7_supply_follows_demand": _on_hours(q.q7, "correlation"),
-        "q8_rolling_72": _on_hours(q.ratio_72h, "ratio_72h"),
-        "q8_peak_72h": _on_hours(q.q8, "ratio_72h"),
+        "q8_rolling_72": _on_prepared_hours(8, q.ratio_72h, "q8_rolling_72", "ratio_72h"),
+        "q8_peak_72h": _on_prepared_hours(8, q.q8, "q8_peak_72h", "ratio_72h", parts=_PARTS),
         "q9_totals": _on_hours(q.unmet_demand_by_hour),
         "q9_add_drivers_hour": _on_hours(q.q9),
-        "q10_hourly": _on_hours(q.activity_by_hour, *activity),
-        "q10_end_of_day": _on_hours(q.q10, *activity),
-        "forward_fill": _forward_fill,
+        "q10_hourly": _on_hours(q.activity_by_hour, *_ACTIVITY),
+        "q10_end_of_day": _on_hours(q.q10, *_ACTIVITY),
+        "forward_fill": _forward_fill(18),
+        "forward_fill_blocks": _forward_fill(10),
+        "forward_fill_sparse_ids": _forward_fill_sparse_ids,
         "hour_timestamp": _hour_timestamp,
-        "csv_ingest": _csv_ingest,
+        "csv_ingest": _csv_ingest("csv_ingest"),
+        "csv_ingest_files": _csv_ingest("csv_ingest_files", block_rows=64),
+        "csv_ingest_forms": _csv_ingest("csv_ingest_forms", forms=True),
         "sink_round_trip": _sink_round_trip,
-        "job_q3": _job_answer("3"),
-        "job_q6": _job_answer("6"),
-        "events_rolling_8": _events_rolling(0, 7, "cents_in_8_rows"),
-        "events_rolling_72": _events_rolling(-71, 0, "cents_in_72_rows"),
+        **{f"job_q{i}": _job_answer(i) for i in q.QUESTIONS},
+        "events_rolling_8": _events_rolling(0, 7, "cents_in_8_rows", "events_rolling_8"),
+        "events_rolling_72": _events_rolling(-71, 0, "cents_in_72_rows", "events_rolling_72"),
+        "events_rolling_8_parts": _events_rolling(0, 7, "cents_in_8_rows", "events_rolling_8_parts", _PARTS, _BUCKET_ROWS),
+        "events_rolling_72_parts": _events_rolling(
+            -71, 0, "cents_in_72_rows", "events_rolling_72_parts", _PARTS, _BUCKET_ROWS
+        ),
         **_LLM_QUERIES,
     }
 
@@ -171,8 +253,8 @@ r8 AS (
   SELECT ts, CAST(SUM(requests) OVER (ORDER BY ts ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS BIGINT) AS requests_in_8h
   FROM h),
 r72 AS (
-  SELECT ts, ROUND(SUM(CAST(zeroes AS DOUBLE) / NULLIF(CAST(eyeballs AS DOUBLE), 0))
-                   OVER (ORDER BY ts ROWS BETWEEN 71 PRECEDING AND CURRENT ROW), 6) AS ratio_72h
+  SELECT ts, SUM(CAST(zeroes AS DOUBLE) / NULLIF(CAST(eyeballs AS DOUBLE), 0))
+             OVER (ORDER BY ts ROWS BETWEEN 71 PRECEDING AND CURRENT ROW) AS exact
   FROM h),
 hr AS (
   SELECT hour, CAST(SUM(completed_trips) AS BIGINT) AS completed_trips_per_hour,
@@ -229,33 +311,43 @@ _FACT_SQL = {
         SELECT ROUND(CORR(CAST(requests AS DOUBLE), CAST(drivers AS DOUBLE)), 6) AS correlation,
                CORR(CAST(requests AS DOUBLE), CAST(drivers AS DOUBLE)) > 0.3 AS answer
         FROM h""",
-    "q8_rolling_72": "SELECT * FROM r72",
+    "q8_rolling_72": "SELECT ts, ROUND(exact, 6) AS ratio_72h FROM r72",
     "q8_peak_72h": """
-        SELECT ts - INTERVAL '72' HOUR AS start_time, ts AS end_time, ratio_72h
-        FROM r72 ORDER BY 3 DESC NULLS LAST, 2 LIMIT 1""",
+        SELECT ts - INTERVAL '72' HOUR AS start_time, ts AS end_time, ROUND(exact, 6) AS ratio_72h
+        FROM r72 ORDER BY exact DESC NULLS LAST, 2 LIMIT 1""",
     "q9_totals": _Q9,
     "q9_add_drivers_hour": _Q9 + _TOP,
     "q10_hourly": _Q10,
-    "q10_end_of_day": _Q10 + " ORDER BY 5 NULLS LAST, 1 NULLS LAST LIMIT 1",
+    "q10_end_of_day": _Q10 + " ORDER BY ae + ad + ar NULLS LAST, 1 NULLS LAST LIMIT 1",
     "hour_timestamp": "SELECT date, hour, ts FROM h",
     "csv_ingest": "SELECT * FROM h",
     "sink_round_trip": "SELECT * FROM h",
 }
-_FACT_SQL["job_q3"] = _FACT_SQL["q3_peak_hour"]
-_FACT_SQL["job_q6"] = _FACT_SQL["q6_busiest_8h"]
+_FACT_SQL["csv_ingest_files"] = _FACT_SQL["csv_ingest"]
+_FACT_SQL["csv_ingest_forms"] = f"SELECT * REPLACE (eyeballs + {_LARGE} AS eyeballs) FROM h"
+_ANSWERS = [
+    "q1_peak_date", "q2_peak_24h", "q3_peak_hour", "q4_weekend_share", "q5_weighted_ratio", "q6_busiest_8h",
+    "q7_supply_follows_demand", "q8_peak_72h", "q9_add_drivers_hour", "q10_end_of_day",
+]
+_FACT_SQL |= {f"job_q{i}": _FACT_SQL[key] for i, key in enumerate(_ANSWERS, 1)}
 
 
 def oracle_sql() -> dict[str, str]:
     cents = "CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) OVER (ORDER BY ts, event_id ROWS BETWEEN {}) AS BIGINT)"
+    rolling_8 = f"SELECT event_id, {cents.format('CURRENT ROW AND 7 FOLLOWING')} AS cents_in_8_rows FROM events"
+    rolling_72 = f"SELECT event_id, {cents.format('71 PRECEDING AND CURRENT ROW')} AS cents_in_72_rows FROM events"
+    fill = """
+        SELECT event_id, last_value(CASE WHEN event_id % 24 = 0 THEN strftime(ts, '%d-%b-%y') END IGNORE NULLS)
+               OVER (ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS label
+        FROM events"""
     return {
         **_LLM_SQL,
         **{key: _FACTS + sql for key, sql in _FACT_SQL.items()},
-        "forward_fill": """
-            SELECT event_id, last_value(CASE WHEN event_id % 24 = 0 THEN strftime(ts, '%d-%b-%y') END IGNORE NULLS)
-                   OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS label
-            FROM events""",
-        "events_rolling_8": f"""
-            SELECT event_id, {cents.format("CURRENT ROW AND 7 FOLLOWING")} AS cents_in_8_rows FROM events""",
-        "events_rolling_72": f"""
-            SELECT event_id, {cents.format("71 PRECEDING AND CURRENT ROW")} AS cents_in_72_rows FROM events""",
+        "forward_fill": fill.format("event_id"),
+        "forward_fill_blocks": fill.format("event_id"),
+        "forward_fill_sparse_ids": fill.format(f"CAST(event_id AS HUGEINT) * {_SPREAD} % {_MODULUS}"),
+        "events_rolling_8": rolling_8,
+        "events_rolling_72": rolling_72,
+        "events_rolling_8_parts": rolling_8,
+        "events_rolling_72_parts": rolling_72,
     }

@@ -26,6 +26,6 @@ def hour_timestamp(day, hour) -> Column:
 
 
 def is_weekend(ts) -> Column:
-    """Friday from 17:00 to Sunday 03:59. In Spark Sunday is day 1 and Saturday day 7."""
+    """Friday from 17:00 to Sunday 03:59. In Spark Sunday is day 1 and Saturday day 7."""
     day, hour = F.dayofweek(ts), F.hour(ts)
     return ((day == 6) & (hour >= 17)) | (day == 7) | ((day == 1) & (hour <= 3))

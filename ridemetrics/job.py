@@ -33,11 +33,21 @@ def parse_ids(text: str | None) -> list[int]:
     return ids
 
 
-def run(spark: SparkSession, path: str, out: str, question_id: str | None = None) -> list[str]:
-    """Answers the questions and returns the folders written."""
+def run(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    question_id: str | None = None,
+    scratch_root: str | None = None,
+    unreadable: str = "raise",
+) -> list[str]:
+    """Answers the questions and returns the folders written.
+
+    Stored tables go below ``scratch_root`` or ``spark.checkpoint.dir`` and are deleted at the end.
+    """
     ids = parse_ids(question_id)
-    with scratch(spark):
-        table = prepare(standardize(read_hourly_csv(spark, path)), ids)
+    with scratch(spark, scratch_root) as folder:
+        table = prepare(standardize(read_hourly_csv(spark, path), folder, unreadable), ids, folder)
 
         def answer(i):
             log.info("question %d", i)
@@ -53,12 +63,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--question-id", default=None, help="comma list of 1 to 10; all when left out")
     parser.add_argument("--path", required=True, help="hourly CSV, a file or a folder")
     parser.add_argument("--out", required=True, help="folder of the answers, any Hadoop file system")
+    parser.add_argument("--scratch", default=None, help="shared folder of stored tables, else spark.checkpoint.dir")
+    parser.add_argument("--unreadable", choices=["raise", "null"], default="raise", help="text that is no number or date")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     parse_ids(args.question_id)
     spark = session()
     try:
-        run(spark, args.path, args.out, args.question_id)
+        run(spark, args.path, args.out, args.question_id, args.scratch, args.unreadable)
     finally:
         spark.stop()
 

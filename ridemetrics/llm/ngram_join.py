@@ -14,16 +14,19 @@ of clusters, cut into blocks of size and position ranges, and blocks are skipped
 where neither decides are members compared one by one. So the classes are exact, and a class of
 near copies costs about as many comparisons as it has members.
 
-Equal sets count once throughout. Sets are compared on the texts, which are smaller than their
-hashes and are fetched only for sets that share a list with another.
+Equal sets count once throughout. A bitmap of each set rules out most other pairs. What is left is
+compared on the texts, which are smaller than their hashes and are fetched only for sets that share
+a list with another.
 """
 
+import re
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.llm.common import id_and_text, partitions, slices, store
+from ridemetrics.llm.common import SLICE_BYTES, id_and_text, partitions, slices, store
 from ridemetrics.llm.components import connected_components
 
 N = 4
@@ -38,45 +41,108 @@ COUNTED_TOGETHER = 4_000_000
 SHORT_LIST = 8
 # Sets that one part of a frequent n-gram's list holds.
 LIST_PART = 2000
-# Words whose hash a task remembers.
-MEMO_WORDS = 500_000
+# Size of a set's bitmap; sets whose bitmaps differ in too many bits cannot link.
+SKETCH_BITS = 1024
 # Slack for distances held as doubles.
 EPSILON = 1e-9
 
 _U = np.uint64
+_SPACE = re.compile(rb"[\x09-\x0d ]")
+_SPACES = np.array([9 <= b <= 13 or b == 32 for b in range(256)])
 _FACTORS = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-class _WordHashes(dict):
-    def __missing__(self, word):
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_hashes = _WordHashes()
-
-
 def _mixed(x):
     x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
     x = (x ^ (x >> _U(29))) * _U(0x9E3779B97F4A7C15)
     return x ^ (x >> _U(32))
 
 
-def ngram_set(text: bytes, n: int = N) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word n-grams; a shorter text is one n-gram, if it has words.
+@cache
+def _powers(size: int):
+    """Powers of an odd base and of its inverse, and a random number per byte."""
+    base = 0x9E3779B97F4A7C15 | 1
+    up = np.full(size, base, _U)
+    down = np.full(size, pow(base, -1, 1 << 64), _U)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down), np.random.default_rng(7).integers(1, 1 << 63, 256, _U)
+
+
+def _word_hashes(raw: np.ndarray):
+    """64-bit hash and first byte of each word in ``raw``, from prefix sums of a polynomial."""
+    space = _SPACES[raw]
+    edge = np.flatnonzero(np.diff(np.r_[True, space, True].view(np.int8)))
+    starts, ends = edge[::2], edge[1::2]
+    up, down, random = _powers(1 << max(22, int(len(raw)).bit_length()))
+    sums = np.zeros(len(raw) + 1, _U)
+    np.cumsum(random[raw] * up[: len(raw)], out=sums[1:])
+    return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U)), starts
+
+
+def _pieces(text: bytes):
+    """A long text in pieces that end at white space."""
+    start = 0
+    while len(text) - start > SLICE_BYTES:
+        cut = _SPACE.search(text, start + SLICE_BYTES)
+        stop = cut.end() if cut else len(text)
+        yield text[start:stop]
+        start = stop
+    yield text[start:]
+
+
+def ngram_sets(texts: list[bytes], n: int = N):
+    """Per text its sorted distinct 64-bit hashes of word n-grams; a shorter text with words is one n-gram.
 
     Words are runs of bytes other than white space (9 to 13 and 32), A-Z in lower case.
     """
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, _U)
-    found = np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
-    grams = np.full(max(1, len(found) - n + 1), _U(min(n, len(found))))
-    for k in range(min(n, len(found))):
-        grams = _mixed(grams) * _FACTORS[k % 4] + found[k : k + len(grams)]
-    return np.unique(_mixed(grams))
+    group, held = [], 0
+    for text in texts:
+        if len(text) > SLICE_BYTES:
+            yield from _sets_of(group, n)
+            group, held = [], 0
+            yield _set_of(np.concatenate([_word_hashes(np.frombuffer(p.lower(), np.uint8))[0] for p in _pieces(text)]), n)
+            continue
+        if held + len(text) > SLICE_BYTES:
+            yield from _sets_of(group, n)
+            group, held = [], 0
+        group.append(text)
+        held += len(text)
+    yield from _sets_of(group, n)
+
+
+def _sets_of(texts, n):
+    if not texts:
+        return
+    hashes, starts = _word_hashes(np.frombuffer(b"\n".join(texts).lower(), np.uint8))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    bounds = np.r_[0, np.searchsorted(starts, ends)].tolist()
+    grams = _grams(hashes, n)  # some reach from one text into the next
+    for first, past in zip(bounds, bounds[1:]):
+        yield _distinct(grams[first : past - n + 1]) if past - first >= n else _set_of(hashes[first:past], n)
+
+
+def _grams(words, k):
+    """Hash of each run of ``k`` words."""
+    total = np.full(max(0, len(words) - k + 1), _U(k))
+    for i in range(k):
+        total += words[i : i + len(total)] * _FACTORS[i % 4] ** _U(1 + i // 4)
+    return _mixed(total)
+
+
+def _distinct(grams):
+    grams = np.sort(grams)
+    return grams[np.r_[True, grams[1:] != grams[:-1]]]
+
+
+def _set_of(words: np.ndarray, n: int) -> np.ndarray:
+    return _distinct(_grams(words, min(n, len(words)))) if len(words) else words
+
+
+def _sketch(grams: np.ndarray) -> bytes:
+    """SKETCH_BITS bits, each set if an n-gram falls on it."""
+    bits = np.zeros(SKETCH_BITS, bool)
+    bits[(grams >> _U(40)).astype(np.int64) % SKETCH_BITS] = True
+    return np.packbits(bits).tobytes()
 
 
 def _digest(grams):
@@ -92,7 +158,7 @@ def least_overlap(n: int, t=SIMILARITY) -> int:
 
 # --- pass 1: sets and frequent n-grams -----------------------------------------------------------
 
-_PROFILE = "doc_id long, tie long, n long, id long, check long, gram long, count long"
+_PROFILE = "doc_id long, tie long, n long, id long, check long, sketch array<long>, gram long, count long"
 
 
 def _profiles(docs: DataFrame, n: int) -> DataFrame:
@@ -106,22 +172,25 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
             common = counts >= max(3, len(held) / FREQUENT)
             held.clear()
             seen.clear()
-            columns = [pa.nulls(common.sum(), pa.int64()) for _ in range(5)]
+            columns = [pa.nulls(common.sum(), pa.list_(pa.int64()) if c == "sketch" else pa.int64()) for c in names[:6]]
             columns += [pa.array(grams[common].view(np.int64)), pa.array(counts[common])]
             return pa.RecordBatch.from_arrays(columns, names)
 
         names = [c.split()[0] for c in _PROFILE.split(", ")]
         waiting = 0
         for batch in slices(batches):
-            rows = []
-            for text in batch.column("text").to_pylist():
-                grams = ngram_set(text, n)
+            rows, sketches = [], []
+            for grams in ngram_sets(batch.column("text").to_pylist(), n):
                 rows.append((len(grams), *_digest(grams)))
+                sketches.append(_sketch(grams))
                 if rows[-1][1] not in seen:
                     seen.add(rows[-1][1])
                     held.append(grams)
                     waiting += len(grams)
             columns = [batch.column("doc_id"), batch.column("tie"), *(pa.array(c, pa.int64()) for c in zip(*rows))]
+            longs = SKETCH_BITS // 64
+            offsets = np.arange(0, (len(rows) + 1) * longs, longs, dtype=np.int32)
+            columns.append(pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(sketches), np.int64)))
             columns += [pa.nulls(len(rows), pa.int64())] * 2
             yield pa.RecordBatch.from_arrays(columns, names)
             if waiting >= COUNTED_TOGETHER:
@@ -160,8 +229,7 @@ def _entries(docs: DataFrame, shared, n: int, t) -> DataFrame:
         parts = np.minimum(-(-counts // LIST_PART), 0x7FFE)
         for batch in slices(batches):
             seen, columns = set(), ([], [], [])
-            for text in batch.column("text").to_pylist():
-                grams = ngram_set(text, n)
+            for grams in ngram_sets(batch.column("text").to_pylist(), n):
                 size = len(grams)
                 if size * t[1] < (size + 1) * t[0]:
                     continue  # too small to link with a different set
@@ -276,18 +344,19 @@ def _compare(pairs: DataFrame, texts: DataFrame, n: int, t) -> DataFrame:
     """``pairs`` with their exact answer and Jaccard distance."""
 
     def compare(batches):
-        last = (None, None)
         for batch in slices(slices(batches, "text_a"), "text_b"):
             linked, distance = [], []
-            for one, two in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-                x = ngram_set(one, n)
-                if two != last[0]:
-                    last = (two, ngram_set(two, n))
-                shared = np.intersect1d(x, last[1], assume_unique=True).size
-                union = len(x) + len(last[1]) - shared
+            two = batch.column("text_b").to_pylist()
+            # Rows of one b stand together; its set is made once.
+            new = [i == 0 or two[i] != two[i - 1] for i in range(len(two))]
+            others = ngram_sets([t for t, x in zip(two, new) if x], n)
+            for x, is_new in zip(ngram_sets(batch.column("text_a").to_pylist(), n), new):
+                y = next(others) if is_new else y
+                shared = np.intersect1d(x, y, assume_unique=True).size
+                union = len(x) + len(y) - shared
                 linked.append(shared * t[1] >= union * t[0])
                 distance.append(1 - shared / union)
-            columns = [batch.column("a"), batch.column("b"), pa.array(linked), pa.array(distance)]
+            columns = [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(distance, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "linked", "distance"])
 
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -295,6 +364,20 @@ def _compare(pairs: DataFrame, texts: DataFrame, n: int, t) -> DataFrame:
     return store(pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(compare, _COMPARED), "compared")
 
 
+def _plausible(pairs: DataFrame, sets: DataFrame, t, slack=0.0) -> DataFrame:
+    """Pairs whose bitmaps allow a Jaccard distance of up to the limit plus ``slack``.
+
+    Each differing bit is an n-gram that only one of the sets has, so the bits bound the distance.
+    """
+    one = sets.select(F.col("id").alias("a"), F.col("n").alias("_n_a"), F.col("sketch").alias("_s_a"))
+    two = sets.select(F.col("id").alias("b"), F.col("n").alias("_n_b"), F.col("sketch").alias("_s_b"))
+    bits = F.zip_with("_s_a", "_s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    joined = pairs.join(one, "a").join(two, "b").withColumn("_differ", differ)
+    least = 2 * F.col("_differ") / (F.col("_n_a") + F.col("_n_b") + F.col("_differ"))
+    return joined.filter(least <= 1 - t[0] / t[1] + EPSILON + slack).select(*pairs.columns)
+
+
 _CLUSTER_PAIRS = "a long, b long, radius_a double, radius_b double"
 
 
@@ -345,6 +428,7 @@ def _set_classes(docs: DataFrame, sets: DataFrame, shared, n: int, t) -> DataFra
     """``id, class`` for every set that links with a different one."""
     lists = store(_lists(_entries(docs, shared, n, t), t), "lists")
     pairs = lists.filter(F.col("b").isNotNull()).select("a", "b").distinct()
+    pairs = store(_plausible(pairs, sets, t), "pairs")
     long = lists.filter(F.col("b").isNull()).select(F.col("a").alias("id"), "gram", "entry")
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(long.select("id")).distinct()
     wanted = sets.join(needed, "id").select("id", F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"))
@@ -366,7 +450,8 @@ def _set_classes(docs: DataFrame, sets: DataFrame, shared, n: int, t) -> DataFra
     blocks = members.groupBy("gram", "center", "class").agg(
         F.min(size).alias("small"), F.max(size).alias("large"), F.max(after).alias("after"), F.max("d").alias("radius")
     )
-    apart = store(_cluster_pairs(blocks, t), "cluster-pairs")
+    apart = _plausible(_cluster_pairs(blocks, t), sets, t, F.col("radius_a") + F.col("radius_b"))
+    apart = store(apart, "cluster-pairs")
     second = _compare(apart, texts, n, t).join(apart, ["a", "b"])
     reach = 1 - t[0] / t[1] + EPSILON
     links = links.select("a", "b").unionByName(second.filter("linked").select("a", "b"))
@@ -395,6 +480,7 @@ def _between(near: DataFrame, centers: DataFrame, sets: DataFrame, texts: DataFr
         & (F.col("n_b") * t[1] >= F.col("n_a") * t[0])
     )
     ends = pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    ends = _plausible(ends, sets, t)
     return _compare(ends, texts, n, t).filter("linked").select("a", "b")
 
 
@@ -415,9 +501,9 @@ def similarity_classes(
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
     profiles = store(_profiles(rows, n), "profiles")
-    documents = profiles.filter(F.col("gram").isNull()).select("doc_id", "tie", "n", "id", "check")
+    documents = profiles.filter(F.col("gram").isNull())
     of_set = documents.filter("n > 0").groupBy("id").agg(
-        F.min(F.struct("doc_id", "tie")).alias("first"),
+        F.min(F.struct("doc_id", "tie", "sketch")).alias("first"),
         F.min(F.struct("n", "check")).alias("low"),
         F.max(F.struct("n", "check")).alias("high"),
     )
@@ -429,7 +515,7 @@ def similarity_classes(
     shared = spark.sparkContext.broadcast(_frequent(profiles, sets.count()))
     classes = _set_classes(rows, sets, shared, n, similarity)
 
-    grouped = _with_class(documents, classes, "id", "class")
+    grouped = _with_class(documents.select("doc_id", "n", "id"), classes, "id", "class")
     least = store(
         grouped.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least")), "components"
     )

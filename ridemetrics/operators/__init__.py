@@ -1,12 +1,14 @@
-from ridemetrics.operators.fill import forward_fill
+from ridemetrics.operators.fill import fill_ordered, forward_fill
 from ridemetrics.operators.frames import dense_index, order_rows, rolling_sum, tumbling_day
-from ridemetrics.operators.storage import scratch, store, write_result
+from ridemetrics.operators.storage import new_folder, scratch, store, write_result
 from ridemetrics.operators.topk import bottom_rows, top_rows
 
 __all__ = [
     "bottom_rows",
     "dense_index",
+    "fill_ordered",
     "forward_fill",
+    "new_folder",
     "order_rows",
     "rolling_sum",
     "scratch",

@@ -2,6 +2,9 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+# Rows that are filled together.
+BLOCK_ROWS = 1 << 18
+
 
 def last_before(column: str, block: list[str]):
     """Last non-null ``column`` of the blocks before; over a table of one row per block."""
@@ -43,11 +46,22 @@ def spread(df: DataFrame, seeds: DataFrame, columns: list[str], gather: list[str
 def forward_fill(df: DataFrame, column: str, block: list[str], order: str) -> DataFrame:
     """Replaces nulls in ``column`` by the last value before them; leading nulls stay.
 
-    ``order`` is unique. ``block`` columns ascend with it and cut the rows into pieces of bounded
-    size, such as ranges of a unique key. Each block is filled on its own, from a seed that holds
+    ``order`` is unique within a block. ``block`` columns ascend with it and cut the rows into pieces
+    of bounded size; for ranges of a key it must be unique and dense, otherwise see ``fill_ordered``.
+    Each block is filled on its own, from a seed that holds
     what the blocks before it left; only the table of blocks, one row per block, is ordered as a
     whole. ``df`` is read twice. Fixed-width values are cheapest: strings sort where they could hash.
     """
     blocks = df.groupBy(*block).agg(last_value(column, order).alias("_tail"), F.min(order).alias(order))
     seeds = blocks.select(*block, order, last_before("_tail", block).alias(column))
     return spread(df, seeds, [column], block, order)
+
+
+def fill_ordered(ordered: DataFrame, column: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``forward_fill`` of a table from ``order_rows``, whatever the values of its order.
+
+    Blocks are cut by position, so none holds more than ``block_rows`` rows and there are no more
+    blocks than that calls for, however the keys are spread.
+    """
+    rows = ordered.withColumn("_block", F.expr(f"_pos div {block_rows}L"))
+    return forward_fill(rows, column, ["_part", "_block"], "_pos").drop("_block")

@@ -1,23 +1,31 @@
 """Row frames over one global order, and offset day windows, without a single-task window."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ridemetrics.functions.clock import hours, midnight
 from ridemetrics.operators.storage import store
 
 PLACE = ["_part", "_pos"]
+BUCKET_ROWS = 65536
 
 
-def order_rows(df: DataFrame, order_by: list[str], drop: list[str] = ()) -> DataFrame:
-    """``df`` stored in global order; ``_part`` and ``_pos`` give each row's place.
+def order_rows(
+    df: DataFrame, order_by: list[str], folder: str, drop: list[str] = (), parts: int | None = None
+) -> DataFrame:
+    """``df`` stored in global order below ``folder``; ``_part`` and ``_pos`` give each row's place.
 
-    Spark's range sort picks its cuts from a sample, so the parts hold about equal numbers of rows
-    whatever the data: with a unique ``order_by`` even a value shared by most rows is cut. The
-    cuts may differ from run to run, which is why the order is stored before it is counted.
-    ``drop`` names columns that only serve the order.
+    Runs now: the sort picks its cuts from a sample and they may differ from run to run, which is why
+    the order is stored before it is counted. ``order_by`` must be unique, or ties fall either way;
+    with a unique one the parts hold about equal numbers of rows whatever the data, as even a value
+    shared by most rows is cut. ``drop`` names columns that only serve the order, ``parts`` is the
+    number of parts where Spark's setting does not suit.
     """
-    ordered = df.orderBy(*order_by).withColumn("_part", F.spark_partition_id()).drop(*drop)
-    return store(ordered, "ordered").withColumn("_pos", F.col("_metadata.row_index"))
+    if parts:
+        ordered = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
+    else:
+        ordered = df.orderBy(*order_by)
+    ordered = ordered.withColumn("_part", F.spark_partition_id()).drop(*drop)
+    return store(ordered, folder, "ordered").withColumn("_pos", F.col("_metadata.row_index"))
 
 
 def dense_index(ordered: DataFrame) -> DataFrame:
@@ -26,41 +34,62 @@ def dense_index(ordered: DataFrame) -> DataFrame:
     Filter rows only afterwards: the places count all of them.
     """
     kept = [c for c in ordered.columns if c not in PLACE]
-    if len(ordered.inputFiles()) == 1:
-        return ordered.select(*kept, F.col("_pos").alias("rn"))
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    # One small row per sort partition, so at most spark.sql.shuffle.partitions rows.
+    # One small row per sort partition: as many as the parts asked for, or spark.sql.shuffle.partitions.
     numbered = ordered.join(F.broadcast(starts), "_part")
     return numbered.select(*kept, (F.col("_start") + F.col("_pos")).alias("rn"))
 
 
 def rolling_sum(
-    indexed: DataFrame, value: str | Column, first: int, last: int, name: str, bucket_rows: int = 65536
+    indexed: DataFrame, value: str | Column, first: int, last: int, name: str, bucket_rows: int | None = None
 ) -> DataFrame:
     """Sum of ``value`` over the rows ``first``..``last`` around each row, cut short at both ends.
 
-    ``indexed`` has consecutive ``rn``. Rows are dealt by it into buckets of ``bucket_rows``
-    consecutive rows, each of which also gets copies of the few neighbours its frames reach. Every
-    bucket is a bounded sort, whatever the values; the copies add about
-    ``(last - first) / bucket_rows`` of the rows.
+    ``indexed`` has consecutive ``rn``. Rows are dealt by it into buckets of consecutive rows, each
+    of which also gets copies of the few neighbours its frames reach. Every bucket is a bounded
+    sort, whatever the values; it holds at least four times the reach, so the copies add a quarter
+    of the rows at most. Whole numbers are summed as the difference of two running sums, in time
+    that does not depend on the width; doubles by a sliding frame, which adds them in row order.
     """
     value = F.col(value) if isinstance(value, str) else value
+    reach = max(last, 0) - min(first, 0)
+    size = bucket_rows or max(BUCKET_ROWS, 4 * reach)
 
-    def bucket(row):
-        return F.floor(row / F.lit(bucket_rows))
+    def bucket(shift):
+        return F.expr(f"(rn + {shift}L) div {size}L")
 
-    rn = F.col("rn")
     # Buckets whose rows reach this one, its own among them also when the frame leaves the row out.
-    reached = F.sequence(bucket(rn - max(last, 0)), bucket(rn - min(first, 0)))
-    frame = Window.partitionBy("_bucket").orderBy("rn").rowsBetween(first, last)
-    return (
-        indexed.withColumns({"_value": value, "_bucket": F.explode(reached)})
-        .withColumn(name, F.sum("_value").over(frame))
-        .filter(bucket(rn) == F.col("_bucket"))
-        .drop("_value", "_bucket", "rn")
+    reached = F.sequence(bucket(-max(last, 0)), bucket(-min(first, 0)))
+    dealt = indexed.withColumns({"_value": value, "_bucket": F.explode(reached)})
+    if isinstance(dealt.schema["_value"].dataType, T.IntegralType):
+        summed = _difference(dealt, first, last, name)
+    else:
+        frame = Window.partitionBy("_bucket").orderBy("rn").rowsBetween(first, last)
+        summed = dealt.withColumn(name, F.sum("_value").over(frame))
+    return summed.filter(bucket(0) == F.col("_bucket")).drop("_value", "_bucket", "rn")
+
+
+def _difference(dealt, first, last, name):
+    """Frame sums from running sums; a frame without a value gives null, as a sum does."""
+    in_order = Window.partitionBy("_bucket").orderBy("rn")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    # Sum and count of the values up to each row.
+    running = dealt.withColumn(
+        "_run", F.struct(F.coalesce(F.sum("_value").over(so_far), F.lit(0)).alias("s"), F.count("_value").over(so_far).alias("n"))
     )
+    whole = Window.partitionBy("_bucket").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def up_to(offset):
+        if offset >= 0:
+            return F.coalesce(F.lead("_run", offset).over(in_order), F.last("_run").over(whole))
+        return F.lag("_run", -offset).over(in_order)
+
+    running = running.withColumns({"_to": up_to(last), "_before": up_to(first - 1)})
+    total = F.col("_to.s") - F.coalesce("_before.s", F.lit(0))
+    count = F.col("_to.n") - F.coalesce("_before.n", F.lit(0))
+    return running.withColumn(name, F.when(count > 0, total)).drop("_run", "_to", "_before")
 
 
 def tumbling_day(df: DataFrame, ts: str = "ts") -> DataFrame:

@@ -1,63 +1,54 @@
 """Stored intermediate tables and the Parquet sink."""
 
 import logging
-import tempfile
+from collections.abc import Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
-from functools import cache
-from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
-_scope = ContextVar("scope", default="tables")
 
+def new_folder(spark: SparkSession, root: str | None = None) -> str:
+    """Name of a folder for the stored tables of one run, below ``root`` or ``spark.checkpoint.dir``.
 
-@cache
-def _local_root() -> str:
-    return Path(tempfile.mkdtemp(prefix="ridemetrics-")).as_uri()
+    Driver and executors must share it, so there is no default: without either it is an error, on
+    every master.
+    """
+    root = root or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise ValueError("pass a folder, or set spark.checkpoint.dir to one that all executors share")
+    return f"{root.rstrip('/')}/ridemetrics/{spark.sparkContext.applicationId}/{uuid4().hex}"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder of stored tables below ``spark.checkpoint.dir``; a temporary one on a local master only."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_root()
-    return f"{root.rstrip('/')}/ridemetrics/{spark.sparkContext.applicationId}/{_scope.get()}"
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+@contextmanager
+def scratch(spark: SparkSession, root: str | None = None) -> Iterator[str]:
+    """A new folder, deleted at the end of the block with the tables stored in it, by whichever thread."""
+    folder = new_folder(spark, root)
+    try:
+        yield folder
+    finally:
+        delete_folder(spark, folder)
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` once to the shared folder and reads it back.
+def store(df: DataFrame, folder: str, label: str) -> DataFrame:
+    """Writes ``df`` once below ``folder`` and reads it back.
 
     Cuts the lineage, so that a query that reads its input twice does not compute it twice and a
     lost executor costs a re-read only. Unlike a checkpoint, the copy keeps column pruning. One
     file per task: the row number in a file is then the row's place in its partition.
     """
-    path = new_folder(df.sparkSession, label)
+    path = f"{folder.rstrip('/')}/{label}-{uuid4().hex}"
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def scratch(spark: SparkSession):
-    """Tables stored by this thread inside the block are deleted at its end."""
-    token = _scope.set(f"scratch-{uuid4().hex}")
-    try:
-        yield
-    finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        _scope.reset(token)
-
-
 def write_result(df: DataFrame, base: str, folder: str, partition_by: list[str] | None = None) -> str:
     """Overwrites ``base/folder`` (any Hadoop file system) with ``df`` as Parquet."""
     path = f"{base.rstrip('/')}/{folder}"

@@ -1,8 +1,8 @@
 """The ten questions over the hourly table.
 
 Each ``qN`` returns its answer as a DataFrame; the table the answer is picked from has a function
-of its own. Measures of type double are ranked after rounding to six places, so that the order of
-summation cannot decide between equal values; the values themselves are not rounded.
+of its own. Building an answer starts no Spark job; questions 6 and 8 need a table from ``prepare``,
+which stores it in order and does.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -14,11 +14,10 @@ from ridemetrics.operators.storage import store
 from ridemetrics.operators.topk import bottom_rows, top_rows
 from ridemetrics.schema import HOURLY, ROW_NO
 
+# The correlation that counts as following, and the widths of the frames in rows.
 _SUPPLY_FOLLOWS_DEMAND = 0.3
-
-
-def _ranked(name):
-    return F.round(F.col(name), 6)
+_REQUEST_ROWS = 8
+_RATIO_ROWS = 72
 
 
 def trips_by_date(h: DataFrame) -> DataFrame:
@@ -91,20 +90,19 @@ def _in_time_order(h: DataFrame, *columns: str) -> DataFrame:
     Rows without ``ts`` come first in the order, so leaving them out keeps the numbers consecutive.
     """
     if not set(PLACE) <= set(h.columns):
-        ties = [c for c in [ROW_NO] if c in h.columns]
-        h = order_rows(h.select("ts", *columns, *ties), ["ts", *ties], drop=ties)
+        raise ValueError("this question needs a table in time order: pass it through prepare first")
     return dense_index(h.select("ts", *columns, *PLACE)).filter(F.col("ts").isNotNull())
 
 
 def requests_in_8h(h: DataFrame) -> DataFrame:
     """Requests of each row and the seven after it."""
-    return rolling_sum(_in_time_order(h, "requests"), "requests", 0, 7, "requests_in_8h").select("ts", "requests_in_8h")
+    return rolling_sum(_in_time_order(h, "requests"), "requests", 0, _REQUEST_ROWS - 1, "requests_in_8h").select("ts", "requests_in_8h")
 
 
 def q6(h: DataFrame) -> DataFrame:
     """Busiest 8 consecutive hours in terms of requests."""
     return top_rows(requests_in_8h(h), "requests_in_8h", ["ts"]).select(
-        F.col("ts").alias("start_time"), (F.col("ts") + hours(8)).alias("end_time"), "requests_in_8h"
+        F.col("ts").alias("start_time"), (F.col("ts") + hours(_REQUEST_ROWS)).alias("end_time"), "requests_in_8h"
     )
 
 
@@ -118,13 +116,13 @@ def q7(h: DataFrame) -> DataFrame:
 def ratio_72h(h: DataFrame) -> DataFrame:
     """Hourly zeroes per eyeball, summed over each row and the 71 before it."""
     rows = _in_time_order(h, "zeroes", "eyeballs")
-    return rolling_sum(rows, zero_ratio(), -71, 0, "ratio_72h").select("ts", "ratio_72h")
+    return rolling_sum(rows, zero_ratio(), 1 - _RATIO_ROWS, 0, "ratio_72h").select("ts", "ratio_72h")
 
 
 def q8(h: DataFrame) -> DataFrame:
     """72-hour period with the highest zeroes per eyeball."""
-    return top_rows(ratio_72h(h), _ranked("ratio_72h"), ["ts"]).select(
-        (F.col("ts") - hours(72)).alias("start_time"), F.col("ts").alias("end_time"), "ratio_72h"
+    return top_rows(ratio_72h(h), "ratio_72h", ["ts"]).select(
+        (F.col("ts") - hours(_RATIO_ROWS)).alias("start_time"), F.col("ts").alias("end_time"), "ratio_72h"
     )
 
 
@@ -145,23 +143,42 @@ def activity_by_hour(h: DataFrame) -> DataFrame:
 
 def q10(h: DataFrame) -> DataFrame:
     """Hour of day with the least activity: the natural end of a day."""
-    return bottom_rows(activity_by_hour(h), _ranked("activity_score"), ["hour"])
+    return bottom_rows(activity_by_hour(h), "activity_score", ["hour"])
 
 
 QUESTIONS = {1: q1, 2: q2, 3: q3, 4: q4, 5: q5, 6: q6, 7: q7, 8: q8, 9: q9, 10: q10}
+# What each question reads.
+COLUMNS = {
+    1: ["date", "completed_trips"],
+    2: ["ts", "completed_trips"],
+    3: ["hour", "requests"],
+    4: ["ts", "zeroes"],
+    5: ["hour", "completed_trips", "drivers"],
+    6: ["ts", "requests"],
+    7: ["requests", "drivers"],
+    8: ["ts", "zeroes", "eyeballs"],
+    9: ["hour", "requests", "drivers"],
+    10: ["hour", "eyeballs", "drivers", "requests"],
+}
 _READS_TWICE = {2}
 _NEEDS_ORDER = {6, 8}
 
 
-def prepare(h: DataFrame, ids: list[int]) -> DataFrame:
-    """``h`` in the form that serves ``ids`` with one computation of it.
+def prepare(h: DataFrame, ids: list[int], folder: str, ties: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """``h`` in the form that serves ``ids`` with one computation of it, and the columns they read.
 
-    Stored in time order if a rolling question is asked, so that all of them share one sort;
-    stored as it is for several questions or one that reads it twice; otherwise left lazy.
+    Stored below ``folder`` in time order if a rolling question is asked, so that all of them share
+    one sort; stored as it is for several questions or one that reads it twice; otherwise left lazy.
+    ``ties`` are columns that decide between equal times; by default the number of the row in its
+    source, and where there is none all other columns, so that only equal rows are interchangeable.
+    ``parts`` is passed on to ``order_rows``.
     """
-    ties = [c for c in [ROW_NO] if c in h.columns]
+    columns = [c for c in HOURLY if any(c in COLUMNS[i] for i in ids)]
     if _NEEDS_ORDER & set(ids):
-        return order_rows(h, ["ts", *ties], drop=ties)
+        if ties is None:
+            ties = [ROW_NO] if ROW_NO in h.columns else [c for c in HOURLY if c != "ts"]
+        extra = [c for c in ties if c not in columns]
+        return order_rows(h.select(*columns, *extra), ["ts", *ties], folder, drop=extra, parts=parts)
     if len(ids) > 1 or _READS_TWICE & set(ids):
-        return store(h.select(*HOURLY), "hourly")
+        return store(h.select(*columns), folder, "hourly")
     return h

@@ -1,7 +1,5 @@
 """Column names and types of the hourly table."""
 
-from pyspark.sql import types as T
-
 # Header of the raw hourly CSV (four names end in a space).
 RENAMES = {
     "Date": "date",
@@ -19,8 +17,6 @@ LABEL_FORMAT = "dd-MMM-yy"
 COUNTERS = ["eyeballs", "zeroes", "completed_trips", "requests", "drivers"]
 HOURLY = ["ts", "date", "hour", *COUNTERS]
 
-RAW_TYPES = {name: T.StringType() if name == "Date" else T.IntegerType() for name in RENAMES}
-
 # Where a CSV row stands: file, start of the split, number within the scan.
 PLACE_IN_SOURCE = ["src_file", "src_start", "src_seq"]
 # Number of a row in its source; breaks ties between equal timestamps.

@@ -1,27 +1,29 @@
 """Hourly table from the raw CSV export."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ridemetrics.functions.clock import hour_timestamp, label_date
-from ridemetrics.operators.fill import last_before, last_value, rows_before, spread
+from ridemetrics.operators.fill import BLOCK_ROWS, last_before, last_value, rows_before, spread
 from ridemetrics.operators.storage import store
-from ridemetrics.schema import COUNTERS, HOURLY, LABEL_FORMAT, PLACE_IN_SOURCE, RAW_TYPES, RENAMES, ROW_NO
+from ridemetrics.schema import COUNTERS, HOURLY, LABEL_FORMAT, PLACE_IN_SOURCE, RENAMES, ROW_NO
 
 # Stands for a label that is present but does not parse; two-digit years start at 2000.
 _UNREADABLE = "0001-01-01"
+# Wide enough for any counter, with room for a fraction, which is then refused.
+_NUMBER = "decimal(38,10)"
 
 
 def read_hourly_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw rows with their place in the source: file, start of the split, number within the scan.
+    """Raw rows as text, with their place in the source: file, start of the split, number within the scan.
 
-    Columns are matched by header name, read from the first line only; types are given, so the
-    data is not scanned to infer them.
+    Columns are matched by header name, read from the first line only; nothing is inferred, and no
+    value is lost before ``standardize`` parses it.
     """
     names = spark.read.option("header", True).csv(path).columns
     missing = [name for name in RENAMES if name not in names]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
-    schema = T.StructType([T.StructField(name, RAW_TYPES.get(name, T.StringType())) for name in names])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -36,44 +38,99 @@ def read_hourly_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def standardize(raw: DataFrame) -> DataFrame:
-    """Rename, fill the sparse dates down and add the wall-clock timestamp.
+def _present(name: str) -> Column:
+    """Trimmed text, null when empty."""
+    return F.nullif(F.trim(F.col(name).cast("string")), F.lit(""))
 
-    The raw rows are stored first: the fill reads them twice, and both times must see the same
-    splits and numbers, which a second scan of the CSV does not promise. The rows of one scan task
-    are filled together; the seed of each split also says how many rows come before it, which
-    gives ``row_no``, the row's number in the whole source. So file names are not shuffled.
 
-    A label that does not parse covers its rows with null, up to the next label. The fill carries
-    dates rather than labels, so that the table of splits comes from a hash aggregate.
+def _counter(name: str) -> Column:
+    """Whole number of any spelling (``12``, `` 12``, ``12.0``) as a long; null when it is none."""
+    number = _present(name).try_cast(_NUMBER)
+    return F.when(number == F.floor(number), number).try_cast("long")
+
+
+def _hour(name: str) -> Column:
+    """Hour of day as an integer, a fraction cut off."""
+    return _present(name).try_cast(_NUMBER).try_cast("int")
+
+
+def unreadable_values(rows: DataFrame) -> DataFrame:
+    """``column, file, rows``: how many texts of the stored raw rows are present and could not be read."""
+    found = rows.filter(F.size("_rejects") > 0).select(F.explode("_rejects").alias("column"), F.col("src_file").alias("file"))
+    return found.groupBy("column", "file").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _refuse(rows: DataFrame) -> None:
+    """Raises if there is a rejected value; the message shows the files with the most of them."""
+    worst = unreadable_values(rows).orderBy(F.desc("rows"), "column", "file").limit(20).collect()
+    if worst:
+        lines = [f"{r['rows']} in column {r['column']} of {r['file']}" for r in worst]
+        raise ValueError("unreadable values: " + "; ".join(lines))
+
+
+def standardize(raw: DataFrame, folder: str, unreadable: str = "raise", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rename, parse, fill the sparse dates down and add the wall-clock timestamp.
+
+    The raw rows are stored below ``folder`` first (this runs now): the fill reads them twice, and both
+    times must see the same splits and numbers, which a second scan of the CSV does not promise. Rows
+    are filled in blocks of ``block_rows`` by their position in a scan task, so a file that cannot be
+    split is not sorted in one piece; the seed of each block and split also says how many rows
+    come before it, which gives ``row_no``, the row's number in the whole source. So file names are
+    not shuffled.
+
+    Text that is present and is not a whole number, an hour or a label is an error that names
+    column, file and count. With ``unreadable="null"`` it is read as null; a label that does not
+    parse then covers its rows with null, up to the next label. An hour outside 0 to 23 has no time.
+    The fill carries dates rather than labels, so that the table of blocks comes from a hash aggregate.
     """
+    if unreadable not in ("raise", "null"):
+        raise ValueError(f"unreadable must be 'raise' or 'null', not {unreadable!r}")
     missing = [name for name in [*RENAMES, *PLACE_IN_SOURCE] if name not in raw.columns]
     if missing:
         raise ValueError(f"columns missing: {missing}")
-    unreadable = F.lit(_UNREADABLE).cast("date")
-    day = F.when(F.col("date").isNotNull(), F.coalesce(label_date("date", LABEL_FORMAT), unreadable))
-    renamed = raw.withColumnsRenamed(RENAMES).withColumn("date", day)
+    by_name = {column: name for name, column in RENAMES.items()}
+    parsed = {column: _counter(by_name[column]) for column in COUNTERS} | {"hour": _hour(by_name["hour"])}
+    day = label_date(_present(by_name["date"]), LABEL_FORMAT)
+    rejects = [
+        F.when(_present(by_name[column]).isNotNull() & value.isNull(), F.lit(by_name[column].strip()))
+        for column, value in {**parsed, "date": day}.items()
+    ]
+    none = F.lit(_UNREADABLE).cast("date")
     rows = store(
-        renamed.select("date", "hour", *COUNTERS, *PLACE_IN_SOURCE, F.spark_partition_id().alias("src_task")), "raw"
+        raw.select(
+            F.when(_present(by_name["date"]).isNotNull(), F.coalesce(day, none)).alias("date"),
+            *[value.alias(column) for column, value in parsed.items()],
+            *PLACE_IN_SOURCE,
+            # The number of the scan task is in the upper bits, so blocks of two tasks never meet.
+            F.expr(f"src_seq div {block_rows}L").alias("_block"),
+            F.spark_partition_id().alias("_task"),
+            F.array_compact(F.array(*rejects)).alias("_rejects"),
+        ),
+        folder,
+        "raw",
     )
+    if unreadable == "raise":
+        _refuse(rows)
+    rows = rows.drop("_rejects")
 
     split = ["src_file", "src_start"]
-    splits = rows.groupBy("src_task", *split).agg(
+    block = ["_task", "_block"]
+    splits = rows.groupBy(*block, *split).agg(
         last_value("date", "src_seq").alias("_tail"),
         F.count(F.lit(1)).alias("_rows"),
         F.min("src_seq").alias("src_seq"),
     )
+    place = [*split, "src_seq"]
     seeds = splits.select(
-        "src_task",
+        *block,
         "src_seq",
-        last_before("_tail", split).alias("date"),
-        (rows_before("_rows", split) - F.col("src_seq")).alias("_shift"),
+        last_before("_tail", place).alias("date"),
+        (rows_before("_rows", place) - F.col("src_seq")).alias("_shift"),
     )
     unfilled = rows.drop(*split).withColumn("_shift", F.lit(None).cast("long"))
-    filled = spread(unfilled, seeds, ["date", "_shift"], gather=["src_task"], order="src_seq")
+    filled = spread(unfilled, seeds, ["date", "_shift"], gather=block, order="src_seq")
     return (
-        filled.withColumn("date", F.nullif(F.col("date"), unreadable))
+        filled.withColumn("date", F.nullif(F.col("date"), none))
         .withColumn("ts", hour_timestamp("date", "hour"))
-        .withColumns({name: F.col(name).cast("long") for name in COUNTERS})
         .select(*HOURLY, (F.col("src_seq") + F.col("_shift")).alias(ROW_NO))
     )

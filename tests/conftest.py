@@ -1,3 +1,4 @@
+import re
 import sys
 from pathlib import Path
 
@@ -10,6 +11,13 @@ SF_SMALL = "/root/testdata/sf0.001"
 SF = "/root/testdata/sf0.01"
 
 
+def own_queries():
+    """Registered queries but those of the optional subpackage, which has its own tests."""
+    import __spark_entry__ as contract
+
+    return {k: v for k, v in contract.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
@@ -26,6 +34,12 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def folder(tmp_path):
+    """For stored tables."""
+    return tmp_path.as_uri()
+
+
 @pytest.fixture
 def many_parts(spark):
     """Sorted parts small enough that AQE would otherwise merge them into one."""

@@ -1,10 +1,11 @@
+import re
 from datetime import datetime
 
 import pytest
 from pyspark.sql import Window, functions as F
 
 from conftest import SF, SF_SMALL
-from helpers import hourly, plain, shuffled
+from helpers import hourly, plain, plan, shuffled
 from ridemetrics.operators.frames import dense_index, order_rows, rolling_sum, tumbling_day
 from ridemetrics.plans.questions import requests_in_8h
 from ridemetrics.sources.events import hourly_facts
@@ -25,59 +26,81 @@ def gappy(spark):
 
 @pytest.mark.parametrize("first, last", FRAMES)
 @pytest.mark.parametrize("bucket_rows", [1, 7, 72, 1000])
-def test_equals_the_plain_window(spark, gappy, first, last, bucket_rows):
-    rolled = rolling_sum(dense_index(order_rows(gappy, ["ts"])), "v", first, last, "rolled", bucket_rows)
+def test_equals_the_plain_window(spark, gappy, folder, first, last, bucket_rows):
+    rolled = rolling_sum(dense_index(order_rows(gappy, ["ts"], folder)), "v", first, last, "rolled", bucket_rows)
     assert rolled.columns == ["ts", "v", "rolled"]
     assert plain(rolled) == plain(naive(gappy, ["ts"], first, last))
 
 
-def test_dense_index_over_parts(spark, many_parts):
+def test_dense_index_over_parts(spark, many_parts, folder):
     ids = shuffled(spark.range(5000).repartition(5))
-    ordered = order_rows(ids, ["id"])
+    ordered = order_rows(ids, ["id"], folder)
     assert ordered.select("_part").distinct().count() > 1
     assert dense_index(ordered).filter("rn != id").count() == 0
     assert dense_index(ordered).count() == 5000
 
 
-def test_a_value_that_most_rows_share_is_cut(spark, many_parts):
+def test_a_value_that_most_rows_share_is_cut(spark, many_parts, folder):
     """Half of the rows have one timestamp; the unique second key lets the sort split them."""
     hot = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 100)
     df = spark.range(20000).select("id", hot.alias("ts"), (F.col("id") % 11).alias("v"))
-    ordered = order_rows(df, ["ts", "id"])
+    ordered = order_rows(df, ["ts", "id"], folder)
     sizes = [r["count"] for r in ordered.groupBy("_part").count().collect()]
     assert max(sizes) < 2 * 20000 / len(sizes)
     rolled = rolling_sum(dense_index(ordered), "v", -71, 0, "rolled", 300)
     assert plain(rolled.select("id", "rolled")) == plain(naive(df, ["ts", "id"], -71, 0).select("id", "rolled"))
 
 
-def test_questions_leave_out_rows_without_time(spark, many_parts, gappy):
+def test_questions_leave_out_rows_without_time(spark, many_parts, gappy, folder):
     """They fill several parts ahead of the others and must not shift the numbers."""
     h = gappy.withColumnRenamed("v", "requests")
     untimed = spark.range(700).select(F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(9).cast("long").alias("requests"))
     both = h.union(untimed)
     expected = plain(naive(gappy, ["ts"], 0, 7).select("ts", "rolled"))
-    assert plain(requests_in_8h(both)) == expected
-    ordered = order_rows(both.withColumn("id", F.monotonically_increasing_id()), ["ts", "id"], drop=["id"])
+    ordered = order_rows(both.withColumn("id", F.monotonically_increasing_id()), ["ts", "id"], folder, drop=["id"])
     assert ordered.filter("ts IS NULL").select("_part").distinct().count() > 1
     assert plain(requests_in_8h(ordered)) == expected
 
 
-def test_ratio_over_doubles(spark):
+def test_ratio_over_doubles(spark, folder):
     facts = hourly_facts(spark.read.parquet(f"{SF}/events.parquet"))
     df = facts.select("ts", F.try_divide("zeroes", "eyeballs").alias("v"))
-    rolled = rolling_sum(dense_index(order_rows(df, ["ts"])), "v", -71, 0, "rolled", 200)
+    rolled = rolling_sum(dense_index(order_rows(df, ["ts"], folder)), "v", -71, 0, "rolled", 200)
     assert plain(rolled) == plain(naive(df, ["ts"], -71, 0))
 
 
-def test_dropped_order_column(spark):
+@pytest.mark.parametrize("first, last", FRAMES)
+def test_running_sums_keep_nulls(spark, folder, first, last):
+    """A frame without a value is null, as with a plain sum."""
+    rows = [(i, None if i % 7 < 5 else i - 50) for i in range(100)] + [(100 + i, None) for i in range(90)]
+    df = spark.createDataFrame(rows, "ts int, v long")
+    rolled = rolling_sum(dense_index(order_rows(df, ["ts"], folder, parts=3)), "v", first, last, "rolled", 8)
+    assert plain(rolled) == plain(naive(df, ["ts"], first, last))
+
+
+def test_wide_frames_get_wide_buckets(spark, folder):
+    indexed = dense_index(order_rows(spark.range(10).withColumnRenamed("id", "v"), ["v"], folder))
+    assert "div 65536" in plan(rolling_sum(indexed, "v", -71, 0, "rolled"))
+    assert "div 4000000" in plan(rolling_sum(indexed, "v", -999999, 1, "rolled"))
+
+
+def test_one_plan_whatever_the_number_of_files(spark, folder):
+    def shape(parts):
+        text = plan(dense_index(order_rows(spark.range(3000), ["id"], folder, parts=parts)))
+        return re.sub(r"#\d+L?|plan_id=\d+|\[file:[^\]]*\]|Location: [^\n]*?PartitionFilters", "", text)
+
+    assert shape(1) == shape(9)
+
+
+def test_dropped_order_column(spark, folder):
     df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string")
-    ordered = order_rows(df, ["k"], drop=["k"])
+    ordered = order_rows(df, ["k"], folder, drop=["k"])
     assert ordered.columns == ["v", "_part", "_pos"]
     assert [r.v for r in dense_index(ordered).orderBy("rn").collect()] == ["a", "b"]
 
 
-def test_no_rows(spark, gappy):
-    rolled = rolling_sum(dense_index(order_rows(gappy.limit(0), ["ts"])), "v", 0, 7, "rolled")
+def test_no_rows(spark, gappy, folder):
+    rolled = rolling_sum(dense_index(order_rows(gappy.limit(0), ["ts"], folder)), "v", 0, 7, "rolled")
     assert rolled.collect() == []
     assert tumbling_day(gappy.limit(0)).collect() == []
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF, SF_SMALL
 from helpers import shuffled
-from ridemetrics.plans.questions import QUESTIONS, prepare
+from ridemetrics.plans.questions import QUESTIONS, prepare, requests_in_8h
 from ridemetrics.sources.events import hourly_facts
 
 # Answers of all questions over all rows, floats to six places.
@@ -54,8 +54,8 @@ def answers(h):
 
 
 @pytest.mark.parametrize("sf_dir", [SF_SMALL, SF])
-def test_golden_answers(spark, sf_dir):
-    table = prepare(facts(spark, sf_dir), list(QUESTIONS))
+def test_golden_answers(spark, folder, sf_dir):
+    table = prepare(facts(spark, sf_dir), list(QUESTIONS), folder)
     assert answers(table) == GOLDEN[sf_dir]
     late = facts(spark, sf_dir).filter(F.col("ts") >= F.lit(datetime(2024, 1, 1, 5)).cast("timestamp_ntz"))
     assert rounded(QUESTIONS[2](late).first()) == FROM_FIVE[sf_dir]
@@ -72,22 +72,47 @@ def test_golden_answers(spark, sf_dir):
         ("spark.sql.adaptive.enabled", "false"),
     ],
 )
-def test_session_settings(spark, name, value):
+def test_session_settings(spark, folder, name, value):
     before = spark.conf.get(name)
     spark.conf.set(name, value)
     try:
-        assert answers(prepare(facts(spark, SF_SMALL), list(QUESTIONS))) == GOLDEN[SF_SMALL]
+        assert answers(prepare(facts(spark, SF_SMALL), list(QUESTIONS), folder)) == GOLDEN[SF_SMALL]
     finally:
         spark.conf.set(name, before)
 
 
-def test_order_of_the_input(spark):
-    assert answers(shuffled(facts(spark, SF_SMALL))) == GOLDEN[SF_SMALL]
+def test_order_of_the_input(spark, folder):
+    assert answers(prepare(shuffled(facts(spark, SF_SMALL)), list(QUESTIONS), folder)) == GOLDEN[SF_SMALL]
 
 
-def test_prepare_stores_only_what_is_read_again(spark):
+def test_prepare_stores_only_what_is_read(spark, folder):
     h = facts(spark, SF_SMALL)
-    assert prepare(h, [3]) is h
-    assert prepare(h, [2]).columns == h.columns
-    assert prepare(h, [1, 3]).columns == h.columns
-    assert prepare(h, [6]).columns == [*h.columns, "_part", "_pos"]
+    assert prepare(h, [3], folder) is h
+    assert prepare(h, [2], folder).columns == ["ts", "completed_trips"]
+    assert prepare(h, [1, 3], folder).columns == ["date", "hour", "completed_trips", "requests"]
+    assert prepare(h, [6], folder).columns == ["ts", "requests", "_part", "_pos"]
+    assert prepare(h, [8, 2], folder).columns == ["ts", "eyeballs", "zeroes", "completed_trips", "_part", "_pos"]
+
+
+def test_equal_times_are_ordered_by_the_other_columns(spark, folder):
+    """Without a row number only equal rows are interchangeable."""
+    h = facts(spark, SF_SMALL).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    one = [sorted(map(tuple, requests_in_8h(prepare(shuffled(x), [6], folder)).collect())) for x in (h, h.repartition(7))]
+    assert one[0] == one[1]
+
+
+@pytest.mark.parametrize("i", QUESTIONS)
+def test_building_an_answer_starts_no_job(spark, folder, i):
+    table = prepare(facts(spark, SF_SMALL), [i], folder)
+    spark.sparkContext.setJobGroup(f"build-{i}", "")
+    try:
+        QUESTIONS[i](table)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{i}")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("i", [6, 8])
+def test_rolling_questions_refuse_an_unprepared_table(spark, i):
+    with pytest.raises(ValueError, match="prepare"):
+        QUESTIONS[i](facts(spark, SF_SMALL))

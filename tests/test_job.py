@@ -1,5 +1,6 @@
 import subprocess
 import sys
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from helpers import plain
 from ridemetrics import job
-from ridemetrics.operators.storage import shared_folder, store, write_result
-from ridemetrics.plans.questions import QUESTIONS
+from ridemetrics.operators.storage import new_folder, scratch, store, write_result
+from ridemetrics.plans.questions import QUESTIONS, prepare
 from ridemetrics.schema import RENAMES
 from ridemetrics.sources.events import hourly_facts
 
@@ -47,27 +48,36 @@ def test_wrong_ids_fail_before_any_work(text, error):
 
 
 @pytest.mark.parametrize("ids", [None, "6", "2,3", "5"])
-def test_answers_are_those_of_the_table(spark, raw_csv, tmp_path, ids):
+def test_answers_are_those_of_the_table(spark, raw_csv, tmp_path, folder, ids):
     written = job.run(spark, raw_csv, str(tmp_path), ids)
     facts = hourly_facts(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
     assert [Path(p).name for p in written] == [f"question{i}" for i in job.parse_ids(ids)]
     for i in job.parse_ids(ids):
-        assert six_places(spark.read.parquet(f"{tmp_path}/question{i}")) == six_places(QUESTIONS[i](facts))
+        assert six_places(spark.read.parquet(f"{tmp_path}/question{i}")) == six_places(QUESTIONS[i](prepare(facts, [i], folder)))
 
 
-def test_stored_tables_are_removed(spark, raw_csv, tmp_path):
-    kept = store(spark.range(3), "kept")
-    folder = Path(shared_folder(spark).removeprefix("file:")).parent
-    before = set(folder.iterdir())
-    job.run(spark, raw_csv, str(tmp_path), "6")
-    assert set(folder.iterdir()) == before
-    assert kept.count() == 3
+@pytest.mark.parametrize("ids", ["6", None])
+def test_stored_tables_are_removed(spark, raw_csv, tmp_path, ids):
+    job.run(spark, raw_csv, str(tmp_path / "out"), ids, scratch_root=(tmp_path / "scratch").as_uri())
+    assert not [p for p in (tmp_path / "scratch").rglob("*.parquet")]
 
 
-def test_a_cluster_needs_a_shared_folder():
-    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+def test_scratch_holds_what_threads_store(spark, tmp_path):
+    with scratch(spark, tmp_path.as_uri()) as folder:
+        with ThreadPoolExecutor(2) as pool:
+            stored = list(pool.map(lambda k: store(spark.range(k), folder, "t").count(), [1, 2, 3]))
+        assert stored == [1, 2, 3]
+        assert len(list(Path(folder.removeprefix("file:")).iterdir())) == 3
+    assert not Path(folder.removeprefix("file:")).exists()
+
+
+@pytest.mark.parametrize("master", ["yarn", "local[4]"])
+def test_a_shared_folder_is_needed(master):
+    context = SimpleNamespace(master=master, applicationId="a", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf={}, sparkContext=context)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(SimpleNamespace(conf={}, sparkContext=context))
+        new_folder(session)
+    assert new_folder(session, "hdfs:///x").startswith("hdfs:///x/ridemetrics/a/")
 
 
 def test_sink_overwrites_and_partitions(spark, tmp_path):
@@ -79,7 +89,7 @@ def test_sink_overwrites_and_partitions(spark, tmp_path):
 
 
 def test_command_line(raw_csv, tmp_path):
-    command = [sys.executable, "submit.py", "--path", raw_csv, "--out", str(tmp_path / "out"), "--question-id", "3"]
+    command = [sys.executable, "submit.py", "--path", raw_csv, "--out", str(tmp_path / "out"), "--question-id", "3", "--scratch", str(tmp_path / "scratch")]
     done = subprocess.run(command, cwd=REPO, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
     assert list((tmp_path / "out" / "question3").glob("*.parquet"))
