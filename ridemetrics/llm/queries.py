@@ -1,7 +1,9 @@
 """Registered queries of the operators, each over its whole table."""
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ridemetrics.llm.chat import parse_transcripts, train
 from ridemetrics.llm.common import shared_folder
 from ridemetrics.llm.decontaminate import contamination, find_test_passages
 from ridemetrics.llm.exact_dedup import exact_groups
@@ -51,6 +53,37 @@ def op5_language_id(spark, sf_dir):
     return found.select("doc_id", "language_id.*")
 
 
+# Speaker markers of raw transcripts by style: system, user, assistant.
+_STYLES = [
+    ["System: ", "User: ", "Assistant: "],
+    ["[Instructions] ", "[Human] ", "[AI] "],
+    ["Context: ", "Q: ", "A: "],
+    ["### System:\n", "### Customer:\n", "### Agent:\n"],
+]
+
+
+def raw_transcripts(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text`` with the text as in a raw transcript: a speaker marker in the
+    style of the conversation ahead of it, left out in one turn of eight."""
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(_STYLES)))
+    marks = F.create_map(
+        *[F.lit(x) for k, row in enumerate(_STYLES) for role, mark in zip(("system", "user", "assistant"), row) for x in (f"{k}{role}", mark)]
+    )
+    mark = F.coalesce(F.try_element_at(marks, F.concat(style.cast("string"), F.lower("role"))), F.lit(""))
+    shown = F.pmod(F.xxhash64("conv_id", "turn", "role"), F.lit(8)) != 0
+    text = F.concat(F.when(shown, mark).otherwise(""), F.coalesce("text", F.lit("")))
+    return conversations.select("conv_id", "turn", "role", text.alias("text"))
+
+
+def op6_chat_formatting(spark, sf_dir):
+    raw = raw_transcripts(_table(spark, sf_dir, "conversations"))
+    model = train(raw.filter(F.pmod(F.xxhash64("conv_id", F.lit(1)), F.lit(5)) != 0))
+    turns = parse_transcripts(raw, model)
+    return turns.select(
+        "conv_id", F.col("seq").alias("turn"), "segment", "role", "opens", "n_lines", F.sha2("rendered", 256).alias("rendered_sha256")
+    )
+
+
 def op7_decontamination(spark, sf_dir):
     found = find_test_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return contamination(found)
@@ -75,10 +108,12 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_language_id": op5_language_id,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm_scores": op9_lm_scores,
     "op10_token_records": op10_token_records,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
