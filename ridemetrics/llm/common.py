@@ -44,6 +44,15 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
 
 
+def without_ids(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is in the one column of ``gone``; null ids stay.
+
+    The rows travel as one column, so no name of theirs can clash.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"))
+    return rows.join(gone.toDF("id"), "id", "left_anti").select("row.*")
+
+
 def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
     """Cuts record batches so that each piece holds about ``limit`` bytes of ``column``, a row at least."""
     for batch in batches:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.llm.common import id_and_text, slices, store
+from ridemetrics.llm.common import id_and_text, slices, store, without_ids
 
 WINDOW_WORDS = 13
 # Test words that one pass over the documents handles; bounds what is broadcast.
@@ -257,5 +257,4 @@ def contamination(passages: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without contaminated documents, all columns; null ids stay, as they name no document."""
     found = contamination(find_test_passages(docs, items, id_col=id_col, **options)).filter("contaminated")
-    bad = store(found.select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, F.col(f"`{id_col}`").cast("long") == F.col("_bad"), "left_anti")
+    return without_ids(docs, id_col, store(found.select("doc_id").distinct(), "contaminated"))

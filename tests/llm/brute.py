@@ -39,3 +39,40 @@ def similarity_classes(texts, n=4, t=(85, 100)):
     for k in ids:
         classes[find(k)].append(k)
     return {k: (len(sets[k]), min(v)) for v in classes.values() for k in v}
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(texts, items, size=13):
+    """{id: (words, hit words, items hit, contaminated)} of {id: text} and [(item id, text)]."""
+    windows = defaultdict(set)
+    for item, text in items:
+        found = TERM.findall(lower(text))
+        for i in range(max(1, len(found) - size + 1) if found else 0):
+            windows[tuple(found[i : i + size])].add(item)
+    lengths = {len(w) for w in windows}
+    out = {}
+    for k, text in texts.items():
+        found, hit, names = TERM.findall(lower(text)), set(), set()
+        for n in lengths:
+            for i in range(len(found) - n + 1):
+                names |= (here := windows.get(tuple(found[i : i + n]), set()))
+                hit.update(range(i, i + n) if here else ())
+        out[k] = (len(found), len(hit), names - {None}, bool(hit) and 20 * len(hit) >= len(found))
+    return out
+
+
+SECRET = {
+    "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
+    "access": (re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
+    "hex": (re.compile(r"[0-9a-f]+"), 0, 24),
+}
+
+
+def secrets(text):
+    """Base spans as (start, order of the kind, kind, end)."""
+    spans = []
+    for order, (kind, (pattern, group, least)) in enumerate(SECRET.items()):
+        spans += [(m.start(), order, kind, m.end()) for m in pattern.finditer(text or "") if len(m[group]) >= least]
+    return sorted(spans)

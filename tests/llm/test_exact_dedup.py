@@ -1,0 +1,53 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ridemetrics.llm.exact_dedup import drop_exact_copies, exact_groups
+
+ROWS = [(1, "a"), (5, "a"), (3, "b"), (7, None), (2, ""), (None, "c"), (None, "c"), (4, "x" * 100_000), (6, "x" * 100_000), (9, "y"), (9, "y")]
+
+
+def _expected(rows):
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(text or "", []).append(doc_id)
+    out = []
+    for doc_id, text in rows:
+        ids = groups[text or ""]
+        keep = max((i for i in ids if i is not None), default=None)
+        out.append((doc_id, keep, len(ids), doc_id == keep, hashlib.sha256((text or "").encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def _docs(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string").repartition(4)
+    return docs.withColumns({"_hash": F.lit(1), "kept": F.lit("k"), "_text": F.lit("t"), "m": F.create_map(F.lit(1), F.lit(2))})
+
+
+def test_groups(spark):
+    assert sorted(map(tuple, exact_groups(_docs(spark)).collect()), key=repr) == _expected(ROWS)
+
+
+@pytest.mark.parametrize("hash_of", [F.octet_length, lambda t: F.lit(0)])
+def test_colliding_hashes_keep_texts_apart(spark, hash_of):
+    assert sorted(map(tuple, exact_groups(_docs(spark), hash_of=hash_of).collect()), key=repr) == _expected(ROWS)
+    assert drop_exact_copies(_docs(spark), hash_of=hash_of).count() == 6
+
+
+def test_one_row_of_each_text_stays_with_its_columns(spark):
+    docs = _docs(spark)
+    kept = drop_exact_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, (r.text or "")[:1]) for r in kept.collect()) == [(0, "c"), (3, "b"), (5, "a"), (6, "x"), (7, ""), (9, "y")]
+
+
+def test_empty_table(spark):
+    docs = _docs(spark).limit(0)
+    assert exact_groups(docs).count() == drop_exact_copies(docs).count() == 0
+
+
+def test_only_built_in_expressions(spark):
+    for df in (exact_groups(_docs(spark)), drop_exact_copies(_docs(spark))):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in text and "Arrow" not in text and "MapIn" not in text
