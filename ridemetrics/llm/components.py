@@ -16,7 +16,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = store(_directed(edges.select("a", "b")), "edges")
     mark = None
     while (last := mark) != (mark := _fingerprint(now)):
-        now = store(_small_star(_large_star(now)), "edges")
+        now = store(_small_star(store(_large_star(now), "edges")), "edges")
     members = now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     alone = edges.filter(F.col("a") == F.col("b")).select(F.col("a").alias("node"), F.col("a").alias("component"))
@@ -41,12 +41,15 @@ def _large_star(edges):
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     larger = edges.select(F.col("b").alias("a"), F.col("a").alias("v"))  # each end sees its larger neighbours
-    return _directed(larger.join(store(least, "least"), "a").select(F.col("v").alias("a"), F.col("m").alias("b")))
+    # The least neighbours are stored so that both sides of the join come from a plain shuffle, which
+    # adaptive execution can split at a hub.
+    return larger.join(store(least, "least"), "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges):
+    # A node's smaller neighbours are few after the step before, so this key is not hot.
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    joined = edges.join(store(least, "least"), "a")
+    joined = edges.join(least, "a")
     return _directed(joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-        least.select("a", F.col("m").alias("b"))
+        joined.select("a", F.col("m").alias("b"))
     ))

@@ -5,8 +5,8 @@ one of the first few of either. Each set is entered in the lists of those n-gram
 the position of the n-gram in it. Lists are sorted by size and position, and partners whose sizes or
 positions rule a link out are skipped without looking at the sets.
 
-Set relations. A long list is mostly made of highly similar sets (near copies). There only the pairs
-with the list's first set, its pivot, are compared at first. Sets that link to a common set form a
+Set relations. A long list is mostly made of highly similar sets (near copies). There a set is
+at first compared with a few sets only, those with the most similar bitmaps. Sets that link to a common set form a
 cluster with known distances to its centre, and the answers of a member are derived from those of
 the centre: members of one class need no further comparison, and by the triangle inequality of the
 Jaccard distance two clusters whose centres are far apart hold no link. A long list is then a list
@@ -14,8 +14,8 @@ of clusters, cut into blocks of size and position ranges, and blocks are skipped
 where neither decides are members compared one by one. So the classes are exact, and a class of
 near copies costs about as many comparisons as it has members.
 
-Equal sets count once throughout. A bitmap of each set rules out most other pairs. What is left is
-compared on the texts, which are smaller than their hashes and are fetched only for sets that share
+Equal sets count once throughout. The bits in which the bitmaps of two sets differ bound their distance and rule out
+most other pairs. What is left is compared on the texts, which are smaller than their hashes and are fetched only for sets that share
 a list with another.
 """
 
@@ -24,9 +24,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.llm.common import SLICE_BYTES, id_and_text, partitions, slices, store
+from ridemetrics.llm.common import SLICE_BYTES, id_and_text, partitions, slices, store, without_ids
 from ridemetrics.llm.components import connected_components
 
 N = 4
@@ -41,8 +42,10 @@ COUNTED_TOGETHER = 4_000_000
 SHORT_LIST = 8
 # Sets that one part of a frequent n-gram's list holds.
 LIST_PART = 2000
-# Size of a set's bitmap; sets whose bitmaps differ in too many bits cannot link.
+# Least size of a set's bitmap. Larger sets have larger ones, two to four bits per n-gram.
 SKETCH_BITS = 1024
+# Most similar sets of its list that a set of a long list is first compared with.
+NEAREST = 3
 # Slack for distances held as doubles.
 EPSILON = 1e-9
 
@@ -138,11 +141,19 @@ def _set_of(words: np.ndarray, n: int) -> np.ndarray:
     return _distinct(_grams(words, min(n, len(words)))) if len(words) else words
 
 
-def _sketch(grams: np.ndarray) -> bytes:
-    """SKETCH_BITS bits, each set if an n-gram falls on it."""
-    bits = np.zeros(SKETCH_BITS, bool)
-    bits[(grams >> _U(40)).astype(np.int64) % SKETCH_BITS] = True
-    return np.packbits(bits).tobytes()
+def _sketch(grams: np.ndarray) -> np.ndarray:
+    """Bitmap with a bit set for each n-gram, as words of 64 bits; halves of it OR to the next smaller size."""
+    size = SKETCH_BITS
+    while size < 2 * len(grams):
+        size *= 2
+    bits = np.zeros(size, bool)
+    bits[(grams >> _U(20)).astype(np.int64) % size] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def _folded(sketch: np.ndarray) -> bytes:
+    """The bitmap at its least size."""
+    return np.bitwise_or.reduce(sketch.reshape(-1, SKETCH_BITS // 64), axis=0).tobytes()
 
 
 def _digest(grams):
@@ -158,7 +169,7 @@ def least_overlap(n: int, t=SIMILARITY) -> int:
 
 # --- pass 1: sets and frequent n-grams -----------------------------------------------------------
 
-_PROFILE = "doc_id long, tie long, n long, id long, check long, sketch array<long>, gram long, count long"
+_PROFILE = "doc_id long, tie long, n long, id long, check long, sketch array<long>, brief binary, gram long, count long"
 
 
 def _profiles(docs: DataFrame, n: int) -> DataFrame:
@@ -172,7 +183,8 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
             common = counts >= max(3, len(held) / FREQUENT)
             held.clear()
             seen.clear()
-            columns = [pa.nulls(common.sum(), pa.list_(pa.int64()) if c == "sketch" else pa.int64()) for c in names[:6]]
+            types = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.binary()]
+            columns = [pa.nulls(common.sum(), t) for t in types]
             columns += [pa.array(grams[common].view(np.int64)), pa.array(counts[common])]
             return pa.RecordBatch.from_arrays(columns, names)
 
@@ -188,9 +200,9 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
                     held.append(grams)
                     waiting += len(grams)
             columns = [batch.column("doc_id"), batch.column("tie"), *(pa.array(c, pa.int64()) for c in zip(*rows))]
-            longs = SKETCH_BITS // 64
-            offsets = np.arange(0, (len(rows) + 1) * longs, longs, dtype=np.int32)
-            columns.append(pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(sketches), np.int64)))
+            offsets = np.cumsum([0, *map(len, sketches)]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(offsets, np.concatenate(sketches)))
+            columns.append(pa.array([_folded(x) for x in sketches], pa.binary()))
             columns += [pa.nulls(len(rows), pa.int64())] * 2
             yield pa.RecordBatch.from_arrays(columns, names)
             if waiting >= COUNTED_TOGETHER:
@@ -245,10 +257,12 @@ def _entries(docs: DataFrame, shared, n: int, t) -> DataFrame:
                     rare = grams[~is_frequent]
                     late = at[is_frequent]
                     late = late[np.argsort(rank[late])]
+                    grams = np.concatenate((rare, frequent[late]))
                     if len(rare) < prefix:
+                        # Dealt anew for each n-gram, so that any two sets meet in some part.
                         of = parts[late[: prefix - len(rare)]]
-                        part[len(rare) :] = np.where(of > 1, 1 + (number & 0xFFFFFFFF) % of, 0)
-                    grams = np.concatenate((rare, frequent[late]))
+                        deal = _mixed(grams[len(rare) : prefix] ^ _U(number & 0xFFFFFFFFFFFFFFFF)) >> _U(1)
+                        part[len(rare) :] = np.where(of > 1, 1 + deal.astype(np.int64) % of, 0)
                 columns[0].append(grams[:prefix].view(np.int64))
                 after = np.arange(size - 1, size - 1 - prefix, -1)
                 columns[1].append(part << 48 | size << 24 | after)
@@ -278,11 +292,18 @@ def _possible(small_a, large_a, after_a, small_b, large_b, after_b, t):
 _LISTS = "a long, b long, gram long, entry long"
 
 
+def _array(column):
+    """Numbers, or bitmaps as rows of words."""
+    if pa.types.is_binary(column.type):
+        return np.frombuffer(b"".join(column.to_pylist()), _U).reshape(len(column), -1)
+    return column.to_numpy()
+
+
 def _in_groups(batches, columns, same):
     """Sorted batches as arrays that end where a group ends; ``same`` names the grouping arrays."""
     rest = None
     for batch in batches:
-        arrays = [batch.column(c).to_numpy() for c in columns]
+        arrays = [_array(batch.column(c)) for c in columns]
         if not len(arrays[0]):
             continue
         if rest is not None:
@@ -314,10 +335,6 @@ def _lists(entries: DataFrame, t) -> DataFrame:
                 right.append((starts[:, None] + j).ravel())
             long = (length > SHORT_LIST) | (entry[first] >> 48 > 0)  # a part says nothing about the other parts
             is_long = np.repeat(long, length)
-            for start, k in zip(first[long].tolist(), length[long].tolist()):
-                pivot = start + int(np.argmin(number[start : start + k]))
-                left.append(np.full(k, pivot))
-                right.append(np.arange(start, start + k))
             left, right = np.concatenate(left), np.concatenate(right)
             sizes, after = _size(entry), _after(entry)
             sl, sr = sizes[left], sizes[right]
@@ -335,6 +352,54 @@ def _lists(entries: DataFrame, t) -> DataFrame:
     return spread.sortWithinPartitions("gram", "entry", "id").mapInArrow(pair, _LISTS)
 
 
+def _nearest(long: DataFrame, sets: DataFrame, t) -> DataFrame:
+    """In the form of ``_lists``: for each entry of a long list the sets most similar to it by bitmap,
+    and the entries that are left.
+
+    The pairs are compared first, as they join most of a class; what they miss is found later. An
+    entry is left if its bitmap allows a link to another one of the list, or if this is but a part of it.
+    """
+    limit = (t[1] - t[0]) / (t[1] + t[0]) + EPSILON
+
+    def pair(batches):
+        columns = ["gram", "entry", "id", "brief"]
+        for gram, entry, number, brief in _in_groups(batches, columns, lambda g, e, *_: (g, e >> 48)):
+            first = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (entry[1:] >> 48 != entry[:-1] >> 48)])
+            pairs, alive = [], entry >> 48 > 0
+            for start, end in zip(first.tolist(), [*first[1:].tolist(), len(gram)]):
+                ids, sizes, bits = number[start:end], _size(entry[start:end]), brief[start:end]
+                for low in range(0, end - start, 64):  # bounds the memory of a comparison
+                    rows = slice(low, min(low + 64, end - start))
+                    differ = np.bitwise_count(bits[rows, None] ^ bits[None]).sum(2, dtype=np.int64)
+                    total = sizes[rows, None] + sizes[None]
+                    share = np.where(ids[rows, None] == ids[None], 2.0, differ / total)
+                    alive[start:end][rows] |= (share <= limit).any(1)
+                    count = min(NEAREST, end - start - 1)
+                    best = np.argpartition(share, count - 1, axis=1)[:, :count] if count else np.empty((len(share), 0), int)
+                    i, k = np.nonzero(np.take_along_axis(share, best, 1) <= limit)
+                    x, y = ids[rows][i], ids[best[i, k]]
+                    pairs.append(np.stack((np.minimum(x, y), np.maximum(x, y))))
+            pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
+            none = pa.nulls(pairs.shape[1], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), none, none], names)
+            none = pa.nulls(int(alive.sum()), pa.int64())
+            columns = [pa.array(number[alive]), none, pa.array(gram[alive]), pa.array(entry[alive])]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = [c.split()[0] for c in _LISTS.split(", ")]
+    rows = long.join(sets.select("id", "brief"), "id").select("gram", "entry", "id", "brief")
+    spread = rows.repartition(partitions(long.sparkSession), "gram", F.shiftright("entry", 48))
+    return spread.sortWithinPartitions("gram", "entry", "id").mapInArrow(pair, _LISTS)
+
+
+def _packed(batches):
+    """Texts compressed, as they go through several shuffles."""
+    packer = zstandard.ZstdCompressor()
+    for batch in batches:
+        texts = [packer.compress(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.binary())], ["id", "text"])
+
+
 # --- comparing ----------------------------------------------------------------------------------
 
 _COMPARED = "a long, b long, linked boolean, distance double"
@@ -344,13 +409,15 @@ def _compare(pairs: DataFrame, texts: DataFrame, n: int, t) -> DataFrame:
     """``pairs`` with their exact answer and Jaccard distance."""
 
     def compare(batches):
-        for batch in slices(slices(batches, "text_a"), "text_b"):
+        unpack = zstandard.ZstdDecompressor().decompress
+        # Packed texts, so slices of a quarter.
+        for batch in slices(slices(batches, "text_a", SLICE_BYTES // 4), "text_b", SLICE_BYTES // 4):
             linked, distance = [], []
             two = batch.column("text_b").to_pylist()
             # Rows of one b stand together; its set is made once.
             new = [i == 0 or two[i] != two[i - 1] for i in range(len(two))]
-            others = ngram_sets([t for t, x in zip(two, new) if x], n)
-            for x, is_new in zip(ngram_sets(batch.column("text_a").to_pylist(), n), new):
+            others = ngram_sets([unpack(t) for t, x in zip(two, new) if x], n)
+            for x, is_new in zip(ngram_sets(map(unpack, batch.column("text_a").to_pylist()), n), new):
                 y = next(others) if is_new else y
                 shared = np.intersect1d(x, y, assume_unique=True).size
                 union = len(x) + len(y) - shared
@@ -364,18 +431,29 @@ def _compare(pairs: DataFrame, texts: DataFrame, n: int, t) -> DataFrame:
     return store(pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(compare, _COMPARED), "compared")
 
 
-def _plausible(pairs: DataFrame, sets: DataFrame, t, slack=0.0) -> DataFrame:
-    """Pairs whose bitmaps allow a Jaccard distance of up to the limit plus ``slack``.
+def _plausible(pairs: DataFrame, sets: DataFrame, t, slack=0.0, in_size=True) -> DataFrame:
+    """Pairs whose sizes (if ``in_size``) and bitmaps allow a Jaccard distance of up to the limit plus ``slack``.
 
     Each differing bit is an n-gram that only one of the sets has, so the bits bound the distance.
     """
     one = sets.select(F.col("id").alias("a"), F.col("n").alias("_n_a"), F.col("sketch").alias("_s_a"))
     two = sets.select(F.col("id").alias("b"), F.col("n").alias("_n_b"), F.col("sketch").alias("_s_b"))
-    bits = F.zip_with("_s_a", "_s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    # Sizes of sets that can link differ by less than a factor of two, so one fold makes bitmaps equal in size.
+    longest = F.greatest(F.size("_s_a"), F.size("_s_b"))
+    shortest = F.least(F.size("_s_a"), F.size("_s_b"))
+
+    def folded(name):
+        half = (longest / 2).cast("int")
+        pieces = F.slice(F.col(name), F.lit(1), half), F.slice(F.col(name), half + 1, half)
+        return F.when(F.size(name) == shortest, F.col(name)).otherwise(F.zip_with(*pieces, lambda x, y: x.bitwiseOR(y)))
+
+    bits = F.zip_with(folded("_s_a"), folded("_s_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
-    joined = pairs.join(one, "a").join(two, "b").withColumn("_differ", differ)
-    least = 2 * F.col("_differ") / (F.col("_n_a") + F.col("_n_b") + F.col("_differ"))
-    return joined.filter(least <= 1 - t[0] / t[1] + EPSILON + slack).select(*pairs.columns)
+    fit = (F.col("_n_a") * t[1] >= F.col("_n_b") * t[0]) & (F.col("_n_b") * t[1] >= F.col("_n_a") * t[0])
+    joined = pairs.join(one, "a").join(two, "b")
+    joined = (joined.filter(fit) if in_size else joined).withColumn("_differ", F.when(longest <= 2 * shortest, differ).otherwise(0))
+    bound = 2 * F.col("_differ") / (F.col("_n_a") + F.col("_n_b") + F.col("_differ"))
+    return joined.filter(bound <= 1 - t[0] / t[1] + EPSILON + slack).select(*pairs.columns)
 
 
 _CLUSTER_PAIRS = "a long, b long, radius_a double, radius_b double"
@@ -424,16 +502,18 @@ def _with_class(df: DataFrame, classes: DataFrame, column: str, name: str) -> Da
     return df.join(of, column, "left").withColumn(name, F.coalesce("_class", column)).drop("_class")
 
 
-def _set_classes(docs: DataFrame, sets: DataFrame, shared, n: int, t) -> DataFrame | None:
+def _set_classes(docs: DataFrame, sets: DataFrame, shared, n: int, t) -> DataFrame:
     """``id, class`` for every set that links with a different one."""
     lists = store(_lists(_entries(docs, shared, n, t), t), "lists")
-    pairs = lists.filter(F.col("b").isNotNull()).select("a", "b").distinct()
-    pairs = store(_plausible(pairs, sets, t), "pairs")
     long = lists.filter(F.col("b").isNull()).select(F.col("a").alias("id"), "gram", "entry")
+    nearest = store(_nearest(long, sets, t), "nearest")
+    long = nearest.filter(F.col("b").isNull()).select(F.col("a").alias("id"), "gram", "entry")
+    pairs = lists.unionByName(nearest).filter(F.col("b").isNotNull()).select("a", "b").distinct()
+    pairs = store(_plausible(pairs, sets, t), "pairs")
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(long.select("id")).distinct()
     wanted = sets.join(needed, "id").select("id", F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"))
     same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (docs["tie"] == F.col("_tie"))
-    texts = store(docs.join(wanted, same).select("id", "text"), "texts")
+    texts = store(docs.join(wanted, same).select("id", "text").mapInArrow(_packed, "id long, text binary"), "texts")
 
     first = _compare(pairs, texts, n, t)
     links = first.filter("linked")
@@ -450,18 +530,30 @@ def _set_classes(docs: DataFrame, sets: DataFrame, shared, n: int, t) -> DataFra
     blocks = members.groupBy("gram", "center", "class").agg(
         F.min(size).alias("small"), F.max(size).alias("large"), F.max(after).alias("after"), F.max("d").alias("radius")
     )
-    apart = _plausible(_cluster_pairs(blocks, t), sets, t, F.col("radius_a") + F.col("radius_b"))
+    apart = _plausible(_cluster_pairs(blocks, t), sets, t, F.col("radius_a") + F.col("radius_b"), in_size=False)
     apart = store(apart, "cluster-pairs")
     second = _compare(apart, texts, n, t).join(apart, ["a", "b"])
     reach = 1 - t[0] / t[1] + EPSILON
-    links = links.select("a", "b").unionByName(second.filter("linked").select("a", "b"))
+    joins = _of_classes(second.filter("linked"), classes)
     near = second.filter(~F.col("linked") & (F.col("distance") <= reach + F.col("radius_a") + F.col("radius_b")))
     if not near.isEmpty():
-        classes = _classes(links)
-        near = _with_class(_with_class(near, classes, "a", "class_a"), classes, "b", "class_b")
-        near = near.filter("class_a != class_b").select("a", "b", "distance")
-        links = links.unionByName(_between(near, centers, sets, texts, n, t))
-    return _classes(links)
+        # Clusters whose classes another pair has linked need no further comparison.
+        near = _of_classes(near, classes).join(joins.select("class_a", "class_b"), ["class_a", "class_b"], "left_anti")
+        between = _between(near.select("a", "b", "distance"), centers, sets, texts, n, t)
+        joins = joins.unionByName(_of_classes(between, classes), allowMissingColumns=True)
+    # The classes of the first links are nodes now, and the later links are edges between them.
+    merged = connected_components(joins.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+    merged = store(merged.select(F.col("node").alias("class"), "component"), "merged")
+    alone = merged.join(classes.select("class").distinct(), "class", "left_anti")
+    every = classes.unionByName(alone.select(F.col("class").alias("id"), "class"))
+    return every.join(merged, "class", "left").select("id", F.coalesce("component", "class").alias("class"))
+
+
+def _of_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` with the classes of their ends, the smaller one first."""
+    joined = _with_class(_with_class(pairs, classes, "a", "_x"), classes, "b", "_y").filter("_x != _y")
+    ends = {"class_a": F.least("_x", "_y"), "class_b": F.greatest("_x", "_y")}
+    return joined.withColumns(ends).drop("_x", "_y")
 
 
 def _between(near: DataFrame, centers: DataFrame, sets: DataFrame, texts: DataFrame, n: int, t) -> DataFrame:
@@ -503,7 +595,7 @@ def similarity_classes(
     profiles = store(_profiles(rows, n), "profiles")
     documents = profiles.filter(F.col("gram").isNull())
     of_set = documents.filter("n > 0").groupBy("id").agg(
-        F.min(F.struct("doc_id", "tie", "sketch")).alias("first"),
+        F.min(F.struct("doc_id", "tie", "sketch", "brief")).alias("first"),
         F.min(F.struct("n", "check")).alias("low"),
         F.max(F.struct("n", "check")).alias("high"),
     )
@@ -515,7 +607,7 @@ def similarity_classes(
     shared = spark.sparkContext.broadcast(_frequent(profiles, sets.count()))
     classes = _set_classes(rows, sets, shared, n, similarity)
 
-    grouped = _with_class(documents.select("doc_id", "n", "id"), classes, "id", "class")
+    grouped = store(_with_class(documents.select("doc_id", "n", "id"), classes, "id", "class"), "grouped")
     least = store(
         grouped.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least")), "components"
     )
@@ -532,5 +624,5 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFram
     Rows without an id stay, as they cannot be named; so do empty documents.
     """
     classes = similarity_classes(docs, id_col=id_col, **options)
-    gone = classes.filter("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(store(gone, "similar"), F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")
+    gone = classes.filter("doc_id > component_id").select("doc_id").distinct()
+    return without_ids(docs, id_col, store(gone, "similar"))
