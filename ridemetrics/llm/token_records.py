@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ridemetrics.llm.common import id_and_text, partitions, shared_folder, slices, store
+from ridemetrics.llm.common import id_and_text, partitions, set_up, shared_folder, slices, store
 
 # Fixed value: constant of the checksum mask.
 MASK_DELTA = 0xA282EAD8
@@ -172,6 +172,7 @@ def build_index(spark: SparkSession, path: str, token_bytes: int) -> DataFrame:
                 arrays += [pa.array(c, pa.int64()) for c in zip(*rows)]
                 yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in _INDEX.split(", ")])
 
+    set_up(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     return store(files.mapInArrow(scan, _INDEX), "record-index")
 
@@ -195,6 +196,7 @@ def read_shuffled(spark: SparkSession, path: str, index: DataFrame, seed: int, t
 
     Each file is read once, and its records are cut out by the offsets of the index.
     """
+    set_up(spark)
     offsets = index.groupBy("file").agg(F.collect_list("offset").alias("offsets"))  # bounded by RECORDS_PER_FILE
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     joined = files.join(offsets, files["path"] == offsets["file"]).select("file", "offsets", "content")
