@@ -4,6 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ridemetrics.llm.common import store
+
 
 def content_hash(text: Column) -> Column:
     """128-bit hash of a text."""
@@ -50,7 +52,9 @@ def exact_groups(
             .alias("_n"),
         )
     )
-    # A hot group is a hot join key of small rows, which adaptive execution splits.
+    # A hot group is a hot join key of small rows. Stored, both sides come from a plain shuffle, which
+    # adaptive execution can split.
+    groups = store(groups, "equal-texts")
     return keyed.select("doc_id", "_hash", "_sha").join(groups, ["_hash", "_sha"]).select(
         "doc_id",
         F.col("_keep").alias("keep_id"),
