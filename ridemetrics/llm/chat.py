@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.llm.common import make_importable, partitions, store
+from ridemetrics.llm.common import partitions, set_up, store
 
 ROLES = ["system", "user", "assistant"]
 # Positions in a block, and blocks in one of the next level.
@@ -141,7 +141,7 @@ def train(labelled: DataFrame, id_col="conv_id", seq_col="turn", text_col="text"
     is from the last state of the one before, which a window over the transcript's blocks would
     order in one task, so it is counted between neighbours by position (``seq`` and ``seq + 1``).
     """
-    make_importable(labelled.sparkSession)
+    set_up(labelled.sparkSession)
     role = F.array_position(F.array(*map(F.lit, ROLES)), F.lower(role_col)).cast("int") - 1
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(seq_col).cast("long").alias("seq"), role.alias("role"),
@@ -192,7 +192,7 @@ def parse_transcripts(
     is a transcript like others. An empty table gives an empty result; other columns are not read.
     """
     spark = transcripts.sparkSession
-    make_importable(spark)
+    set_up(spark)
     shared = spark.sparkContext.broadcast(model)
     id_type = transcripts.schema[id_col].dataType
     pieces = store(_pieces(transcripts, id_col, seq_col, text_col), "pieces")

@@ -6,8 +6,9 @@ from uuid import uuid4
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Text handled at a time inside a task.
-SLICE_BYTES = 4 << 20
+# Text handled at a time inside a task; some ten times as much is held on the way.
+SLICE_BYTES = 1 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -32,14 +33,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def make_importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it was not shipped with ``--py-files``."""
+def set_up(spark: SparkSession) -> None:
+    """Prepares a session for Python workers that handle texts.
+
+    Workers can import this package where it was not shipped with ``--py-files``. Batches are bounded
+    by bytes, unless the session has a bound of its own: ten thousand long texts at once would not fit.
+    """
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, str(SLICE_BYTES))
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns, ``doc_id`` long and ``text`` as UTF-8 bytes, null as empty; other columns go."""
-    make_importable(docs.sparkSession)
+    set_up(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ridemetrics.llm.common import make_importable, slices, store
+from ridemetrics.llm.common import set_up, slices, store
 
 BUCKETS = 1 << 16
 # Share of a trigram's log likelihood that counts: each byte is in three of them.
@@ -82,7 +82,7 @@ class TextModel:
 
 def train(docs: DataFrame, text_col: str, declared_col: str) -> TextModel:
     """Text model from all documents that declare a language. Its size is languages x BUCKETS."""
-    make_importable(docs.sparkSession)
+    set_up(docs.sparkSession)
     labelled = docs.filter(F.col(declared_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.lower(F.col(declared_col).cast("string")).alias("lang"), F.col(text_col).cast("string").cast("binary").alias("text")
     )

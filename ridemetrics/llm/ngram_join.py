@@ -37,13 +37,16 @@ SIMILARITY = (85, 100)
 # (mean set size) x FREQUENT n-grams can be that frequent, whatever the number of sets.
 FREQUENT = 1000
 # N-grams that a task counts at a time when it looks for frequent ones.
-COUNTED_TOGETHER = 4_000_000
+COUNTED_TOGETHER = 2_000_000
+# Text that is hashed at a time; some ten arrays of as many 64-bit numbers are made of it.
+HASHED_BYTES = 1 << 20
 # Up to this length all pairs of a list are compared (at most 28).
 SHORT_LIST = 8
 # Sets that one part of a frequent n-gram's list holds.
 LIST_PART = 2000
-# Least size of a set's bitmap. Larger sets have larger ones, two to four bits per n-gram.
+# Least and largest size of a set's bitmap; in between it has two to four bits per n-gram.
 SKETCH_BITS = 1024
+MOST_SKETCH_BITS = 8192
 # Most similar sets of its list that a set of a long list is first compared with.
 NEAREST = 3
 # Slack for distances held as doubles.
@@ -76,7 +79,7 @@ def _word_hashes(raw: np.ndarray):
     space = _SPACES[raw]
     edge = np.flatnonzero(np.diff(np.r_[True, space, True].view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
-    up, down, random = _powers(1 << max(22, int(len(raw)).bit_length()))
+    up, down, random = _powers(1 << max(21, int(len(raw)).bit_length()))
     sums = np.zeros(len(raw) + 1, _U)
     np.cumsum(random[raw] * up[: len(raw)], out=sums[1:])
     return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U)), starts
@@ -85,8 +88,8 @@ def _word_hashes(raw: np.ndarray):
 def _pieces(text: bytes):
     """A long text in pieces that end at white space."""
     start = 0
-    while len(text) - start > SLICE_BYTES:
-        cut = _SPACE.search(text, start + SLICE_BYTES)
+    while len(text) - start > HASHED_BYTES:
+        cut = _SPACE.search(text, start + HASHED_BYTES)
         stop = cut.end() if cut else len(text)
         yield text[start:stop]
         start = stop
@@ -100,12 +103,12 @@ def ngram_sets(texts: list[bytes], n: int = N):
     """
     group, held = [], 0
     for text in texts:
-        if len(text) > SLICE_BYTES:
+        if len(text) > HASHED_BYTES:
             yield from _sets_of(group, n)
             group, held = [], 0
             yield _set_of(np.concatenate([_word_hashes(np.frombuffer(p.lower(), np.uint8))[0] for p in _pieces(text)]), n)
             continue
-        if held + len(text) > SLICE_BYTES:
+        if held + len(text) > HASHED_BYTES:
             yield from _sets_of(group, n)
             group, held = [], 0
         group.append(text)
@@ -144,7 +147,7 @@ def _set_of(words: np.ndarray, n: int) -> np.ndarray:
 def _sketch(grams: np.ndarray) -> np.ndarray:
     """Bitmap with a bit set for each n-gram, as words of 64 bits; halves of it OR to the next smaller size."""
     size = SKETCH_BITS
-    while size < 2 * len(grams):
+    while size < min(2 * len(grams), MOST_SKETCH_BITS):
         size *= 2
     bits = np.zeros(size, bool)
     bits[(grams >> _U(20)).astype(np.int64) % size] = True

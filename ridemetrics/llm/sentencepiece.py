@@ -11,6 +11,7 @@ of text is remembered.
 
 import re
 import zlib
+from array import array
 from functools import cache
 
 import ahocorasick
@@ -18,13 +19,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ridemetrics.llm.common import SLICE_BYTES, make_importable
+from ridemetrics.llm.common import SLICE_BYTES, set_up
 
 SPACE = "▁"
 # Fixed value: what an unknown character costs below the worst piece.
 UNKNOWN_PENALTY = 10.0
-# Stretches of text whose pieces a process remembers.
-MEMO = 1_000_000
+# Stretches of text whose pieces a process remembers, twice: those met lately and those before.
+MEMO = 150_000
 
 _STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*")
 
@@ -40,6 +41,7 @@ class Encoder(dict):
     def __init__(self, pieces: list[str], scores: list[float], kinds: list[str]):
         """``kinds``: ``normal``, ``byte`` or ``other`` (never matched) by piece."""
         self.kinds = kinds
+        self.before: dict[str, bytes] = {}
         self.byte_ids = {}
         self.automaton = ahocorasick.Automaton()
         self.text_of = []
@@ -61,10 +63,28 @@ class Encoder(dict):
                 self.text_of.append(b"")
         self.automaton.make_automaton()
         self.is_byte = np.array([k == "byte" for k in kinds])
-        self.dtype = np.uint16 if len(pieces) <= 1 << 16 else np.uint32
+        self.dtype, self.code = (np.uint16, "H") if len(pieces) <= 1 << 16 else (np.uint32, "I")
 
     def search(self, text: str) -> list[int]:
         """Ids of the best segmentation of ``text`` (spaces as ``SPACE``); of equal ones, longer pieces first."""
+        if not self.single.issuperset(text):
+            return self._search_with_unknown(text)
+        size = len(text)
+        best, chosen = [0.0] + [-np.inf] * size, [None] * (size + 1)
+        for last, piece in self.automaton.iter(text):
+            end = last + 1
+            total = best[end - piece[0]] + piece[2]
+            if total > best[end]:
+                best[end], chosen[end] = total, piece
+        ids = []
+        while size:
+            length, i, _ = chosen[size]
+            ids.append(i)
+            size -= length
+        return ids[::-1]
+
+    def _search_with_unknown(self, text: str) -> list[int]:
+        """The same when some characters are no pieces: an edge over each of them is tried as well."""
         size = len(text)
         best, from_, piece = [0.0] + [-np.inf] * size, [0] * (size + 1), [-1] * (size + 1)
         unknown = {i for i, c in enumerate(text) if c not in self.single}
@@ -108,12 +128,16 @@ class Encoder(dict):
         found = list(map(self.get, stretches))
         if None in found:
             if len(self) > MEMO:
+                self.before = dict(self)
                 self.clear()
+                found = [None] * len(stretches)
             for k, ids in enumerate(found):
                 if ids is None:
                     ids = self.get(stretches[k])
                     if ids is None:
-                        ids = np.array(self.search(SPACE + stretches[k]), self.dtype).tobytes()
+                        ids = self.before.get(stretches[k])
+                        if ids is None:
+                            ids = array(self.code, self.search(SPACE + stretches[k])).tobytes()
                         self[stretches[k]] = ids
                     found[k] = ids
         return b"".join(found)
@@ -193,13 +217,13 @@ def _runs(texts: pa.Array):
 
 def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", into: str = "pieces") -> DataFrame:
     """``docs`` with the struct of ``encoded`` in column ``into``, which it replaces if present."""
-    make_importable(docs.sparkSession)
+    set_up(docs.sparkSession)
     return docs.withColumn(into, encoded(F.col(f"`{text_col}`"), model))
 
 
 def decode_pieces(docs: DataFrame, model: str, ids_col: str, into: str = "text") -> DataFrame:
     """``docs`` with the text of the ids in ``ids_col``; null ids give null, damaged UTF-8 is replaced."""
-    make_importable(docs.sparkSession)
+    set_up(docs.sparkSession)
 
     def decode(lists: pa.Array) -> pa.Array:
         encoder = load(model)
