@@ -27,8 +27,8 @@ MARK = 0xFF
 # Contexts of the longest order that the trie keeps, the most frequent ones; it bounds the
 # broadcast table. Texts after any other context are coded from the next shorter one.
 TRIE_CONTEXTS = 1 << 16
-# Words whose counts are broadcast. Of the others none can hold more than one token in so many,
-# so they are joined without a hot key.
+# Words whose counts are broadcast, at most. None of the others holds much more than one token in so
+# many, so they are joined without a hot key.
 COMMON_WORDS = 1 << 17
 # Distinct words that a task counts before it hands them on.
 COUNTED_WORDS = 1_000_000
@@ -181,6 +181,22 @@ class Uniform:
         return -np.log10(256.0) * np.array([len(t) + 1 for t in texts])
 
 
+def _most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows with the largest counts, as many whole classes of counts as hold ``most`` rows together.
+
+    A class is a sixteenth of a power of two, so there are a thousand at most; a sorted limit would
+    send ``most`` rows of each partition to one task.
+    """
+    of = F.floor(16 * F.log2(F.col(column).cast("double")))
+    total, least = 0, None
+    for row in sorted(counts.groupBy(of.alias("of")).count().collect(), reverse=True):
+        total += row["count"]
+        if total > most:
+            break
+        least = row["of"]
+    return counts.filter(of >= least) if least is not None else counts.limit(0)
+
+
 # --- scoring --------------------------------------------------------------------------------------
 
 _SCORED = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, word binary, n long"
@@ -238,12 +254,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     counts = store(counts.groupBy("word", "gram").agg(F.sum("n").alias("n")), "counts")
     vocabulary = counts.filter(F.col("gram").isNull()).select("word", F.col("n").alias("c"))
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("word")).first()
-    common = vocabulary.orderBy(F.desc("c"), "word").limit(COMMON_WORDS).toArrow()
+    common = _most_frequent(vocabulary, "c", COMMON_WORDS).toArrow()
     logs = np.log10(common.column("c").to_numpy() + 1.0).tolist()
     common = dict(zip(common.column("word").to_pylist(), logs))
     grams = counts.filter(F.col("gram").isNotNull())
-    # The most frequent sequences; the table that is broadcast is bounded by TRIE_CONTEXTS.
-    grams = grams.select("gram", "n").orderBy(F.desc("n"), "gram").limit(16 * TRIE_CONTEXTS).toArrow()
+    # What the table is built from; the table itself is bounded by TRIE_CONTEXTS.
+    grams = _most_frequent(grams.select("gram", "n"), "n", 16 * TRIE_CONTEXTS).toArrow()
     keys, times = grams.column("gram").to_numpy(), grams.column("n").to_numpy()
     shared = spark.sparkContext.broadcast((common, CodeTable(keys, times) if len(keys) else Uniform()))
 
