@@ -21,8 +21,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of similar documents."""
-    return drop_similar(docs)
+    """Keeps one document of each class of similar documents: 5-word Jaccard similarity of 0.8 or more."""
+    return drop_similar(docs, n=5, similarity=(80, 100))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

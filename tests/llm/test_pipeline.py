@@ -71,6 +71,26 @@ def test_stages_keep_what_plain_versions_keep(spark, corpus):
     assert {r.doc_id for r in whole.select("doc_id").collect()} == set(kept) - dirty
 
 
+def test_near_copies_from_four_fifths_on_go(spark):
+    """Pairs planted around 0.8 at five words; those below 0.85 stayed at four words and 0.85."""
+    rng = random.Random(8)
+
+    def pair(shared, apart):
+        """Two texts with ``shared`` five-word runs in common, and ``apart`` more in each."""
+        head = [f"w{rng.randrange(10**9)}" for _ in range(shared + 4)]
+        return [" ".join(head + [f"w{rng.randrange(10**9)}" for _ in range(apart)]) for _ in range(2)]
+
+    # shared / (shared + 2 apart): 0.80, 0.82, 0.84, 0.78, 0.90
+    pairs = [pair(160, 20), pair(164, 18), pair(168, 16), pair(156, 22), pair(180, 10)]
+    texts = {k: t for k, t in enumerate(t for p in pairs for t in p)}
+    similar = brute.similarity_classes(texts, n=5, t=(80, 100))
+    wanted = {k for k in texts if similar[k][1] == k}
+    assert wanted == {0, 2, 4, 6, 7, 8}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    kept = dict(corpus_pipeline.STAGES)["ngram_join"](spark, docs, SF)
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == wanted
+
+
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "ngram_join", "decontamination", "sentencepiece"]
     assert corpus_pipeline.ORACLE_SQL is None
