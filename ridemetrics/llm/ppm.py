@@ -5,8 +5,13 @@ A byte seen after the longest known context has probability c / (n + d) there, w
 of d different bytes; the escape to the next shorter context has d / (n + d). Bytes that the longer
 context has seen are excluded from the shorter one's counts; below order 0 the bytes left are
 equally likely. As every byte seen after a context is also seen after its suffix, what is excluded
-depends on the next longer context only, so each context's code lengths, escapes included, are one
-row of a table, and scoring a text is a table lookup per byte.
+depends on the next longer context only, so the code length of a byte after a context, escapes
+included, is one number, which all texts share.
+
+All counts of the longest order are a stored table, and the shorter orders are summed from it. The
+code lengths of the most frequent sequences are broadcast; a text's other sequences are joined with
+the stored ones. Sequences that training has not seen descend order by order, each distinct one once;
+the lowest orders, of which there are 65,536 contexts at most, are a dense table.
 
 Texts are framed by a marker that UTF-8 never uses: it fills the context ahead of the first byte
 and is the symbol that ends the text, so a score is the probability of the text as a whole.
@@ -22,16 +27,22 @@ from pyspark.sql import DataFrame, functions as F
 
 from ridemetrics.llm.common import id_and_text, slices, store
 
-ORDER = 3
+ORDER = 5
 MARK = 0xFF
-# Contexts of the longest order that the trie keeps, the most frequent ones; it bounds the
-# broadcast table. Texts after any other context are coded from the next shorter one.
+# Longest order of the dense table in the query.
+TABLE_ORDER = 2
+# Contexts of its longest order that a dense table keeps, the most frequent ones; all that there can
+# be at TABLE_ORDER.
 TRIE_CONTEXTS = 1 << 16
+# Byte sequences whose code lengths are broadcast, at most; the others are joined.
+COMMON_GRAMS = 1 << 21
 # Words whose counts are broadcast, at most. None of the others holds much more than one token in so
 # many, so they are joined without a hot key.
 COMMON_WORDS = 1 << 17
 # Distinct words that a task counts before it hands them on.
 COUNTED_WORDS = 1_000_000
+# The same for byte sequences.
+COUNTED_GRAMS = 4_000_000
 # Stands for the end of a text among the words; no word can hold a space.
 END = b" "
 
@@ -58,6 +69,15 @@ def _coded(starts, lengths, size):
     return np.cumsum(coded[:-1]).astype(bool)
 
 
+def _keys(raw):
+    """The ORDER bytes ahead of each byte from the ORDER-th on, and the byte, as one number."""
+    wide = raw.astype(np.int64)
+    keys = wide[ORDER:].copy()
+    for k in range(ORDER):
+        keys |= wide[k : len(wide) - ORDER + k] << 8 * (ORDER - k)
+    return keys
+
+
 # --- counting -----------------------------------------------------------------------------------
 
 _COUNTS = "word binary, gram long, n long"
@@ -67,7 +87,7 @@ def _counts(texts: DataFrame) -> DataFrame:
     """Counts of words (ends of texts among them) and of byte sequences of ORDER + 1, by task."""
 
     def count(batches):
-        seen, grams, n_grams = Counter(), [], [0]
+        seen, grams = Counter(), []
 
         def handed_on():
             yield pa.RecordBatch.from_arrays(
@@ -81,60 +101,66 @@ def _counts(texts: DataFrame) -> DataFrame:
             found, place = np.unique(keys, return_inverse=True)
             return found, np.bincount(place, np.concatenate([c for _, c in grams])).astype(np.int64)
 
+        def of_grams():
+            keys, n = merged()
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(len(keys), pa.binary()), pa.array(keys), pa.array(n)], ["word", "gram", "n"]
+            )
+
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             for text in texts:
                 seen.update(text.lower().split())
             seen[END] += len(texts)
             raw, starts, lengths = _framed(texts)
-            wide = raw.astype(np.uint32)
-            keys = wide[:-3] << 24 | wide[1:-2] << 16 | wide[2:-1] << 8 | wide[3:]
-            keys = keys[_coded(starts, lengths, len(raw))[ORDER:]]
+            keys = _keys(raw)[_coded(starts, lengths, len(raw))[ORDER:]]
             grams.append(np.unique(keys, return_counts=True))
             if len(grams) > 16:
                 grams[:] = [merged()]
+                if len(grams[0][0]) > COUNTED_GRAMS:
+                    yield of_grams()
+                    grams.clear()
             if len(seen) > COUNTED_WORDS:
                 yield from handed_on()
-        if grams:
+        if seen:
             yield from handed_on()
-            keys, n = merged()
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(keys), pa.binary()), pa.array(keys.astype(np.int64)), pa.array(n)], ["word", "gram", "n"]
-            )
+        if grams:
+            yield of_grams()
 
     return texts.mapInArrow(count, _COUNTS)
 
 
-# --- the trie as a table --------------------------------------------------------------------------
+# --- the lowest orders as a table --------------------------------------------------------------------------
 
 
 class CodeTable:
-    """Code lengths in decimal digits: ``cost[row[context], symbol]``.
+    """Code lengths in decimal digits: ``cost[row[context], symbol]``, and ``after`` an escape from there.
 
-    ``symbol_of`` maps bytes to the symbols seen in training; the last symbol is any other byte.
+    ``keys`` are sequences of ``longest`` + 1 bytes. ``symbol_of`` maps bytes to the symbols seen in training; the last symbol is any other byte.
     """
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        raw = np.stack([keys >> 24 & 255, keys >> 16 & 255, keys >> 8 & 255, keys & 255]).astype(np.int64)
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, longest: int = 3):
+        self.longest = longest
+        raw = self._bytes(keys)
         used = np.unique(np.append(raw, MARK))
         self.size = size = len(used) + 1
         self.symbol_of = np.full(256, size - 1, np.int64)
         self.symbol_of[used] = np.arange(size - 1)
         s = self.symbol_of[raw]
         rows, escapes, contexts = [], [], []
-        for order in range(ORDER + 1):
+        for order in range(longest + 1):
             index = np.zeros(len(counts), np.int64)
-            for k in range(ORDER - order, ORDER):
+            for k in range(longest - order, longest):
                 index = index * size + s[k]
             found, place = np.unique(index, return_inverse=True)
-            if order == ORDER and len(found) > TRIE_CONTEXTS:
+            if order == longest and len(found) > TRIE_CONTEXTS:
                 weight = np.bincount(place, counts, len(found))
                 best = np.sort(np.argsort(-weight, kind="stable")[:TRIE_CONTEXTS])
                 number = np.full(len(found), -1)
                 number[best] = np.arange(len(best))
                 found, place = found[best], number[place]
             seen = np.zeros((len(found), size))
-            np.add.at(seen, (place[place >= 0], s[ORDER][place >= 0]), counts[place >= 0])
+            np.add.at(seen, (place[place >= 0], s[longest][place >= 0]), counts[place >= 0])
             shorter = None if not order else np.searchsorted(contexts[-1], found % size ** (order - 1))
             cost, escape = self._level(seen, shorter, rows and self._seen, escapes and escapes[-1])
             self._seen = seen
@@ -143,9 +169,10 @@ class CodeTable:
             contexts.append(found)
         del self._seen
         self.cost = np.concatenate(rows).astype(np.float32)
+        self.after = np.concatenate(escapes).astype(np.float32)
         offset = np.cumsum([0] + [len(r) for r in rows])
         self.row = np.zeros(1, np.int32)  # order 0 has one row, the first
-        for order in range(1, ORDER + 1):
+        for order in range(1, longest + 1):
             self.row = np.tile(self.row, size)
             self.row[contexts[order]] = offset[order] + np.arange(len(contexts[order]))
 
@@ -164,21 +191,17 @@ class CodeTable:
         total = np.log10(n + d)
         return np.where(seen > 0, total - np.log10(np.maximum(1, seen)), total - np.log10(d) + escape), escape
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text."""
-        raw, starts, lengths = _framed(texts)
-        s = self.symbol_of[raw]
-        context = (s[:-3] * self.size + s[1:-2]) * self.size + s[2:-1]
-        cost = np.r_[np.zeros(ORDER), self.cost[self.row[context], s[3:]].astype(np.float64)]
-        cost[~_coded(starts, lengths, len(raw))] = 0
-        return -np.add.reduceat(cost, starts)
-
+    def _bytes(self, keys):
+        return np.stack([keys >> 8 * (self.longest - k) & 255 for k in range(self.longest + 1)]).astype(np.int64)
 
-class Uniform:
-    """The model before any training: every byte, and the end, is one of 256."""
-
-    def score(self, texts):
-        return -np.log10(256.0) * np.array([len(t) + 1 for t in texts])
+    def lookup(self, keys: np.ndarray):
+        """Costs of sequences, and costs of their last byte after an escape from the bytes ahead of it."""
+        s = self.symbol_of[self._bytes(keys)]
+        context = np.zeros(len(keys), np.int64)
+        for k in range(self.longest):
+            context = context * self.size + s[k]
+        at = self.row[context], s[self.longest]
+        return self.cost[at].astype(np.float64), self.after[at].astype(np.float64)
 
 
 def _most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
@@ -197,17 +220,119 @@ def _most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
     return counts.filter(of >= least) if least is not None else counts.limit(0)
 
 
+# --- the longer orders as stored tables -----------------------------------------------------------
+
+
+def _low(column, n_bytes: int):
+    return F.col(column).bitwiseAND(F.lit((1 << 8 * n_bytes) - 1))
+
+
+def _contexts(grams: DataFrame, order: int) -> DataFrame:
+    """Per context of ``order`` bytes: occurrences ``n``, of ``d`` different bytes, and these bytes' counts."""
+    return store(
+        grams.groupBy(F.shiftright("gram", 8).alias("context")).agg(
+            F.sum("n").alias("n"), F.count("*").alias("d"), F.collect_list(F.struct(_low("gram", 1).alias("byte"), "n")).alias("seen")
+        ),
+        f"order-{order}",
+    )
+
+
+def _grams(contexts: DataFrame, *more) -> DataFrame:
+    """A row per byte after a context, at most 256 of each."""
+    rows = contexts.select("*", F.explode("seen").alias("of"))
+    return rows.select(F.shiftleft("context", 8).bitwiseOR(F.col("of.byte")).alias("gram"), F.col("of.n").alias("n"), *more)
+
+
+def _all_orders(grams: DataFrame) -> dict[int, DataFrame]:
+    """Contexts of each order from TABLE_ORDER to ORDER."""
+    contexts = {ORDER: _contexts(grams, ORDER)}
+    for order in range(ORDER - 1, TABLE_ORDER - 1, -1):
+        shorter = _grams(contexts[order + 1]).groupBy(_low("gram", order + 1).alias("gram")).agg(F.sum("n").alias("n"))
+        contexts[order] = _contexts(shorter, order)
+    return contexts
+
+
+def _descended(missing: DataFrame, contexts: dict[int, DataFrame], shared) -> DataFrame:
+    """``gram, cost`` of distinct sequences of ORDER + 1 bytes that training has not seen.
+
+    ``cost`` holds where no longer context is known, ``after`` past an escape from a known context. Each
+    distinct sequence goes down once, so none of the joins has a key with more than 65,536 rows.
+    """
+    levels = []
+    for order in range(ORDER, TABLE_ORDER, -1):
+        shorter = contexts[order - 1].toDF("context", "n_below", "d_below", "seen_below")
+        rows = missing.select("gram", F.shiftright("gram", 8).alias("context")).join(contexts[order], "context", "left")
+        rows = rows.withColumn("context", _low("context", order - 1)).join(shorter, "context", "left")
+        known = F.col("n").isNotNull()
+        there = F.get(F.filter("seen_below", lambda x: x["byte"] == _low("gram", 1)), 0)["n"]
+        excluded = F.filter("seen_below", lambda x: F.array_contains("seen.byte", x["byte"]))
+        n_left = F.col("n_below") - F.aggregate(excluded, F.lit(0).cast("long"), lambda total, x: total + x["n"])
+        rows = rows.select("gram", "n", "d", "n_below", "d_below", there.alias("there"), n_left.alias("n_left"))
+        total = F.log10(F.when(known, F.col("n_left") + F.col("d_below") - F.col("d")).otherwise(F.col("n_below") + F.col("d_below")).cast("double"))
+        again = F.when(known & (F.col("d_below") > F.col("d")), total - F.log10(F.col("d_below") - F.col("d"))).otherwise(0.0)
+        levels.append(
+            store(
+                rows.select(
+                    "gram",
+                    _low("gram", order).alias("lower"),
+                    known.alias("known"),
+                    F.col("there").isNull().alias("deeper"),
+                    F.when(known, F.log10(F.col("n") + F.col("d")) - F.log10("d")).otherwise(0.0).alias("escape"),
+                    F.when(F.col("there").isNotNull(), total - F.log10("there")).otherwise(again).alias("own"),
+                ),
+                f"unseen-{order}",
+            )
+        )
+        missing = levels[-1].filter("deeper").select(F.col("lower").alias("gram")).distinct()
+
+    def look_up(batches):
+        table = shared.value
+        for batch in batches:
+            cost, after = table.lookup(batch.column("gram").to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.array(cost), pa.array(after)], ["gram", "cost", "after"])
+
+    costs = missing.mapInArrow(look_up, "gram long, cost double, after double")
+    for level in reversed(levels):
+        rows = level.join(costs.toDF("lower", "cost_below", "after_below"), "lower", "left")
+        after = F.col("own") + F.when(F.col("deeper"), F.col("after_below")).otherwise(0.0)
+        unknown = F.col("own") + F.when(F.col("deeper"), F.col("cost_below")).otherwise(0.0)
+        costs = rows.select("gram", F.when(F.col("known"), F.col("escape") + after).otherwise(unknown).alias("cost"), after.alias("after"))
+    return costs.select("gram", "cost")
+
+
 # --- scoring --------------------------------------------------------------------------------------
 
-_SCORED = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, word binary, n long"
+_SCORED = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, word binary, gram long, n long"
+
+
+def _common_scores(texts, grams, costs):
+    """Scores of the texts' common byte sequences, and the others as text, sequence and times.
+
+    Without ``grams`` there was no training: each byte, and the end, is one of 256.
+    """
+    raw, starts, lengths = _framed(texts)
+    none = np.zeros(0, np.int64)
+    if grams is None:
+        return -np.log10(256.0) * (lengths + 1), none, none, none
+    keys, coded = _keys(raw), _coded(starts, lengths, len(raw))
+    place = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
+    common = grams[place] == keys
+    cost = np.r_[np.zeros(ORDER), np.where(common, costs[place], 0.0)]
+    cost[~coded] = 0
+    at = np.flatnonzero(coded[ORDER:] & ~common)
+    of, keys = np.searchsorted(starts, at + ORDER, "right") - 1, keys[at]
+    order = np.lexsort((keys, of))
+    of, keys = of[order], keys[order]
+    first = np.flatnonzero(np.r_[True, (np.diff(of) != 0) | (np.diff(keys) != 0)][: len(of)])
+    return -np.add.reduceat(cost, starts), of[first], keys[first], np.diff(np.r_[first, len(of)])
 
 
 def _scores(docs: DataFrame, shared) -> DataFrame:
-    """A row per document, and a row for each of its words that is not a common one."""
+    """A row per document, and a row for each of its words and byte sequences that is not a common one."""
     names = [c.split()[0] for c in _SCORED.split(", ")]
 
     def score(batches):
-        common, table = shared.value
+        common, grams, costs = shared.value
         key = TaskContext.get().partitionId() << 40
         end = common.get(END)
         for batch in slices(batches):
@@ -228,11 +353,15 @@ def _scores(docs: DataFrame, shared) -> DataFrame:
                 known[i] = len(found) - len(rest) + (end is not None)
                 logs[i] = log.sum() + len(rest) + (end or 0.0)
             columns = [np.arange(key, key + size), batch.column("doc_id"), batch.column("held_out"), tokens, known, logs]
-            columns += [table.score(texts), pa.nulls(size, pa.binary()), pa.nulls(size, pa.int64())]
+            score, *rare = _common_scores(texts, grams, costs)
+            columns += [score, pa.nulls(size, pa.binary()), *[pa.nulls(size, pa.int64())] * 2]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
             types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
             columns = [pa.array(keys, pa.int64()), *(pa.nulls(len(keys), t) for t in types)]
-            columns += [pa.array(words, pa.binary()), pa.array(times, pa.int64())]
+            columns += [pa.array(words, pa.binary()), pa.nulls(len(keys), pa.int64()), pa.array(times, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+            of, gram, times = rare
+            columns = [pa.array(key + of), *(pa.nulls(len(of), t) for t in (*types, pa.binary())), pa.array(gram), pa.array(times)]
             yield pa.RecordBatch.from_arrays(columns, names)
             key += size
 
@@ -257,26 +386,42 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     common = _most_frequent(vocabulary, "c", COMMON_WORDS).toArrow()
     logs = np.log10(common.column("c").to_numpy() + 1.0).tolist()
     common = dict(zip(common.column("word").to_pylist(), logs))
-    grams = counts.filter(F.col("gram").isNotNull())
-    # What the table is built from; the table itself is bounded by TRIE_CONTEXTS.
-    grams = _most_frequent(grams.select("gram", "n"), "n", 16 * TRIE_CONTEXTS).toArrow()
-    keys, times = grams.column("gram").to_numpy(), grams.column("n").to_numpy()
-    shared = spark.sparkContext.broadcast((common, CodeTable(keys, times) if len(keys) else Uniform()))
+    grams, costs = None, None
+    if n:
+        contexts = _all_orders(counts.filter(F.col("gram").isNotNull()).select("gram", "n"))
+        seen = _grams(contexts[ORDER], (F.log10(F.col("n") + F.col("d")) - F.log10("of.n")).alias("cost"))
+        most = _most_frequent(seen, "n", COMMON_GRAMS).select("gram", "cost").toArrow().sort_by("gram")
+        # A number that no sequence has keeps the array from being empty.
+        grams = np.append(most.column("gram").to_numpy(), 1 << 62)
+        costs = np.append(most.column("cost").to_numpy(), 0.0).astype(np.float32)
+    shared = spark.sparkContext.broadcast((common, grams, costs))
 
     scored = store(_scores(rows.withColumn("held_out", ~training()), shared), "scores")
-    documents = scored.filter(F.col("word").isNull())
+    documents = scored.filter(F.col("word").isNull() & F.col("gram").isNull())
     others = scored.filter(F.col("word").isNotNull()).select("key", "word", "n")
+    score = F.col("score")
+    if n:
+        rare = scored.filter(F.col("gram").isNotNull()).select("key", "gram", "n")
+        needed = store(rare.select("gram").distinct().join(seen.select("gram", "cost"), "gram", "left"), "needed")
+        # At most 256 x TRIE_CONTEXTS sequences.
+        low = _grams(contexts[TABLE_ORDER]).toArrow()
+        table = CodeTable(low.column("gram").to_numpy(), low.column("n").to_numpy(), TABLE_ORDER)
+        unseen = _descended(needed.filter("cost IS NULL").select("gram"), contexts, spark.sparkContext.broadcast(table))
+        needed = needed.filter("cost IS NOT NULL").unionByName(unseen)
+        rare = rare.join(needed, "gram").groupBy("key").agg(F.sum(F.col("n") * F.col("cost")).alias("rare_cost"))
+        documents = documents.drop("gram").join(rare, "key", "left")
+        score = score - F.coalesce("rare_cost", F.lit(0.0))
     found = others.join(vocabulary, "word").groupBy("key").agg(
         F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("more_logs")
     )
     none = F.lit(0)
     base = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))
-    return documents.drop("word", "n").join(found, "key", "left").select(
+    return documents.drop("word", "gram", "n").join(found, "key", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", none)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        score.alias("score"),
     )

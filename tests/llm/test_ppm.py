@@ -85,6 +85,28 @@ def test_equals_plain_versions(spark, monkeypatch, common):
         assert r.score == pytest.approx(trie.score((text or "").encode()), rel=1e-5)
 
 
+@pytest.mark.parametrize("grams", [0, 50, 1 << 21])
+def test_no_sequence_is_lost(spark, monkeypatch, grams):
+    """Rare contexts and rare bytes count however little is broadcast."""
+    monkeypatch.setattr(ppm, "COMMON_GRAMS", grams, raising=False)
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choices("abc d\u00e9" + chr(0x4E00 + i), k=60))) for i in range(60)]
+    got = {r.doc_id: r.score for r in lm_scores(spark.createDataFrame(rows, SCHEMA)).collect()}
+    trie = _Trie([t.encode() for d, t in rows if not _held_out(d)])
+    for doc_id, text in rows:
+        assert got[doc_id] == pytest.approx(trie.score(text.encode()), rel=1e-5)
+
+
+def test_a_passage_of_a_large_corpus_is_known(spark):
+    """What has been seen once is remembered, however much else there is."""
+    rng = random.Random(5)
+    train, held = (next(i for i in range(100) if _held_out(i) == x) for x in (False, True))
+    text = "".join(rng.choices([chr(0x4E00 + i) for i in range(20_000)], k=40_000))
+    rows = [(train, text), (held, text[20_000:20_100])]
+    score = {r.doc_id: r.score for r in lm_scores(spark.createDataFrame(rows, SCHEMA)).collect()}[held]
+    assert -score < 0.5 * 300
+
+
 @pytest.mark.parametrize("contexts", [2, 1 << 16])
 def test_probabilities_add_up(monkeypatch, contexts):
     """Also when rarer contexts are coded from shorter ones."""
