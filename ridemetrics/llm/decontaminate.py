@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.llm.common import id_and_text, slices, store, without_ids
+from ridemetrics.llm.common import id_and_text, slices, store
 
 WINDOW_WORDS = 13
 # Test words that one pass over the documents handles; bounds what is broadcast.
@@ -74,7 +74,7 @@ def _count_terms(docs: DataFrame, shared) -> DataFrame:
     return docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-_INDEX = "doc_id long, n_words long, terms binary, lengths binary, positions binary"
+_INDEX = "doc_id long, key long, n_words long, terms binary, lengths binary, positions binary"
 
 
 def _index(docs: DataFrame, shared) -> DataFrame:
@@ -87,21 +87,21 @@ def _index(docs: DataFrame, shared) -> DataFrame:
         rarest[list(test.starting)] = True
         for batch in slices(batches):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
                 found = words(text)
                 ids = np.array([get(w, n) for w in found], np.int32)
                 if not rarest[ids].any():
-                    rows.append((doc_id, len(ids), None, None, None))
+                    rows.append((doc_id, key, len(ids), None, None, None))
                     continue
                 known = np.flatnonzero(ids < n)
                 known = known[np.argsort(ids[known], kind="stable")]
                 terms, lengths = np.unique(ids[known], return_counts=True)
                 parts = (terms, lengths, known)
-                rows.append((doc_id, len(ids), *[x.astype(np.int32).tobytes() for x in parts]))
+                rows.append((doc_id, key, len(ids), *[x.astype(np.int32).tobytes() for x in parts]))
             columns = list(zip(*rows))
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "terms", "lengths", "positions"])
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "n_words", "terms", "lengths", "positions"])
 
     return docs.mapInArrow(build, _INDEX)
 
@@ -120,7 +120,7 @@ def _occurrences(window, places, postings, slop):
     return starts
 
 
-_MATCHES = "doc_id long, n_words long, spans array<struct<first:long,past:long>>, items array<long>, near array<long>"
+_MATCHES = "doc_id long, key long, n_words long, spans array<struct<first:long,past:long>>, items array<long>, near array<long>"
 
 
 def _match(index: DataFrame, shared, slop: int) -> DataFrame:
@@ -145,13 +145,13 @@ def _match(index: DataFrame, shared, slop: int) -> DataFrame:
                                 spans += [(s, s + len(window)) for s in starts.tolist()]
                             if slop and (len(starts) or len(_occurrences(window, places, postings, slop))):
                                 near.update(test.items[k])
-                rows.append((row["doc_id"], row["n_words"], _joined(spans), sorted(items), sorted(near | items)))
+                rows.append((row["doc_id"], row["key"], row["n_words"], _joined(spans), sorted(items), sorted(near | items)))
             span = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
-            types = [pa.int64(), pa.int64(), span, pa.list_(pa.int64()), pa.list_(pa.int64())]
-            structs = [[{"first": a, "past": b} for a, b in r[2]] for r in rows]
-            columns = [[r[0] for r in rows], [r[1] for r in rows], structs, [r[3] for r in rows], [r[4] for r in rows]]
+            types = [pa.int64(), pa.int64(), pa.int64(), span, pa.list_(pa.int64()), pa.list_(pa.int64())]
+            columns = [list(c) for c in zip(*rows)]
+            columns[3] = [[{"first": a, "past": b} for a, b in spans] for spans in columns[3]]
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "spans", "items", "near"])
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "n_words", "spans", "items", "near"])
 
     return index.mapInArrow(match, _MATCHES)
 
@@ -167,42 +167,23 @@ def _joined(spans):
     return out
 
 
-def _blocks(items: DataFrame, block_words: int):
-    """Lists of (item_id, text); each holds about ``block_words`` words and is all that is on the driver."""
+def _block_count(items: DataFrame, block_words: int) -> int:
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    count = -(-size // (2 * block_words)) or 1
+    return -(-size // (2 * block_words)) or 1
+
+
+def _blocks(items: DataFrame, count: int):
+    """Lists of (item_id, text); each holds about a block's words and is all that is on the driver."""
     for k in range(count):
         part = items if count == 1 else items.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)) == k)
         yield [(row["doc_id"], bytes(row["text"])) for row in part.toLocalIterator()]
 
 
-def find_test_passages(
-    docs: DataFrame,
-    items: DataFrame,
-    window_words: int = WINDOW_WORDS,
-    slop: int = 2,
-    block_words: int = BLOCK_WORDS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_id_col: str = "item_id",
-) -> DataFrame:
-    """Per document: ``doc_id, n_words, spans, items, near``.
-
-    ``spans`` are the word ranges covered by occurrences of test windows, ``items`` the ids of the
-    items with an occurring window, ``near`` those with a window whose words all stand within
-    ``slop`` of their places (the exact ones among them). An item shorter than a window is one
-    window; an item without words matches nothing; an item without an id covers words and is not
-    listed; repeated items count once.
-
-    Null and empty texts have no words. Repeated rows are answered one by one (with several blocks
-    of items, rows with equal id and text are merged). Empty tables on either side are allowed, and
-    other columns are not read.
-    """
+def _passages(docs: DataFrame, tests: DataFrame, count: int, window_words: int = WINDOW_WORDS, slop: int = 2) -> DataFrame:
+    """Answers per row of ``doc_id, key, text``; with several blocks, rows with equal id and key become one."""
     spark = docs.sparkSession
-    docs = id_and_text(docs, id_col, text_col)
-    tests = id_and_text(items, item_id_col, text_col)
     answers = []
-    for block in _blocks(tests, block_words):
+    for block in _blocks(tests, count):
         test = TestTerms(block, window_words)
         shared = spark.sparkContext.broadcast(test)
         counts = np.zeros(len(test.terms) + 1, np.int64)
@@ -218,14 +199,43 @@ def find_test_passages(
     every = answers[0]
     for answer in answers[1:]:
         every = every.unionByName(answer)
-    merged = every.groupBy("doc_id", "n_words").agg(
+    merged = every.groupBy("doc_id", "key", "n_words").agg(
         *[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "near")]
     )
     return merged.select(
-        "doc_id", "n_words", "spans", *[F.array_sort(F.array_distinct(c)).alias(c) for c in ("items", "near")]
+        "doc_id", "key", "n_words", "spans", *[F.array_sort(F.array_distinct(c)).alias(c) for c in ("items", "near")]
     )
 
 
+def find_test_passages(
+    docs: DataFrame,
+    items: DataFrame,
+    window_words: int = WINDOW_WORDS,
+    slop: int = 2,
+    block_words: int = BLOCK_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+) -> DataFrame:
+    """Per document: ``doc_id, n_words, spans, items, near``.
+
+    ``spans`` are the word ranges covered by occurrences of test windows, ``items`` the ids of the
+    items with an occurring window, ``near`` those with a window whose words all stand within
+    ``slop`` of their places (the exact ones among them). An item shorter than a window is one
+    window; an item without words matches nothing; an item without an id covers words and is not
+    listed; repeated items count once.
+
+    Null and empty texts have no words. Rows are answered one by one, whatever their ids and however
+    many blocks of items there are: with several, the rows are stored once with a number each. Then
+    ``spans`` may overlap. Empty tables on either side are allowed, and other columns are not read.
+    """
+    tests = id_and_text(items, item_id_col, text_col)
+    count = _block_count(tests, block_words)
+    docs = id_and_text(docs, id_col, text_col).withColumn("key", F.monotonically_increasing_id())
+    docs = store(docs, "numbered") if count > 1 else docs
+    return _passages(docs, tests, count, window_words, slop).drop("key")
+
+
 def hit_words(spans="spans"):
     """Number of words covered by spans that may overlap: they are swept in order."""
     step = F.aggregate(
@@ -239,6 +249,10 @@ def hit_words(spans="spans"):
     return step["hit"]
 
 
+def _contaminated():
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
 def contamination(passages: DataFrame) -> DataFrame:
     """Counts of ``find_test_passages`` per document; contaminated from one hit word in twenty on."""
     listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
@@ -249,12 +263,34 @@ def contamination(passages: DataFrame) -> DataFrame:
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(listed, 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        _contaminated().alias("contaminated"),
         F.size("near").cast("long").alias("n_near"),
     )
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without contaminated documents, all columns; null ids stay, as they name no document."""
-    found = contamination(find_test_passages(docs, items, id_col=id_col, **options)).filter("contaminated")
-    return without_ids(docs, id_col, store(found.select("doc_id").distinct(), "contaminated"))
+def drop_contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    block_words: int = BLOCK_WORDS,
+    **options,
+) -> DataFrame:
+    """``docs`` without contaminated documents, all columns; null ids stay, as they name no document.
+
+    Of rows with one id, those go whose own text is contaminated.
+    """
+    tests = id_and_text(items, item_id_col, text_col)
+    rows = id_and_text(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
+    found = _passages(rows, tests, _block_count(tests, block_words), **options)
+    bad = found.withColumn("n_hit", hit_words()).filter(_contaminated()).select("doc_id", "key").distinct()
+    bad = store(bad, "contaminated")
+    # The rows travel as one column, so no name of theirs can clash.
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("key"),
+    )
+    return whole.join(bad, ["doc_id", "key"], "left_anti").select("row.*")

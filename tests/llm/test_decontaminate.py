@@ -64,3 +64,21 @@ def test_dropping_and_edges(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 3]
     assert drop_contaminated(docs, items.limit(0)).count() == 4
     assert contamination(find_test_passages(docs.limit(0), items)).count() == 0
+
+
+@pytest.mark.parametrize("block_words", [60, 10**6])
+def test_null_and_repeated_ids(spark, block_words):
+    """Each row has its own answer, in one block of items and in many."""
+    rng = random.Random(3)
+    items = [(i, " ".join(rng.choices("abcdefgh", k=40))) for i in range(6)]
+    texts = [" ".join(rng.choices("abcdefgh", k=60)) for _ in range(20)] + [None, "", items[5][1], items[5][1]]
+    texts += [" ".join(reversed(t.split())) for _, t in items] + [f"{t} {'z ' * 20}" for _, t in items]
+    answers = brute.contamination(dict(enumerate(texts)), items)
+    for doc_id in (None, 7):
+        table = spark.createDataFrame([(doc_id, t) for t in texts], DOCS).repartition(3)
+        tests = spark.createDataFrame(items, ITEMS)
+        found = contamination(find_test_passages(table, tests, block_words=block_words)).collect()
+        got = [(r.n_words, r.n_hit, r.n_items, r.contaminated) for r in found]
+        assert sorted(got) == sorted((n, hit, len(names), bad) for n, hit, names, bad in answers.values())
+        kept = [r.text or "" for r in drop_contaminated(table, tests, block_words=block_words).collect()]
+        assert sorted(kept) == sorted(t or "" for k, t in enumerate(texts) if doc_id is None or not answers[k][3])
