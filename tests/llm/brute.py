@@ -1,6 +1,10 @@
 """Plain single-machine versions of the operators, written from their contracts."""
 
+import hashlib
+import heapq
+import math
 import re
+import zlib
 from collections import defaultdict
 
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -76,3 +80,99 @@ def secrets(text):
     for order, (kind, (pattern, group, least)) in enumerate(SECRET.items()):
         spans += [(m.start(), order, kind, m.end()) for m in pattern.finditer(text or "") if len(m[group]) >= least]
     return sorted(spans)
+
+
+def top_k(rows, every=50, k=5, factor=256):
+    """[(query id, rank, id, score)] of [(id, vector)] with unique ids, by scoring all pairs."""
+    whole = [
+        (i, [math.floor(factor * x) for x in v])
+        for i, v in rows
+        if v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = []
+    for i, v in whole:
+        if i is None or i % every:
+            continue
+        scores = [(-sum(a * b for a, b in zip(v, w)), j is None, j) for j, w in whole if j != i and len(w) == len(v)]
+        out += [(i, rank, j, -score) for rank, (score, _, j) in enumerate(sorted(scores, key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1)]
+    return out
+
+
+def clusters(rows, dimensions=64, k=40, rounds=5, factor=256, seed="2"):
+    """{id: (cluster, distance, cluster's sum, whole sum, digest of the centroid)} of [(id, vector)]."""
+    whole = [
+        (i, [math.floor(factor * x) for x in v])
+        for i, v in rows
+        if v is not None and len(v) == dimensions and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    first = sorted(whole, key=lambda r: (hashlib.sha256(f"{seed}:{r[0]}".encode()).hexdigest(), r[1]))[:k]
+    centroids = [v for _, v in first]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for _, v in whole:
+            members[nearest(v)[1]].append(v)
+        for j, vs in members.items():
+            centroids[j] = [sum(column) // len(vs) for column in zip(*vs)]
+    found = [(i, *nearest(v)) for i, v in whole]
+    sums = defaultdict(int)
+    for _, distance, j in found:
+        sums[j] += distance
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return {i: (j, distance, sums[j], sum(sums.values()), digests[j]) for i, distance, j in found}
+
+
+def damage(rows):
+    """Rows (conversation, turn, role, text) after the damage of the contract."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, lines) of one conversation's rows (turn, role, text).
+
+    Searches all edits, cheapest first and then by audit.
+    """
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    faults, seen = [], set()
+    for _, role, text in rows:
+        shown = re.findall(r"[^\x20\x09-\x0D]", text)
+        faults.append("blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else None)
+        seen.add((role, text))
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    initials = [role[:1] for _, role, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    # Best (cost, audit, lines) of the edits so far by the initials that may come next.
+    after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    names = {"u": "user", "a": "assistant"}
+    queue, done = [(0, "", 0, "", ())], set()
+    while queue:
+        cost, audit, i, state, lines = heapq.heappop(queue)
+        if i == len(rows) and state in ("", "a"):
+            break
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        for letter, name in names.items():
+            if (state, letter) in after:
+                heapq.heappush(queue, (cost + 2, audit + "I", i, letter, (*lines, f"{name}:")))
+        if i < len(rows):
+            _, role, text = rows[i]
+            heapq.heappush(queue, (cost + 3, audit + "D", i + 1, state, lines))
+            if faults[i] not in ("blank", "duplicate"):
+                more = faults[i] == "truncated"
+                if (state, role[:1]) in after:
+                    heapq.heappush(queue, (cost + more, audit + "K", i + 1, role[:1], (*lines, f"{role}:{text}")))
+                for letter, name in names.items():
+                    if (state, letter) in after:
+                        heapq.heappush(queue, (cost + 2 + more, audit + "R", i + 1, letter, (*lines, f"{name}:{text}")))
+    return (gaps, *(faults.count(x) for x in ("blank", "duplicate", "truncated")), illegal, cost, audit, "\n".join(lines))

@@ -1,0 +1,98 @@
+import hashlib
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from ridemetrics.llm import conversation_repair
+from ridemetrics.llm.conversation_repair import damaged, repair
+from ridemetrics.llm.queries import op12_conversation_repair
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def _expected(rows, original):
+    by_conv = defaultdict(list)
+    for conv, *row in rows:
+        by_conv[conv].append((row[0], " " if row[1] is None else row[1], " " if row[2] is None else row[2]))
+    out = {}
+    for conv in {r[0] for r in original}:
+        *counts, lines = brute.repaired(by_conv[conv])
+        out[conv] = (*counts, hashlib.sha256(lines.encode()).hexdigest())
+    return out
+
+
+def _found(reports):
+    return {r["conv_id"]: tuple(r)[1:] for r in reports.collect()}
+
+
+def _random(seed, lengths):
+    rng = random.Random(seed)
+    rows = []
+    for conv, n in enumerate(lengths):
+        turn = rng.randrange(-2, 3)
+        for k in range(n):
+            turn += rng.choice([0, 1, 1, 1, 2])
+            role = rng.choice(["user", "assistant"]) if rng.random() < 0.3 else ["user", "assistant"][k % 2]
+            role = rng.choice(["system", "tool", "", None]) if rng.random() < 0.15 else role
+            text = rng.choice(["a.", "b!", "c", "d ?\n", " \t", "", None, "e" + str(k), "f" + str(k) + ". "])
+            rows.append((conv, None if rng.random() < 0.05 else turn, role, text))
+    return rows
+
+
+@pytest.mark.parametrize("chunk, fan", [(1, 2), (3, 2), (7, 3), (2048, 256)])
+def test_equals_a_search_of_all_edits(spark, monkeypatch, chunk, fan):
+    monkeypatch.setattr(conversation_repair, "CHUNK", chunk)
+    monkeypatch.setattr(conversation_repair, "FAN", fan)
+    rows = _random(chunk, [1, 2, 3, 0, 40, 5, 1, 9, 6, 2, 2, 7, 100] + [4] * 40)
+    found = _found(repair(spark.createDataFrame(rows, SCHEMA).repartition(4)).reports())
+    expected = _expected(rows, rows)
+    assert found == expected
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_over_the_whole_table(spark, sf):
+    sf_dir = f"/root/testdata/{sf}"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert _found(op12_conversation_repair(spark, sf_dir)) == _expected(brute.damage(rows), rows)
+
+
+def test_damage_of_nulls_and_repeats(spark):
+    rows = [(c, t, r, x) for c in [None, *range(12)] for t in [None, 0, 1, 1, 2, 3] for r, x in [("user", "Hi. You?"), (None, None)]]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("x") for c in ("rn", "kind", "chunk", "audits", "_sha")})
+    hurt = damaged(df)
+    assert sorted(map(tuple, hurt.collect()), key=repr) == sorted(brute.damage(rows), key=repr)
+    assert _found(repair(hurt, df).reports()) == _expected(brute.damage(rows), rows)
+
+
+def test_repaired_turns(spark):
+    rows = [
+        (1, 0, "system", "Be kind."), (1, 1, "user", "Hi!"), (1, 2, "user", "You there?"), (1, 3, "assistant", "Yes"),
+        (1, 4, "assistant", " "), (2, 0, "assistant", "So it is."), (3, 0, "tool", "\n"),
+    ]
+    fixed = repair(spark.createDataFrame(rows, SCHEMA))
+    reports = {r["conv_id"]: r for r in fixed.reports().collect()}
+    assert (reports[1]["audit"], reports[1]["cost"]) == ("KKIKKD", 6)
+    assert (reports[2]["audit"], reports[3]["audit"]) == ("IK", "D")
+    turns = sorted(map(tuple, fixed.turns().collect()))
+    assert [t[2:] for t in turns if t[0] == 1] == [
+        ("K", 0, "system", "Be kind."), ("K", 1, "user", "Hi!"), ("I", None, "assistant", ""),
+        ("K", 2, "user", "You there?"), ("K", 3, "assistant", "Yes"),
+    ]
+    assert [t[1:] for t in turns if t[0] == 2] == [(0, "I", None, "user", ""), (1, "K", 0, "assistant", "So it is.")]
+    for conv, report in reports.items():
+        lines = "\n".join(f"{t[4]}:{t[5]}" for t in turns if t[0] == conv)
+        assert report["repaired_sha256"] == hashlib.sha256(lines.encode()).hexdigest()
+
+
+def test_empty_and_long(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert repair(empty).reports().collect() == [] and repair(empty).turns().collect() == []
+    only = repair(empty, spark.createDataFrame([(5,), (None,)], "conv_id long")).reports().collect()
+    none = hashlib.sha256(b"").hexdigest()
+    assert sorted(map(tuple, only), key=repr) == sorted([(c, 0, 0, 0, 0, 0, 0, "", none) for c in (5, None)], key=repr)
+    long = "x" * 3_000_000 + "."
+    rows = [(1, 0, "user", long), (1, 1, "user", long), (1, 2, "assistant", "y."), (1, 2**62, "user", "z"), (1, -(2**61), "user", "w.")]
+    assert _found(repair(spark.createDataFrame(rows, SCHEMA)).reports()) == _expected(rows, rows)
