@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from datetime import timedelta
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -14,6 +15,7 @@ from ridemetrics import job
 from ridemetrics.functions.clock import hour_timestamp, hours, label_date
 from ridemetrics.operators.fill import fill_ordered, forward_fill
 from ridemetrics.operators.frames import dense_index, order_rows, rolling_sum
+from ridemetrics.operators.ranges import range_sum
 from ridemetrics.operators.storage import delete_folder, store, write_result
 from ridemetrics.plans import questions as q
 from ridemetrics.schema import HOURLY, LABEL_FORMAT, RENAMES
@@ -174,18 +176,53 @@ def _sink_round_trip(spark, sf_dir):
     return spark.read.schema(facts.schema).parquet(path).select(*HOURLY)
 
 
+def _cents():
+    return F.round(F.col("value") * 100).cast("long").alias("cents")
+
+
 def _events_rolling(first, last, name, key, parts=None, bucket_rows=None):
     """Row-level frames over all events, in cents so that sums are exact."""
 
     def query(spark, sf_dir):
-        cents = F.round(F.col("value") * 100).cast("long").alias("cents")
-        rows = _events(spark, sf_dir).select("ts", "event_id", cents)
+        rows = _events(spark, sf_dir).select("ts", "event_id", _cents())
         ordered = order_rows(rows, ["ts", "event_id"], _folder(spark, key), drop=["ts"], parts=parts)
         return rolling_sum(dense_index(ordered), "cents", first, last, name, bucket_rows).select("event_id", name)
 
     return query
 
 
+def _events_user_rolling_8(spark, sf_dir):
+    """Frames that stop at the ends of a user's events."""
+    rows = _events(spark, sf_dir).select("user_id", "ts", "event_id", _cents())
+    ordered = order_rows(rows, ["user_id", "ts", "event_id"], _folder(spark, "events_user_rolling_8"), drop=["ts"], parts=_PARTS)
+    rolled = rolling_sum(dense_index(ordered), "cents", 0, 7, "cents_in_8_rows", _BUCKET_ROWS, series=["user_id"])
+    return rolled.select("event_id", "cents_in_8_rows")
+
+
+def _events_exact_rolling(key, width):
+    """Doubles, by sums that do not depend on the order; a frame as wide as ``width`` costs no more than a narrow one."""
+
+    def query(spark, sf_dir):
+        rows = _events(spark, sf_dir).select("ts", "event_id", "value")
+        ordered = order_rows(rows, ["ts", "event_id"], _folder(spark, key), drop=["ts"], parts=_PARTS)
+        return _rounded(rolling_sum(dense_index(ordered), "value", 1 - width, 0, "rolled", exact=True).select("event_id", "rolled"), "rolled")
+
+    return query
+
+
+def _events_range(key, value, name, first, last, series=()):
+    """Frames by time over all events; ``first`` and ``last`` in hours."""
+
+    def query(spark, sf_dir):
+        rows = _events(spark, sf_dir).select("event_id", "ts", *series, value().alias("amount"))
+        frame = timedelta(hours=first), timedelta(hours=last)
+        found = range_sum(rows, "amount", "ts", *frame, name, _folder(spark, key), series, parts=_PARTS, block_rows=_BUCKET_ROWS)
+        found = found.select("event_id", name)
+        return found if name.startswith("cents") else _rounded(found, name)
+
+    return query
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Busiest 8 consecutive hours of the smallest scale."""
     return queries()["q6_busiest_8h"](spark, "/root/testdata/sf0.001")
@@ -228,6 +265,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_rolling_72_parts": _events_rolling(
             -71, 0, "cents_in_72_rows", "events_rolling_72_parts", _PARTS, _BUCKET_ROWS
         ),
+        "events_user_rolling_8": _events_user_rolling_8,
+        "events_exact_rolling_72": _events_exact_rolling("events_exact_rolling_72", 72),
+        "events_exact_rolling_7200": _events_exact_rolling("events_exact_rolling_7200", 7200),
+        "events_range_8h": _events_range("events_range_8h", _cents, "cents_in_8_hours", -8, 0),
+        "events_user_range_24h": _events_range("events_user_range_24h", lambda: F.col("value"), "value_in_24_hours", -12, 12, ["user_id"]),
         **_LLM_QUERIES,
     }
 
@@ -336,6 +378,8 @@ def oracle_sql() -> dict[str, str]:
     cents = "CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) OVER (ORDER BY ts, event_id ROWS BETWEEN {}) AS BIGINT)"
     rolling_8 = f"SELECT event_id, {cents.format('CURRENT ROW AND 7 FOLLOWING')} AS cents_in_8_rows FROM events"
     rolling_72 = f"SELECT event_id, {cents.format('71 PRECEDING AND CURRENT ROW')} AS cents_in_72_rows FROM events"
+    by_user = "SELECT event_id, CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS BIGINT) AS cents_in_8_rows FROM events"
+    exact = "SELECT event_id, ROUND(SUM(value) OVER (ORDER BY ts, event_id ROWS BETWEEN {} PRECEDING AND CURRENT ROW), 6) AS rolled FROM events"
     fill = """
         SELECT event_id, last_value(CASE WHEN event_id % 24 = 0 THEN strftime(ts, '%d-%b-%y') END IGNORE NULLS)
                OVER (ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS label
@@ -350,4 +394,15 @@ def oracle_sql() -> dict[str, str]:
         "events_rolling_72": rolling_72,
         "events_rolling_8_parts": rolling_8,
         "events_rolling_72_parts": rolling_72,
+        "events_user_rolling_8": by_user,
+        "events_exact_rolling_72": exact.format(71),
+        "events_exact_rolling_7200": exact.format(7199),
+        "events_range_8h": """
+            SELECT event_id, CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) OVER (
+                       ORDER BY ts RANGE BETWEEN INTERVAL 8 HOURS PRECEDING AND CURRENT ROW) AS BIGINT) AS cents_in_8_hours
+            FROM events""",
+        "events_user_range_24h": """
+            SELECT event_id, ROUND(SUM(value) OVER (PARTITION BY user_id ORDER BY ts
+                       RANGE BETWEEN INTERVAL 12 HOURS PRECEDING AND INTERVAL 12 HOURS FOLLOWING), 6) AS value_in_24_hours
+            FROM events""",
     }

@@ -2,22 +2,15 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ridemetrics.operators.scan import totals_ahead
+
 # Rows that are filled together.
 BLOCK_ROWS = 1 << 18
 
 
 def last_before(column: str, block: list[str]):
     """Last non-null ``column`` of the blocks before; over a table of one row per block."""
-    return F.last(column, ignorenulls=True).over(_earlier(block))
-
-
-def rows_before(count: str, block: list[str]):
-    """Number of rows in the blocks before; over a table of one row per block."""
-    return F.coalesce(F.sum(count).over(_earlier(block)), F.lit(0))
-
-
-def _earlier(block):
-    return Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    return F.last(column, ignorenulls=True).over(Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1))
 
 
 def last_value(column: str, order: str):
@@ -61,7 +54,11 @@ def fill_ordered(ordered: DataFrame, column: str, block_rows: int = BLOCK_ROWS)
     """``forward_fill`` of a table from ``order_rows``, whatever the values of its order.
 
     Blocks are cut by position, so none holds more than ``block_rows`` rows and there are no more
-    blocks than that calls for, however the keys are spread.
+    blocks than that calls for, however the keys are spread. The table of blocks is scanned in levels, so
+    it may be as long as it likes.
     """
     rows = ordered.withColumn("_block", F.expr(f"_pos div {block_rows}L"))
-    return forward_fill(rows, column, ["_part", "_block"], "_pos").drop("_block")
+    block = ["_part", "_block"]
+    blocks = rows.groupBy(*block).agg(last_value(column, "_pos").alias("_tail"), F.min("_pos").alias("_pos"))
+    seeds = totals_ahead(blocks, lasts=["_tail"]).select(*block, "_pos", F.col("_tail_ahead").alias(column))
+    return spread(rows, seeds, [column], block, "_pos").drop("_block")

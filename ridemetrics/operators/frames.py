@@ -1,8 +1,11 @@
 """Row frames over one global order, and offset day windows, without a single-task window."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ridemetrics.functions.clock import hours, midnight
+from ridemetrics.functions.exact import is_exact, joined, largest, limbs
 from ridemetrics.operators.storage import store
 
 PLACE = ["_part", "_pos"]
@@ -43,15 +46,27 @@ def dense_index(ordered: DataFrame) -> DataFrame:
 
 
 def rolling_sum(
-    indexed: DataFrame, value: str | Column, first: int, last: int, name: str, bucket_rows: int | None = None
+    indexed: DataFrame,
+    value: str | Column,
+    first: int,
+    last: int,
+    name: str,
+    bucket_rows: int | None = None,
+    series: Sequence[str] = (),
+    exact: bool = False,
 ) -> DataFrame:
     """Sum of ``value`` over the rows ``first``..``last`` around each row, cut short at both ends.
 
     ``indexed`` has consecutive ``rn``. Rows are dealt by it into buckets of consecutive rows, each
     of which also gets copies of the few neighbours its frames reach. Every bucket is a bounded
     sort, whatever the values; it holds at least four times the reach, so the copies add a quarter
-    of the rows at most. Whole numbers are summed as the difference of two running sums, in time
-    that does not depend on the width; doubles by a sliding frame, which adds them in row order.
+    of the rows at most. Frames stop at the ends of a series where ``series`` names the columns that the order
+    of ``indexed`` begins with: a bucket is then cut at these ends, and one long series in buckets like any other.
+
+    Whole numbers are summed as the difference of two running sums, in time that does not depend on
+    the width; only a frame whose own sum is beyond a long is an error. Doubles are summed by a sliding
+    frame, which adds them in row order; with ``exact`` as a difference of sums that lose nothing, so
+    that the order does not matter and neither does the width (a job finds the largest magnitude first).
     """
     value = F.col(value) if isinstance(value, str) else value
     reach = max(last, 0) - min(first, 0)
@@ -62,34 +77,38 @@ def rolling_sum(
 
     # Buckets whose rows reach this one, its own among them also when the frame leaves the row out.
     reached = F.sequence(bucket(-max(last, 0)), bucket(-min(first, 0)))
-    dealt = indexed.withColumns({"_value": value, "_bucket": F.explode(reached)})
-    if isinstance(dealt.schema["_value"].dataType, T.IntegralType):
-        summed = _difference(dealt, first, last, name)
+    rows = indexed.withColumn("_value", value)
+    dealt = rows.withColumn("_bucket", F.explode(reached))
+    stretch = Window.partitionBy("_bucket", *series).orderBy("rn")
+    kind = rows.schema["_value"].dataType
+    if isinstance(kind, T.IntegralType) or exact:
+        scale = None if is_exact(kind) else largest(rows, F.col("_value"))
+        summed = _difference(dealt, kind, scale, stretch, first, last, name)
     else:
-        frame = Window.partitionBy("_bucket").orderBy("rn").rowsBetween(first, last)
-        summed = dealt.withColumn(name, F.sum("_value").over(frame))
+        summed = dealt.withColumn(name, F.sum("_value").over(stretch.rowsBetween(first, last)))
     return summed.filter(bucket(0) == F.col("_bucket")).drop("_value", "_bucket", "rn")
 
 
-def _difference(dealt, first, last, name):
+def _difference(dealt, kind, scale, stretch, first, last, name):
     """Frame sums from running sums; a frame without a value gives null, as a sum does."""
-    in_order = Window.partitionBy("_bucket").orderBy("rn")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    # Sum and count of the values up to each row.
-    running = dealt.withColumn(
-        "_run", F.struct(F.coalesce(F.sum("_value").over(so_far), F.lit(0)).alias("s"), F.count("_value").over(so_far).alias("n"))
-    )
-    whole = Window.partitionBy("_bucket").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = stretch.rowsBetween(Window.unboundedPreceding, 0)
+    # Sums of the limbs and count of the values up to each row.
+    parts = {f"s{i}": limb for i, limb in enumerate(limbs(F.col("_value"), kind, scale))}
+    dealt = dealt.withColumns({f"_{k}": limb for k, limb in parts.items()})
+    running = [F.sum(f"_{k}").over(so_far).alias(k) for k in parts]
+    running = dealt.withColumn("_run", F.struct(*running, F.count("_value").over(so_far).alias("n")))
+    whole = stretch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def up_to(offset):
         if offset >= 0:
-            return F.coalesce(F.lead("_run", offset).over(in_order), F.last("_run").over(whole))
-        return F.lag("_run", -offset).over(in_order)
+            return F.coalesce(F.lead("_run", offset).over(stretch), F.last("_run").over(whole))
+        return F.lag("_run", -offset).over(stretch)
 
     running = running.withColumns({"_to": up_to(last), "_before": up_to(first - 1)})
-    total = F.col("_to.s") - F.coalesce("_before.s", F.lit(0))
     count = F.col("_to.n") - F.coalesce("_before.n", F.lit(0))
-    return running.withColumn(name, F.when(count > 0, total)).drop("_run", "_to", "_before")
+    sums = [F.col(f"_to.{k}") - F.coalesce(F.col(f"_before.{k}"), F.lit(0)) for k in parts]
+    total = F.when(count > 0, joined(sums, kind, scale))
+    return running.withColumn(name, total).drop("_run", "_to", "_before", *[f"_{k}" for k in parts])
 
 
 def tumbling_day(df: DataFrame, ts: str = "ts") -> DataFrame:

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ridemetrics.functions.clock import hour_timestamp, label_date
-from ridemetrics.operators.fill import BLOCK_ROWS, last_before, last_value, rows_before, spread
+from ridemetrics.operators.fill import BLOCK_ROWS, last_value, spread
+from ridemetrics.operators.scan import totals_ahead
 from ridemetrics.operators.storage import store
 from ridemetrics.schema import COUNTERS, HOURLY, LABEL_FORMAT, PLACE_IN_SOURCE, RENAMES, ROW_NO
 
@@ -120,12 +121,11 @@ def standardize(raw: DataFrame, folder: str, unreadable: str = "raise", block_ro
         F.count(F.lit(1)).alias("_rows"),
         F.min("src_seq").alias("src_seq"),
     )
-    place = [*split, "src_seq"]
-    seeds = splits.select(
+    seeds = totals_ahead(splits, ["_rows"], ["_tail"], part=split).select(
         *block,
         "src_seq",
-        last_before("_tail", place).alias("date"),
-        (rows_before("_rows", place) - F.col("src_seq")).alias("_shift"),
+        F.col("_tail_ahead").alias("date"),
+        (F.col("_rows_ahead") - F.col("src_seq")).alias("_shift"),
     )
     unfilled = rows.drop(*split).withColumn("_shift", F.lit(None).cast("long"))
     filled = spread(unfilled, seeds, ["date", "_shift"], gather=block, order="src_seq")

@@ -1,5 +1,6 @@
 import re
 from datetime import datetime
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -78,6 +79,48 @@ def test_running_sums_keep_nulls(spark, folder, first, last):
     assert plain(rolled) == plain(naive(df, ["ts"], first, last))
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_on_the_way_may_be_beyond_a_long(spark, folder, ansi):
+    """Only a frame whose own sum is beyond a long is an error, in either mode."""
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for value in (10**18, -(10**18)):
+            df = spark.range(40).select("id", F.lit(value).alias("v"))
+            indexed = dense_index(order_rows(df, ["id"], folder, parts=2))
+            rolled = rolling_sum(indexed, "v", -2, 0, "rolled")
+            assert sorted({r.rolled for r in rolled.collect()}) == sorted({value, 2 * value, 3 * value})
+            with pytest.raises(Exception, match="beyond 64 bits"):
+                rolling_sum(indexed, "v", -10, 0, "rolled").collect()
+        ends = spark.createDataFrame([(0, 2**63 - 1), (1, -(2**63)), (2, 2**63 - 1), (3, -1)], "id long, v long")
+        rolled = rolling_sum(dense_index(order_rows(ends, ["id"], folder)), "v", -1, 0, "rolled")
+        assert [r.rolled for r in rolled.orderBy("id").collect()] == [2**63 - 1, -1, -1, 2**63 - 2]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("first, last", FRAMES)
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_frames_stop_at_the_ends_of_a_series(spark, folder, first, last, kind):
+    """One series as long as all others together, in buckets like any other; a null is a series as well."""
+    series = F.when(F.col("id") % 2 == 0, F.lit(7)).when(F.col("id") % 31 > 0, F.col("id") % 5)
+    df = shuffled(spark.range(900).select("id", series.alias("s"), (F.col("id") % 11).cast(kind).alias("v")))
+    indexed = dense_index(order_rows(df, ["s", "id"], folder, parts=4))
+    rolled = rolling_sum(indexed, "v", first, last, "rolled", 50, series=["s"])
+    frame = Window.partitionBy("s").orderBy("id").rowsBetween(first, last)
+    assert plain(rolled) == plain(df.withColumn("rolled", F.sum("v").over(frame)))
+
+
+@pytest.mark.parametrize("first, last", FRAMES)
+def test_exact_sums_of_doubles(spark, folder, first, last):
+    values = [(i, [1e16, 0.1, -1e16, 1e-9, None][i % 5]) for i in range(200)]
+    df = shuffled(spark.createDataFrame(values, "id long, v double"))
+    indexed = dense_index(order_rows(df, ["id"], folder, parts=3))
+    found = {r.id: r.rolled for r in rolling_sum(indexed, "v", first, last, "rolled", 40, exact=True).collect()}
+    for i, _ in values:
+        inside = [Fraction(v) for k, v in values if first <= k - i <= last and v is not None]
+        assert found[i] == (pytest.approx(float(sum(inside)), rel=1e-15, abs=1e-15) if inside else None)
+
+
 def test_wide_frames_get_wide_buckets(spark, folder):
     indexed = dense_index(order_rows(spark.range(10).withColumnRenamed("id", "v"), ["v"], folder))
     assert "div 65536" in plan(rolling_sum(indexed, "v", -71, 0, "rolled"))

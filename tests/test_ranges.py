@@ -1,0 +1,126 @@
+import math
+import random
+from datetime import date, datetime, timedelta
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from helpers import plain, plan, shuffled
+from ridemetrics.functions.exact import joined, largest, limbs
+from ridemetrics.operators.ranges import range_sum
+
+FRAMES = [(-8, 0), (0, 5), (-3, 3), (2, 9), (-9, -4), (0, 0)]
+
+
+def naive(df, first, last, series=()):
+    frame = Window.partitionBy(*series).orderBy("k").rangeBetween(first, last)
+    return df.withColumn("rolled", F.sum("v").over(frame))
+
+
+def rows(spark, n, seed=1, hot=0.0):
+    rng = random.Random(seed)
+    made = []
+    for i in range(n):
+        k = 40 if rng.random() < hot else rng.randrange(-60, 140)
+        made.append((i, rng.choice("ab") if rng.random() < 0.9 else None, None if rng.random() < 0.05 else k, rng.choice([None, -7, 3, 2**40])))
+    return spark.createDataFrame(made, "id long, s string, k long, v long")
+
+
+@pytest.mark.parametrize("first, last", FRAMES)
+@pytest.mark.parametrize("block_rows", [1, 7, 65536])
+def test_equals_the_plain_window(spark, folder, first, last, block_rows):
+    df = shuffled(rows(spark, 300, block_rows))
+    rolled = range_sum(df, "v", "k", first, last, "rolled", folder, parts=3, block_rows=block_rows)
+    assert rolled.columns == ["id", "s", "k", "v", "rolled"]
+    assert plain(rolled) == plain(naive(df, first, last))
+
+
+@pytest.mark.parametrize("first, last", FRAMES)
+def test_frames_stay_in_their_series(spark, folder, first, last):
+    df = shuffled(rows(spark, 300, 5))
+    rolled = range_sum(df, "v", "k", first, last, "rolled", folder, series=["s"], parts=3, block_rows=16)
+    assert plain(rolled) == plain(naive(df, first, last, ["s"]))
+
+
+def test_one_key_with_most_rows(spark, folder):
+    df = rows(spark, 20_000, 2, hot=0.6)
+    rolled = range_sum(df, "v", "k", -8, 8, "rolled", folder, parts=4, block_rows=50)
+    assert plain(rolled) == plain(naive(df, -8, 8))
+    # The hot key is answered by a broadcast of frequent keys, and the order holds distinct keys only.
+    assert "BroadcastHashJoin" in plan(rolled)
+
+
+def test_sums_on_the_way_may_be_beyond_a_long(spark, folder):
+    df = spark.range(40).select(F.col("id").alias("k"), F.lit(10**18).alias("v"))
+    rolled = range_sum(df, "v", "k", -2, 0, "rolled", folder, parts=2, block_rows=5)
+    assert max(r.rolled for r in rolled.collect()) == 3 * 10**18
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        range_sum(df, "v", "k", -20, 0, "rolled", folder).collect()
+
+
+def test_ends_of_the_line_of_numbers(spark, folder):
+    least, most = -(2**63), 2**63 - 1
+    df = spark.createDataFrame([(least, 1), (least + 1, 2), (most, 4), (most - 1, 8)], "k long, v long")
+    for first, last, expected in [(-5, 5, [3, 3, 12, 12]), (1, 3, [2, None, None, 4]), (-3, -1, [None, 1, 8, None])]:
+        rolled = range_sum(df, "v", "k", first, last, "rolled", folder)
+        assert sorted(r.rolled or 0 for r in rolled.collect()) == sorted(x or 0 for x in expected)
+
+
+def test_dates_and_timestamps(spark, folder):
+    start = datetime(2024, 3, 30)
+    made = [(start + timedelta(minutes=37 * i), date(2024, 3, 1) + timedelta(days=i % 40), i) for i in range(200)]
+    df = spark.createDataFrame(made, "t timestamp_ntz, d date, v long").withColumn("z", F.col("t").cast("timestamp"))
+    by_time = [sum(v for u, _, v in made if t - timedelta(hours=8) <= u <= t) for t, _, _ in made]
+    by_day = [sum(v for _, e, v in made if timedelta(0) <= e - d <= timedelta(days=7)) for _, d, _ in made]
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            found = range_sum(df, "v", "t", timedelta(hours=-8), timedelta(0), "rolled", folder).collect()
+            assert [r.rolled for r in sorted(found, key=lambda r: r.v)] == by_time
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    found = range_sum(df, "v", "z", timedelta(hours=-8), timedelta(0), "rolled", folder).collect()
+    assert [r.rolled for r in sorted(found, key=lambda r: r.v)] == by_time
+    found = range_sum(df, "v", "d", timedelta(0), timedelta(days=7), "rolled", folder).collect()
+    assert [r.rolled for r in sorted(found, key=lambda r: r.v)] == by_day
+    with pytest.raises(TypeError, match="range frames"):
+        range_sum(df.withColumn("x", F.lit(1.5)), "v", "x", 0, 1, "rolled", folder)
+
+
+def test_doubles_are_summed_exactly(spark, folder):
+    rng = random.Random(3)
+    made = [(i, rng.choice([1e16, -1e16, 1.0, 0.1, 1e-9, rng.gauss(0, 1)])) for i in range(400)]
+    df = shuffled(spark.createDataFrame(made, "k long, v double"))
+    found = range_sum(df, "v", "k", -30, 0, "rolled", folder, parts=3, block_rows=32).collect()
+    for r in found:
+        exact = sum(Fraction(v) for k, v in made if r.k - 30 <= k <= r.k)
+        assert r.rolled == pytest.approx(float(exact), rel=1e-15, abs=1e-18)
+
+
+def test_what_is_no_number(spark, folder):
+    nan, inf = math.nan, math.inf
+    made = [(0, 1.0), (10, nan), (20, inf), (30, -inf), (31, inf), (40, None), (50, 2.5), (51, -inf)]
+    df = spark.createDataFrame(made, "k long, v double")
+    found = {r.k: r.rolled for r in range_sum(df, "v", "k", -1, 1, "rolled", folder).collect()}
+    assert math.isnan(found[10]) and math.isnan(found[30]) and found[20] == inf and found[50] == -inf
+    assert found[0] == 1.0 and found[40] is None
+
+
+def test_decimals_empty_tables_and_existing_names(spark, folder):
+    df = spark.createDataFrame([(1, "1.25"), (2, "2.50")], "k long, v string").withColumn("v", F.col("v").cast("decimal(10,2)"))
+    assert [str(r.rolled) for r in range_sum(df, "v", "k", -1, 0, "rolled", folder).orderBy("k").collect()] == ["1.25", "3.75"]
+    assert range_sum(df.limit(0), "v", "k", -1, 0, "rolled", folder).collect() == []
+    nulls = spark.createDataFrame([(None, 3), (None, 4), (1, None)], "k long, v long").withColumn("rolled", F.lit("old"))
+    assert plain(range_sum(nulls, "v", "k", -1, 0, "rolled", folder).select("k", "rolled")) == [(1, None), (None, 7), (None, 7)]
+
+
+def test_limbs_of_extreme_doubles(spark):
+    made = [(1.7e308,), (-1.7e308,), (5e-324,), (0.0,), (None,)]
+    df = spark.createDataFrame(made, "v double")
+    kind, scale = df.schema["v"].dataType, largest(df, F.col("v"))
+    found = df.select("v", joined(limbs(F.col("v"), kind, scale), kind, scale).alias("back")).collect()
+    assert {r.v: r.back for r in found if r.v and abs(r.v) > 1} == {1.7e308: 1.7e308, -1.7e308: -1.7e308}
+    tiny = spark.createDataFrame([(5e-324,), (1e-300,)], "v double")
+    scale = largest(tiny, F.col("v"))
+    assert [r[0] for r in tiny.select(joined(limbs(F.col("v"), kind, scale), kind, scale)).collect()][1] == pytest.approx(1e-300)
