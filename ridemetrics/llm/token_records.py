@@ -14,20 +14,26 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ridemetrics.llm.common import id_and_text, partitions, set_up, shared_folder, slices, store
+from ridemetrics.llm.common import SLICE_BYTES, id_and_text, partitions, set_up, shared_folder, slices, store
 
 # Fixed value: constant of the checksum mask.
 MASK_DELTA = 0xA282EAD8
 END_ID = 1
-# Bounds a file, which a reading task holds whole.
+# Bounds of a file, which a reading task holds whole. A file is written as packs of records, and it is
+# as large as its packs: FILE_BYTES, or as many of the largest records as there are packs.
 RECORDS_PER_FILE = 8192
-# Distinct words whose token ids a process remembers.
-MEMO_WORDS = 1_000_000
+FILE_BYTES = 1 << 26
+PACKS_PER_FILE = 16
+# Words, token ids and what it takes to keep them, that a process remembers, in bytes.
+MEMO_BYTES = 1 << 27
+_ENTRY_BYTES = 200
 # Words that are encoded as one text.
 ENCODED_TOGETHER = 256
 
+_CASE_MATTERS = "<\\||[\u0300-\u036f]"
 _HEAD = struct.Struct("<QI")
 _ID = struct.Struct("<?q")
 
@@ -59,11 +65,13 @@ def read_frame(content: bytes, offset: int) -> tuple[int | None, bytes, int]:
 
 
 class _Encoder(dict):
-    """Token bytes of a text, word by word.
+    """Token ids of texts, word by word.
 
     The vocabulary's own splitting drops white space and never joins across it, ignores case, and
-    cuts between letters and punctuation, so a text's ids are those of its words in turn. A word
-    met before is looked up; the memory is bounded and kept between tasks.
+    cuts between letters and punctuation, so a text's ids are those of its words in turn. The words of
+    a slice of texts are numbered in Arrow, so that each distinct one is looked up once, and the
+    ids are gathered by number. A word met before is not encoded again; the memory is bounded in
+    bytes and kept between tasks.
     """
 
     def __init__(self, path: str):
@@ -74,43 +82,77 @@ class _Encoder(dict):
         self.dtype = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        # Names of special tokens are the only words whose case matters.
-        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        found = [list(map(self.get, ws)) for ws in split]
-        new = [[i for i, ids in enumerate(parts) if ids is None] if None in parts else [] for parts in found]
-        self._learn({ws[i] for ws, places in zip(split, new) for i in places})
-        for ws, parts, places in zip(split, found, new):
-            for i in places:
-                parts[i] = self[ws[i]]
+        self.held, self.cut_after = 0, {}
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text with the end's, as bytes."""
+        texts = texts.cast(pa.string())
+        lowered = pc.ascii_lower(texts)
+        # Case matters in names of special tokens, and ahead of combining marks, as some letters are one
+        # character together with a mark in only one of the cases.
+        as_is = pc.match_substring_regex(texts, _CASE_MATTERS)
+        if pc.any(as_is).as_py():
+            lowered = pc.if_else(as_is, texts, lowered)
+        words = pc.ascii_split_whitespace(lowered)
+        numbered = words.flatten().dictionary_encode()
+        ids = self._of(numbered.dictionary.to_pylist())
+        number = numbered.indices.to_numpy()
+        offsets = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32) // np.dtype(self.dtype).itemsize
+        flat = pa.array(np.frombuffer(b"".join(ids), self.dtype))
+        gathered = pa.ListArray.from_arrays(pa.array(offsets), flat).take(numbered.indices).flatten().to_numpy()
+        past = np.r_[0, np.cumsum(np.diff(offsets)[number], dtype=np.int64)]
+        bounds = past[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
         end = np.array([END_ID], self.dtype).tobytes()
-        return [b"".join([*parts, end]) for parts in found]
-
-    def _learn(self, words: set[bytes]) -> None:
+        return [gathered[a:b].tobytes() + end for a, b in zip(bounds, bounds[1:])]
+
+    def _of(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            if self.held > MEMO_BYTES:
+                self.clear()
+                self.held = 0
+            self._learn({words[i] for i in new})
+            for i in new:
+                found[i] = self[words[i]]
+        return found
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        self[word] = ids
+        self.held += _ENTRY_BYTES + len(word) + len(ids)
+
+    def _is_cut_after(self, last: str) -> bool:
+        """Whether the vocabulary cuts between this letter and a point.
+
+        It does not where normalising leaves a mark at the end, which is one piece with the point.
+        """
+        if last not in self.cut_after:
+            joined, alone, point = (x.tobytes() for x in self._ids([last + ".", last, "."]))
+            self.cut_after[last] = joined == alone + point
+        return self.cut_after[last]
+
+    def _learn(self, words: set[str]) -> None:
         """Words of letters are encoded many at a time and cut at the tokens that end a word."""
-        stems = {w: w[:-1] for w in words if w[-1:] in (b".", b",") and w[:-1].decode().isalpha()}
+        stems = {w: w[:-1] for w in words if w[-1:] in (".", ",") and w[:-1].isalpha() and self._is_cut_after(w[-2])}
         words = (words - stems.keys()).union(stems.values(), (w[-1:] for w in stems)).difference(self)
-        plain = [w for w in words if w.decode().isalpha()]
+        plain = [w for w in words if w.isalpha()]
         odd = list(words.difference(plain))
         groups = [plain[i : i + ENCODED_TOGETHER] for i in range(0, len(plain), ENCODED_TOGETHER)]
-        for group, found in zip(groups, self._ids([b" ".join(group) for group in groups])):
+        for group, found in zip(groups, self._ids([" ".join(group) for group in groups])):
             past = np.flatnonzero(self.ends_word[found]) + 1
             if len(past) != len(group):  # a letter that the vocabulary rewrites
                 odd += group
                 continue
             raw, size = found.tobytes(), found.itemsize
             for word, a, b in zip(group, [0, *past.tolist()], past.tolist()):
-                self[word] = raw[a * size : b * size]
+                self._keep(word, raw[a * size : b * size])
         for word, found in zip(odd, self._ids(odd)):
-            self[word] = found.tobytes()
+            self._keep(word, found.tobytes())
         for word, stem in stems.items():
-            self[word] = self[stem] + self[word[-1:]]
+            self._keep(word, self[stem] + self[word[-1:]])
 
-    def _ids(self, texts: list[bytes]):
-        encoded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+    def _ids(self, texts: list[str]):
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return (np.array(e.ids, self.dtype) for e in encoded)
 
 
@@ -125,25 +167,35 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc
 
     Texts are range-partitioned by id (the texts are smaller than their token ids) and encoded on
     the far side, so each task writes its files as it goes. Null ids come first, null text counts
-    as empty, rows with equal ids are ordered by a hash of their texts, other columns are not read.
-    The vocabulary must be present at ``tokenizer`` on every executor and must split at white space.
+    as empty, rows with equal ids are ordered by a hash of their texts, other columns are not read. A text of
+    any length is one record. The vocabulary must be present at ``tokenizer`` on every executor and must split at
+    white space.
     """
+    packs = min(PACKS_PER_FILE, RECORDS_PER_FILE)
+    most_records, most_bytes = RECORDS_PER_FILE // packs, FILE_BYTES // packs
 
     def encode(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
         encoder = _encoder(tokenizer)
-        for batch in slices(batches):
-            encoded = encoder.encode(batch.column("text").to_pylist())
-            frames = [frame(d, ids) for d, ids in zip(batch.column("doc_id").to_pylist(), encoded)]
-            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["record"])
+        pack, held = [], 0
+        for batch in slices(batches, limit=SLICE_BYTES):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
+                record = frame(doc_id, ids)
+                if pack and (len(pack) >= most_records or held + len(record) > most_bytes):
+                    yield pa.RecordBatch.from_arrays([pa.array([b"\n".join(pack)], pa.binary())], ["pack"])
+                    pack, held = [], 0
+                pack.append(record)
+                held += len(record) + 1
+        if pack:
+            yield pa.RecordBatch.from_arrays([pa.array([b"\n".join(pack)], pa.binary())], ["pack"])
 
     rows = id_and_text(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange(partitions(docs.sparkSession), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    records = ordered.drop("tie").mapInArrow(encode, "record binary")
+    records = ordered.drop("tie").mapInArrow(encode, "pack binary")
     # Spark casts bytes to a string without looking at them, and its text sink writes them unchanged.
-    records.select(F.col("record").cast("string")).write.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    records.select(F.col("pack").cast("string")).write.option("maxRecordsPerFile", packs).text(path)
 
 
 _INDEX = "file string, part int, chunk int, offset long, n_bytes long, doc_id long, n_tokens long, ids_crc32 long, before long"

@@ -1,7 +1,9 @@
+import random
 import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +79,38 @@ def test_ties_nulls_and_empty_table(spark, tmp_path, monkeypatch):
     assert [r.start for r in got] == list(np.cumsum([0] + [r.n_tokens for r in got[:-1]]))
     _, index = encode_to_records(spark.createDataFrame([], "doc_id long, text string"), VOCABULARY, f"{tmp_path.as_uri()}/b")
     assert index.count() == 0
+
+
+def test_random_texts_over_letters_that_the_vocabulary_rewrites():
+    """Letters whose case, composition or compatibility form changes, next to points, commas and marks."""
+    rng, encoder, library = random.Random(5), token_records._Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    letters = "JHTWYAaZéÉİIıßŉǰΐΰḱẖẗẘẙẚﬁΣςσϓΩÅKſ가각ก็क़ग़य़אבּ יִاأ中文ΆxyzLJDž①２½ªʰ" + "".join(map(chr, range(0x300, 0x330)))
+    pool = [*letters, *".,.,.,'!?-12  \n\t "]
+    texts = ["".join(rng.choices(pool, k=rng.randrange(1, 14))) for _ in range(200_000)]
+    for start in range(0, len(texts), 10_000):
+        part = texts[start : start + 10_000]
+        found = encoder.encode(pa.array([t.encode() for t in part], pa.binary()))
+        for text, ids, expected in zip(part, found, library.encode_batch(part, add_special_tokens=False)):
+            assert np.frombuffer(ids, encoder.dtype).tolist() == [*expected.ids, 1], ascii(text)
+
+
+def test_memory_and_files_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_records, "MEMO_BYTES", 5000)
+    monkeypatch.setattr(token_records, "FILE_BYTES", 20_000)
+    encoder = token_records._Encoder(VOCABULARY)
+    for k in range(30):
+        encoder.encode(pa.array([" ".join(f"word{k}x{i}" for i in range(10)).encode()], pa.binary()))
+        assert encoder.held <= 5000 + 30 * 1000
+    assert len(encoder) < 300
+    rows = [(i, "lorem " * (3000 if i % 10 == 0 else 3)) for i in range(200)]
+    path, index = encode_to_records(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), VOCABULARY, f"{tmp_path.as_uri()}/a")
+    sizes = [f.stat().st_size for f in Path(path.removeprefix("file:")).glob("part-*")]
+    # As many packs as a file has, each of its share of the bytes or of one record.
+    assert max(sizes) <= token_records.PACKS_PER_FILE * max(20_000 // token_records.PACKS_PER_FILE, 6100)
+    assert [r.doc_id for r in index.orderBy("start").collect()] == list(range(200))
+
+
+def test_a_very_long_text(spark, tmp_path):
+    text = "Éa, b. " * 400_000
+    _, index = encode_to_records(spark.createDataFrame([(1, text), (2, "x" * 300_000)], "doc_id long, text string"), VOCABULARY, f"{tmp_path.as_uri()}/a")
+    assert [tuple(r) for r in index.orderBy("start").select("doc_id", "start", "n_tokens", "ids_crc32").collect()] == _plain([(1, text), (2, "x" * 300_000)])
