@@ -20,7 +20,7 @@ from ridemetrics.operators.storage import delete_folder, store, write_result
 from ridemetrics.plans import questions as q
 from ridemetrics.schema import HOURLY, LABEL_FORMAT, RENAMES
 from ridemetrics.sources.events import hourly_facts
-from ridemetrics.sources.hourly_csv import read_hourly_csv, standardize
+from ridemetrics.sources.hourly_csv import misshapen_rows, read_hourly_csv, standardize
 
 try:
     from ridemetrics.llm.queries import ORACLE_SQL as _LLM_SQL, QUERIES as _LLM_QUERIES
@@ -65,6 +65,17 @@ def _on_hours(answer, *doubles):
     return lambda spark, sf_dir: _rounded(answer(hourly_facts(_events(spark, sf_dir))), *doubles)
 
 
+def _on_hours_with_nulls(answer, *doubles):
+    """As above, from facts in which a counter of none is unknown."""
+
+    def query(spark, sf_dir):
+        facts = hourly_facts(_events(spark, sf_dir))
+        unknown = {name: F.nullif(F.col(name) - F.col(name) % 3, F.lit(0)) for name in ("requests", "drivers")}
+        return _rounded(answer(facts.withColumns(unknown)), *doubles)
+
+    return query
+
+
 def _on_prepared_hours(question_id, answer, key, *doubles, parts=None):
     """As above, from the facts in time order."""
 
@@ -147,6 +158,20 @@ def _raw_csv(spark, sf_dir, folder, forms=False):
 _LARGE = 3_000_000_000
 
 
+def _misshapen_rows(spark, sf_dir):
+    """Events as CSV rows, of which some have a field too many or a few too few; how many there are of each."""
+    folder = _folder(spark, "misshapen_rows")
+    fields = [F.lit(""), F.hour("ts"), *[F.col("event_id") % k for k in range(2, 7)]]
+    row = F.concat_ws(",", *fields)
+    line = F.when(F.col("event_id") % 10 == 3, F.concat(row, F.lit(",9"))).when(
+        F.col("event_id") % 100 == 7, F.concat_ws(",", *fields[:4])
+    )
+    path = f"{folder}/raw-csv"
+    _events(spark, sf_dir).select(F.coalesce(line, row)).write.text(path)
+    raw = read_hourly_csv(spark, path, header=list(RENAMES))
+    return misshapen_rows(raw).groupBy(F.col("n_fields").cast("long").alias("n_fields")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _csv_ingest(key, forms=False, **options):
     def query(spark, sf_dir):
         folder = _folder(spark, key)
@@ -244,6 +269,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q6_rolling_8": _on_prepared_hours(6, q.requests_in_8h, "q6_rolling_8"),
         "q6_busiest_8h": _on_prepared_hours(6, q.q6, "q6_busiest_8h"),
         "q7_supply_follows_demand": _on_hours(q.q7, "correlation"),
+        "q7_complete_pairs": _on_hours_with_nulls(q.follows_demand("drop"), "correlation"),
         "q8_rolling_72": _on_prepared_hours(8, q.ratio_72h, "q8_rolling_72", "ratio_72h"),
         "q8_peak_72h": _on_prepared_hours(8, q.q8, "q8_peak_72h", "ratio_72h", parts=_PARTS),
         "q9_totals": _on_hours(q.unmet_demand_by_hour),
@@ -257,6 +283,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_ingest": _csv_ingest("csv_ingest"),
         "csv_ingest_files": _csv_ingest("csv_ingest_files", block_rows=64),
         "csv_ingest_forms": _csv_ingest("csv_ingest_forms", forms=True),
+        "misshapen_rows": _misshapen_rows,
         "sink_round_trip": _sink_round_trip,
         **{f"job_q{i}": _job_answer(i) for i in q.QUESTIONS},
         "events_rolling_8": _events_rolling(0, 7, "cents_in_8_rows", "events_rolling_8"),
@@ -353,6 +380,9 @@ _FACT_SQL = {
         SELECT ROUND(CORR(CAST(requests AS DOUBLE), CAST(drivers AS DOUBLE)), 6) AS correlation,
                CORR(CAST(requests AS DOUBLE), CAST(drivers AS DOUBLE)) > 0.3 AS answer
         FROM h""",
+    "q7_complete_pairs": """
+        SELECT ROUND(CORR(CAST(r AS DOUBLE), CAST(d AS DOUBLE)), 6) AS correlation, COALESCE(CORR(CAST(r AS DOUBLE), CAST(d AS DOUBLE)) > 0.3, false) AS answer
+        FROM (SELECT NULLIF(requests - requests % 3, 0) AS r, NULLIF(drivers - drivers % 3, 0) AS d FROM h) a""",
     "q8_rolling_72": "SELECT ts, ROUND(exact, 6) AS ratio_72h FROM r72",
     "q8_peak_72h": """
         SELECT ts - INTERVAL '72' HOUR AS start_time, ts AS end_time, ROUND(exact, 6) AS ratio_72h
@@ -394,6 +424,9 @@ def oracle_sql() -> dict[str, str]:
         "events_rolling_72": rolling_72,
         "events_rolling_8_parts": rolling_8,
         "events_rolling_72_parts": rolling_72,
+        "misshapen_rows": """
+            SELECT CAST(CASE WHEN event_id % 10 = 3 THEN 8 ELSE 4 END AS BIGINT) AS n_fields, COUNT(*) AS n_rows
+            FROM events WHERE event_id % 10 = 3 OR event_id % 100 = 7 GROUP BY 1""",
         "events_user_rolling_8": by_user,
         "events_exact_rolling_72": exact.format(71),
         "events_exact_rolling_7200": exact.format(7199),

@@ -8,7 +8,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from ridemetrics.operators.storage import scratch, write_result
-from ridemetrics.plans.questions import QUESTIONS, prepare
+from ridemetrics.plans.questions import QUESTIONS, answers, prepare
 from ridemetrics.sources.hourly_csv import read_hourly_csv, standardize
 
 log = logging.getLogger(__name__)
@@ -49,9 +49,11 @@ def run(
     with scratch(spark, scratch_root) as folder:
         table = prepare(standardize(read_hourly_csv(spark, path), folder, unreadable), ids, folder)
 
+        found = answers(table, ids, folder)
+
         def answer(i):
             log.info("question %d", i)
-            return write_result(QUESTIONS[i](table), out, f"question{i}")
+            return write_result(found[i], out, f"question{i}")
 
         # The answers do not depend on each other; small last stages of one leave room for the next.
         with ThreadPoolExecutor(_AT_ONCE) as pool:

@@ -50,8 +50,36 @@ def store(df: DataFrame, folder: str, label: str) -> DataFrame:
 
 
 def write_result(df: DataFrame, base: str, folder: str, partition_by: list[str] | None = None) -> str:
-    """Overwrites ``base/folder`` (any Hadoop file system) with ``df`` as Parquet."""
-    path = f"{base.rstrip('/')}/{folder}"
-    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    """Replaces ``base/folder`` (any Hadoop file system) by ``df`` as Parquet.
+
+    The new files are written aside and take the place of the old ones when all of them are there, so a
+    job that fails leaves the old answer. The switch is two renames; if the second fails, the old answer goes back.
+    Where a store copies to rename, readers may meet no answer for that long, but never a part of one.
+    """
+    base = base.rstrip("/")
+    path, aside = f"{base}/{folder}", f"{base}/_{folder}-{uuid4().hex}"
+    spark = df.sparkSession
+    try:
+        df.write.partitionBy(*(partition_by or [])).parquet(f"{aside}/new")
+        _switch(spark, f"{aside}/new", path, f"{aside}/old")
+    finally:
+        delete_folder(spark, aside)
     log.info("written: %s", path)
     return path
+
+
+def _switch(spark: SparkSession, new: str, path: str, old: str) -> None:
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    new, path, old = map(to_path, (new, path, old))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    was_there = files.exists(path)
+    if was_there and not files.rename(path, old):
+        raise OSError(f"could not move {path} aside")
+    moved = False
+    try:
+        moved = files.rename(new, path)
+    finally:
+        if was_there and not moved:
+            files.rename(old, path)
+    if not moved:
+        raise OSError(f"could not move the new files to {path}")

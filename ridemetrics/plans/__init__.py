@@ -1,3 +1,3 @@
-from ridemetrics.plans.questions import QUESTIONS, prepare
+from ridemetrics.plans.questions import QUESTIONS, answers, prepare
 
-__all__ = ["QUESTIONS", "prepare"]
+__all__ = ["QUESTIONS", "answers", "prepare"]

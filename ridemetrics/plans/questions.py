@@ -3,9 +3,15 @@
 Each ``qN`` returns its answer as a DataFrame; the table the answer is picked from has a function
 of its own. Building an answer starts no Spark job; questions 6 and 8 need a table from ``prepare``,
 which stores it in order and does.
+
+Questions that only group the table say by which key, which sums they need of each group and what they make of
+these. ``answers`` computes the groups of questions with one key in one pass over the table.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ridemetrics.functions.clock import hours, is_weekend
 from ridemetrics.functions.measures import correlation, unmet_demand, zero_ratio
@@ -20,13 +26,35 @@ _REQUEST_ROWS = 8
 _RATIO_ROWS = 72
 
 
-def trips_by_date(h: DataFrame) -> DataFrame:
-    return h.groupBy("date").agg(F.sum("completed_trips").alias("total_completed_trips"))
+@dataclass(frozen=True)
+class Grouped:
+    """A question over groups of the table: its key, what it needs of a group by name, and its last step."""
+
+    key: tuple[str, ...]
+    needs: Callable[[], dict[str, Column]]
+    answer: Callable[[DataFrame], DataFrame]
+
+    def groups(self, h: DataFrame) -> DataFrame:
+        return _groups(h, self.key, self.needs())
 
+    def __call__(self, h: DataFrame) -> DataFrame:
+        return self.answer(self.groups(h))
 
-def q1(h: DataFrame) -> DataFrame:
-    """Date with the most completed trips."""
-    return top_rows(trips_by_date(h), "total_completed_trips", ["date"])
+
+def _groups(h, key, needs):
+    return h.groupBy(*key).agg(*[column.alias(name) for name, column in needs.items()])
+
+
+# Date with the most completed trips.
+q1 = Grouped(
+    ("date",),
+    lambda: {"total_completed_trips": F.sum("completed_trips")},
+    lambda groups: top_rows(groups.select("date", "total_completed_trips"), "total_completed_trips", ["date"]),
+)
+
+
+def trips_by_date(h: DataFrame) -> DataFrame:
+    return q1.groups(h)
 
 
 def trips_by_24h(h: DataFrame) -> DataFrame:
@@ -43,47 +71,57 @@ def q2(h: DataFrame) -> DataFrame:
     return top_rows(trips_by_24h(h), "completed_trips_per_24_hour", ["window_start"])
 
 
+# Hour of day with the most requests.
+q3 = Grouped(
+    ("hour",),
+    lambda: {"requests_per_hour": F.sum("requests")},
+    lambda groups: top_rows(groups.select("hour", "requests_per_hour"), "requests_per_hour", ["hour"]),
+)
+
+
 def requests_by_hour(h: DataFrame) -> DataFrame:
-    return h.groupBy("hour").agg(F.sum("requests").alias("requests_per_hour"))
+    return q3.groups(h)
 
 
-def q3(h: DataFrame) -> DataFrame:
-    """Hour of day with the most requests."""
-    return top_rows(requests_by_hour(h), "requests_per_hour", ["hour"])
+def _weekend_share(groups: DataFrame) -> DataFrame:
+    share = F.try_divide(100.0 * F.col("weekend_zeroes"), F.col("total_zeroes").cast("double"))
+    return groups.select("weekend_zeroes", "total_zeroes", share.alias("percentage"))
 
 
-def q4(h: DataFrame) -> DataFrame:
-    """Share of all zeroes that fall on the weekend, in percent; both sums in one pass."""
-    return h.agg(
-        F.sum(F.when(is_weekend("ts"), F.col("zeroes"))).alias("weekend_zeroes"),
-        F.sum("zeroes").alias("total_zeroes"),
-    ).withColumn("percentage", F.try_divide(100.0 * F.col("weekend_zeroes"), F.col("total_zeroes").cast("double")))
+# Share of all zeroes that fall on the weekend, in percent; both sums in one pass.
+q4 = Grouped(
+    (),
+    lambda: {"weekend_zeroes": F.sum(F.when(is_weekend("ts"), F.col("zeroes"))), "total_zeroes": F.sum("zeroes")},
+    _weekend_share,
+)
 
 
-def trips_per_driver_by_hour(h: DataFrame) -> DataFrame:
+def _trips_per_driver(groups: DataFrame) -> DataFrame:
     trips, drivers = F.col("completed_trips_per_hour"), F.col("drivers_per_hour")
-    return (
-        h.filter(F.col("hour").isNotNull())
-        .groupBy("hour")
-        .agg(
-            F.sum("completed_trips").alias("completed_trips_per_hour"),
-            F.sum("drivers").alias("drivers_per_hour"),
-        )
-        .withColumn("weight", F.try_divide(trips.cast("double"), drivers.cast("double")))
-    )
-
+    known = groups.filter(F.col("hour").isNotNull()).select("hour", trips, drivers)
+    return known.withColumn("weight", F.try_divide(trips.cast("double"), drivers.cast("double")))
 
-def q5(h: DataFrame) -> DataFrame:
-    """Trips per driver, weighted by the trips of the hour of day.
 
-    An hour of day without drivers adds nothing above the line and its trips below it.
-    """
+def _weighted_average(groups: DataFrame) -> DataFrame:
     trips = F.col("completed_trips_per_hour").cast("double")
-    return trips_per_driver_by_hour(h).agg(
+    return _trips_per_driver(groups).agg(
         F.try_divide(F.sum(trips * F.col("weight")), F.sum(trips)).alias("weighted_average")
     )
 
 
+# Trips per driver, weighted by the trips of the hour of day. An hour of day without drivers adds nothing
+# above the line and its trips below it.
+q5 = Grouped(
+    ("hour",),
+    lambda: {"completed_trips_per_hour": F.sum("completed_trips"), "drivers_per_hour": F.sum("drivers")},
+    _weighted_average,
+)
+
+
+def trips_per_driver_by_hour(h: DataFrame) -> DataFrame:
+    return _trips_per_driver(q5.groups(h))
+
+
 def _in_time_order(h: DataFrame, *columns: str) -> DataFrame:
     """The named columns of the rows that have a ``ts``, numbered in time order.
 
@@ -106,11 +144,17 @@ def q6(h: DataFrame) -> DataFrame:
     )
 
 
-def q7(h: DataFrame) -> DataFrame:
-    """Whether driver supply rises with demand."""
-    return h.agg(correlation("requests", "drivers").alias("correlation")).withColumn(
-        "answer", F.coalesce(F.col("correlation") > _SUPPLY_FOLLOWS_DEMAND, F.lit(False))
-    )
+def _follows(groups: DataFrame) -> DataFrame:
+    answer = F.coalesce(F.col("correlation") > _SUPPLY_FOLLOWS_DEMAND, F.lit(False))
+    return groups.select("correlation", answer.alias("answer"))
+
+
+def follows_demand(nulls: str = "zero") -> Grouped:
+    """Whether driver supply rises with demand; ``nulls`` as in ``correlation``."""
+    return Grouped((), lambda: {"correlation": correlation("requests", "drivers", nulls)}, _follows)
+
+
+q7 = follows_demand()
 
 
 def ratio_72h(h: DataFrame) -> DataFrame:
@@ -126,24 +170,36 @@ def q8(h: DataFrame) -> DataFrame:
     )
 
 
+# Hour of day that most needs more drivers.
+q9 = Grouped(
+    ("hour",),
+    lambda: {"unmet_demand_per_hour": F.sum(unmet_demand())},
+    lambda groups: top_rows(groups.select("hour", "unmet_demand_per_hour"), "unmet_demand_per_hour", ["hour"]),
+)
+
+
 def unmet_demand_by_hour(h: DataFrame) -> DataFrame:
-    return h.groupBy("hour").agg(F.sum(unmet_demand()).alias("unmet_demand_per_hour"))
+    return q9.groups(h)
 
 
-def q9(h: DataFrame) -> DataFrame:
-    """Hour of day that most needs more drivers."""
-    return top_rows(unmet_demand_by_hour(h), "unmet_demand_per_hour", ["hour"])
+_AVERAGES = ["avg_eyeballs", "avg_drivers", "avg_requests"]
 
 
-def activity_by_hour(h: DataFrame) -> DataFrame:
-    averages = [F.avg(name).alias(f"avg_{name}") for name in ("eyeballs", "drivers", "requests")]
+def _activity(groups: DataFrame) -> DataFrame:
     score = F.col("avg_eyeballs") + F.col("avg_drivers") + F.col("avg_requests")
-    return h.groupBy("hour").agg(*averages).withColumn("activity_score", score)
+    return groups.select("hour", *_AVERAGES, score.alias("activity_score"))
+
 
+# Hour of day with the least activity: the natural end of a day.
+q10 = Grouped(
+    ("hour",),
+    lambda: {name: F.avg(name.removeprefix("avg_")) for name in _AVERAGES},
+    lambda groups: bottom_rows(_activity(groups), "activity_score", ["hour"]),
+)
 
-def q10(h: DataFrame) -> DataFrame:
-    """Hour of day with the least activity: the natural end of a day."""
-    return bottom_rows(activity_by_hour(h), "activity_score", ["hour"])
+
+def activity_by_hour(h: DataFrame) -> DataFrame:
+    return _activity(q10.groups(h))
 
 
 QUESTIONS = {1: q1, 2: q2, 3: q3, 4: q4, 5: q5, 6: q6, 7: q7, 8: q8, 9: q9, 10: q10}
@@ -182,3 +238,22 @@ def prepare(h: DataFrame, ids: list[int], folder: str, ties: list[str] | None =
     if len(ids) > 1 or _READS_TWICE & set(ids):
         return store(h.select(*columns), folder, "hourly")
     return h
+
+
+def answers(h: DataFrame, ids: list[int], folder: str) -> dict[int, DataFrame]:
+    """The answers of ``ids`` from a table of ``prepare``, in their order.
+
+    Questions with one key are answered from one table of groups, stored below ``folder``: the table is read once
+    per key, however many questions there are. The others stay as lazy as they are by themselves.
+    """
+    by_key: dict[tuple[str, ...], list[int]] = {}
+    for i in ids:
+        if isinstance(QUESTIONS[i], Grouped):
+            by_key.setdefault(QUESTIONS[i].key, []).append(i)
+    found = {}
+    for key, same in by_key.items():
+        if len(same) > 1:
+            needs = {name: column for i in same for name, column in QUESTIONS[i].needs().items()}
+            groups = store(_groups(h, key, needs), folder, "groups")
+            found |= {i: QUESTIONS[i].answer(groups) for i in same}
+    return {i: found[i] if i in found else QUESTIONS[i](h) for i in ids}

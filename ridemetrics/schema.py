@@ -19,5 +19,7 @@ HOURLY = ["ts", "date", "hour", *COUNTERS]
 
 # Where a CSV row stands: file, start of the split, number within the scan.
 PLACE_IN_SOURCE = ["src_file", "src_start", "src_seq"]
+# Line of a CSV row with more or fewer fields than the header, else null.
+LINE = "src_line"
 # Number of a row in its source; breaks ties between equal timestamps.
 ROW_NO = "row_no"

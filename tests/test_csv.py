@@ -4,7 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from ridemetrics.schema import HOURLY
-from ridemetrics.sources.hourly_csv import read_hourly_csv, standardize
+from ridemetrics.sources.hourly_csv import misshapen_rows, read_hourly_csv, standardize
 
 HEADER = "Date,Time (Local),Eyeballs ,Zeroes ,Completed Trips ,Requests ,Unique Drivers"
 # Row numbers at which files start; their sizes do not ascend with their names.
@@ -125,3 +125,36 @@ def test_fill_runs_over_splits_and_files(spark, tmp_path, tmp_path_factory, spli
         assert [(r.row_no, r.eyeballs, r.date) for r in by_place(table)] == expected
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+RAGGED = '10-Sep-12,7,1,1,1,1,1,8\n,8,2,2\n,9,"3,0",3,3,3,3\n,10,4,4,4,4,4\n,11,"5,1",5,5,5,5,5,9'
+
+
+@pytest.mark.parametrize("split_bytes", ["30", "128m"])
+def test_rows_of_the_wrong_shape_are_named_and_counted(spark, tmp_path, folder, split_bytes):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        raw = read_hourly_csv(spark, write(tmp_path / "a.csv", HEADER, RAGGED))
+        with pytest.raises(ValueError, match="3 rows with more or fewer fields than the header of file:.*a.csv"):
+            standardize(raw, folder)
+        found = misshapen_rows(raw).orderBy("start", "seq").collect()
+        assert [(r.n_fields, r.line) for r in found] == [
+            (8, "10-Sep-12,7,1,1,1,1,1,8"), (4, ",8,2,2"), (9, ',11,"5,1",5,5,5,5,5,9'),
+        ]
+        assert all(r.file.endswith("a.csv") for r in found)
+        # Read as far as they go where nulls are wanted.
+        assert [tuple(r)[2:8] for r in by_place(standardize(raw, folder, "null"))] == [
+            (7, 1, 1, 1, 1, 1), (8, 2, 2, None, None, None), (9, None, 3, 3, 3, 3), (10, 4, 4, 4, 4, 4), (11, None, 5, 5, 5, 5),
+        ]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_shape_is_checked_in_columns_that_are_not_used(spark, tmp_path, folder):
+    rows = "10-Sep-12,7,1,1,1,1,1,note,more\n,8,1,1,1,1,1,note,more,too much\n,9,1,1,1,1,1,note"
+    raw = read_hourly_csv(spark, write(tmp_path / "a.csv", f"{HEADER},Note,Note 2", rows))
+    with pytest.raises(ValueError, match="2 rows with more or fewer"):
+        standardize(raw, folder)
+    assert [r.n_fields for r in misshapen_rows(raw).orderBy("seq").collect()] == [10, 8]
+    good = read_hourly_csv(spark, write(tmp_path / "b.csv", f"{HEADER},Note", "10-Sep-12,7,1,1,1,1,1,\n\n,8,1,1,1,1,1,x"))
+    assert standardize(good, folder).count() == 2

@@ -8,12 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from helpers import plain
+from helpers import plain, plan
 from ridemetrics import job
+from ridemetrics.operators import storage
 from ridemetrics.operators.storage import new_folder, scratch, store, write_result
-from ridemetrics.plans.questions import QUESTIONS, prepare
+from ridemetrics.plans import questions
+from ridemetrics.plans.questions import QUESTIONS, Grouped, answers, prepare
 from ridemetrics.schema import RENAMES
 from ridemetrics.sources.events import hourly_facts
+from ridemetrics.sources.hourly_csv import read_hourly_csv, standardize
 
 REPO = Path(__file__).resolve().parent.parent
 
@@ -94,3 +97,45 @@ def test_command_line(raw_csv, tmp_path):
     assert done.returncode == 0, done.stderr
     assert list((tmp_path / "out" / "question3").glob("*.parquet"))
     assert not (tmp_path / "out" / "question1").exists()
+
+
+def test_a_write_that_fails_leaves_the_old_answer(spark, tmp_path):
+    path = write_result(spark.range(5), str(tmp_path), "t")
+    bad = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_result(bad, str(tmp_path), "t")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(5))
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    # The answer may be made from the one it replaces.
+    write_result(spark.read.parquet(path).filter("id > 2"), str(tmp_path), "t")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 4]
+
+
+def test_a_switch_that_fails_puts_the_old_answer_back(spark, tmp_path, monkeypatch):
+    path = write_result(spark.range(5), str(tmp_path), "t")
+    real = storage._switch
+    monkeypatch.setattr(storage, "_switch", lambda spark, new, path, old: real(spark, f"{new}-missing", path, old))
+    with pytest.raises(Exception):
+        write_result(spark.range(9), str(tmp_path), "t")
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_one_scan_for_each_key(spark, raw_csv, folder, monkeypatch):
+    """Ten questions read the table once per key of the grouped ones, and once each for the others."""
+    table = prepare(standardize(read_hourly_csv(spark, raw_csv), folder), list(QUESTIONS), folder)
+    stored = []
+    monkeypatch.setattr(questions, "store", lambda df, *a: stored.append(plan(df)) or store(df, *a))
+    found = answers(table, list(QUESTIONS), folder)
+    assert [text.count("FileScan") for text in stored] == [1, 1]  # by hour, and as a whole
+    read_again = {i for i, df in found.items() if set(df.inputFiles()) & set(table.inputFiles())}
+    assert read_again == {1, 2, 6, 8}
+    for i, df in found.items():
+        assert six_places(df) == six_places(QUESTIONS[i](table)), i
+
+
+def test_questions_with_one_key_do_not_share_a_name():
+    """Else one question would be answered from another's sums."""
+    grouped = [q for q in QUESTIONS.values() if isinstance(q, Grouped)]
+    names = [(q.key, name) for q in grouped for name in q.needs()]
+    assert len(names) == len(set(names))
