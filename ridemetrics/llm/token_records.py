@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ridemetrics.llm.common import SLICE_BYTES, id_and_text, partitions, set_up, shared_folder, slices, store
+from ridemetrics.llm.common import id_and_text, partitions, set_up, shared_folder, slices, store
 
 # Fixed value: constant of the checksum mask.
 MASK_DELTA = 0xA282EAD8
@@ -28,11 +28,16 @@ RECORDS_PER_FILE = 8192
 FILE_BYTES = 1 << 26
 PACKS_PER_FILE = 16
 # Words, token ids and what it takes to keep them, that a process remembers, in bytes.
-MEMO_BYTES = 1 << 27
+MEMO_BYTES = 192 << 20
+# Texts that are encoded together: the more, the less often a word is looked up.
+TOGETHER_BYTES = 1 << 24
 _ENTRY_BYTES = 200
 # Words that are encoded as one text.
 ENCODED_TOGETHER = 256
 
+# A letter of Latin script, ASCII punctuation, and the end of the word. The vocabulary cuts between them, as it does
+# between any letter and punctuation; behind letters that normalising takes apart it may not.
+_MARKS_AT_END = "([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([!-/:-@\\[-`{-~]+)(\\s|$)", r"\1 \2\3"
 _CASE_MATTERS = "<\\||[\u0300-\u036f]"
 _HEAD = struct.Struct("<QI")
 _ID = struct.Struct("<?q")
@@ -82,7 +87,7 @@ class _Encoder(dict):
         self.dtype = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.held, self.cut_after = 0, {}
+        self.held, self.older = 0, {}
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text with the end's, as bytes."""
@@ -93,7 +98,8 @@ class _Encoder(dict):
         as_is = pc.match_substring_regex(texts, _CASE_MATTERS)
         if pc.any(as_is).as_py():
             lowered = pc.if_else(as_is, texts, lowered)
-        words = pc.ascii_split_whitespace(lowered)
+        parted = pc.replace_substring_regex(lowered, *_MARKS_AT_END)
+        words = pc.ascii_split_whitespace(pc.if_else(as_is, lowered, parted))
         numbered = words.flatten().dictionary_encode()
         ids = self._of(numbered.dictionary.to_pylist())
         number = numbered.indices.to_numpy()
@@ -108,48 +114,44 @@ class _Encoder(dict):
     def _of(self, words: list[str]) -> list[bytes]:
         found = list(map(self.get, words))
         new = [i for i, ids in enumerate(found) if ids is None]
-        if new:
-            if self.held > MEMO_BYTES:
-                self.clear()
-                self.held = 0
-            self._learn({words[i] for i in new})
-            for i in new:
-                found[i] = self[words[i]]
+        if not new:
+            return found
+        if self.held > MEMO_BYTES // 2:
+            # What has not been met since the last time goes; what is met again moves up.
+            self.older, self.held = dict(self), 0
+            self.clear()
+        older, missing = self.older, []
+        for i in new:
+            ids = older.get(words[i])
+            if ids is None:
+                missing.append(words[i])
+            else:
+                self._keep(words[i], ids)
+        if missing:
+            self._learn(missing)
+        for i in new:
+            found[i] = self[words[i]]
         return found
 
     def _keep(self, word: str, ids: bytes) -> None:
         self[word] = ids
-        self.held += _ENTRY_BYTES + len(word) + len(ids)
+        self.held += _ENTRY_BYTES + len(ids)
 
-    def _is_cut_after(self, last: str) -> bool:
-        """Whether the vocabulary cuts between this letter and a point.
-
-        It does not where normalising leaves a mark at the end, which is one piece with the point.
-        """
-        if last not in self.cut_after:
-            joined, alone, point = (x.tobytes() for x in self._ids([last + ".", last, "."]))
-            self.cut_after[last] = joined == alone + point
-        return self.cut_after[last]
-
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Words of letters are encoded many at a time and cut at the tokens that end a word."""
-        stems = {w: w[:-1] for w in words if w[-1:] in (".", ",") and w[:-1].isalpha() and self._is_cut_after(w[-2])}
-        words = (words - stems.keys()).union(stems.values(), (w[-1:] for w in stems)).difference(self)
-        plain = [w for w in words if w.isalpha()]
-        odd = list(words.difference(plain))
+        plain = [word for word in words if word.isalpha()]
+        odd = [word for word in words if not word.isalpha()]
         groups = [plain[i : i + ENCODED_TOGETHER] for i in range(0, len(plain), ENCODED_TOGETHER)]
         for group, found in zip(groups, self._ids([" ".join(group) for group in groups])):
             past = np.flatnonzero(self.ends_word[found]) + 1
             if len(past) != len(group):  # a letter that the vocabulary rewrites
                 odd += group
                 continue
-            raw, size = found.tobytes(), found.itemsize
-            for word, a, b in zip(group, [0, *past.tolist()], past.tolist()):
-                self._keep(word, raw[a * size : b * size])
+            raw, ends = found.tobytes(), (past * found.itemsize).tolist()
+            self.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            self.held += len(group) * _ENTRY_BYTES + len(raw)
         for word, found in zip(odd, self._ids(odd)):
             self._keep(word, found.tobytes())
-        for word, stem in stems.items():
-            self._keep(word, self[stem] + self[word[-1:]])
 
     def _ids(self, texts: list[str]):
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -162,6 +164,19 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
+def _joined(batches):
+    """Record batches of about TOGETHER_BYTES of texts, whatever the size of those that come in."""
+    held, size = [], 0
+    for batch in slices(batches, limit=TOGETHER_BYTES):
+        if held and size + batch.nbytes > TOGETHER_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def write_records(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every text, ends it with ``END_ID`` and writes the records in ascending id order.
 
@@ -180,7 +195,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
         encoder = _encoder(tokenizer)
         pack, held = [], 0
-        for batch in slices(batches, limit=SLICE_BYTES):
+        for batch in _joined(batches):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 record = frame(doc_id, ids)
                 if pack and (len(pack) >= most_records or held + len(record) > most_bytes):
