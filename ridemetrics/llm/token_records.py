@@ -28,9 +28,9 @@ RECORDS_PER_FILE = 8192
 FILE_BYTES = 1 << 26
 PACKS_PER_FILE = 16
 # Words, token ids and what it takes to keep them, that a process remembers, in bytes.
-MEMO_BYTES = 192 << 20
+MEMO_BYTES = 96 << 20
 # Texts that are encoded together: the more, the less often a word is looked up.
-TOGETHER_BYTES = 1 << 24
+TOGETHER_BYTES = 1 << 22
 _ENTRY_BYTES = 200
 # Words that are encoded as one text.
 ENCODED_TOGETHER = 256
@@ -69,7 +69,7 @@ def read_frame(content: bytes, offset: int) -> tuple[int | None, bytes, int]:
     return (doc_id if known else None), data[_ID.size :], end + 5
 
 
-class _Encoder(dict):
+class _Encoder:
     """Token ids of texts, word by word.
 
     The vocabulary's own splitting drops white space and never joins across it, ignores case, and
@@ -87,7 +87,7 @@ class _Encoder(dict):
         self.dtype = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.held, self.older = 0, {}
+        self.held, self.known, self.older = 0, {}, {}
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text with the end's, as bytes."""
@@ -112,14 +112,13 @@ class _Encoder(dict):
         return [gathered[a:b].tobytes() + end for a, b in zip(bounds, bounds[1:])]
 
     def _of(self, words: list[str]) -> list[bytes]:
-        found = list(map(self.get, words))
+        found = list(map(self.known.get, words))
         new = [i for i, ids in enumerate(found) if ids is None]
         if not new:
             return found
         if self.held > MEMO_BYTES // 2:
             # What has not been met since the last time goes; what is met again moves up.
-            self.older, self.held = dict(self), 0
-            self.clear()
+            self.older, self.known, self.held = self.known, {}, 0
         older, missing = self.older, []
         for i in new:
             ids = older.get(words[i])
@@ -130,11 +129,11 @@ class _Encoder(dict):
         if missing:
             self._learn(missing)
         for i in new:
-            found[i] = self[words[i]]
+            found[i] = self.known[words[i]]
         return found
 
     def _keep(self, word: str, ids: bytes) -> None:
-        self[word] = ids
+        self.known[word] = ids
         self.held += _ENTRY_BYTES + len(ids)
 
     def _learn(self, words: list[str]) -> None:
@@ -148,7 +147,7 @@ class _Encoder(dict):
                 odd += group
                 continue
             raw, ends = found.tobytes(), (past * found.itemsize).tolist()
-            self.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            self.known.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)]))
             self.held += len(group) * _ENTRY_BYTES + len(raw)
         for word, found in zip(odd, self._ids(odd)):
             self._keep(word, found.tobytes())

@@ -101,7 +101,7 @@ def test_memory_and_files_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
     for k in range(30):
         encoder.encode(pa.array([" ".join(f"word{k}x{i}" for i in range(10)).encode()], pa.binary()))
         assert encoder.held <= 5000 + 30 * 1000
-    assert len(encoder) + len(encoder.older) < 300
+    assert len(encoder.known) + len(encoder.older) < 300
     rows = [(i, "lorem " * (3000 if i % 10 == 0 else 3)) for i in range(200)]
     path, index = encode_to_records(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), VOCABULARY, f"{tmp_path.as_uri()}/a")
     sizes = [f.stat().st_size for f in Path(path.removeprefix("file:")).glob("part-*")]
