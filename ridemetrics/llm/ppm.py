@@ -39,8 +39,9 @@ COMMON_GRAMS = 1 << 21
 # Words whose counts are broadcast, at most. None of the others holds much more than one token in so
 # many, so they are joined without a hot key.
 COMMON_WORDS = 1 << 17
-# Distinct words that a task counts before it hands them on.
+# Distinct words that a task counts before it hands them on, and their bytes.
 COUNTED_WORDS = 1_000_000
+COUNTED_BYTES = 1 << 26
 # The same for byte sequences.
 COUNTED_GRAMS = 4_000_000
 # Stands for the end of a text among the words; no word can hold a space.
@@ -120,6 +121,8 @@ def _counts(texts: DataFrame) -> DataFrame:
                 if len(grams[0][0]) > COUNTED_GRAMS:
                     yield of_grams()
                     grams.clear()
+                if sum(map(len, seen)) > COUNTED_BYTES:
+                    yield from handed_on()
             if len(seen) > COUNTED_WORDS:
                 yield from handed_on()
         if seen:
@@ -168,8 +171,8 @@ class CodeTable:
             escapes.append(escape)
             contexts.append(found)
         del self._seen
-        self.cost = np.concatenate(rows).astype(np.float32)
-        self.after = np.concatenate(escapes).astype(np.float32)
+        self.cost = np.concatenate(rows)
+        self.after = np.concatenate(escapes)
         offset = np.cumsum([0] + [len(r) for r in rows])
         self.row = np.zeros(1, np.int32)  # order 0 has one row, the first
         for order in range(1, longest + 1):
@@ -201,7 +204,46 @@ class CodeTable:
         for k in range(self.longest):
             context = context * self.size + s[k]
         at = self.row[context], s[self.longest]
-        return self.cost[at].astype(np.float64), self.after[at].astype(np.float64)
+        return self.cost[at], self.after[at]
+
+
+class GramTable:
+    """Costs of byte sequences in a hashed table with open addressing, at most half full."""
+
+    _ODD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys: np.ndarray, costs: np.ndarray):
+        bits = max(4, (2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)  # no sequence has this number
+        self.costs = np.zeros(1 << bits)
+        slot = self._first(keys)
+        while len(keys):
+            free = self.keys[slot] == -1
+            self.keys[slot[free]] = keys[free]  # of those that meet, one stays
+            placed = self.keys[slot] == keys
+            self.costs[slot[placed]] = costs[placed]
+            keys, costs, slot = keys[~placed], costs[~placed], slot[~placed] + 1 & self.mask
+
+    def _first(self, keys):
+        return (keys.view(np.uint64) * self._ODD >> self.shift).astype(np.int64)
+
+    def lookup(self, keys: np.ndarray):
+        """Costs, 0 for sequences that are not in the table, and whether they are."""
+        slot = self._first(keys)
+        there = self.keys[slot]
+        known = there == keys
+        cost = np.where(known, self.costs[slot], 0.0)
+        rest = np.flatnonzero(~known & (there != -1))
+        slot = slot[rest]
+        while len(rest):
+            slot = slot + 1 & self.mask
+            there = self.keys[slot]
+            same = there == keys[rest]
+            known[rest[same]], cost[rest[same]] = True, self.costs[slot[same]]
+            on = ~same & (there != -1)
+            rest, slot = rest[on], slot[on]
+        return cost, known
 
 
 def _most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
@@ -305,19 +347,18 @@ def _descended(missing: DataFrame, contexts: dict[int, DataFrame], shared) -> Da
 _SCORED = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, word binary, gram long, n long"
 
 
-def _common_scores(texts, grams, costs):
+def _common_scores(texts, table: GramTable | None):
     """Scores of the texts' common byte sequences, and the others as text, sequence and times.
 
-    Without ``grams`` there was no training: each byte, and the end, is one of 256.
+    Without ``table`` there was no training: each byte, and the end, is one of 256.
     """
     raw, starts, lengths = _framed(texts)
     none = np.zeros(0, np.int64)
-    if grams is None:
+    if table is None:
         return -np.log10(256.0) * (lengths + 1), none, none, none
     keys, coded = _keys(raw), _coded(starts, lengths, len(raw))
-    place = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
-    common = grams[place] == keys
-    cost = np.r_[np.zeros(ORDER), np.where(common, costs[place], 0.0)]
+    cost, common = table.lookup(keys)
+    cost = np.r_[np.zeros(ORDER), cost]
     cost[~coded] = 0
     at = np.flatnonzero(coded[ORDER:] & ~common)
     of, keys = np.searchsorted(starts, at + ORDER, "right") - 1, keys[at]
@@ -332,7 +373,7 @@ def _scores(docs: DataFrame, shared) -> DataFrame:
     names = [c.split()[0] for c in _SCORED.split(", ")]
 
     def score(batches):
-        common, grams, costs = shared.value
+        common, table = shared.value
         key = TaskContext.get().partitionId() << 40
         end = common.get(END)
         for batch in slices(batches):
@@ -353,7 +394,7 @@ def _scores(docs: DataFrame, shared) -> DataFrame:
                 known[i] = len(found) - len(rest) + (end is not None)
                 logs[i] = log.sum() + len(rest) + (end or 0.0)
             columns = [np.arange(key, key + size), batch.column("doc_id"), batch.column("held_out"), tokens, known, logs]
-            score, *rare = _common_scores(texts, grams, costs)
+            score, *rare = _common_scores(texts, table)
             columns += [score, pa.nulls(size, pa.binary()), *[pa.nulls(size, pa.int64())] * 2]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
             types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
@@ -386,15 +427,17 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     common = _most_frequent(vocabulary, "c", COMMON_WORDS).toArrow()
     logs = np.log10(common.column("c").to_numpy() + 1.0).tolist()
     common = dict(zip(common.column("word").to_pylist(), logs))
-    grams, costs = None, None
+    # The end of a text is one of the words, whatever its place among them.
+    ends = vocabulary.filter(F.col("word") == F.lit(END)).first()
+    if ends:
+        common[END] = float(np.log10(ends["c"] + 1.0))
+    table = None
     if n:
         contexts = _all_orders(counts.filter(F.col("gram").isNotNull()).select("gram", "n"))
         seen = _grams(contexts[ORDER], (F.log10(F.col("n") + F.col("d")) - F.log10("of.n")).alias("cost"))
-        most = _most_frequent(seen, "n", COMMON_GRAMS).select("gram", "cost").toArrow().sort_by("gram")
-        # A number that no sequence has keeps the array from being empty.
-        grams = np.append(most.column("gram").to_numpy(), 1 << 62)
-        costs = np.append(most.column("cost").to_numpy(), 0.0).astype(np.float32)
-    shared = spark.sparkContext.broadcast((common, grams, costs))
+        most = _most_frequent(seen, "n", COMMON_GRAMS).select("gram", "cost").toArrow()
+        table = GramTable(most.column("gram").to_numpy(), most.column("cost").to_numpy())
+    shared = spark.sparkContext.broadcast((common, table))
 
     scored = store(_scores(rows.withColumn("held_out", ~training()), shared), "scores")
     documents = scored.filter(F.col("word").isNull() & F.col("gram").isNull())
@@ -405,8 +448,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         needed = store(rare.select("gram").distinct().join(seen.select("gram", "cost"), "gram", "left"), "needed")
         # At most 256 x TRIE_CONTEXTS sequences.
         low = _grams(contexts[TABLE_ORDER]).toArrow()
-        table = CodeTable(low.column("gram").to_numpy(), low.column("n").to_numpy(), TABLE_ORDER)
-        unseen = _descended(needed.filter("cost IS NULL").select("gram"), contexts, spark.sparkContext.broadcast(table))
+        lowest = CodeTable(low.column("gram").to_numpy(), low.column("n").to_numpy(), TABLE_ORDER)
+        unseen = _descended(needed.filter("cost IS NULL").select("gram"), contexts, spark.sparkContext.broadcast(lowest))
         needed = needed.filter("cost IS NOT NULL").unionByName(unseen)
         rare = rare.join(needed, "gram").groupBy("key").agg(F.sum(F.col("n") * F.col("cost")).alias("rare_cost"))
         documents = documents.drop("gram").join(rare, "key", "left")

@@ -118,6 +118,39 @@ def test_probabilities_add_up(monkeypatch, contexts):
     assert table.row.max() == len(table.cost) - 1
 
 
+def test_the_end_counts_however_few_words_are_common(spark, monkeypatch):
+    """A word that is more frequent than the end of a text takes the only common place."""
+    monkeypatch.setattr(ppm, "COMMON_WORDS", 1)
+    rows = [(i, "la " * (5 + i % 3)) for i in range(40)]
+    got = {r.doc_id: r for r in lm_scores(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for doc_id, _, n_tokens, n_known, _, base in _base(rows):
+        assert (got[doc_id].n_tokens, got[doc_id].n_known) == (n_tokens, n_known)
+        assert got[doc_id].base_score == pytest.approx(base)
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 5000])
+def test_hashed_table_finds_what_it_holds(n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(np.r_[rng.integers(0, 1 << 48, n), np.arange(min(n, 300))]).astype(np.int64)[: max(n, 0)]
+    costs = rng.random(len(keys))
+    table = ppm.GramTable(keys, costs)
+    asked = np.r_[keys, rng.integers(0, 1 << 48, 1000), 0, 1 << 40].astype(np.int64)
+    cost, known = table.lookup(asked)
+    held = dict(zip(keys.tolist(), costs.tolist()))
+    assert known.tolist() == [k in held for k in asked.tolist()]
+    assert cost.tolist() == [held.get(k, 0.0) for k in asked.tolist()]
+
+
+def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    rows = _rows(9)
+    found = []
+    for grams in (0, 100, 1 << 21):
+        monkeypatch.setattr(ppm, "COMMON_GRAMS", grams)
+        found.append({r.doc_id: r.score for r in lm_scores(spark.createDataFrame(rows, SCHEMA)).collect()})
+    for doc_id, score in found[0].items():
+        assert found[1][doc_id] == pytest.approx(score, rel=1e-13) and found[2][doc_id] == pytest.approx(score, rel=1e-13)
+
+
 def test_better_than_uniform_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     sizes = docs.select("doc_id", F.octet_length("text").alias("bytes"))
