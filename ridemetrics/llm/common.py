@@ -47,17 +47,23 @@ def set_up(spark: SparkSession) -> None:
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns, ``doc_id`` long and ``text`` as UTF-8 bytes, null as empty; other columns go."""
     set_up(docs.sparkSession)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
 
 
-def without_ids(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id is in the one column of ``gone``; null ids stay.
+def without_rows(docs: DataFrame, id_col: str, text_col: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and text are in ``gone`` (``doc_id``, ``tie``: the text's hash); null ids stay.
 
-    The rows travel as one column, so no name of theirs can clash.
+    So of rows that share an id only those go that are meant. The rows travel as one column, so no name of
+    theirs can clash.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"))
-    return rows.join(gone.toDF("id"), "id", "left_anti").select("row.*")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("tie"),
+    )
+    return rows.join(gone.select("doc_id", "tie"), ["doc_id", "tie"], "left_anti").select("row.*")
 
 
 def slices(batches, column: str = "text", limit: int = SLICE_BYTES):

@@ -27,7 +27,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.llm.common import SLICE_BYTES, id_and_text, partitions, slices, store, without_ids
+from ridemetrics.llm.common import SLICE_BYTES, id_and_text, partitions, slices, store, without_rows
 from ridemetrics.llm.components import connected_components
 
 N = 4
@@ -42,8 +42,10 @@ COUNTED_TOGETHER = 2_000_000
 HASHED_BYTES = 1 << 20
 # Up to this length all pairs of a list are compared (at most 28).
 SHORT_LIST = 8
-# Sets that one part of a frequent n-gram's list holds.
+# Sets that one part of a long list holds, about.
 LIST_PART = 2000
+# Clusters of one n-gram that are compared in one place, about.
+SQUARE = 1000
 # Least and largest size of a set's bitmap; in between it has two to four bits per n-gram.
 SKETCH_BITS = 1024
 MOST_SKETCH_BITS = 8192
@@ -228,22 +230,22 @@ def _frequent(profiles: DataFrame, n_sets: int) -> tuple[np.ndarray, np.ndarray]
 
 # --- pass 2: lists ------------------------------------------------------------------------------
 
-_ENTRY = "gram long, entry long, id long"
+_ENTRY = "gram long, part long, entry long, id long"
 
 
 def _entries(docs: DataFrame, shared, n: int, t) -> DataFrame:
-    """List entries: n-gram, set, and ``entry`` = part of the list, set size and n-grams after this one.
+    """List entries: n-gram, part of its list, set, and ``entry`` = set size and n-grams after this one.
 
-    The list of a frequent n-gram is dealt into numbered parts; a list in one piece has part 0.
+    The list of a frequent n-gram is dealt into numbered parts; any other list has part 0.
     """
 
     def enter(batches):
         frequent, counts = shared.value
         rank = np.empty(len(frequent), np.int64)
         rank[np.lexsort((frequent, counts))] = np.arange(len(frequent))
-        parts = np.minimum(-(-counts // LIST_PART), 0x7FFE)
+        parts = -(-counts // LIST_PART)
         for batch in slices(batches):
-            seen, columns = set(), ([], [], [])
+            seen, columns = set(), ([], [], [], [])
             for grams in ngram_sets(batch.column("text").to_pylist(), n):
                 size = len(grams)
                 if size * t[1] < (size + 1) * t[0]:
@@ -268,21 +270,22 @@ def _entries(docs: DataFrame, shared, n: int, t) -> DataFrame:
                         part[len(rare) :] = np.where(of > 1, 1 + deal.astype(np.int64) % of, 0)
                 columns[0].append(grams[:prefix].view(np.int64))
                 after = np.arange(size - 1, size - 1 - prefix, -1)
-                columns[1].append(part << 48 | size << 24 | after)
-                columns[2].append(np.full(prefix, number))
+                columns[1].append(part)
+                columns[2].append(size << 32 | after)
+                columns[3].append(np.full(prefix, number))
             if columns[0]:
                 arrays = [pa.array(np.concatenate(c)) for c in columns]
-                yield pa.RecordBatch.from_arrays(arrays, ["gram", "entry", "id"])
+                yield pa.RecordBatch.from_arrays(arrays, ["gram", "part", "entry", "id"])
 
     return docs.select("text").mapInArrow(enter, _ENTRY)
 
 
 def _size(entry):
-    return entry >> 24 & 0xFFFFFF
+    return entry >> 32
 
 
 def _after(entry):
-    return entry & 0xFFFFFF
+    return entry & 0xFFFFFFFF
 
 
 def _possible(small_a, large_a, after_a, small_b, large_b, after_b, t):
@@ -292,7 +295,7 @@ def _possible(small_a, large_a, after_a, small_b, large_b, after_b, t):
     return fit & (1 + np.minimum(after_a, after_b) >= needed)
 
 
-_LISTS = "a long, b long, gram long, entry long"
+_LISTS = "a long, b long, gram long, part long, entry long"
 
 
 def _array(column):
@@ -304,6 +307,11 @@ def _array(column):
 
 def _in_groups(batches, columns, same):
     """Sorted batches as arrays that end where a group ends; ``same`` names the grouping arrays."""
+    return (arrays for arrays, _ in _streamed(batches, columns, same))
+
+
+def _streamed(batches, columns, same, most: int | None = None):
+    """``(arrays, whether they end where a group ends)``; a group beyond ``most`` rows comes in pieces of so many."""
     rest = None
     for batch in batches:
         arrays = [_array(batch.column(c)) for c in columns]
@@ -312,31 +320,59 @@ def _in_groups(batches, columns, same):
         if rest is not None:
             arrays = [np.concatenate(x) for x in zip(rest, arrays)]
         keys = same(*arrays)
-        cut = max(np.flatnonzero((k[1:] != k[:-1]))[-1:].max(initial=-1) + 1 for k in keys)
-        if cut:
-            yield [x[:cut] for x in arrays]
+        cuts = [np.flatnonzero(k[1:] != k[:-1]) + 1 for k in keys]
+        cut = max(c.max(initial=0) for c in cuts)
+        if cut and most:
+            # The first group may be what is left of one that came in pieces.
+            head = min(c.min(initial=cut) for c in cuts)
+            yield [x[:head] for x in arrays], True
+            if head < cut:
+                yield [x[head:cut] for x in arrays], True
+        elif cut:
+            yield [x[:cut] for x in arrays], True
         rest = [x[cut:] for x in arrays]
+        while most and len(rest[0]) > most:
+            yield [x[:most] for x in rest], False
+            rest = [x[most:] for x in rest]
     if rest is not None:
-        yield rest
+        yield rest, True
+
+
+def _in_pieces(batches):
+    """Lists as arrays ``gram, part, entry, id``, whole ones with part 0.
+
+    A list longer than LIST_PART is cut by position on the way, so a task never holds one whole. Parts of it, and parts
+    dealt before, have numbers above 0 that differ within the n-gram.
+    """
+    now, piece = None, 0
+    for arrays, ends in _streamed(batches, ["gram", "part", "entry", "id"], lambda g, p, *_: (g, p), LIST_PART):
+        gram, part, entry, number = arrays
+        piece = piece + 1 if now == (gram[0], part[0]) else 0
+        now = None if ends else (gram[0], part[0])
+        if not ends or piece:
+            part = (part << 32) + piece + 1  # a list of its own, as all rows are of one
+        else:
+            part = part << 32
+        yield gram, part, entry, number
 
 
 def _lists(entries: DataFrame, t) -> DataFrame:
-    """Pairs to compare (``a``, ``b``), and the entries of long lists (``gram``, ``entry``, set in ``a``)."""
+    """Pairs to compare (``a``, ``b``), and the entries of long lists (``gram``, ``part``, ``entry``, set in ``a``)."""
 
     def pair(batches):
-        for gram, entry, number in _in_groups(batches, ["gram", "entry", "id"], lambda g, e, _: (g, e >> 48)):
+        for gram, part, entry, number in _in_pieces(batches):
             new = np.ones(len(gram), bool)
-            new[1:] = (gram[1:] != gram[:-1]) | (entry[1:] != entry[:-1]) | (number[1:] != number[:-1])
-            gram, entry, number = gram[new], entry[new], number[new]
-            first = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (entry[1:] >> 48 != entry[:-1] >> 48)])
+            new[1:] = (gram[1:] != gram[:-1]) | (entry[1:] != entry[:-1]) | (number[1:] != number[:-1]) | (part[1:] != part[:-1])
+            gram, part, entry, number = gram[new], part[new], entry[new], number[new]
+            first = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])])
             length = np.diff(np.r_[first, len(gram)])
             left, right = [], []
             for k in range(2, SHORT_LIST + 1):
-                starts = first[(length == k) & (entry[first] >> 48 == 0)]
+                starts = first[(length == k) & (part[first] == 0)]
                 i, j = np.triu_indices(k, 1)
                 left.append((starts[:, None] + i).ravel())
                 right.append((starts[:, None] + j).ravel())
-            long = (length > SHORT_LIST) | (entry[first] >> 48 > 0)  # a part says nothing about the other parts
+            long = (length > SHORT_LIST) | (part[first] > 0)  # a part says nothing about the other parts
             is_long = np.repeat(long, length)
             left, right = np.concatenate(left), np.concatenate(right)
             sizes, after = _size(entry), _after(entry)
@@ -345,14 +381,14 @@ def _lists(entries: DataFrame, t) -> DataFrame:
             x, y = number[left[keep]], number[right[keep]]
             pairs = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
             none = pa.nulls(pairs.shape[1], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), none, none], names)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), none, none, none], names)
             none = pa.nulls(int(is_long.sum()), pa.int64())
-            columns = [pa.array(number[is_long]), none, pa.array(gram[is_long]), pa.array(entry[is_long])]
+            columns = [pa.array(number[is_long]), none, *(pa.array(x[is_long]) for x in (gram, part, entry))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = [c.split()[0] for c in _LISTS.split(", ")]
-    spread = entries.repartition(partitions(entries.sparkSession), "gram", F.shiftright("entry", 48))
-    return spread.sortWithinPartitions("gram", "entry", "id").mapInArrow(pair, _LISTS)
+    spread = entries.repartition(partitions(entries.sparkSession), "gram", "part")
+    return spread.sortWithinPartitions("gram", "part", "entry", "id").mapInArrow(pair, _LISTS)
 
 
 def _nearest(long: DataFrame, sets: DataFrame, t) -> DataFrame:
@@ -365,10 +401,10 @@ def _nearest(long: DataFrame, sets: DataFrame, t) -> DataFrame:
     limit = (t[1] - t[0]) / (t[1] + t[0]) + EPSILON
 
     def pair(batches):
-        columns = ["gram", "entry", "id", "brief"]
-        for gram, entry, number, brief in _in_groups(batches, columns, lambda g, e, *_: (g, e >> 48)):
-            first = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (entry[1:] >> 48 != entry[:-1] >> 48)])
-            pairs, alive = [], entry >> 48 > 0
+        columns = ["gram", "part", "entry", "id", "brief"]
+        for gram, part, entry, number, brief in _in_groups(batches, columns, lambda g, p, *_: (g, p)):
+            first = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])])
+            pairs, alive = [], part > 0
             for start, end in zip(first.tolist(), [*first[1:].tolist(), len(gram)]):
                 ids, sizes, bits = number[start:end], _size(entry[start:end]), brief[start:end]
                 for low in range(0, end - start, 64):  # bounds the memory of a comparison
@@ -384,15 +420,15 @@ def _nearest(long: DataFrame, sets: DataFrame, t) -> DataFrame:
                     pairs.append(np.stack((np.minimum(x, y), np.maximum(x, y))))
             pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
             none = pa.nulls(pairs.shape[1], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), none, none], names)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), none, none, none], names)
             none = pa.nulls(int(alive.sum()), pa.int64())
-            columns = [pa.array(number[alive]), none, pa.array(gram[alive]), pa.array(entry[alive])]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            found = [pa.array(number[alive]), none, *(pa.array(x[alive]) for x in (gram, part, entry))]
+            yield pa.RecordBatch.from_arrays(found, names)
 
     names = [c.split()[0] for c in _LISTS.split(", ")]
-    rows = long.join(sets.select("id", "brief"), "id").select("gram", "entry", "id", "brief")
-    spread = rows.repartition(partitions(long.sparkSession), "gram", F.shiftright("entry", 48))
-    return spread.sortWithinPartitions("gram", "entry", "id").mapInArrow(pair, _LISTS)
+    rows = long.join(sets.select("id", "brief"), "id").select("gram", "part", "entry", "id", "brief")
+    spread = rows.repartition(partitions(long.sparkSession), "gram", "part")
+    return spread.sortWithinPartitions("gram", "part", "entry", "id").mapInArrow(pair, _LISTS)
 
 
 def _packed(batches):
@@ -465,20 +501,22 @@ _CLUSTER_PAIRS = "a long, b long, radius_a double, radius_b double"
 def _cluster_pairs(blocks: DataFrame, t) -> DataFrame:
     """Pairs of clusters of different classes that a long list leaves possible; blocks are skipped whole."""
 
-    columns = ["gram", "small", "large", "after", "center", "class", "radius"]
+    columns = ["gram", "row", "column", "own", "small", "large", "after", "center", "class", "radius"]
 
     def pair(batches):
-        for arrays in _in_groups(batches, columns, lambda g, *_: (g,)):
-            first = np.flatnonzero(np.r_[True, arrays[0][1:] != arrays[0][:-1]])
+        for arrays in _in_groups(batches, columns, lambda g, r, c, *_: (g, r, c)):
+            new = np.logical_or.reduce([x[1:] != x[:-1] for x in arrays[:3]])
+            first = np.flatnonzero(np.r_[True, new])
             for start, end in zip(first, np.r_[first[1:], len(arrays[0])]):
-                _, small, large, after, center, of, radius = (x[start:end] for x in arrays)
+                _, row, column, own, small, large, after, center, of, radius = (x[start:end] for x in arrays)
                 if (of == of[0]).all():
                     continue
+                across = row[0] != column[0]
                 # Sorted by the least size, so the partners of a block are a stretch of the list.
                 past = np.searchsorted(small, large * t[1] // t[0], side="right")
                 for i in range(len(small)):
                     j = np.arange(i + 1, past[i])
-                    j = j[of[j] != of[i]]
+                    j = j[(of[j] != of[i]) & ((own[j] != own[i]) | (not across))]
                     j = j[_possible(small[i], large[i], after[i], small[j], large[j], after[j], t)]
                     if len(j):
                         swap = center[j] < center[i]
@@ -489,8 +527,14 @@ def _cluster_pairs(blocks: DataFrame, t) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, ra, rb)], names)
 
     names = [c.split()[0] for c in _CLUSTER_PAIRS.split(", ")]
-    spread = blocks.repartition(partitions(blocks.sparkSession), "gram")
-    pairs = spread.select(*columns).sortWithinPartitions("gram", "small").mapInArrow(pair, _CLUSTER_PAIRS)
+    # The clusters of an n-gram in squares: each meets those of its own share and of every other one.
+    many = store(blocks.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / SQUARE).alias("shares")).filter("shares > 1"), "many-clusters")
+    shares = F.coalesce("shares", F.lit(1).cast("long"))
+    own = F.pmod(F.xxhash64("center"), shares)
+    dealt = blocks.join(many, "gram", "left").withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0).cast("long"), shares - 1))})
+    dealt = dealt.withColumns({"row": F.least("own", "other"), "column": F.greatest("own", "other")})
+    spread = dealt.select(*columns).repartition(partitions(blocks.sparkSession), "gram", "row", "column")
+    pairs = spread.sortWithinPartitions("gram", "row", "column", "small").mapInArrow(pair, _CLUSTER_PAIRS)
     return pairs.groupBy("a", "b").agg(F.max("radius_a").alias("radius_a"), F.max("radius_b").alias("radius_b"))
 
 
@@ -508,7 +552,7 @@ def _with_class(df: DataFrame, classes: DataFrame, column: str, name: str) -> Da
 def _set_classes(docs: DataFrame, sets: DataFrame, shared, n: int, t) -> DataFrame:
     """``id, class`` for every set that links with a different one."""
     lists = store(_lists(_entries(docs, shared, n, t), t), "lists")
-    long = lists.filter(F.col("b").isNull()).select(F.col("a").alias("id"), "gram", "entry")
+    long = lists.filter(F.col("b").isNull()).select(F.col("a").alias("id"), "gram", "part", "entry")
     nearest = store(_nearest(long, sets, t), "nearest")
     long = nearest.filter(F.col("b").isNull()).select(F.col("a").alias("id"), "gram", "entry")
     pairs = lists.unionByName(nearest).filter(F.col("b").isNotNull()).select("a", "b").distinct()
@@ -529,10 +573,10 @@ def _set_classes(docs: DataFrame, sets: DataFrame, shared, n: int, t) -> DataFra
         "gram", "entry", "id", F.coalesce("center", "id").alias("center"), F.coalesce("distance", F.lit(0.0)).alias("d")
     )
     members = _with_class(members, classes, "id", "class")
-    size, after = F.shiftright("entry", 24).bitwiseAND(0xFFFFFF), F.col("entry").bitwiseAND(0xFFFFFF)
-    blocks = members.groupBy("gram", "center", "class").agg(
+    size, after = F.shiftright("entry", 32), F.col("entry").bitwiseAND(F.lit(0xFFFFFFFF))
+    blocks = store(members.groupBy("gram", "center", "class").agg(
         F.min(size).alias("small"), F.max(size).alias("large"), F.max(after).alias("after"), F.max("d").alias("radius")
-    )
+    ), "clusters")
     apart = _plausible(_cluster_pairs(blocks, t), sets, t, F.col("radius_a") + F.col("radius_b"), in_size=False)
     apart = store(apart, "cluster-pairs")
     second = _compare(apart, texts, n, t).join(apart, ["a", "b"])
@@ -542,7 +586,7 @@ def _set_classes(docs: DataFrame, sets: DataFrame, shared, n: int, t) -> DataFra
     if not near.isEmpty():
         # Clusters whose classes another pair has linked need no further comparison.
         near = _of_classes(near, classes).join(joins.select("class_a", "class_b"), ["class_a", "class_b"], "left_anti")
-        between = _between(near.select("a", "b", "distance"), centers, sets, texts, n, t)
+        between = _between(near.select("a", "b", "distance", "radius_a", "radius_b"), centers, sets, texts, n, t)
         joins = joins.unionByName(_of_classes(between, classes), allowMissingColumns=True)
     # The classes of the first links are nodes now, and the later links are edges between them.
     merged = connected_components(joins.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
@@ -569,7 +613,9 @@ def _between(near: DataFrame, centers: DataFrame, sets: DataFrame, texts: DataFr
         return every.select(*[F.col(c).alias(x) for c, x in columns.items()])
 
     reach = 1 - t[0] / t[1] + EPSILON
-    pairs = near.join(side("a"), "a").join(side("b"), "b").filter(
+    # Of each cluster only members far enough from its centre to reach the other one.
+    pairs = near.join(side("a"), "a").filter(F.col("distance") <= reach + F.col("d_a") + F.col("radius_b"))
+    pairs = pairs.join(side("b"), "b").filter(
         (F.col("distance") <= reach + F.col("d_a") + F.col("d_b"))
         & (F.col("n_a") * t[1] >= F.col("n_b") * t[0])
         & (F.col("n_b") * t[1] >= F.col("n_a") * t[0])
@@ -579,20 +625,8 @@ def _between(near: DataFrame, centers: DataFrame, sets: DataFrame, texts: DataFr
     return _compare(ends, texts, n, t).filter("linked").select("a", "b")
 
 
-def similarity_classes(
-    docs: DataFrame, n: int = N, similarity=SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id``.
-
-    A document's set holds its distinct word ``n``-grams; a text with fewer words is one n-gram, and
-    one without words, or null, has the empty set. Two documents link if the Jaccard similarity of
-    their sets is at least ``similarity`` = (numerator, denominator); empty sets link with nothing.
-    ``component_id`` is the smallest id that links reach, the document's own included; rows without
-    an id are compared like others and get the smallest id they reach, null if there is none.
-    Repeated rows each get a row. Other columns are not read.
-
-    Set ids are 64 bits of a 128-bit digest. Different sets with one id fail the job.
-    """
+def _classified(docs: DataFrame, n: int, similarity, id_col: str, text_col: str) -> DataFrame:
+    """Stored ``doc_id, tie, n, class`` of each row; ``tie`` is its text's hash, ``n`` its set's size."""
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
     profiles = store(_profiles(rows, n), "profiles")
@@ -610,10 +644,25 @@ def similarity_classes(
     shared = spark.sparkContext.broadcast(_frequent(profiles, sets.count()))
     classes = _set_classes(rows, sets, shared, n, similarity)
 
-    grouped = store(_with_class(documents.select("doc_id", "n", "id"), classes, "id", "class"), "grouped")
-    least = store(
-        grouped.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least")), "components"
-    )
+    return store(_with_class(documents.select("doc_id", "tie", "n", "id"), classes, "id", "class"), "grouped")
+
+
+def similarity_classes(
+    docs: DataFrame, n: int = N, similarity=SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per input row: ``doc_id, n_shingles, component_id``.
+
+    A document's set holds its distinct word ``n``-grams; a text with fewer words is one n-gram, and
+    one without words, or null, has the empty set. Two documents link if the Jaccard similarity of
+    their sets is at least ``similarity`` = (numerator, denominator); empty sets link with nothing.
+    ``component_id`` is the smallest id that links reach, the document's own included; rows without
+    an id are compared like others and get the smallest id they reach, null if there is none.
+    Repeated rows each get a row. Other columns are not read.
+
+    Set ids are 64 bits of a 128-bit digest. Different sets with one id fail the job.
+    """
+    grouped = _classified(docs, n, similarity, id_col, text_col)
+    least = store(grouped.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least")), "components")
     return grouped.join(least, "class", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -621,11 +670,17 @@ def similarity_classes(
     )
 
 
-def drop_similar(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def drop_similar(
+    docs: DataFrame, n: int = N, similarity=SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """``docs`` with one document of each class, the one with the smallest id, and all columns.
 
-    Rows without an id stay, as they cannot be named; so do empty documents.
+    Rows without an id stay, as they cannot be named; so do empty documents. Of rows that share an id but not their
+    text each is a document of its own, and in a class of both the one with the smaller hash stays; rows that
+    repeat id and text are one document.
     """
-    classes = similarity_classes(docs, id_col=id_col, **options)
-    gone = classes.filter("doc_id > component_id").select("doc_id").distinct()
-    return without_ids(docs, id_col, store(gone, "similar"))
+    grouped = _classified(docs, n, similarity, id_col, text_col).filter("n > 0 AND doc_id IS NOT NULL")
+    document = F.struct("doc_id", "tie")
+    first = store(grouped.groupBy("class").agg(F.min(document).alias("first")), "first-of-class")
+    gone = grouped.join(first, "class").filter(document != F.col("first")).select("doc_id", "tie").distinct()
+    return without_rows(docs, id_col, text_col, store(gone, "similar"))

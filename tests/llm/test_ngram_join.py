@@ -90,3 +90,56 @@ def test_components(spark):
         x, y = sorted((find(a), find(b)))
         parent[y] = x
     assert got == {k: find(k) for k in parent}
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    """Only the near copy goes, not the other row of its id."""
+    a, b = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    rows = [(1, a), (5, a + " y"), (5, b), (7, b + " z"), (8, "c d e f g"), (8, "c d e f g")]
+    kept = drop_similar(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert sorted(map(tuple, kept.collect())) == sorted([(1, a), (5, b), (8, "c d e f g"), (8, "c d e f g")])
+    # One id, one class: one of the two texts stays.
+    kept = drop_similar(spark.createDataFrame([(1, a), (1, a + " y")], SCHEMA)).collect()
+    assert len(kept) == 1
+
+
+def test_a_list_below_the_threshold_is_cut_by_position(spark, monkeypatch):
+    """50,000 sets share an n-gram that no task counts as frequent; no piece of the list is larger than a part."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 1)
+    monkeypatch.setattr(ngram_join, "LIST_PART", 300)
+    monkeypatch.setattr(ngram_join, "SQUARE", 50)
+    entries = spark.range(50_000).select(
+        F.lit(7).cast("long").alias("gram"), F.lit(0).cast("long").alias("part"),
+        (F.shiftleft(F.lit(20).cast("long") + F.col("id") % 9, 32) + F.lit(3)).alias("entry"), F.xxhash64("id").alias("id"),
+    )
+    entries = entries.unionByName(entries.limit(5).withColumns({"gram": F.lit(9).cast("long")}))
+    found = ngram_join._lists(entries, (80, 100))
+    sizes = {r["part"]: r["count"] for r in found.filter("b IS NULL").groupBy("part").count().collect()}
+    assert sum(sizes.values()) == 50_000 and max(sizes.values()) <= 300 and 0 not in sizes and len(sizes) >= 50_000 / 300
+    assert found.filter("b IS NOT NULL").count() == 10
+
+
+def test_cut_lists_lose_no_link(spark, monkeypatch):
+    """Sets of one shared passage and little else, more than a part holds, none of it counted as frequent."""
+    monkeypatch.setattr(ngram_join, "LIST_PART", 10)
+    monkeypatch.setattr(ngram_join, "SQUARE", 3)
+    monkeypatch.setattr(ngram_join, "_frequent", lambda *a: (ngram_join.np.zeros(0, ngram_join.np.uint64), ngram_join.np.zeros(0, int)))
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(26)]
+    texts = []
+    for _ in range(150):
+        own = [f"o{rng.randrange(40)}" for _ in range(rng.randrange(1, 9))]
+        texts.append(" ".join(passage + own))
+    rows = list(enumerate(texts))
+    got = _got(similarity_classes(spark.createDataFrame(rows, SCHEMA).repartition(4)))
+    assert got == brute.similarity_classes(dict(rows))
+
+
+def test_texts_beyond_a_megabyte(spark):
+    rng = random.Random(2)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(200_000)]
+    near = list(long)
+    for k in range(0, 200_000, 4000):
+        near[k] = "x"
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(long[:100_000])), (4, "y" * 2_000_000)]
+    assert _got(similarity_classes(spark.createDataFrame(rows, SCHEMA))) == brute.similarity_classes(dict(rows))
