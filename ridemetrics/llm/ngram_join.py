@@ -338,14 +338,14 @@ def _streamed(batches, columns, same, most: int | None = None):
         yield rest, True
 
 
-def _in_pieces(batches):
+def _in_pieces(batches, most: int):
     """Lists as arrays ``gram, part, entry, id``, whole ones with part 0.
 
-    A list longer than LIST_PART is cut by position on the way, so a task never holds one whole. Parts of it, and parts
+    A list longer than ``most`` is cut by position on the way, so a task never holds one whole. Parts of it, and parts
     dealt before, have numbers above 0 that differ within the n-gram.
     """
     now, piece = None, 0
-    for arrays, ends in _streamed(batches, ["gram", "part", "entry", "id"], lambda g, p, *_: (g, p), LIST_PART):
+    for arrays, ends in _streamed(batches, ["gram", "part", "entry", "id"], lambda g, p, *_: (g, p), most):
         gram, part, entry, number = arrays
         piece = piece + 1 if now == (gram[0], part[0]) else 0
         now = None if ends else (gram[0], part[0])
@@ -359,8 +359,10 @@ def _in_pieces(batches):
 def _lists(entries: DataFrame, t) -> DataFrame:
     """Pairs to compare (``a``, ``b``), and the entries of long lists (``gram``, ``part``, ``entry``, set in ``a``)."""
 
+    most = LIST_PART
+
     def pair(batches):
-        for gram, part, entry, number in _in_pieces(batches):
+        for gram, part, entry, number in _in_pieces(batches, most):
             new = np.ones(len(gram), bool)
             new[1:] = (gram[1:] != gram[:-1]) | (entry[1:] != entry[:-1]) | (number[1:] != number[:-1]) | (part[1:] != part[:-1])
             gram, part, entry, number = gram[new], part[new], entry[new], number[new]

@@ -56,6 +56,7 @@ class _Block:
         self.rows = table.column("row").to_numpy()
         self.ids = table.column("id").to_pylist()
         self.limit = limit  # no product is larger
+        self.cells = CELLS
         kind = np.float64 if limit < _EXACT else np.int64
         vectors = [np.asarray(v, kind) for v in table.column("v").to_pylist()]
         lengths = np.array([len(v) for v in vectors])
@@ -81,7 +82,7 @@ class _Block:
             rows = batch.column("row").to_numpy()
             for n, (of, matrix) in self.matrices.items():
                 same = np.flatnonzero(lengths == n)
-                step = max(1, CELLS // max(len(of), n))
+                step = max(1, self.cells // max(len(of), n))
                 for start in range(0, len(same), step):
                     part = same[start : start + step]
                     vectors = flat[offsets[part][:, None] + np.arange(n)].astype(self.kind)

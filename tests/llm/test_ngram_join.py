@@ -110,7 +110,7 @@ def test_a_list_below_the_threshold_is_cut_by_position(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "SQUARE", 50)
     entries = spark.range(50_000).select(
         F.lit(7).cast("long").alias("gram"), F.lit(0).cast("long").alias("part"),
-        (F.shiftleft(F.lit(20).cast("long") + F.col("id") % 9, 32) + F.lit(3)).alias("entry"), F.xxhash64("id").alias("id"),
+        (F.shiftleft(F.lit(20).cast("long") + F.col("id") % 9, 32) + F.lit(19)).alias("entry"), F.xxhash64("id").alias("id"),
     )
     entries = entries.unionByName(entries.limit(5).withColumns({"gram": F.lit(9).cast("long")}))
     found = ngram_join._lists(entries, (80, 100))
