@@ -108,11 +108,12 @@ def test_a_list_below_the_threshold_is_cut_by_position(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FREQUENT", 1)
     monkeypatch.setattr(ngram_join, "LIST_PART", 300)
     monkeypatch.setattr(ngram_join, "SQUARE", 50)
-    entries = spark.range(50_000).select(
-        F.lit(7).cast("long").alias("gram"), F.lit(0).cast("long").alias("part"),
-        (F.shiftleft(F.lit(20).cast("long") + F.col("id") % 9, 32) + F.lit(19)).alias("entry"), F.xxhash64("id").alias("id"),
-    )
-    entries = entries.unionByName(entries.limit(5).withColumns({"gram": F.lit(9).cast("long")}))
+    def entries(n, gram):
+        entry = F.shiftleft(F.lit(20).cast("long") + F.col("id") % 9, 32) + F.lit(19)
+        numbers = {"gram": F.lit(gram).cast("long"), "part": F.lit(0).cast("long"), "entry": entry, "id": F.xxhash64("id")}
+        return spark.range(n).select(*[c.alias(name) for name, c in numbers.items()])
+
+    entries = entries(50_000, 7).unionByName(entries(5, 9))
     found = ngram_join._lists(entries, (80, 100))
     sizes = {r["part"]: r["count"] for r in found.filter("b IS NULL").groupBy("part").count().collect()}
     assert sum(sizes.values()) == 50_000 and max(sizes.values()) <= 300 and 0 not in sizes and len(sizes) >= 50_000 / 300
