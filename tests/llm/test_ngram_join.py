@@ -109,7 +109,7 @@ def test_a_list_below_the_threshold_is_cut_by_position(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "LIST_PART", 300)
     monkeypatch.setattr(ngram_join, "SQUARE", 50)
     def entries(n, gram):
-        entry = F.shiftleft(F.lit(20).cast("long") + F.col("id") % 9, 32) + F.lit(19)
+        entry = F.shiftleft(F.lit(20).cast("long") + F.col("id") % 9, 32) + F.lit(30)
         numbers = {"gram": F.lit(gram).cast("long"), "part": F.lit(0).cast("long"), "entry": entry, "id": F.xxhash64("id")}
         return spark.range(n).select(*[c.alias(name) for name, c in numbers.items()])
 
