@@ -8,6 +8,10 @@ The log posterior of a language is the sum of
 
 Trigrams, declarations and priors are counted over all documents by grouped aggregation. The
 counts of the declarations and priors use the languages that the text alone suggests.
+
+One more hypothesis competes with the languages: a background in which all trigrams are equally likely, with the
+declarations of all documents and a small prior of its own. It wins where a text is in none of the languages,
+in another script or no language at all, and such texts are rejected.
 """
 
 import numpy as np
@@ -23,6 +27,12 @@ TEMPER = 1 / 3
 PRIOR_WEIGHT = 20.0
 DECLARED_SMOOTHING = 1.0
 LEAST_CONFIDENCE = 0.5
+# Prior of the background, and its log likelihood of a trigram.
+BACKGROUND_PRIOR = 0.01
+BACKGROUND_LOG = -float(np.log(BUCKETS))
+# Declared values that are languages of their own, the most frequent ones; all others are one class. Bounds the model.
+MOST_LANGUAGES = 255
+OTHER = "other"
 # Up to this many hosts their priors are broadcast; beyond it they are joined by shuffle.
 BROADCAST_HOSTS = 50_000
 
@@ -73,19 +83,27 @@ class TextModel:
         self.logs = np.log(smooth / smooth.sum(1, keepdims=True)).T.astype(np.float32).copy()
 
     def evidence(self, text: bytes | None) -> list[float] | None:
-        """Tempered log likelihood per language; null without letters."""
+        """Tempered log likelihood per language, then that of the background; null without letters."""
         found = trigrams(text or b"")
         if not len(found) or not self.languages:
             return None
-        return (TEMPER * self.logs[found].sum(0, dtype=np.float64)).tolist()
+        return [*(TEMPER * self.logs[found].sum(0, dtype=np.float64)).tolist(), TEMPER * BACKGROUND_LOG * len(found)]
+
 
+def _declaration(docs: DataFrame, declared_col: str) -> Column:
+    """The declared value in lower case, empty for none; all but the most frequent ones are one class."""
+    value = F.coalesce(F.lower(F.col(f"`{declared_col}`").cast("string")), F.lit(""))
+    counts = docs.select(value.alias("value")).filter("value != ''").groupBy("value").count()
+    frequent = counts.orderBy(F.desc("count"), "value").limit(MOST_LANGUAGES)
+    return F.when((value == "") | value.isin([r["value"] for r in frequent.collect()]), value).otherwise(OTHER)
 
-def train(docs: DataFrame, text_col: str, declared_col: str) -> TextModel:
+
+def train(docs: DataFrame, text_col: str, declared: Column) -> TextModel:
     """Text model from all documents that declare a language. Its size is languages x BUCKETS."""
     set_up(docs.sparkSession)
-    labelled = docs.filter(F.col(declared_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.lower(F.col(declared_col).cast("string")).alias("lang"), F.col(text_col).cast("string").cast("binary").alias("text")
-    )
+    text = F.col(f"`{text_col}`")
+    labelled = docs.select(declared.alias("lang"), text.cast("string").cast("binary").alias("text"))
+    labelled = labelled.filter("lang != '' AND text IS NOT NULL")
     found = _count(labelled).toArrow()
     languages = sorted(set(found.column("lang").to_pylist()))
     counts = np.zeros((len(languages), BUCKETS))
@@ -107,13 +125,13 @@ def _text_evidence(docs: DataFrame, model: TextModel, text_col: str) -> Column:
 
 
 def _best(scores: str, languages: list[str]) -> Column:
-    """Language with the highest score; the first in alphabetical order among equals."""
+    """Language with the highest score, the first in alphabetical order among equals; null for the background."""
     names = F.array(*map(F.lit, languages)) if languages else F.array().cast("array<string>")
     return F.get(names, (F.array_position(scores, F.array_max(scores)) - 1).cast("int"))
 
 
 def host_of(url: str) -> Column:
-    return F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z]+://(?:[^/@]*@)?([^/:?#]+)", 1))
+    return F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^[A-Za-z]+://(?:[^/@]*@)?([^/:?#]+)", 1))
 
 
 def suffix_of(host: Column) -> Column:
@@ -121,6 +139,18 @@ def suffix_of(host: Column) -> Column:
     return F.when(host.contains("."), F.substring_index(host, ".", -1)).otherwise("")
 
 
+def of_pages(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """``pages`` with ``text``, ``lang`` and ``host``: what a reader sees, the language that the markup declares and
+    the host of the address. These columns replace others of their names.
+
+    Null markup gives a null text; a declaration's region (``en-GB``) is left out; an address without a host has an empty one.
+    """
+    seen = F.regexp_replace(F.col(f"`{html_col}`"), r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->", " ")
+    declared = F.regexp_extract(F.col(f"`{html_col}`"), r"""(?i)<html\b[^>]*?\slang\s*=\s*["']?([a-z]{2,8})""", 1)
+    text = F.regexp_replace(F.regexp_replace(seen, "<[^>]*>", " "), "&[a-zA-Z]{1,10};|&#[0-9xa-fA-F]{1,8};", " ")
+    return pages.withColumns({"text": text, "lang": F.nullif(F.lower(declared), F.lit("")), "host": host_of(url_col)})
+
+
 def identify(
     docs: DataFrame,
     text_col: str = "text",
@@ -132,16 +162,18 @@ def identify(
     ``struct<language, confidence, text_language, declared, accepted>``.
 
     ``host`` defaults to the column ``source``. A document is accepted if its text has letters and
-    the posterior of its best language is at least ``least_confidence``. Null and empty texts, and
-    texts without letters, have no language and are rejected. A null declaration or host is a value
-    like others. Ties go to the first language in alphabetical order. A table without declared
-    languages has no model and no accepted rows. An existing column ``language_id`` is replaced.
+    the posterior of its best language is at least ``least_confidence``. Null and empty texts, texts without
+    letters and those for which the background is more likely than any language have no language and are
+    rejected. A null declaration or host is a value like others; declared values beyond the MOST_LANGUAGES
+    most frequent ones are the one class OTHER. Ties go to the first language in alphabetical order. A text of any length is
+    read as a whole; rows that repeat each get their answer. A table without declared languages has no model and no
+    accepted rows. An existing column ``language_id`` is replaced.
     """
     spark = docs.sparkSession
     host = F.col("source") if host is None else host
     host = F.coalesce(F.lower(host.cast("string")), F.lit(""))
-    declared = F.coalesce(F.lower(F.col(f"`{declared_col}`").cast("string")), F.lit(""))
-    model = train(docs, text_col, declared_col)
+    declared = _declaration(docs, declared_col)
+    model = train(docs, text_col, declared)
     languages = model.languages
     near = _text_evidence(docs, model, text_col)
 
@@ -158,7 +190,7 @@ def identify(
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "language_id"]).alias("_row")
     rows = docs.select(whole, host.alias("_host"), declared.alias("_declared"), near.alias("_near"))
     rows = rows.join(priors, F.col("_host") == F.col("host"), "left")
-    none = F.array_repeat(F.lit(0.0), len(languages))
+    none = F.array_repeat(F.lit(0.0), len(languages) + 1)
     told = F.coalesce(F.try_element_at(tell, F.col("_declared")), none)
     fused = F.zip_with(F.zip_with("_near", told, lambda a, b: a + b), F.coalesce("prior", none), lambda a, b: a + b)
     rows = rows.withColumn("_sum", fused)
@@ -175,9 +207,9 @@ def identify(
 
 
 def _declaration_logs(seen: DataFrame, languages: list[str]) -> Column:
-    """Map from a declaration to its log probability in each language.
+    """Map from a declaration to its log probability in each language and in the background.
 
-    It has at most as many entries as there are languages in the model, and one for none.
+    It has at most MOST_LANGUAGES + 2 entries, for the languages, all others and none.
     """
     counts = {(r["declared"], r["language"]): r["n"] for r in seen.groupBy("declared", "language").agg(F.sum("n").alias("n")).collect()}
     values = sorted({d for d, _ in counts})
@@ -188,6 +220,8 @@ def _declaration_logs(seen: DataFrame, languages: list[str]) -> Column:
                          / (sum(counts.get((e, lang), 0) for e in values) + DECLARED_SMOOTHING * len(values))))
             for lang in languages
         ]
+        of_all = sum(counts.get((d, lang), 0) for lang in languages) + DECLARED_SMOOTHING
+        logs[d].append(float(np.log(of_all / (sum(counts.values()) + DECLARED_SMOOTHING * len(values)))))
     if not logs:
         return F.lit(None).cast("map<string,array<double>>")
     entries = [x for d, row in logs.items() for x in (F.lit(d), F.array(*map(F.lit, row)))]
@@ -195,7 +229,7 @@ def _declaration_logs(seen: DataFrame, languages: list[str]) -> Column:
 
 
 def _host_priors(seen: DataFrame, languages: list[str]) -> DataFrame:
-    """``host, prior``: log prior of each language, smoothed over suffix and all documents."""
+    """``host, prior``: log prior of each language, smoothed over suffix and all documents, and of the background."""
 
     of = [F.coalesce(F.sum(F.when(F.col("language") == lang, F.col("n"))), F.lit(0)) for lang in languages]
     counts = (F.array(*of) if of else F.array().cast("array<long>")).alias("counts")
@@ -212,4 +246,5 @@ def _host_priors(seen: DataFrame, languages: list[str]) -> DataFrame:
     suffixes = suffixes.select("suffix", smoothed("counts", F.col("p")).alias("p"))
     hosts = seen.groupBy("host", "suffix").agg(counts).join(suffixes, "suffix")
     hosts = hosts.select("host", smoothed("counts", F.col("p")).alias("p"))
-    return store(hosts.select("host", F.transform("p", lambda x: F.log(x)).alias("prior")), "priors")
+    logs = F.transform("p", lambda x: F.log(x * F.lit(1 - BACKGROUND_PRIOR)))
+    return store(hosts.select("host", F.concat(logs, F.array(F.lit(float(np.log(BACKGROUND_PRIOR))))).alias("prior")), "priors")

@@ -9,7 +9,7 @@ from ridemetrics.llm.common import shared_folder
 from ridemetrics.llm.conversation_repair import damaged, repair
 from ridemetrics.llm.decontaminate import contamination, find_test_passages
 from ridemetrics.llm.exact_dedup import exact_groups
-from ridemetrics.llm.language_id import identify
+from ridemetrics.llm.language_id import identify, of_pages
 from ridemetrics.llm.ngram_join import similarity_classes
 from ridemetrics.llm.ppm import lm_scores
 from ridemetrics.llm.secrets import scan_secrets
@@ -56,6 +56,12 @@ def op5_language_id(spark, sf_dir):
     return found.select("doc_id", "language_id.*")
 
 
+def op5_language_id_pages(spark, sf_dir):
+    """With the language that the markup declares, the host of the address and its suffix."""
+    found = identify(of_pages(_table(spark, sf_dir, "pages")), host=F.col("host"))
+    return found.select("page_id", "host", "language_id.*")
+
+
 # Speaker markers of raw transcripts by style: system, user, assistant.
 _STYLES = [
     ["System: ", "User: ", "Assistant: "],
@@ -125,6 +131,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_language_id": op5_language_id,
+    "op5_language_id_pages": op5_language_id_pages,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,

@@ -176,3 +176,48 @@ def repaired(rows):
                     if (state, letter) in after:
                         heapq.heappush(queue, (cost + 2 + more, audit + "R", i + 1, letter, (*lines, f"{name}:{text}")))
     return (gaps, *(faults.count(x) for x in ("blank", "duplicate", "truncated")), illegal, cost, audit, "\n".join(lines))
+
+
+def language(rows, model, temper, prior, weight, smoothing, background):
+    """[(language or None, confidence)] of [(text, declared, host)] by the rule of the fusion, row by row.
+
+    ``model`` gives the logs of a text's trigrams: a list per trigram with a log for each language, then the background's.
+    """
+    languages, logs = model
+    uniform = 1 / max(1, len(languages))
+    texts = [logs(text) if text else [] for text, _, _ in rows]
+    near = [[temper * sum(t[k] for t in found) for k in range(len(languages) + 1)] if found else None for found in texts]
+    first = [None if n is None else max(range(len(n)), key=lambda k: (n[k], -k)) for n in near]
+    keyed = [((host or "").lower(), (declared or "").lower(), f) for (_, declared, host), f in zip(rows, first) if f is not None and f < len(languages)]
+
+    def suffix(host):
+        return host.rpartition(".")[2] if "." in host else ""
+
+    def counted(of):
+        return [sum(f == k and of(host) for host, _, f in keyed) for k in range(len(languages))]
+
+    def smoothed(counts, outer):
+        return [(c + weight * o) / (sum(counts) + weight) for c, o in zip(counts, outer)]
+
+    top = smoothed(counted(lambda h: True), [uniform] * len(languages))
+    values = sorted({d for _, d, _ in keyed})
+    out = []
+    for (_, declared, host), n in zip(rows, near):
+        if n is None:
+            out.append((None, None))
+            continue
+        host, declared, total = (host or "").lower(), (declared or "").lower(), list(n)
+        if declared in values:
+            for k in range(len(languages) + 1):
+                of = [(d, f) for _, d, f in keyed if k == len(languages) or f == k]
+                total[k] += math.log((sum(d == declared for d, _ in of) + smoothing) / (len(of) + smoothing * len(values)))
+        if host in {h for h, _, _ in keyed}:
+            outer = smoothed(counted(lambda h: suffix(h) == suffix(host)), top)
+            inner = smoothed(counted(lambda h: h == host), outer)
+            for k, p in enumerate(inner):
+                total[k] += math.log(p * (1 - background))
+            total[-1] += math.log(background)
+        best = max(range(len(total)), key=lambda k: (total[k], -k))
+        confidence = 1 / sum(math.exp(x - total[best]) for x in total)
+        out.append((languages[best] if best < len(languages) else None, confidence))
+    return out
