@@ -69,9 +69,11 @@ def drop_exact_copies(
 ) -> DataFrame:
     """The row with the largest id of each distinct text, with all its columns; one shuffle.
 
-    Rows that repeat an id together with its text leave one of them.
+    Rows that repeat an id together with its text leave one of them, the same in every run: that with the largest
+    hash of all columns but maps. A null text counts as empty, a null id is smaller than any other.
     """
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row")
     keyed = docs.select(row, *[c.alias(n) for n, c in _keyed(docs, hash_of, text_col).items()])
-    last = F.max_by("_row", F.struct(F.col("_row").getField(id_col))).alias("_row")
+    hashed = [F.col("_row").getField(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    last = F.max_by("_row", F.struct(F.col("_row").getField(id_col), F.xxhash64(*hashed))).alias("_row")
     return _equal_texts(keyed, last).select("_row.*")

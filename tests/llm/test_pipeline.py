@@ -119,3 +119,39 @@ def test_every_stage_takes_an_empty_table(spark, corpus):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).agg(F.count("*")).first()[0] == 0, name
+
+
+@pytest.fixture(scope="module")
+def clashing(spark, tmp_path_factory):
+    """Rows with columns named like those that the stages use, and one with a point in its name."""
+    folder = str(tmp_path_factory.mktemp("clashing"))
+    text = " ".join(f"the cat number{i} sat on a mat" for i in range(30))
+    other = " ".join(f"when dogs run{i} far they rest" for i in range(30))
+    rows = [(1, text, "en", "s"), (5, f"{text} now", "en", "s"), (5, other, "en", "s"), (5, other, "en", "s"), (None, text + " b", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs = docs.withColumns({c: F.lit(c) for c in ("language_id", "_pieces", "row", "_row", "tie", "key", "a.b", "doc id", "pieces")})
+    docs.withColumn("m", F.create_map(F.lit("k"), F.lit(1))).write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+def test_any_column_names_pass_through(spark, clashing):
+    docs = spark.read.parquet(f"{clashing}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs
+        docs = stage(spark, docs, clashing).persist()
+        assert docs.columns == before.columns and docs.dtypes == before.dtypes, name
+        assert {r["language_id"] for r in docs.select("language_id").collect()} == {"language_id"}
+        assert {r["a.b"] for r in docs.collect()} == {"a.b"}
+    # The near copy under the id 5 goes and the other text of that id stays.
+    assert sorted([(r.doc_id or 0, r.text[:8]) for r in docs.collect()]) == [(0, "the cat "), (1, "the cat "), (5, "when dog")]
+    done = corpus_pipeline.STAGES[-1][1](spark, docs, clashing)
+    assert done.columns == [*docs.columns, "ids", "n_pieces", "round_trip"]
+    assert done.filter("round_trip AND _pieces = '_pieces'").count() == 3
+    assert corpus_pipeline.run(spark, clashing).count() == 3
+
+
+def test_a_name_that_a_stage_adds_is_refused(spark, clashing):
+    docs = spark.read.parquet(f"{clashing}/documents.parquet").withColumn("IDS", F.lit(1))
+    with pytest.raises(ValueError, match="ids"):
+        corpus_pipeline.STAGES[-1][1](spark, docs, clashing)
