@@ -9,6 +9,7 @@ sees a file from its first byte on, and follows the declared lengths.
 import hashlib
 import re
 import uuid
+from itertools import accumulate, product
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -52,18 +53,34 @@ def _write(records: DataFrame, path: str) -> None:
 class Blocks:
     """Cuts lines into records: a header, as read by ``head``, and as many bytes as it declares.
 
-    ``head(line)`` returns a header when ``line`` ends one, else None; a header has ``length``.
+    ``head(state, line)`` returns a header when ``line`` ends one, else None; a header has ``length``.
+    ``after(state, content)`` is told of each record. A record that breaks its length, or a damaged
+    header, is an error; with ``is_head`` it goes to ``rejects`` instead, as file, number, line and reason, and the next
+    line for which ``is_head(state, line)`` holds begins the next record, the lines of the damaged one included.
     """
 
-    def __init__(self, head):
-        self.head, self.file = head, None
+    def __init__(self, head, after=None, is_head=None):
+        self.head, self.after, self.is_head = head, after, is_head
+        self.file, self.rejects = None, []
 
     def feed(self, file: str, line: bytes):
         if file != self.file:
-            self.close()
-            self.file, self.number, self.header, self.state = file, 0, None, {}
+            yield from self.close()
+            self.file, self.number, self.header, self.state, self.lost = file, 0, None, {}, False
+        waiting = [line]
+        while waiting:
+            yield from self._line(waiting.pop(), waiting)
+
+    def _line(self, line: bytes, waiting: list[bytes]):
         if self.header is None:
-            self.header = self.head(self.state, line)
+            if self.lost and not self.is_head(self.state, line):
+                return
+            self.lost, self.line = False, line
+            try:
+                self.header = self.head(self.state, line)
+            except ValueError as error:
+                self._reject(str(error), [], waiting)
+                return
             if self.header is None:
                 return
             self.parts, self.size = [], 0
@@ -77,17 +94,32 @@ class Blocks:
         content = b"\n".join(self.parts) + b"\n"
         length = self.header["length"]
         if content[length:].strip(b"\r\n"):
-            raise ValueError(f"record {self.number} of {file} is longer than it declares")
-        yield self.file, self.number, self.header, content[:length]
+            self._reject(f"record {self.number} of {self.file} is longer than it declares", self.parts, waiting)
+            return
+        content = content[:length]
+        if self.after:
+            self.after(self.state, self.header, content)
+        yield self.file, self.number, self.header, content
         self.header, self.parts, self.number = None, [], self.number + 1
 
+    def _reject(self, reason: str, lines: list[bytes], waiting: list[bytes]) -> None:
+        if self.is_head is None:
+            raise ValueError(reason)
+        self.rejects.append((self.file, self.number, self.line, reason))
+        self.header, self.lost, self.number = None, True, self.number + 1
+        waiting.extend(reversed(lines))
+
     def close(self):
-        if self.file is not None and self.header is not None:
-            raise ValueError(f"record {self.number} of {self.file} is cut short")
+        """The end of a file, which may come too early."""
+        while self.file is not None and self.header is not None:
+            waiting: list[bytes] = []
+            self._reject(f"record {self.number} of {self.file} is cut short", self.parts, waiting)
+            while waiting:
+                yield from self._line(waiting.pop(), waiting)
 
 
-def _records(lines: DataFrame, head, row, schema: str) -> DataFrame:
-    """Rows that ``row(file, number, header, content)`` gives for each record."""
+def _records(lines: DataFrame, head, row, schema: str, after=None, is_head=None, rejects=False) -> DataFrame:
+    """Rows that ``row(file, number, header, content)`` gives for each record; with ``rejects`` those of what is none."""
     names = [c.split()[0] for c in schema.split(", ")]
     types = {"string": pa.string(), "binary": pa.binary(), "long": pa.int64(), "int": pa.int32()}
     kinds = [types[c.split()[1]] for c in schema.split(", ")]
@@ -96,16 +128,26 @@ def _records(lines: DataFrame, head, row, schema: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     def read(batches):
-        blocks, rows, held = Blocks(head), [], 0
-        for batch in slices(batches, "line"):
-            for file, line in zip(batch.column("file").to_pylist(), batch.column("line").to_pylist()):
-                for record in blocks.feed(file, line):
-                    rows.append(row(*record))
-                    held += len(record[3])
-                    if held > 1 << 22:
-                        yield batch_of(rows)
-                        rows, held = [], 0
-        blocks.close()
+        blocks, rows, held = Blocks(head, after, is_head), [], 0
+
+        def records():
+            for batch in slices(batches, "line"):
+                for file, line in zip(batch.column("file").to_pylist(), batch.column("line").to_pylist()):
+                    yield from blocks.feed(file, line)
+            yield from blocks.close()
+
+        for record in records():
+            if not rejects:
+                rows.append(row(*record))
+                held += len(record[3])
+            elif blocks.rejects:
+                rows.extend(blocks.rejects)
+                blocks.rejects.clear()
+            if held > 1 << 22 or len(rows) > 10_000:
+                yield batch_of(rows)
+                rows, held = [], 0
+        if rejects:
+            rows.extend(blocks.rejects)
         if rows:
             yield batch_of(rows)
 
@@ -115,23 +157,83 @@ def _records(lines: DataFrame, head, row, schema: str) -> DataFrame:
 # --- ARC ------------------------------------------------------------------------------------------
 
 
+# What the fields of a header line look like; others may hold anything but blanks, a URL and a file name even these.
+_LOOKS = {
+    "IP-address": re.compile(r"[0-9A-Fa-f.:]+|-"),
+    "Archive-date": re.compile(r"\d{4,14}|\?|-"),
+    "Result-code": re.compile(r"\d{1,3}|-"),
+    "Offset": re.compile(r"\d+|-"),
+    "Archive-length": re.compile(r"\d{1,10}"),
+}
+# Where that leaves a choice, a type of two parts decides; not all archives have such types.
+_LOOKS_BETTER = _LOOKS | {"Content-type": re.compile(r"[^/\s]+/\S+")}
+_MAY_HOLD_BLANKS = ("URL", "Filename")
+_NEEDED = {"URL", "Archive-date", "Archive-length"}
+
+
 def arc_head(state: dict, line: bytes):
-    """Header of an ARC record. The version block of a ``filedesc`` record sets what follows."""
+    """Header of an ARC record, by the field list that the version block of its file declares.
+
+    The ``filedesc`` line comes ahead of that block, and of it only the length, its last field, is needed.
+    """
     if not line.strip():
         return None
     fields = line.decode("utf-8", "surrogateescape").split(" ")
-    names = ARC_FIELDS[state.get("version", 1)]
     if fields[0].startswith("filedesc:"):
-        names = ARC_FIELDS[2 if len(fields) >= len(ARC_FIELDS[2]) else 1]
-        state["version"] = 2 if names is ARC_FIELDS[2] else 1
-    if len(fields) < len(names) or not fields[-1].strip().isdigit():
-        raise ValueError(f"damaged ARC header: {line[:200]!r}")
-    # A URL may hold blanks in old archives: the other fields are taken from the right.
-    cut = len(fields) - len(names) + 1
-    header = dict(zip(names, [" ".join(fields[:cut]), *fields[cut:]]))
+        if len(fields) < 3 or not _LOOKS["Archive-length"].fullmatch(fields[-1].strip()):
+            raise ValueError(f"damaged ARC header: {line[:200]!r}")
+        header = dict.fromkeys(ARC_FIELDS[1], "-") | {"URL": fields[0], "Archive-date": fields[2]}
+        header["Archive-length"] = fields[-1].strip()
+        state.clear()
+    else:
+        header = _fields(fields, state.get("names", ARC_FIELDS[1]))
+        if header is None:
+            raise ValueError(f"damaged ARC header: {line[:200]!r}")
     return header | {"length": int(header["Archive-length"]), "version": state.get("version", 1)}
 
 
+def _fields(fields: list[str], names: list[str]) -> dict | None:
+    """Fields by name; blanks beyond those between fields belong to a URL or a file name."""
+    more = len(fields) - len(names)
+    wide = [names.index(n) for n in _MAY_HOLD_BLANKS if n in names]
+    if more < 0:
+        return None
+    # All of them in the first of the two, or so many in the other one.
+    choices = range(more + 1 if len(wide) > 1 else 1)
+    for looks, second in product((_LOOKS_BETTER, _LOOKS), choices):
+        sizes = [1] * len(names)
+        if wide:
+            sizes[wide[0]] += more - second
+            sizes[wide[-1]] += second
+        ends = list(accumulate(sizes))
+        found = {n: " ".join(fields[e - k : e]).strip() for n, k, e in zip(names, sizes, ends)}
+        if all(look.fullmatch(found[n]) for n, look in looks.items() if n in found) and (more == 0 or wide):
+            return dict.fromkeys(ARC_FIELDS[1], "-") | found
+    return None
+
+
+def arc_version_block(state: dict, header: dict, content: bytes) -> None:
+    """Reads version and field list from the block of a ``filedesc`` record; what it leaves out is as of version 1."""
+    if not header["URL"].startswith("filedesc:"):
+        return
+    first, _, rest = content.partition(b"\n")
+    number = first.split()[:1]
+    version = int(number[0]) if number and number[0].isdigit() else 1
+    names = rest.partition(b"\n")[0].decode("utf-8", "replace").split()
+    state["version"] = version
+    state["names"] = names if set(names) >= _NEEDED else ARC_FIELDS.get(version, ARC_FIELDS[1])
+    header["version"] = version
+
+
+def is_arc_head(state: dict, line: bytes) -> bool:
+    """Whether a line found after damage is a header: all fields as they should be, and an address with a scheme."""
+    try:
+        header = arc_head(dict(state), line)
+    except ValueError:
+        return False
+    return bool(header) and re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", header["URL"]) is not None
+
+
 _ARC = "file string, number long, version int, url string, ip string, date string, mime string, content binary"
 
 
@@ -142,9 +244,27 @@ def _arc_row(file, number, header, content):
     )
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ARC record, version blocks included; a record that breaks its length is an error."""
-    return _records(_lines(spark, path), arc_head, _arc_row, _ARC)
+def _arc_records(spark, path, row, schema, damaged):
+    if damaged not in ("raise", "skip"):
+        raise ValueError(f"damaged must be 'raise' or 'skip', not {damaged!r}")
+    return _records(_lines(spark, path), arc_head, row, schema, arc_version_block, is_arc_head if damaged == "skip" else None)
+
+
+def read_arc(spark: SparkSession, path: str, damaged: str = "raise") -> DataFrame:
+    """One row per ARC record, version blocks included; archives without records give none.
+
+    A record that breaks its length or has a damaged header is an error; with ``damaged="skip"`` it is left out, as are
+    lines up to the next header, and ``arc_rejects`` lists it.
+    """
+    return _arc_records(spark, path, _arc_row, _ARC, damaged)
+
+
+_REJECTS = "file string, number long, header binary, reason string"
+
+
+def arc_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``file, number, header, reason`` of what cannot be read as an ARC record."""
+    return _records(_lines(spark, path), arc_head, None, _REJECTS, arc_version_block, is_arc_head, rejects=True)
 
 
 def _arc_header(version, url, ip, date, mime, length):
@@ -235,12 +355,12 @@ def _summary_row(file, number, header, content):
     )
 
 
-def _revisits(spark: SparkSession, path: str, least: int) -> DataFrame:
+def _revisits(spark: SparkSession, path: str, least: int, damaged: str) -> DataFrame:
     """Records whose payload an earlier one holds: ``id, of, of_url, of_date``, stored.
 
     The first of equal payloads is the one with the smallest page id, then record id.
     """
-    summaries = _records(_lines(spark, path), arc_head, _summary_row, _SUMMARY)
+    summaries = _arc_records(spark, path, _summary_row, _SUMMARY, damaged)
     large = store(summaries.filter((F.col("type") == "response") & (F.col("n") >= least)), "payloads")
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "id", "url", "date")
     firsts = large.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"))
@@ -275,18 +395,21 @@ def warc_record(row: dict) -> bytes:
     return "\r\n".join(lines).encode("utf-8", "surrogateescape") + content + b"\r\n\r"
 
 
-def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str, least_revisit: int = LEAST_REVISIT) -> None:
+def arc_to_warc(
+    spark: SparkSession, arc_path: str, warc_path: str, least_revisit: int = LEAST_REVISIT, damaged: str = "raise"
+) -> None:
     """Converts the archives in a folder.
 
     Version blocks become ``warcinfo``, HTTP responses ``response`` or, for the later ones of equal
     payloads of ``least_revisit`` bytes and more, ``revisit`` with the HTTP header only; the rest is
     ``resource``. Ids come from file and position, dates from the archive date, digests from the
     bytes. The archives are parsed twice: for digests and for content. Records are joined to the
-    revisits by id, so many equal payloads make no hot key.
+    revisits by id, so many equal payloads make no hot key. Records that repeat a page id or a URL are
+    records of their own; ``damaged`` is as for ``read_arc``; no archives give none.
     """
-    revisits = _revisits(spark, arc_path, least_revisit)
-    with_id = _records(
-        _lines(spark, arc_path), arc_head, lambda *r: (record_id(r[0], r[1]), *_arc_row(*r)), "id string, " + _ARC
+    revisits = _revisits(spark, arc_path, least_revisit, damaged)
+    with_id = _arc_records(
+        spark, arc_path, lambda *r: (record_id(r[0], r[1]), *_arc_row(*r)), "id string, " + _ARC, damaged
     )
 
     def encode(batches):

@@ -4,7 +4,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from ridemetrics.llm.warc import Blocks, arc_head, arc_to_warc, page_records, read_arc, read_warc, warc_date, write_arc
+from ridemetrics.llm.warc import ARC_FIELDS, Blocks, arc_head, arc_rejects, arc_to_warc, page_records, read_arc, read_warc, warc_date, write_arc
 
 SCHEMA = "page_id long, url string, html string"
 BIG = "<p>é</p>" * 20
@@ -96,3 +96,62 @@ def test_long_page_repeats_and_empty_table(spark, folder):
     assert got == [(n, "response", 0), (n, "revisit", 1), (600_000, "response", 0)]
     _, warc = _round_trip(spark, _pages(spark, []), f"{folder}/none")
     assert page_records(spark, warc).count() == 0
+
+
+def _gz(folder, name, data):
+    folder.mkdir(exist_ok=True)
+    with gzip.open(folder / name, "wb") as f:
+        f.write(data)
+
+
+def _with_block(first, names, records):
+    block = f"{first}\n{names}\n".encode()
+    return f"filedesc://f.arc 0.0.0.0 19970923 text/plain {len(block)}\n".encode() + block + b"\n" + b"".join(records)
+
+
+def test_the_version_block_names_the_fields(spark, tmp_path):
+    """A field list in another order, with a field that no version has."""
+    names = "Archive-date URL Content-type Crawler Filename IP-address Result-code Archive-length"
+    lines = [b"19990101000000 http://a/b c.html text/html bot my file.arc 1.2.3.4 200 3\nabc\n", b"19990102000000 http://d text/css - f.arc 4.3.2.1 404 0\n\n"]
+    _gz(tmp_path / "in", "f.arc.gz", _with_block("2 7 Org", names, lines))
+    rows = sorted(read_arc(spark, str(tmp_path / "in")).collect(), key=lambda r: r.number)[1:]
+    assert [(r.version, r.url, r.ip, r.date, r.mime, r.content) for r in rows] == [
+        (2, "http://a/b c.html", "1.2.3.4", "19990101000000", "text/html", b"abc"),
+        (2, "http://d", "4.3.2.1", "19990102000000", "text/css", b""),
+    ]
+
+
+@pytest.mark.parametrize("url, name", [("http://a b", "f.arc"), ("http://a", "my f.arc"), ("http://a b c", "my own f.arc")])
+def test_blanks_in_a_url_and_a_file_name(url, name):
+    state = {"names": ARC_FIELDS[2], "version": 2}
+    header = arc_head(state, f"{url} 1.2.3.4 19990101000000 text/html 200 - - 0 {name} 7".encode())
+    assert (header["URL"], header["Filename"], header["IP-address"], header["length"]) == (url, name, "1.2.3.4", 7)
+
+
+def test_a_block_without_a_list_is_as_of_its_version(spark, tmp_path):
+    line = b"http://a 1.2.3.4 19990101000000 text/html 200 - - 0 f.arc 3\nabc\n"
+    _gz(tmp_path / "in", "f.arc.gz", _with_block("2 0 Org", "", [line]))
+    assert [r.content for r in read_arc(spark, str(tmp_path / "in")).filter("number = 1").collect()] == [b"abc"]
+
+
+def test_damaged_records_are_listed_and_left_out(spark, tmp_path, folder):
+    def record(k, content, length=None):
+        return f"http://p{k} 1.2.3.4 19990101000000 text/html {len(content) if length is None else length}\n".encode() + content + b"\n"
+
+    short, long = record(1, b"abcdef\nxy", 4), record(3, b"abc", 60)
+    parts = [record(0, b"zero"), short, record(2, b"two\n"), long, record(4, b"four"), b"http://p5 nonsense\n", record(6, b"six"), record(7, b"cut", 999)]
+    _gz(tmp_path / "in", "f.arc.gz", _with_block("1 0 Org", " ".join(ARC_FIELDS[1]), parts))
+    _gz(tmp_path / "in", "g.arc.gz", _with_block("1 0 Org", " ".join(ARC_FIELDS[1]), [record(8, b"eight")]))
+    _gz(tmp_path / "in", "empty.arc.gz", b"")
+    path = str(tmp_path / "in")
+    with pytest.raises(Exception, match="longer than it declares"):
+        read_arc(spark, path).collect()
+    kept = {r.url: r.content for r in read_arc(spark, path, damaged="skip").filter("url not like 'filedesc%'").collect()}
+    assert kept == {"http://p0": b"zero", "http://p2": b"two\n", "http://p4": b"four", "http://p6": b"six", "http://p8": b"eight"}
+    rejects = arc_rejects(spark, path).orderBy("number").collect()
+    assert [bytes(r.header).split()[0] for r in rejects] == [b"http://p1", b"http://p3", b"http://p5", b"http://p7"]
+    assert ["longer" in rejects[0].reason, "longer" in rejects[1].reason, "damaged" in rejects[2].reason, "short" in rejects[3].reason] == [True] * 4
+    arc_to_warc(spark, path, f"{folder}/out", damaged="skip")
+    assert {r.url for r in read_warc(spark, f"{folder}/out").filter("type != 'warcinfo'").collect()} == set(kept)
+    with pytest.raises(ValueError, match="damaged must be"):
+        read_arc(spark, path, damaged="drop")
