@@ -19,7 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.llm.common import partitions, set_up, store
+from ridemetrics.llm.common import partitions, set_up, shared_folder, store
+from ridemetrics.operators.frames import dense_index, order_rows
 
 ROLES = ["system", "user", "assistant"]
 # Positions in a block, and blocks in one of the next level.
@@ -125,21 +126,28 @@ def _sorted(df: DataFrame, *order: str) -> DataFrame:
     return spread.sortWithinPartitions("id", "block", *order)
 
 
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Stored ``rows`` with ``rn``, their number by id, ``seq`` and a hash of the text, nulls first."""
+    folder = shared_folder(rows.sparkSession, "ordered")
+    return dense_index(order_rows(rows.withColumn("tie", F.xxhash64("text")), ["id", "seq", "tie"], folder, drop=["tie"]))
+
+
 def _pieces(transcripts, id_col, seq_col, text_col):
-    """Distinct pieces with their block."""
-    seq = F.col(seq_col).cast("long")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = transcripts.select(F.col(id_col).alias("id"), seq.alias("seq"), text.alias("text")).distinct()
-    block = F.floor(F.greatest(F.coalesce("seq", F.lit(0)), F.lit(0)) / BLOCK).cast("long")
-    return rows.withColumn("block", block).withColumn("tie", F.xxhash64("text"))
+    """Distinct pieces in order, in blocks of consecutive ones, whatever their numbers: none holds more than BLOCK."""
+    rows = transcripts.select(
+        F.col(id_col).alias("id"),
+        F.col(seq_col).cast("long").alias("seq"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+    )
+    return _in_order(rows.distinct()).withColumn("at", F.expr(f"rn div {BLOCK}L"))
 
 
 def train(labelled: DataFrame, id_col="conv_id", seq_col="turn", text_col="text", role_col="role") -> LineModel:
     """Counts of moves and symbols over transcripts whose pieces are whole turns with known roles.
 
     Pieces of other roles are left out. Within a piece the moves are known; between pieces the move
-    is from the last state of the one before, which a window over the transcript's blocks would
-    order in one task, so it is counted between neighbours by position (``seq`` and ``seq + 1``).
+    is from the last state of the one before, which a join by number finds: one row meets one row, however
+    many have the same place in a transcript.
     """
     set_up(labelled.sparkSession)
     role = F.array_position(F.array(*map(F.lit, ROLES)), F.lower(role_col)).cast("int") - 1
@@ -147,6 +155,7 @@ def train(labelled: DataFrame, id_col="conv_id", seq_col="turn", text_col="text"
         F.col(id_col).alias("id"), F.col(seq_col).cast("long").alias("seq"), role.alias("role"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).filter("role >= 0").distinct()
+    rows = _in_order(rows)
 
     def count(batches):
         moves, shows = {}, {}
@@ -164,11 +173,11 @@ def train(labelled: DataFrame, id_col="conv_id", seq_col="turn", text_col="text"
 
     counts = rows.select("role", "text").mapInArrow(count, "kind long, x long, y long, n long")
     end = F.when(F.col("text").contains("\n"), 2 * F.col("role") + 1).otherwise(2 * F.col("role")).cast("long")
-    before = rows.select("id", (F.col("seq") + 1).alias("seq"), end.alias("x"))
-    opens = (2 * F.col("role")).cast("long").alias("y")
-    between = rows.select("id", "seq", opens).join(before, ["id", "seq"], "left")
-    # A piece without a neighbour before it opens a transcript.
-    between = between.groupBy(F.coalesce("x", F.lit(START)).cast("long").alias("x"), "y").agg(F.count(F.lit(1)).alias("n"))
+    before = rows.select((F.col("rn") + 1).alias("rn"), F.col("id").alias("id_before"), end.alias("x"))
+    between = rows.select("rn", "id", (2 * F.col("role")).cast("long").alias("y")).join(before, "rn", "left")
+    # The first piece opens a transcript.
+    x = F.when(F.col("x").isNotNull() & F.col("id").eqNullSafe(F.col("id_before")), F.col("x")).otherwise(START)
+    between = between.groupBy(x.cast("long").alias("x"), "y").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.unionByName(between.select(F.lit(0).cast("long").alias("kind"), "x", "y", "n"))
     moves, shows = {}, {}
     # At most one row per pair of states, or of state and symbol.
@@ -182,8 +191,8 @@ def parse_transcripts(
 ) -> DataFrame:
     """Recovered turns: ``id_col, seq, segment, role, opens, n_lines, text, rendered``.
 
-    A transcript is the lines of its pieces in the order of ``seq_col`` (null and negative numbers in
-    the first block, nulls ahead; equal numbers by a hash of the text). A row is the part of a turn
+    A transcript is the lines of its pieces in the order of ``seq_col`` (nulls ahead; equal numbers by a
+    hash of the text). It is cut into blocks by position, so its numbers need not be dense, and no block grows. A row is the part of a turn
     that lies in one piece: ``opens`` tells whether the turn begins there, and the ``rendered`` texts
     of a transcript, joined in order, are its canonical form: ``<|role|>``, a newline, the lines. The
     marker of an opening line is taken off the text.
@@ -195,7 +204,7 @@ def parse_transcripts(
     set_up(spark)
     shared = spark.sparkContext.broadcast(model)
     id_type = transcripts.schema[id_col].dataType
-    pieces = store(_pieces(transcripts, id_col, seq_col, text_col), "pieces")
+    pieces = _pieces(transcripts, id_col, seq_col, text_col)
     summary = f"id {id_type.simpleString()}, block long, best array<double>"
     batch_of = _batches(id_type)
 
@@ -219,7 +228,13 @@ def parse_transcripts(
         yield from batch_of(rows(), ["best"], [pa.list_(pa.float64())])
 
     up = F.floor(F.col("block") / BLOCK).cast("long")
-    levels = [store(_sorted(pieces, "seq", "tie").select("id", "block", "text").mapInArrow(sum_up, summary), "level")]
+    # Blocks are numbered over all transcripts, and then from the first one of each.
+    numbered = _sorted(pieces.withColumn("block", F.col("at")), "rn").select("id", "block", "text").mapInArrow(sum_up, summary)
+    numbered = store(numbered.withColumnRenamed("block", "at"), "blocks").alias("b")
+    begin = numbered.groupBy("id").agg(F.min("at").alias("from")).alias("f")
+    block = (F.col("at") - F.col("from")).alias("block")
+    numbered = numbered.join(begin, F.col("b.id").eqNullSafe(F.col("f.id"))).select("b.id", block, "at", "best")
+    levels = [store(numbered, "level")]
     while (levels[-1].agg(F.max("block")).first()[0] or 0) > 0:
         below = levels[-1].select("id", up.alias("block"), F.col("block").alias("child"), "best")
         levels.append(store(_sorted(below, "child").mapInArrow(merge, summary), "level"))
@@ -275,10 +290,13 @@ def parse_transcripts(
         names = ["seq", "segment", "role", "opens", "n_lines", "text"]
         yield from batch_of(rows(), names, types)
 
-    same = pieces["id"].eqNullSafe(ends["id"]) & (pieces["block"] == ends["block"])
-    joined = pieces.join(ends, same).select(pieces["id"], pieces["block"], "seq", "tie", "text", "first", "last")
+    lowest = levels[0].select("id", "block", "at")
+    same = lowest["id"].eqNullSafe(ends["id"]) & (lowest["block"] == ends["block"])
+    ends = lowest.join(ends, same).select(lowest["id"], lowest["block"], "at", "first", "last")
+    same = pieces["id"].eqNullSafe(ends["id"]) & (pieces["at"] == ends["at"])
+    joined = pieces.join(ends, same).select(pieces["id"], "block", "seq", "rn", "text", "first", "last")
     schema = f"id {id_type.simpleString()}, block long, seq long, segment int, role string, opens boolean, n_lines int, text string"
-    found = _sorted(joined, "seq", "tie").mapInArrow(label, schema)
+    found = _sorted(joined, "rn").mapInArrow(label, schema)
     rendered = F.concat(
         F.when(F.col("opens"), F.concat(F.lit("<|"), "role", F.lit("|>\n"))).otherwise(""), "text", F.lit("\n")
     )

@@ -86,8 +86,7 @@ def raw_transcripts(conversations: DataFrame) -> DataFrame:
 
 def op6_chat_formatting(spark, sf_dir):
     raw = raw_transcripts(_table(spark, sf_dir, "conversations"))
-    model = train(raw.filter(F.pmod(F.xxhash64("conv_id", F.lit(1)), F.lit(5)) != 0))
-    turns = parse_transcripts(raw, model)
+    turns = parse_transcripts(raw, train(raw))
     return turns.select(
         "conv_id", F.col("seq").alias("turn"), "segment", "role", "opens", "n_lines", F.sha2("rendered", 256).alias("rendered_sha256")
     )

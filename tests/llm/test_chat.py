@@ -88,3 +88,43 @@ def test_rendering_and_edges(spark):
     assert [r.seq for r in by_id[3]] == [-4, 9**9]
     assert parse_transcripts(docs.limit(0), model).count() == 0
     assert isinstance(train(docs.limit(0)), LineModel) and np.isfinite(model.show).all()
+
+
+def test_many_pieces_with_one_number_are_cut_by_position(spark, monkeypatch):
+    """A transcript whose turns are all null, negative or tied: blocks of a few pieces, and still a best path."""
+    monkeypatch.setattr(chat, "BLOCK", 4)
+    rng = random.Random(8)
+    rows = [(1, rng.choice([None, -5, 3]), "user", f"{rng.choice(['User', 'AI', 'Q'])}: line {i}") for i in range(90)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    model = train(spark.createDataFrame(_conversations(2, [6] * 60), SCHEMA))
+    pieces = chat._pieces(docs, "conv_id", "turn", "text")
+    assert max(r["count"] for r in pieces.groupBy("at").count().collect()) <= 4
+    ordered = [r.text for r in pieces.orderBy("rn").collect()]
+    found = parse_transcripts(docs, model)
+    states = {r.text: 2 * ROLES.index(r.role) + (not r.opens) for r in found.collect()}
+    symbols = [symbol(t) for t in ordered]
+    best = [states.get(t, states.get(t[marker(t)[1] :])) for t in ordered]
+    assert None not in best and _score(model, symbols, best) == pytest.approx(_plain_path(model, symbols))
+
+
+def test_training_counts_each_neighbour_once(spark):
+    """Equal numbers make no pairs: n pieces have n - 1 moves between them, and one that opens."""
+    rows = [(1, 0, ["user", "assistant"][i % 2], f"t{i}") for i in range(200)] + [(2, 7, "user", "x"), (2, 90, "assistant", "y")]
+    seen = []
+    real = chat.LineModel
+    train_with = lambda moves, shows: seen.append(moves) or real(moves, shows)
+    original, chat.LineModel = chat.LineModel, train_with
+    try:
+        train(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    finally:
+        chat.LineModel = original
+    moves = seen[0]
+    assert sum(n for (x, _), n in moves.items() if x == START) == 2
+    assert sum(n for (x, y), n in moves.items() if x != START and y % 2 == 0) == 199 + 1
+
+
+def test_a_very_long_text(spark):
+    text = "User: hi\n" + "a line of words\n" * 50_000
+    model = train(spark.createDataFrame(_conversations(3, [6] * 40), SCHEMA))
+    found = parse_transcripts(spark.createDataFrame([(1, 0, "user", text)], SCHEMA), model)
+    assert found.agg(F.sum("n_lines")).first()[0] == 50_002
