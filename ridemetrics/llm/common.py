@@ -3,6 +3,7 @@
 from pathlib import Path
 from uuid import uuid4
 
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -79,3 +80,16 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
                 start, held = i, 0
             held += size
         yield batch.slice(start)
+
+
+def together(batches, limit: int, column: str = "text"):
+    """Record batches of about ``limit`` bytes, whatever the size of those that come in; a row at least."""
+    held, size = [], 0
+    for batch in slices(batches, column, limit):
+        if held and size + batch.nbytes > limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]

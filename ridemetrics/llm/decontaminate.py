@@ -1,15 +1,15 @@
-"""Benchmark decontamination by a positional inverted index that is split by document.
-
-1. The test items are cut into windows of words; their distinct words are the test terms.
-2. One pass over the corpus counts the test terms; a window's words are ordered by these counts.
-3. A second pass writes the index: for every document its length and, if it holds the rarest term
-   of any window, the postings of the test terms in it (term, sorted positions).
-4. A query reads the index only. Per document it takes the postings of a window's rarest term,
-   moves them by the term's offset and intersects them with the next rarer lists in turn. What is
-   left are the exact occurrences; with ``slop`` each word may be that far from its place.
-
-Nothing is shuffled but counts. The test terms are broadcast in blocks of items of bounded size;
-however many blocks there are, each is matched against all documents.
+"""Benchmark decontamination by a positional inverted index of the training tokens, in shards of documents.
+
+1. The index is built once, from the training texts alone. A shard holds some documents; for every term in them, as a
+   64-bit hash, the sorted positions at which it stands. It is stored, and any benchmark is answered from it.
+2. Test items are cut into windows of words. Their terms' counts, summed over the dictionaries of all shards, put
+   the words of each window in the order of rarity.
+3. In each shard the postings of the rarest term of every window whose terms are all there are moved by the
+   term's offset and intersected with the moved lists of the next rarer terms, of all windows at a time. Words may
+   first be ``slop`` off their places; what is left is the proximity matches, and among them are the phrases.
+
+Nothing is shuffled but counts. Test items are broadcast in blocks of bounded size; however many blocks there are,
+each is matched against the whole index.
 """
 
 from collections import defaultdict
@@ -18,11 +18,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.llm.common import id_and_text, slices, store
+from ridemetrics.llm.common import id_and_text, slices, store, together
+from ridemetrics.llm.ngram_join import _word_hashes
 
 WINDOW_WORDS = 13
-# Test words that one pass over the documents handles; bounds what is broadcast.
-BLOCK_WORDS = 2_000_000
+# Test words that one pass over the index handles; bounds what is broadcast.
+BLOCK_WORDS = 1_000_000
+# Text of a shard; a longer document is a shard by itself.
+SHARD_BYTES = 1 << 21
+# Places that are intersected at a time, at least those of one window.
+CANDIDATES = 1 << 20
 
 _WORD_BYTES = bytes(
     b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20
@@ -30,94 +35,157 @@ _WORD_BYTES = bytes(
 )
 
 
-def words(text: bytes) -> list[bytes]:
-    """Runs of digits, letters (A-Z in lower case) and non-ASCII characters."""
-    return text.translate(_WORD_BYTES).split()
+def _terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and where each text's words begin, with the end of the last.
+
+    Words are runs of digits, letters (A-Z in lower case) and non-ASCII characters.
+    """
+    raw = np.frombuffer(b" ".join([*texts, b""]).translate(_WORD_BYTES), np.uint8)
+    hashes, starts = _word_hashes(raw)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return hashes, np.r_[0, np.searchsorted(starts, ends)].astype(np.int64)
+
+
+# --- the index --------------------------------------------------------------------------------------
+
+_SHARD = "doc_ids array<long>, keys array<long>, first array<long>, terms binary, lengths binary, positions binary"
+
+
+def _index(docs: DataFrame) -> DataFrame:
+    """Stored shards of ``doc_id, key, text``: documents, where their words begin, and postings of all terms."""
+    limit = SHARD_BYTES
+
+    def build(batches):
+        for batch in together(batches, limit):
+            hashes, first = _terms(batch.column("text").to_pylist())
+            order = np.argsort(hashes, kind="stable")
+            new = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0][: len(order)])
+            parts = hashes[order][new], np.diff(np.r_[new, len(order)]).astype(np.int32), order.astype(np.int32)
+            columns = [pa.array([batch.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("doc_id", "key")]
+            columns += [pa.array([first.tolist()], pa.list_(pa.int64()))]
+            columns += [pa.array([x.tobytes()], pa.binary()) for x in parts]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SHARD.split(", ")])
+
+    return store(docs.mapInArrow(build, _SHARD), "postings")
+
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored positional index of all words of all documents, for ``search``.
+
+    Each row is a document with a number of its own, whatever its id; null and empty texts have no words. A shard
+    holds SHARD_BYTES of text, or one longer document. Other columns are not read.
+    """
+    return _index(id_and_text(docs, id_col, text_col).withColumn("key", F.monotonically_increasing_id()))
+
+
+# --- test items ------------------------------------------------------------------------------------
 
 
-class TestTerms:
-    """Windows of one block of test items, as term numbers."""
+class TestWindows:
+    """Windows of one block of test items, as numbers of their terms, by length."""
 
     __test__ = False
 
     def __init__(self, items, window_words: int = WINDOW_WORDS):
-        self.terms: dict[bytes, int] = {}
         places = defaultdict(set)  # window -> its items
-        for item_id, text in items:
-            ids = [self.terms.setdefault(w, len(self.terms)) for w in words(text)]
-            for start in range(max(1, len(ids) - window_words + 1) if ids else 0):
-                places[tuple(ids[start : start + window_words])].add(item_id)
-        self.windows = list(places)
-        self.items = [sorted(i for i in places[w] if i is not None) for w in self.windows]
+        hashes, first = _terms([text for _, text in items])
+        for (item_id, _), a, b in zip(items, first.tolist(), first[1:].tolist()):
+            found = hashes[a:b].tobytes()
+            for start in range(max(1, b - a - window_words + 1) if b > a else 0):
+                places[found[8 * start : 8 * min(start + window_words, b - a)]].add(item_id)
+        self.candidates = CANDIDATES
+        self.terms = np.unique(hashes)
+        by_length = defaultdict(list)
+        for window in places:
+            by_length[len(window) // 8].append(window)
+        self.groups = []
+        for length, windows in by_length.items():
+            terms = np.searchsorted(self.terms, np.frombuffer(b"".join(windows), np.uint64)).reshape(-1, length)
+            self.groups.append((terms.astype(np.int32), [sorted(i for i in places[w] if i is not None) for w in windows]))
 
     def order(self, counts: np.ndarray) -> None:
-        """Sorts each window's places by how rare their terms are; drops windows with an absent term."""
-        kept = [k for k, w in enumerate(self.windows) if counts[list(w)].min() > 0]
-        self.windows = [self.windows[k] for k in kept]
-        self.items = [self.items[k] for k in kept]
-        self.by_rarity = [sorted(range(len(w)), key=lambda o, w=w: (counts[w[o]], w[o], o)) for w in self.windows]
-        self.starting = defaultdict(list)
-        for k, (w, places) in enumerate(zip(self.windows, self.by_rarity)):
-            self.starting[w[places[0]]].append(k)
+        """Drops windows with an absent term and sorts the places of the others by how rare their terms are."""
+        kept = []
+        for terms, items in self.groups:
+            there = np.flatnonzero((counts[terms] > 0).all(1))
+            if len(there):
+                rarity = np.argsort(counts[terms[there]], axis=1, kind="stable")
+                kept.append((terms[there], rarity, [items[k] for k in there.tolist()]))
+        self.groups = kept
 
 
-def _count_terms(docs: DataFrame, shared) -> DataFrame:
+def _count_terms(index: DataFrame, shared) -> DataFrame:
+    """How often each test term stands in the training texts, from the dictionaries of the shards."""
+
     def count(batches):
-        get, n = shared.value.terms.get, len(shared.value.terms)
-        total = np.zeros(n + 1, np.int64)
-        for batch in slices(batches):
-            found = words(b"\n".join(batch.column("text").to_pylist()))
-            total += np.bincount([get(w, n) for w in found], minlength=n + 1)
-        seen = np.flatnonzero(total[:n])
+        terms = shared.value.terms
+        total = np.zeros(len(terms), np.int64)
+        for batch in batches:
+            for own, lengths in zip(batch.column("terms").to_pylist(), batch.column("lengths").to_pylist()):
+                at, there = _found(np.frombuffer(own, np.uint64), terms)
+                total[there] += np.frombuffer(lengths, np.int32)[at[there]]
+        seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["term", "n"])
 
-    return docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-
-
-_INDEX = "doc_id long, key long, n_words long, terms binary, lengths binary, positions binary"
-
-
-def _index(docs: DataFrame, shared) -> DataFrame:
-    """A row per document: words, and the postings if a rarest term occurs, else nulls."""
-
-    def build(batches):
-        test = shared.value
-        get, n = test.terms.get, len(test.terms)
-        rarest = np.zeros(n + 1, bool)
-        rarest[list(test.starting)] = True
-        for batch in slices(batches):
-            rows = []
-            for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
-                found = words(text)
-                ids = np.array([get(w, n) for w in found], np.int32)
-                if not rarest[ids].any():
-                    rows.append((doc_id, key, len(ids), None, None, None))
-                    continue
-                known = np.flatnonzero(ids < n)
-                known = known[np.argsort(ids[known], kind="stable")]
-                terms, lengths = np.unique(ids[known], return_counts=True)
-                parts = (terms, lengths, known)
-                rows.append((doc_id, key, len(ids), *[x.astype(np.int32).tobytes() for x in parts]))
-            columns = list(zip(*rows))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "n_words", "terms", "lengths", "positions"])
-
-    return docs.mapInArrow(build, _INDEX)
-
-
-def _occurrences(window, places, postings, slop):
-    """Starts at which every word of ``window`` is within ``slop`` of its place; rarest lists first."""
-    first = places[0]
-    starts = postings[window[first]] - first
-    for place in places[1:]:
-        found = postings.get(window[place])
-        if found is None or not len(starts):
-            return starts[:0]
-        wanted = starts + place
-        nearest = found[np.minimum(np.searchsorted(found, wanted - slop), len(found) - 1)]
-        starts = starts[np.abs(nearest - wanted) <= slop]
-    return starts
+    counted = index.select("terms", "lengths").mapInArrow(count, "term long, n long")
+    return counted.groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def _found(own: np.ndarray, terms: np.ndarray):
+    """Place of each of ``terms`` in the sorted ``own``, and whether it is there."""
+    if not len(own):
+        return np.zeros(len(terms), np.int64), np.zeros(len(terms), bool)
+    at = np.minimum(np.searchsorted(own, terms), len(own) - 1)
+    return at, own[at] == terms
+
+
+# --- matching ---------------------------------------------------------------------------------------
+
+
+class _Shard:
+    def __init__(self, row: dict):
+        self.terms, self.lengths = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["lengths"], np.int32).astype(np.int64)
+        self.positions = np.frombuffer(row["positions"], np.int32).astype(np.int64)
+        self.begin = np.cumsum(self.lengths) - self.lengths
+        self.first = np.asarray(row["first"], np.int64)
+        self.n = len(self.positions)
+        # Term and position as one number: all lists one behind the other, sorted.
+        self.keys = np.repeat(np.arange(len(self.terms)), self.lengths) * self.n + self.positions
+
+    def matches(self, test: TestWindows, slop: int):
+        """``(document, start, past, items, is exact)`` of each window's matches."""
+        at, there = _found(self.terms, test.terms)
+        for terms, rarity, items in test.groups:
+            windows = np.flatnonzero(there[terms].all(1))
+            rarest = at[terms[windows, rarity[windows, 0]]]
+            load = np.cumsum(self.lengths[rarest])
+            cuts = np.searchsorted(load, np.arange(test.candidates, load[-1], test.candidates)) if len(load) else []
+            for part in np.split(np.arange(len(windows)), cuts):
+                if len(part):
+                    yield from self._of(windows[part], rarest[part], at[terms], rarity, items, slop)
+
+    def _of(self, windows, rarest, lists, rarity, items, slop):
+        size = self.lengths[rarest]
+        window = np.repeat(windows, size)
+        place = np.arange(len(window)) - np.repeat(np.cumsum(size) - size, size)
+        anchor = self.positions[np.repeat(self.begin[rarest], size) + place]
+        document = np.searchsorted(self.first, anchor, "right") - 1
+        start = anchor - rarity[window, 0]
+        for off in (slop, 0) if slop else (0,):
+            if not off:
+                keep = (start >= self.first[document]) & (start + rarity.shape[1] <= self.first[document + 1])
+                window, start, document = window[keep], start[keep], document[keep]
+            # The lists of the rarest terms first: few places are left after two or three of them.
+            for r in range(1, rarity.shape[1] if len(window) else 1):
+                moved = start + rarity[window, r]
+                of = lists[window, rarity[window, r]] * self.n
+                low = of + np.maximum(moved - off, self.first[document])
+                high = of + np.minimum(moved + off, self.first[document + 1] - 1)
+                near = self.keys[np.minimum(np.searchsorted(self.keys, low), self.n - 1)]
+                keep = (near >= low) & (near <= high)
+                window, start, document = window[keep], start[keep], document[keep]
+            for w, s, d in zip(window.tolist(), start.tolist(), document.tolist()):
+                yield d, s, s + rarity.shape[1], items[w], not off
 
 
 _MATCHES = "doc_id long, key long, n_words long, spans array<struct<first:long,past:long>>, items array<long>, near array<long>"
@@ -125,33 +193,25 @@ _MATCHES = "doc_id long, key long, n_words long, spans array<struct<first:long,p
 
 def _match(index: DataFrame, shared, slop: int) -> DataFrame:
     def match(batches):
-        test = shared.value
+        span = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
         for batch in slices(batches, "positions"):
-            rows = []
             for row in batch.to_pylist():
-                spans, items, near = [], set(), set()
-                if row["terms"] is not None:
-                    terms, lengths, positions = (
-                        np.frombuffer(row[c], np.int32).astype(np.int64) for c in ("terms", "lengths", "positions")
-                    )
-                    lists = np.split(positions, np.cumsum(lengths)[:-1])
-                    postings = dict(zip(terms.tolist(), lists))
-                    for term in postings:
-                        for k in test.starting.get(term, ()):
-                            window, places = test.windows[k], test.by_rarity[k]
-                            starts = _occurrences(window, places, postings, 0)
-                            if len(starts):
-                                items.update(test.items[k])
-                                spans += [(s, s + len(window)) for s in starts.tolist()]
-                            if slop and (len(starts) or len(_occurrences(window, places, postings, slop))):
-                                near.update(test.items[k])
-                rows.append((row["doc_id"], row["key"], row["n_words"], _joined(spans), sorted(items), sorted(near | items)))
-            span = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
-            types = [pa.int64(), pa.int64(), pa.int64(), span, pa.list_(pa.int64()), pa.list_(pa.int64())]
-            columns = [list(c) for c in zip(*rows)]
-            columns[3] = [[{"first": a, "past": b} for a, b in spans] for spans in columns[3]]
-            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "n_words", "spans", "items", "near"])
+                shard, size = _Shard(row), len(row["keys"])
+                spans, items, near = ([() for _ in range(size)] for _ in range(3))
+                found = defaultdict(lambda: (set(), set(), set()))
+                for document, start, past, ids, exact in shard.matches(shared.value, slop):
+                    at, exactly, nearly = found[document]
+                    nearly.update(ids)
+                    if exact:
+                        at.add((start, past))
+                        exactly.update(ids)
+                for document, (at, exactly, nearly) in found.items():
+                    first = row["first"][document]
+                    spans[document] = [{"first": a - first, "past": b - first} for a, b in _joined(at)]
+                    items[document], near[document] = sorted(exactly), sorted(nearly)
+                columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(row["keys"], pa.int64()), pa.array(np.diff(shard.first))]
+                columns += [pa.array(spans, span), pa.array(items, pa.list_(pa.int64())), pa.array(near, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_words", "spans", "items", "near"])
 
     return index.mapInArrow(match, _MATCHES)
 
@@ -179,21 +239,20 @@ def _blocks(items: DataFrame, count: int):
         yield [(row["doc_id"], bytes(row["text"])) for row in part.toLocalIterator()]
 
 
-def _passages(docs: DataFrame, tests: DataFrame, count: int, window_words: int = WINDOW_WORDS, slop: int = 2) -> DataFrame:
-    """Answers per row of ``doc_id, key, text``; with several blocks, rows with equal id and key become one."""
-    spark = docs.sparkSession
+def _passages(index: DataFrame, tests: DataFrame, block_words: int, window_words: int = WINDOW_WORDS, slop: int = 2) -> DataFrame:
+    """Answers per document of an index; with several blocks of items, rows with equal id and key become one."""
+    spark = index.sparkSession
     answers = []
-    for block in _blocks(tests, count):
-        test = TestTerms(block, window_words)
+    for block in _blocks(tests, _block_count(tests, block_words)):
+        test = TestWindows(block, window_words)
         shared = spark.sparkContext.broadcast(test)
-        counts = np.zeros(len(test.terms) + 1, np.int64)
-        if test.terms:
+        counts = np.zeros(len(test.terms), np.int64)
+        if len(test.terms):
             # At most one row per test term of the block.
-            for term, n in _count_terms(docs, shared).collect():
+            for term, n in _count_terms(index, shared).collect():
                 counts[term] = n
         test.order(counts)
-        shared = spark.sparkContext.broadcast(test)
-        answers.append(_match(store(_index(docs, shared), "postings"), shared, slop))
+        answers.append(_match(index, spark.sparkContext.broadcast(test), slop))
     if len(answers) == 1:
         return answers[0]
     every = answers[0]
@@ -207,17 +266,16 @@ def _passages(docs: DataFrame, tests: DataFrame, count: int, window_words: int =
     )
 
 
-def find_test_passages(
-    docs: DataFrame,
+def search(
+    index: DataFrame,
     items: DataFrame,
     window_words: int = WINDOW_WORDS,
     slop: int = 2,
     block_words: int = BLOCK_WORDS,
-    id_col: str = "doc_id",
     text_col: str = "text",
     item_id_col: str = "item_id",
 ) -> DataFrame:
-    """Per document: ``doc_id, n_words, spans, items, near``.
+    """Per document of an index from ``build_index``: ``doc_id, n_words, spans, items, near``.
 
     ``spans`` are the word ranges covered by occurrences of test windows, ``items`` the ids of the
     items with an occurring window, ``near`` those with a window whose words all stand within
@@ -225,15 +283,17 @@ def find_test_passages(
     window; an item without words matches nothing; an item without an id covers words and is not
     listed; repeated items count once.
 
-    Null and empty texts have no words. Rows are answered one by one, whatever their ids and however
-    many blocks of items there are: with several, the rows are stored once with a number each. Then
+    Rows are answered one by one, whatever their ids and however many blocks of items there are; with several
     ``spans`` may overlap. Empty tables on either side are allowed, and other columns are not read.
     """
-    tests = id_and_text(items, item_id_col, text_col)
-    count = _block_count(tests, block_words)
-    docs = id_and_text(docs, id_col, text_col).withColumn("key", F.monotonically_increasing_id())
-    docs = store(docs, "numbered") if count > 1 else docs
-    return _passages(docs, tests, count, window_words, slop).drop("key")
+    return _passages(index, id_and_text(items, item_id_col, text_col), block_words, window_words, slop).drop("key")
+
+
+def find_test_passages(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """``search`` for ``items`` in an index made of ``docs``."""
+    return search(build_index(docs, id_col, text_col), items, text_col=text_col, **options)
 
 
 def hit_words(spans="spans"):
@@ -283,7 +343,7 @@ def drop_contaminated(
     """
     tests = id_and_text(items, item_id_col, text_col)
     rows = id_and_text(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
-    found = _passages(rows, tests, _block_count(tests, block_words), **options)
+    found = _passages(_index(rows), tests, block_words, **options)
     bad = found.withColumn("n_hit", hit_words()).filter(_contaminated()).select("doc_id", "key").distinct()
     bad = store(bad, "contaminated")
     # The rows travel as one column, so no name of theirs can clash.

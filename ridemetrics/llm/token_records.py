@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ridemetrics.llm.common import id_and_text, partitions, set_up, shared_folder, slices, store
+from ridemetrics.llm.common import id_and_text, partitions, set_up, shared_folder, store, together
 
 # Fixed value: constant of the checksum mask.
 MASK_DELTA = 0xA282EAD8
@@ -163,19 +163,6 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
-def _joined(batches):
-    """Record batches of about TOGETHER_BYTES of texts, whatever the size of those that come in."""
-    held, size = [], 0
-    for batch in slices(batches, limit=TOGETHER_BYTES):
-        if held and size + batch.nbytes > TOGETHER_BYTES:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-        held.append(batch)
-        size += batch.nbytes
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def write_records(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every text, ends it with ``END_ID`` and writes the records in ascending id order.
 
@@ -194,7 +181,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
         encoder = _encoder(tokenizer)
         pack, held = [], 0
-        for batch in _joined(batches):
+        for batch in together(batches, TOGETHER_BYTES):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 record = frame(doc_id, ids)
                 if pack and (len(pack) >= most_records or held + len(record) > most_bytes):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+from ridemetrics.llm import decontaminate
 from ridemetrics.llm.decontaminate import contamination, drop_contaminated, find_test_passages
 
 DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
@@ -82,3 +83,43 @@ def test_null_and_repeated_ids(spark, block_words):
         assert sorted(got) == sorted((n, hit, len(names), bad) for n, hit, names, bad in answers.values())
         kept = [r.text or "" for r in drop_contaminated(table, tests, block_words=block_words).collect()]
         assert sorted(kept) == sorted(t or "" for k, t in enumerate(texts) if doc_id is None or not answers[k][3])
+
+
+def test_a_second_benchmark_is_answered_from_the_stored_index(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 3000)
+    docs, items = _tables(3)
+    index = decontaminate.build_index(spark.createDataFrame(docs, DOCS).repartition(2))
+    assert index.count() > 10
+    for part in (items[:10], items[10:], [(1, "w1"), (2, "w2 w3")]):
+        got = _got(contamination(decontaminate.search(index, spark.createDataFrame(part, ITEMS))))
+        assert len(got) == len(docs)
+        for k, (n, hit, names, bad) in brute.contamination(dict(docs), part).items():
+            r = got[k]
+            assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, hit, len(names), bad), k
+
+
+@pytest.mark.parametrize("candidates", [1, 7, 1 << 20])
+def test_very_frequent_words(spark, monkeypatch, candidates):
+    """One word makes up texts and items, so each window matches almost everywhere."""
+    monkeypatch.setattr(decontaminate, "CANDIDATES", candidates)
+    docs = [(1, "x " * 300), (2, "x " * 12), (3, "x " * 13), (4, "y " * 50 + "x " * 20), (5, "")]
+    items = [(1, "x " * 14), (2, "x " * 40 + "y"), (3, "y " * 13)]
+    got = _got(contamination(find_test_passages(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))))
+    for k, (n, hit, names, bad) in brute.contamination(dict(docs), items).items():
+        assert (got[k].n_words, got[k].n_hit, got[k].n_items, got[k].contaminated) == (n, hit, len(names), bad), k
+
+
+def test_matches_do_not_cross_documents(spark):
+    words = [f"t{i}" for i in range(13)]
+    docs = [(1, " ".join(words[:7])), (2, " ".join(words[7:])), (3, " ".join(words))]
+    found = find_test_passages(spark.createDataFrame(docs, DOCS).coalesce(1), spark.createDataFrame([(1, " ".join(words))], ITEMS))
+    assert {r.doc_id: (r.items, r.near) for r in found.collect()} == {1: ([], []), 2: ([], []), 3: ([1], [1])}
+
+
+def test_a_very_long_text(spark):
+    words = [f"w{i % 977}" for i in range(300_000)]
+    docs = [(1, " ".join(words)), (2, "z" * 3_000_000)]
+    items = [(1, " ".join(words[1000:1020])), (2, "none of this is there " * 4)]
+    got = _got(contamination(find_test_passages(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))))
+    for k, (n, hit, names, bad) in brute.contamination(dict(docs), items).items():
+        assert (got[k].n_words, got[k].n_hit, got[k].n_items, got[k].contaminated) == (n, hit, len(names), bad), k
