@@ -409,6 +409,21 @@ def _scores(docs: DataFrame, shared) -> DataFrame:
     return docs.mapInArrow(score, _SCORED)
 
 
+def _common_words(vocabulary: DataFrame) -> dict[bytes, float]:
+    """Logs of the counts plus one of the most frequent words, and of the end of a text whatever its place among them."""
+    most = _most_frequent(vocabulary, "c", COMMON_WORDS).toArrow()
+    common = dict(zip(most.column("word").to_pylist(), np.log10(most.column("c").to_numpy() + 1.0).tolist()))
+    ends = vocabulary.filter(F.col("word") == F.lit(END)).first()
+    if ends:
+        common[END] = float(np.log10(ends["c"] + 1.0))
+    return common
+
+
+def _common_grams(seen: DataFrame) -> GramTable:
+    most = _most_frequent(seen, "n", COMMON_GRAMS).select("gram", "cost").toArrow()
+    return GramTable(most.column("gram").to_numpy(), most.column("cost").to_numpy())
+
+
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -424,20 +439,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     counts = store(counts.groupBy("word", "gram").agg(F.sum("n").alias("n")), "counts")
     vocabulary = counts.filter(F.col("gram").isNull()).select("word", F.col("n").alias("c"))
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("word")).first()
-    common = _most_frequent(vocabulary, "c", COMMON_WORDS).toArrow()
-    logs = np.log10(common.column("c").to_numpy() + 1.0).tolist()
-    common = dict(zip(common.column("word").to_pylist(), logs))
-    # The end of a text is one of the words, whatever its place among them.
-    ends = vocabulary.filter(F.col("word") == F.lit(END)).first()
-    if ends:
-        common[END] = float(np.log10(ends["c"] + 1.0))
-    table = None
     if n:
         contexts = _all_orders(counts.filter(F.col("gram").isNotNull()).select("gram", "n"))
         seen = _grams(contexts[ORDER], (F.log10(F.col("n") + F.col("d")) - F.log10("of.n")).alias("cost"))
-        most = _most_frequent(seen, "n", COMMON_GRAMS).select("gram", "cost").toArrow()
-        table = GramTable(most.column("gram").to_numpy(), most.column("cost").to_numpy())
-    shared = spark.sparkContext.broadcast((common, table))
+    # Held by the broadcast only; the driver keeps no copy.
+    shared = spark.sparkContext.broadcast((_common_words(vocabulary), _common_grams(seen) if n else None))
 
     scored = store(_scores(rows.withColumn("held_out", ~training()), shared), "scores")
     documents = scored.filter(F.col("word").isNull() & F.col("gram").isNull())
