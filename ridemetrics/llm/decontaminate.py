@@ -24,8 +24,9 @@ from ridemetrics.llm.ngram_join import _word_hashes
 WINDOW_WORDS = 13
 # Test words that one pass over the index handles; bounds what is broadcast.
 BLOCK_WORDS = 1_000_000
-# Text of a shard; a longer document is a shard by itself.
-SHARD_BYTES = 1 << 21
+# Text of a shard; a longer document is a shard by itself. The Parquet writer buffers a hundred rows before it looks
+# at their size, so shards are small.
+SHARD_BYTES = 1 << 18
 # Places that are intersected at a time, at least those of one window.
 CANDIDATES = 1 << 20
 
