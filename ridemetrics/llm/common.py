@@ -1,5 +1,8 @@
 """Shared helpers: stored tables, Arrow batches of texts, words."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 from uuid import uuid4
 
@@ -7,20 +10,46 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ridemetrics.operators.storage import delete_folder
+
 # Text handled at a time inside a task; some ten times as much is held on the way.
 SLICE_BYTES = 1 << 20
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """New folder that driver and executors share.
+_scope: ContextVar[str] = ContextVar("scope", default="tables")
 
-    It lies below ``spark.checkpoint.dir``. Where that is unset, as in tests, it lies below the
-    warehouse, which Spark itself expects to be shared.
-    """
+
+def _root(spark: SparkSession) -> str:
+    """Folder that driver and executors share: below ``spark.checkpoint.dir`` or, where that is unset, as in tests,
+    below the warehouse, which Spark itself expects to be shared."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     root = root or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/ridemetrics-llm/{spark.sparkContext.applicationId}/{label}-{uuid4().hex}"
+    return f"{root.rstrip('/')}/ridemetrics-llm/{spark.sparkContext.applicationId}"
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """New folder that driver and executors share, in the current ``scope``."""
+    return f"{_root(spark)}/{_scope.get()}/{label}-{uuid4().hex}"
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """What is stored within the block lies in one folder, and what the last block of this name stored goes.
+
+    So tables do not pile up; read an answer before the next block of its name begins, or call ``forget`` after it.
+    """
+    forget(spark, name)
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
+def forget(spark: SparkSession, name: str) -> None:
+    """Deletes what a ``scope`` has stored."""
+    delete_folder(spark, f"{_root(spark)}/{name}")
 
 
 def store(df: DataFrame, label: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ridemetrics.llm.centroid_clusters import cluster, with_inertia
 from ridemetrics.llm.chat import parse_transcripts, train
-from ridemetrics.llm.common import shared_folder
+from ridemetrics.llm.common import scope, shared_folder
 from ridemetrics.llm.conversation_repair import damaged, repair
 from ridemetrics.llm.decontaminate import contamination, find_test_passages
 from ridemetrics.llm.exact_dedup import exact_groups
@@ -124,7 +124,7 @@ def op13_centroid_clustering(spark, sf_dir):
     return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
-QUERIES = {
+_QUERIES = {
     "op1_warc": op1_warc,
     "op2_ngram_join": op2_ngram_join,
     "op3_secret_scan": op3_secret_scan,
@@ -142,6 +142,19 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
+
+def _scoped(name, query):
+    """The query, which first deletes what its last call has stored."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with scope(spark, name):
+            return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _scoped(name, query) for name, query in _QUERIES.items()}
+
 _FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 _SCALED = "list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))"
 

@@ -1,6 +1,7 @@
 """The pipeline against plain versions of its stages, on a small table with planted cases."""
 
 import random
+from pathlib import Path
 
 import corpus_pipeline
 import duckdb
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import brute
+from ridemetrics.llm.common import forget
 
 SF = "/root/testdata/sf0.001"
 
@@ -155,3 +157,14 @@ def test_a_name_that_a_stage_adds_is_refused(spark, clashing):
     docs = spark.read.parquet(f"{clashing}/documents.parquet").withColumn("IDS", F.lit(1))
     with pytest.raises(ValueError, match="ids"):
         corpus_pipeline.STAGES[-1][1](spark, docs, clashing)
+
+
+def test_a_query_leaves_only_the_tables_of_its_last_call(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"), "ridemetrics-llm", spark.sparkContext.applicationId)
+    counts = []
+    for _ in range(2):
+        contract.queries()["op8_exact_dedup"](spark, SF).collect()
+        counts.append(len(list((root / "op8_exact_dedup").iterdir())))
+    assert counts == [1, 1]
+    forget(spark, "op8_exact_dedup")
+    assert not (root / "op8_exact_dedup").exists()
