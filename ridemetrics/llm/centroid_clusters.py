@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ridemetrics.llm.common import set_up, store
+from ridemetrics.llm.common import LARGE_ROWS, set_up, store
 
 DIMENSIONS = 64
 CLUSTERS = 40
@@ -73,7 +73,7 @@ def _blocks(vectors: DataFrame, dimensions: int, clusters: int) -> DataFrame:
                 codes = pa.array([np.concatenate(codes).tobytes()], pa.binary())
                 yield pa.RecordBatch.from_arrays([ids, nested, codes], ["ids", "numbers", "codes"])
 
-    return store(vectors.mapInArrow(encode, _BLOCK), "blocks")
+    return store(vectors.mapInArrow(encode, _BLOCK), "blocks", LARGE_ROWS)
 
 
 def _assigned(batches, centroids: np.ndarray):

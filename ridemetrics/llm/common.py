@@ -52,10 +52,22 @@ def forget(spark: SparkSession, name: str) -> None:
     delete_folder(spark, f"{_root(spark)}/{name}")
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
+# For rows of a tenth of a megabyte and more: the writer looks at the size of what it holds after every fourth row, where
+# it would look after a hundred, and holds less of it.
+LARGE_ROWS = {
+    "parquet.page.size.row.check.min": "4",
+    "parquet.page.size.row.check.max": "4",
+    "parquet.block.size.row.check.min": "4",
+    "parquet.block.size.row.check.max": "4",
+    "parquet.block.size": str(16 << 20),
+    "parquet.enable.dictionary": "false",
+}
+
+
+def store(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """Writes ``df`` once and reads it back: lineage ends here, and a lost executor costs a re-read."""
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -18,14 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ridemetrics.llm.common import id_and_text, slices, store, together
+from ridemetrics.llm.common import LARGE_ROWS, id_and_text, slices, store, together
 from ridemetrics.llm.ngram_join import _word_hashes
 
 WINDOW_WORDS = 13
 # Test words that one pass over the index handles; bounds what is broadcast.
 BLOCK_WORDS = 1_000_000
-# Text of a shard; a longer document is a shard by itself. The Parquet writer buffers a hundred rows before it looks
-# at their size, so shards are small.
+# Text of a shard; a longer document is a shard by itself.
 SHARD_BYTES = 1 << 18
 # Places that are intersected at a time, at least those of one window.
 CANDIDATES = 1 << 20
@@ -67,7 +66,7 @@ def _index(docs: DataFrame) -> DataFrame:
             columns += [pa.array([x.tobytes()], pa.binary()) for x in parts]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SHARD.split(", ")])
 
-    return store(docs.mapInArrow(build, _SHARD), "postings")
+    return store(docs.mapInArrow(build, _SHARD), "postings", LARGE_ROWS)
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
