@@ -1,5 +1,6 @@
 """Shared helpers: stored tables, Arrow batches of texts, words."""
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -109,7 +110,10 @@ def without_rows(docs: DataFrame, id_col: str, text_col: str, gone: DataFrame) -
 
 
 def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
-    """Cuts record batches so that each piece holds about ``limit`` bytes of ``column``, a row at least."""
+    """Cuts record batches so that each piece holds about ``limit`` bytes of ``column``, a row at least.
+
+    At the end of a task what it has freed goes back to the system, as its process waits for further tasks.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -121,6 +125,14 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
                 start, held = i, 0
             held += size
         yield batch.slice(start)
+    _give_back()
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def together(batches, limit: int, column: str = "text"):

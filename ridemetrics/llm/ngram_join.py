@@ -37,9 +37,9 @@ SIMILARITY = (85, 100)
 # (mean set size) x FREQUENT n-grams can be that frequent, whatever the number of sets.
 FREQUENT = 1000
 # N-grams that a task counts at a time when it looks for frequent ones.
-COUNTED_TOGETHER = 2_000_000
+COUNTED_TOGETHER = 1_000_000
 # Text that is hashed at a time; some ten arrays of as many 64-bit numbers are made of it.
-HASHED_BYTES = 1 << 20
+HASHED_BYTES = 1 << 18
 # Up to this length all pairs of a list are compared (at most 28).
 SHORT_LIST = 8
 # Sets that one part of a long list holds, about.
@@ -81,7 +81,7 @@ def _word_hashes(raw: np.ndarray):
     space = _SPACES[raw]
     edge = np.flatnonzero(np.diff(np.r_[True, space, True].view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
-    up, down, random = _powers(1 << max(21, int(len(raw)).bit_length()))
+    up, down, random = _powers(1 << max(19, int(len(raw)).bit_length()))
     sums = np.zeros(len(raw) + 1, _U)
     np.cumsum(random[raw] * up[: len(raw)], out=sums[1:])
     return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U)), starts
